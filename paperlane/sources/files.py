@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,9 +21,18 @@ from . import extract
 from .tables import meta
 
 
-def scan(spark: SparkSession, root: str, settings: Settings = Settings()) -> DataFrame:
-    """Every file below root: path, rel_path, file_name, ext, size_bytes, content."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+def scan(spark: SparkSession, root: str, empty_files: bool = True) -> DataFrame:
+    """Every file below root: path, rel_path, file_name, ext, size_bytes, content.
+
+    Spark's scan leaves out files without bytes. They are added from the listing that the scan has made on the driver
+    anyway; ``empty_files=False`` saves that for corpora where they don't matter.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length", "content")
+    if empty_files and (listed := files.inputFiles()):
+        norm = F.regexp_replace("path", "^([a-z0-9]+):/+", "$1:/")
+        every = spark.createDataFrame([(unquote(p),) for p in listed], "path string")
+        missing = every.withColumn("n", norm).join(files.select(norm.alias("n")), "n", "left_anti")
+        files = files.unionByName(missing.select("path", F.lit(0).cast("long").alias("length"), F.lit(b"").alias("content")))
     bare = re.sub(r"^[a-z0-9]+:/*", "/", root).rstrip("/")
     rel = F.regexp_replace("path", "^.*?" + re.escape(bare).replace("/", "/+") + "/", "")
     return files.select("path", rel.alias("rel_path"), base_name(F.col("path")).alias("file_name"), extension(F.col("path")).alias("ext"), F.col("length").alias("size_bytes"), "content")
