@@ -2,12 +2,11 @@
 
 Numbers (with their units) and names become typed placeholders, all else is lower-cased words, so a question whose
 figures were changed has its old template. Templates are cut into windows of WINDOW words. All windows of the
-benchmark and every STRIDE-th of a document are joined on their hash: any run of WINDOW + STRIDE - 1 or more
-template words that a document shares with an item is met. Slot consistency: along one alignment, equal values in the
+benchmark and of a document are joined on their hash, so any run of WINDOW or more template words that a document
+shares with an item is met (with a larger ``stride`` only runs of WINDOW + stride - 1). Slot consistency: along one alignment, equal values in the
 item must stand against equal values in the document; where they don't, the shared template is chance.
 
-A document holds an item if consistent windows cover ``share`` of the item's template or more, and at least
-WINDOW + STRIDE - 1 words. Windows with fewer than half plain words carry no evidence and are left out.
+A document holds an item if consistent windows cover ``share`` of the item's template or more. Windows with fewer than half plain words carry no evidence and are left out.
 
 Defined results: null or empty texts on either side match nothing; items of fewer than WINDOW words are not
 searched; repeated documents are reported by key once, repeated items under each item_id; empty tables give an empty
@@ -22,13 +21,13 @@ from pyspark.sql import functions as F
 from .common import written
 
 WINDOW = 8
-STRIDE = 4
+STRIDE = 1
 SHARE = 0.5
 BROADCAST_WINDOWS = 100_000  # windows of the benchmark that may be broadcast, at 200 bytes each at most about 20 MB
 
 # Units that may follow a number and belong to it.
 UNITS = "%|percent|km|cm|mm|kg|mg|g|lb|lbs|oz|m|s|h|min|mph|kmh|hours|hour|minutes|minute|seconds|days|day|years|year|miles|mile|meters|metres|feet|foot|inches|liters|litres|ml|l|dollars|euros|eur|usd|cents"
-NUMBER = rf"(?<![\p{{L}}\p{{N}}])[$€£]?\p{{N}}+(?:[.,:/]\p{{N}}+)*(?: ?(?:{UNITS})(?![\p{{L}}\p{{N}}]))?"
+NUMBER = rf"(?<![\p{{L}}\p{{N}}])[$€£]?\p{{N}}+(?:[.,:/]\p{{N}}+)*(?: ?(?i:{UNITS})(?![\p{{L}}\p{{N}}]))?"
 NAME = r"(?<=[\p{Ll},] )\p{Lu}[\p{L}'’-]+"
 
 
@@ -85,9 +84,7 @@ def matches(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "d
     held = words.groupBy("id", "item").agg(F.count("*").alias("covered_words"), F.coalesce(F.max("n_slots"), F.lit(0)).alias("n_slots"), F.coalesce(F.max("new"), F.lit(0)).alias("new"))
     lengths = written(lengths.withColumnRenamed("id", "own"), "item-lengths")
     held = held.join(lengths, F.col("item").eqNullSafe(F.col("own")))
-    # the stride may leave up to STRIDE - 1 words of the run uncovered at either end
-    reach = F.col("covered_words") + 2 * (stride - 1)
-    held = held.filter((F.least(reach, F.col("item_words")) >= share * F.col("item_words")) & (reach >= window + stride - 1))
+    held = held.filter(F.col("covered_words") >= share * F.col("item_words"))
     return held.select(F.col("id").alias(key), F.col("item").alias(item_key), "covered_words", "item_words", (F.col("covered_words") / F.col("item_words")).alias("coverage"), "n_slots", (F.col("new") > 0).alias("reworded"))
 
 
