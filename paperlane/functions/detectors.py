@@ -114,7 +114,7 @@ def count_addresses(text: Column) -> Column:
 
 
 def count_money(text: Column) -> Column:
-    return F.size(F.array_distinct(F.transform(_all(text, MONEY), F.trim)))
+    return F.size(F.array_distinct(F.transform(_all(text, MONEY), lambda v: F.trim(v))))  # F.trim itself would take the index, too
 
 
 def count_labeled(text: Column, near: str, value: str, window: int, min_digits: int) -> Column:

@@ -30,7 +30,7 @@ CASES = [
     ("SSN", "12-3456789", 0), ("SSN", "123456789", 0), ("SSN", "SSN on file. 123456789", 1), ("SSN", "000-12-3456 666-12-3456 900-12-3456 123-00-4567 123-45-0000", 0), ("SSN", "123 45 6789 and 123-45-6789", 1),
     ("NAME", "Mr. Smith and Name: Anna Lee; Dear Bob Jones,", 3), ("NAME", "Acme Widgets", 0), ("NAME", "PATIENT: Ann", 1), ("NAME", "patient: ann", 0),
     ("ADDRESS", "12 Oak Street", 1), ("ADDRESS", "Springfield, IL 62704", 1), ("ADDRESS", "62704", 0),
-    ("MONEY", "$1,234.56", 1), ("MONEY", "USD 1,000", 1), ("MONEY", "12,345.00", 1), ("MONEY", "500.00 dollars", 1), ("MONEY", "1234 5678", 0),
+    ("MONEY", "$1,234.56", 1), ("MONEY", "USD 1,000", 1), ("MONEY", "12,345.00", 1), ("MONEY", "500.00 dollars", 1), ("MONEY", "1234 5678", 0), ("MONEY", "108.51.216.133 and 108.51.216.133", 1), ("MONEY", "5.10 5.10 $7 $7", 2),
     ("PASSPORT", "passport required", 0), ("PASSPORT", "Passport No: X1234567", 1), ("PASSPORT", "passport A1234567 passport a1234567", 1),
     ("DOB", "date of birth: 1/2/1980", 1), ("DOB", "Date of birth ______", 0), ("DOB", "born on Jan 3, 1999", 1), ("BANK_ACCOUNT", "account number 12345678", 1),
     ("TIN", "tax id 12-3456789", 1), ("NATIONAL_ID", "national insurance no. AB123456C", 1), ("DRIVER_LICENSE", "Driver's license # D1234567", 1),
