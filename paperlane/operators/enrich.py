@@ -93,3 +93,42 @@ def recognised(df: DataFrame, call: Callable[[str], dict] | None) -> DataFrame:
             yield b
 
     return todo.mapInPandas(run, schema).unionByName(df.filter(~wanted))
+
+
+LEAST_IMAGE_BYTES = 1024
+IMAGE_STATS = {"img_ocr_qualifying": "int", "img_ocr_calls": "int", "img_ocr_ok": "int", "img_note": "string"}
+
+
+def images_read(df: DataFrame, call: Callable[[bytes], str] | None, max_chars: int) -> DataFrame:
+    """OCR of images embedded in searchable files: their texts are appended, up to ``max_chars`` in all.
+
+    Adds IMAGE_STATS: images of LEAST_IMAGE_BYTES or more, calls, calls that gave text, and a note of what failed. Files
+    without such images, and all files without ``call``, keep their text.
+    """
+    images = F.filter(F.coalesce("meta.content_images", F.array().cast("array<binary>")), lambda b: F.octet_length(b) >= LEAST_IMAGE_BYTES)
+    n = F.when(F.coalesce(F.col("meta.text_extractable") == "text", F.lit(False)), F.size(images)).otherwise(0)
+    df = df.withColumn("img_ocr_qualifying", n)
+    none = {"img_ocr_calls": F.lit(0), "img_ocr_ok": F.lit(0), "img_note": F.lit("")}
+    if call is None:
+        return df.withColumns(none)
+    todo = df.filter("img_ocr_qualifying > 0")
+    schema = T.StructType([*todo.schema.fields, *struct_of("img_ocr_calls int, img_ocr_ok int, img_note string").fields])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            texts, calls, good, notes = [], [], [], []
+            for text, meta in zip(b["text"], b["meta"]):
+                parts, failed, wanted = [text or ""], {}, [i for i in meta["content_images"] if len(i) >= LEAST_IMAGE_BYTES]
+                for image in wanted:
+                    try:
+                        parts.append(call(bytes(image)) or "")
+                    except Exception as e:
+                        failed[type(e).__name__] = failed.get(type(e).__name__, 0) + 1
+                texts.append("\n".join(p for p in parts if p)[:max_chars])
+                calls.append(len(wanted))
+                good.append(sum(bool(p.strip()) for p in parts[1:]))
+                notes.append(" ".join(f"img_ocr_failed:{k}x{v}" for k, v in sorted(failed.items())))
+            b["text"], b["img_ocr_calls"], b["img_ocr_ok"], b["img_note"] = texts, calls, good, notes
+            yield b
+
+    return todo.mapInPandas(run, schema).unionByName(df.filter("img_ocr_qualifying = 0").withColumns(none))

@@ -23,6 +23,7 @@ class Services:
     """Outside calls; each may be missing. stage2 may be ``"offline"`` for the keyword grading."""
 
     ocr: Callable[[str], dict] | None = None
+    ocr_image: Callable[[bytes], str] | None = None
     judge: enrich.ModelFn | None = None
     count_people: enrich.ModelFn | None = None
     stage2: enrich.ModelFn | str | None = None
@@ -36,6 +37,7 @@ def inventory(extracted: DataFrame, settings: Settings = Settings(), services: S
         df = df.withColumn("job_bde_threshold", F.lit(None).cast("int"))
     df = df.withColumn("threshold", F.coalesce("job_bde_threshold", F.lit(settings.bde_threshold)))
     df = enrich.recognised(df, services.ocr)
+    df = enrich.images_read(df, services.ocr_image, settings.max_scan_chars)
     meta = {f.name: c(f"meta.{f.name}") for f in META}
     early = F.coalesce(meta["status"], F.lit("ok")).isin("no_parser", "skipped_too_large", "timeout", "error")
     df = df.withColumns({
@@ -58,7 +60,6 @@ def inventory(extracted: DataFrame, settings: Settings = Settings(), services: S
     df = df.withColumns({
         "text": F.substring("text", 1, settings.max_scan_chars),
         "programmatic": c("is_structured"),
-        **{n: F.lit(0) for n in ("img_ocr_qualifying", "img_ocr_calls", "img_ocr_ok")},
     })
     df = df.withColumn("di_calls", c("ocr_attempted").cast("int") + c("img_ocr_calls"))
     # ---- stage 1: detection, of searchable files only
@@ -76,8 +77,8 @@ def inventory(extracted: DataFrame, settings: Settings = Settings(), services: S
         "ambiguity": F.when(c("searchable"), kind).otherwise(""),
         "entities_found": F.array_join("labels", " | "),
         "pi_categories": F.array_join("categories", " | "),
-        "detail": route.notes(decode, c("meta_detail"), F.when(c("searchable") & (c("estimated_entities") != c("base_estimate")), "roster_by_rowcount")),
-    }).drop("base_estimate", "meta_detail", "labels", "categories", *(detect.count_column(r.key) for r in rules.rules))
+        "detail": route.notes(c("img_note"), decode, c("meta_detail"), F.when(c("searchable") & (c("estimated_entities") != c("base_estimate")), "roster_by_rowcount")),
+    }).drop("base_estimate", "meta_detail", "img_note", "labels", "categories", *(detect.count_column(r.key) for r in rules.rules))
     # ---- the model on ambiguous files, then the counter of people
     prompt = sample_for_model(c("scanned"), settings.llm_input_chars)
     df = enrich.asked(df, c("ambiguity") == "ambiguous", services.judge, "judged", prompt)

@@ -128,6 +128,22 @@ def test_ocr(spark):
     assert got["bad.png"]["detail"] == "ocr_failed:OSError" and got["good.png"]["ocr_pages"] == 3
 
 
+def test_embedded_images(spark):
+    def read(image):
+        if image.startswith(b"bad"):
+            raise OSError
+        return "SSN 123-45-6789" if image.startswith(b"ssn") else ""
+
+    big = b"x" * 1024
+    rows = [file("a.pdf", "policy", content_images=[b"ssn" + big, b"bad" + big, b"nothing" + big, b"small"]), file("b.pdf", "policy", content_images=[b"small"]), file("c.pdf", "policy"), file("d.pdf", text_extractable="image_only", content_images=[b"ssn" + big])]
+    got = inv_of(spark, rows, services=Services(ocr_image=read))
+    assert {k: (v["img_ocr_qualifying"], v["img_ocr_calls"], v["img_ocr_ok"], v["di_calls"], v["suggested_lane"]) for k, v in got.items()} == {
+        "a.pdf": (3, 3, 1, 3, "standard"), "b.pdf": (0, 0, 0, 0, "likely_non_responsive"), "c.pdf": (0, 0, 0, 0, "likely_non_responsive"), "d.pdf": (0, 0, 0, 0, "nonsearchable_sample")}
+    assert got["a.pdf"]["detail"] == "img_ocr_failed:OSErrorx1"
+    off = inv_of(spark, rows[:1])["a.pdf"]
+    assert (off["img_ocr_qualifying"], off["img_ocr_calls"], off["di_calls"]) == (3, 0, 0)
+
+
 def _zip(parts):
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
@@ -190,3 +206,28 @@ def test_job_thresholds(spark):
 def test_no_rules(spark):
     got = inv_of(spark, [file("a.txt", "word")], Settings(rules=RuleList(rules=())))
     assert got["a.txt"]["suggested_lane"] == "likely_non_responsive"
+
+
+def test_manifest_and_shell(spark, tmp_path, capsys):
+    import json
+
+    from paperlane import cli
+
+    (tmp_path / "in").mkdir()
+    for name, body in {"ssn.txt": "SSN 123-45-6789", "policy.txt": "policy", "scan.png": "x"}.items():
+        (tmp_path / "in" / name).write_text(body)
+    inv, gold = str(tmp_path / "inv"), tmp_path / "gold.csv"
+    cli.main(["scan", f"file://{tmp_path}/in", inv], spark)
+    (made,) = [p for p in (tmp_path / "inv-manifest").iterdir() if p.suffix == ".json"]
+    manifest = json.loads(made.read_text())
+    assert manifest["counters"]["files"] == 3 and manifest["lanes"] == {"likely_non_responsive": 1, "nonsearchable_sample": 1, "standard": 1} and len(manifest["rules_sha256"]) == 64
+    cli.main(["scan", f"file://{tmp_path}/in", str(tmp_path / "again"), "--resume", inv], spark)
+    assert sinks.read_csv(spark, str(tmp_path / "again")).count() == 0
+    cli.main(["report", inv, str(tmp_path / "table")], spark)
+    cli.main(["sample", inv, str(tmp_path / "sample")], spark)
+    gold.write_text("file name,responsive\nssn.txt,yes\npolicy.txt,no\n")
+    capsys.readouterr()
+    cli.main(["benchmark", inv, str(gold)], spark)
+    assert json.loads(capsys.readouterr().out)["responsive_f1"] == 1.0
+    cli.main(["diff", inv, inv], spark)
+    assert json.loads(capsys.readouterr().out)["moved"] == 0
