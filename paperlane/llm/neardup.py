@@ -11,6 +11,10 @@ radius. A shard tree is not broadcast, because the trees together grow with the
 cut into chunks, and every pair of chunks gets its own tree, so no task holds more than two chunks and no link is lost.
 From each tree come only the links of a spanning forest, never all pairs.
 
+``one_of_each``, the filter on documents, also catches near copies beyond that radius: at a similarity of 0.8 over
+5-word shingles, fingerprints differ in some 7 bits, more than shards and trees can reach at any size. There, min-hash
+signatures are cut into bands, equal bands give candidates, and the signatures' agreement decides.
+
 Defined results: a null, empty or blank text has the fingerprint 0 and is linked like any other; a text of fewer than
 3 words has one shingle, its word sequence; rows with one doc_id and several texts are one document only if those
 are linked; a null doc_id gets the component of its fingerprint and never names one, so a component of null ids only
@@ -55,6 +59,50 @@ def fingerprint_of(text: str | None) -> int:
     return int(np.packbits(2 * ones > len(h)).view(">i8")[0])
 
 
+SIMILAR_SHINGLE = 5
+SIMILARITY = 0.8
+BANDS, ROWS = 21, 6  # a pair at 0.8 agrees in one of 21 bands of 6 hashes with probability 0.998
+MARGIN = 0.05  # of the signatures' estimate, one and a half of its standard deviations at 0.8
+_rng = np.random.default_rng(SEED)
+_FACTORS, _OFFSETS = (_rng.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(k) for k in (1, 0))
+
+
+def signature_of(text: str | None) -> list[int] | None:
+    """Min-hashes of the 5-word shingles of a whole text, A-Z in lower case; None without words."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return None
+    digest, n = xxhash.xxh64_intdigest, SIMILAR_SHINGLE
+    h = [digest(b" ".join(words))] if len(words) < n else [digest(b" ".join(x)) for x in zip(*(words[i:] for i in range(n)))]
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for i in range(0, len(h), 2048):
+        part = np.array(h[i : i + 2048], dtype=np.uint64)
+        np.minimum(least, (_FACTORS[:, None] * part + _OFFSETS[:, None]).min(axis=1), out=least)
+    return (least >> np.uint64(32)).astype(np.uint32).view(np.int32).tolist()
+
+
+def similar_links(marks: DataFrame, similarity: float = SIMILARITY - MARGIN) -> DataFrame:
+    """From distinct (fp, sig): links (u, v) between fingerprints whose texts' signatures agree.
+
+    In each bucket of equal bands every signature is held against the least and the greatest of the bucket, so a bucket
+    of any size gives two candidates a member; members that resemble neither meet their kin in other bands.
+    """
+    marks = written(marks.filter("sig IS NOT NULL").withColumn("sid", F.xxhash64("sig")).dropDuplicates(["fp", "sid"]), "signatures")
+    sigs = marks.select("sid", "sig").dropDuplicates(["sid"])
+    bands = F.array(*(F.struct(F.lit(b).alias("band"), F.xxhash64(*(F.get("sig", F.lit(b * ROWS + i)) for i in range(ROWS))).alias("key")) for b in range(BANDS)))
+    rows = written(sigs.select("sid", F.explode(bands).alias("b")).select("sid", "b.band", "b.key"), "signature-bands")
+    ends = rows.groupBy("band", "key").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).filter("low < high")
+    met = rows.join(ends, ["band", "key"]).select("sid", F.explode(F.array("low", "high")).alias("other")).filter("sid <> other")
+    met = met.select(F.least("sid", "other").alias("a"), F.greatest("sid", "other").alias("b")).distinct()
+    met = met.join(sigs.select(F.col("sid").alias("a"), F.col("sig").alias("sa")), "a").join(sigs.select(F.col("sid").alias("b"), F.col("sig").alias("sb")), "b")
+    alike = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+    good = written(met.filter(alike >= similarity * BANDS * ROWS).select("a", "b"), "similar")
+    least = marks.groupBy("sid").agg(F.min("fp").alias("fp"))  # one fingerprint stands for a signature's texts
+    own = marks.join(least.withColumnRenamed("fp", "v"), "sid").select(F.col("fp").alias("u"), "v").filter("u <> v")
+    pairs = good.join(least.select(F.col("sid").alias("a"), F.col("fp").alias("u")), "a").join(least.select(F.col("sid").alias("b"), F.col("fp").alias("v")), "b")
+    return pairs.select("u", "v").filter("u <> v").unionByName(own)
+
+
 def fingerprint(text: Column) -> Column:
     """Struct with the fingerprint (long) of each text."""
     return per_text(lambda: lambda t: (fingerprint_of(t),), "fp long", [("fp", pa.int64())])(text)
@@ -183,10 +231,11 @@ def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
     return written(docs.select(F.col(key).alias("key"), fingerprint(F.col(text)).alias("f")).select("key", "f.fp"), "fingerprints")
 
 
-def clustered(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+def clustered(prints: DataFrame, radius: int = RADIUS, more_links: DataFrame | None = None) -> DataFrame:
     """From written (key, fp) rows: (key, fp, component), component the least key of all that are linked."""
     nodes = written(prints.groupBy("fp").agg(F.min("key").alias("least")), "nodes")
-    roots = components(links(nodes.select("fp"), radius))
+    found = links(nodes.select("fp"), radius)
+    roots = components(found if more_links is None else found.unionByName(more_links))
     named = nodes.join(roots.withColumnRenamed("u", "fp"), "fp", "left").withColumn("root", F.coalesce("v", "fp"))
     of_root = named.groupBy("root").agg(F.min("least").alias("component"))
     names = written(named.join(of_root, "root").select("fp", "component"), "components")
@@ -195,7 +244,9 @@ def clustered(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", radius: int = RADIUS) -> DataFrame:
     """docs without the keys none of whose rows names its component; all rows of a kept key stay, as one document."""
-    rows = clustered(fingerprints(docs, text, key), radius)
+    both = per_text(lambda: lambda t: (fingerprint_of(t), signature_of(t)), "fp long, sig array<int>", [("fp", pa.int64()), ("sig", pa.list_(pa.int32()))])
+    marks = written(docs.select(F.col(key).alias("key"), both(F.col(text)).alias("m")).select("key", "m.*"), "marks")
+    rows = clustered(marks.select("key", "fp"), radius, similar_links(marks.select("fp", "sig")))
     extra = rows.groupBy("key").agg(F.max(F.col("key").eqNullSafe(F.col("component"))).alias("first")).filter("not first")
     extra = written(extra.select(F.col("key").alias("__extra")), "extra-copies")
     return docs.join(extra, docs[key].eqNullSafe(extra["__extra"]), "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
