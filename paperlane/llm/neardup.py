@@ -13,7 +13,8 @@ From each tree come only the links of a spanning forest, never all pairs.
 
 ``one_of_each``, the filter on documents, also catches near copies beyond that radius: at a similarity of 0.8 over
 5-word shingles, fingerprints differ in some 7 bits, more than shards and trees can reach at any size. There, min-hash
-signatures are cut into bands, equal bands give candidates, and the signatures' agreement decides.
+signatures are cut into bands, equal bands give candidates, and the signatures' agreement decides. Every pair that
+shares a band is linked, directly or through others, if it agrees, in buckets of any size.
 
 Defined results: a null, empty or blank text has the fingerprint 0 and is linked like any other; a text of fewer than
 3 words has one shingle, its word sequence; rows with one doc_id and several texts are one document only if those
@@ -63,6 +64,7 @@ SIMILAR_SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 21, 6  # a pair at 0.8 agrees in one of 21 bands of 6 hashes with probability 0.998
 MARGIN = 0.05  # of the signatures' estimate, one and a half of its standard deviations at 0.8
+CHUNK = 4096  # signatures of a bucket that a task holds, twice
 _rng = np.random.default_rng(SEED)
 _FACTORS, _OFFSETS = (_rng.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(k) for k in (1, 0))
 
@@ -81,28 +83,91 @@ def signature_of(text: str | None) -> list[int] | None:
     return (least >> np.uint64(32)).astype(np.uint32).view(np.int32).tolist()
 
 
-def similar_links(marks: DataFrame, similarity: float = SIMILARITY - MARGIN) -> DataFrame:
-    """From distinct (fp, sig): links (u, v) between fingerprints whose texts' signatures agree.
+def similar_links(marks: DataFrame, similarity: float = SIMILARITY - MARGIN, chunk: int = CHUNK) -> DataFrame:
+    """From distinct (fp, sig): links (u, v) that join all fingerprints whose texts' signatures share a band and agree.
 
-    In each bucket of equal bands every signature is held against the least and the greatest of the bucket, so a bucket
-    of any size gives two candidates a member; members that resemble neither meet their kin in other bands.
+    First every signature of a bucket of equal bands is held against the least and the greatest of the bucket, which is
+    every pair in a bucket of three and links most larger ones whole. Buckets that are still in several pieces are
+    searched exactly, each against all of its own, in chunks and pairs of chunks as in ``sharded``; only the links of a
+    spanning forest leave a task.
     """
     marks = written(marks.filter("sig IS NOT NULL").withColumn("sid", F.xxhash64("sig")).dropDuplicates(["fp", "sid"]), "signatures")
     sigs = marks.select("sid", "sig").dropDuplicates(["sid"])
     bands = F.array(*(F.struct(F.lit(b).alias("band"), F.xxhash64(*(F.get("sig", F.lit(b * ROWS + i)) for i in range(ROWS))).alias("key")) for b in range(BANDS)))
     rows = written(sigs.select("sid", F.explode(bands).alias("b")).select("sid", "b.band", "b.key"), "signature-bands")
-    ends = rows.groupBy("band", "key").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).filter("low < high")
-    met = rows.join(ends, ["band", "key"]).select("sid", F.explode(F.array("low", "high")).alias("other")).filter("sid <> other")
+    ends = rows.groupBy("band", "key").agg(F.min("sid").alias("low"), F.max("sid").alias("high"), F.count("*").alias("n")).filter("low < high")
+    met = rows.join(ends, ["band", "key"])
+    wide = written(met.filter("n > 3").select("band", "key", "sid"), "wide-buckets")
+    met = met.select("sid", F.explode(F.array("low", "high")).alias("other")).filter("sid <> other")
     met = met.select(F.least("sid", "other").alias("a"), F.greatest("sid", "other").alias("b")).distinct()
     met = met.join(sigs.select(F.col("sid").alias("a"), F.col("sig").alias("sa")), "a").join(sigs.select(F.col("sid").alias("b"), F.col("sig").alias("sb")), "b")
     alike = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
     good = written(met.filter(alike >= similarity * BANDS * ROWS).select("a", "b"), "similar")
+    good = good.unionByName(_open_buckets(wide, good, sigs, similarity, chunk))
     least = marks.groupBy("sid").agg(F.min("fp").alias("fp"))  # one fingerprint stands for a signature's texts
     own = marks.join(least.withColumnRenamed("fp", "v"), "sid").select(F.col("fp").alias("u"), "v").filter("u <> v")
     pairs = good.join(least.select(F.col("sid").alias("a"), F.col("fp").alias("u")), "a").join(least.select(F.col("sid").alias("b"), F.col("fp").alias("v")), "b")
     return pairs.select("u", "v").filter("u <> v").unionByName(own)
 
 
+def _open_buckets(wide: DataFrame, good: DataFrame, sigs: DataFrame, similarity: float, chunk: int) -> DataFrame:
+    """The links (a, b) that ``good`` lacks within buckets (band, key, sid) whose members it leaves in several pieces."""
+    roots = components(good.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    wide = wide.join(roots.withColumnRenamed("u", "sid"), "sid", "left").select("band", "key", "sid", F.coalesce("v", "sid").alias("root"))
+    wide = written(wide, "bucket-roots")
+    pieces = wide.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    pieces = written(pieces.select("band", "key", F.ceil(F.col("n") / chunk).cast("int").alias("chunks")), "open-buckets")
+    rows = wide.join(pieces, ["band", "key"]).select("band", "key", "sid", "root", F.explode(_chunk_pairs("sid")).alias("p"))
+    rows = rows.join(sigs, "sid").select("band", "key", "p.a", "p.b", "sid", "root", "sig")
+    keys = ["band", "key", "a", "b"]
+    found = rows.repartition(*keys).sortWithinPartitions(*keys, "sid").mapInArrow(_link_buckets(similarity), "a long, b long")
+    return written(found.distinct(), "similar-in-buckets")
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[pa.RecordBatch]]:
+    """The runs of equal leading columns of sorted batches, each as slices."""
+    rest, held = None, []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        k = np.stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(keys)], axis=1)
+        cuts = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1).tolist(), b.num_rows]
+        for i, j in zip(cuts, cuts[1:]):
+            if rest is not None and (rest != k[i]).any():
+                yield held
+                held = []
+            rest = k[i]
+            held.append(b.slice(i, j - i))
+    if held:
+        yield held
+
+
+def forest_of(sigs: np.ndarray, pieces: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Places (i, j) whose links join all rows of ``sigs`` that agree in ``similarity`` or more, beyond those of one piece."""
+    need, pieces, out = similarity * sigs.shape[1], pieces.copy(), []
+    for i in range(len(sigs) - 1):
+        others = i + 1 + np.flatnonzero(pieces[i + 1 :] != pieces[i])
+        if len(others):
+            for j in others[(sigs[others] == sigs[i]).sum(axis=1) >= need].tolist():
+                if pieces[j] != pieces[i]:
+                    out.append((i, j))
+                    pieces[pieces == pieces[j]] = pieces[i]
+    return out
+
+
+def _link_buckets(similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, 4):
+            sid, root = (np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in group]) for i in (4, 5))
+            sigs = np.concatenate([b.column(6).flatten().to_numpy(zero_copy_only=False) for b in group]).reshape(len(sid), -1)
+            found = forest_of(sigs, root, similarity)
+            if found:
+                i, j = zip(*found)
+                yield pa.record_batch([pa.array(sid[list(x)], pa.int64()) for x in (i, j)], names=["a", "b"])
+
+    return run
+
+
 def fingerprint(text: Column) -> Column:
     """Struct with the fingerprint (long) of each text."""
     return per_text(lambda: lambda t: (fingerprint_of(t),), "fp long", [("fp", pa.int64())])(text)
@@ -122,6 +187,14 @@ def bands_for(nodes: int, radius: int = RADIUS, mean: int = MEAN_SHARD) -> int:
     return bands
 
 
+def _chunk_pairs(member: str) -> Column:
+    """Array of the pairs (a, b) of a shard's ``chunks`` that a member goes to: its own chunk with each other one."""
+    own = F.pmod(F.xxhash64(member, F.lit(1)), F.col("chunks")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: j != own)
+    single = F.array(F.struct(F.lit(0).alias("a"), F.lit(0).alias("b")))
+    return F.when(F.col("chunks") == 1, single).otherwise(F.transform(others, lambda j: F.struct(F.least(own, j).alias("a"), F.greatest(own, j).alias("b"))))
+
+
 def sharded(nodes: DataFrame, bands: int, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
     """nodes (fp) as rows (t, key, a, b, fp): table, shard and pair of chunks; every two nodes within the radius meet."""
     limits = band_limits(bands)
@@ -136,10 +209,7 @@ def sharded(nodes: DataFrame, bands: int, radius: int = RADIUS, shard: int = SHA
     sizes = rows.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1")
     large = written(sizes.filter(F.col("n") > shard).select("t", "key", F.ceil(F.col("n") / shard).cast("int").alias("chunks")), "large-shards")
     rows = rows.join(large, ["t", "key"], "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-    own = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("chunks")).cast("int")
-    others = F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: j != own)
-    pairs = F.when(F.col("chunks") == 1, F.array(F.struct(F.lit(0).alias("a"), F.lit(0).alias("b")))).otherwise(F.transform(others, lambda j: F.struct(F.least(own, j).alias("a"), F.greatest(own, j).alias("b"))))
-    return rows.select("t", "key", "fp", F.explode(pairs).alias("p")).select("t", "key", "p.a", "p.b", "fp")
+    return rows.select("t", "key", "fp", F.explode(_chunk_pairs("fp")).alias("p")).select("t", "key", "p.a", "p.b", "fp")
 
 
 def tree_links(values: list[int], radius: int) -> list[tuple[int, int]]:

@@ -172,3 +172,23 @@ def test_windows_against_brute_force(spark):
     assert half == {k for k in got if k // 100 >= 10}
     sparse = {r["doc_id"] for r in decontam.matches(docs, items, share=0.0, stride=4).collect()}
     assert {n * 100 + at for n in range(11, 21) for at in range(4)} <= sparse <= set(got)
+
+
+@pytest.mark.parametrize("chunk", [4096, 5])
+def test_buckets_of_many_signatures(spark, chunk):
+    """Pairs that meet in one crowded bucket only, and resemble neither its least nor its greatest, are linked."""
+    rng, size = random.Random(chunk), neardup.BANDS * neardup.ROWS
+    shared = [rng.getrandbits(31) for _ in range(neardup.ROWS)]
+    sigs = []
+    for i in range(30):
+        one = shared + [rng.getrandbits(31) for _ in range(size - neardup.ROWS)]
+        two = list(one)
+        for b in range(1, neardup.BANDS):  # one change in every other band
+            two[b * neardup.ROWS + rng.randrange(neardup.ROWS)] ^= 1
+        sigs += [one, two] if i % 3 else [one]
+    marks = spark.createDataFrame([(i, s) for i, s in enumerate(sigs)], "fp long, sig array<int>")
+    found = neardup.similar_links(marks, chunk=chunk)
+    got = {r["u"]: r["v"] for r in components(found).collect()}
+    agree = lambda a, b: sum(x == y for x, y in zip(a, b)) >= 0.75 * size
+    assert got == {j: i for i in range(len(sigs)) for j in range(i + 1, len(sigs)) if agree(sigs[i], sigs[j])}
+    assert neardup.similar_links(marks.limit(0), chunk=chunk).count() == 0
