@@ -5,18 +5,18 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import catalogue_sql as S
 from .functions import detectors
-from .functions.text import FILE_TYPES, strip_html
+from .functions.text import FILE_TYPES, extension, norm_id, sample_for_model, strip_html, strip_rtf, type_of
 from .operators import detect, diff, fleet, reports, route, score
 from .operators.pipeline import Services, inventory
 from .plans.rules import RuleList
 from .plans.schema import NR_LANE
 from .plans.settings import Settings
-from .sources import tables
+from .sources import files, sinks, tables
 from .sources.tables import table
 from .streaming import collect as streaming
 
@@ -578,6 +578,108 @@ def sample_manifest(spark, d):
     return fleet.located(manifest, files)
 
 
+# ---- text, ids and single rows
+
+
+@query("""SELECT doc_id, CASE WHEN length(text) <= 2000 THEN text ELSE substr(text, 1, 1000) || chr(10) || '...[sampled from middle of file]...' || chr(10) || substr(text, greatest(1000, (length(text) - 500) // 2) + 1, 500)
+  || chr(10) || '...[sampled from end of file]...' || chr(10) || substr(text, length(text) - 499, 500) END AS sample FROM documents""")
+def model_text_sample(spark, d):
+    return table(spark, d, "documents").select("doc_id", sample_for_model(F.col("text"), 2000).alias("sample"))
+
+
+@query(r"""SELECT doc_id, regexp_replace(regexp_replace('{\rtf1\ansi\b0 ' || text || '\par }', '\\[a-zA-Z]+-?[0-9]* ?', ' ', 'g'), '[{}]', ' ', 'g') AS text FROM documents""")
+def rtf_strip(spark, d):
+    return table(spark, d, "documents").select("doc_id", strip_rtf(F.concat(F.lit("{\\rtf1\\ansi\\b0 "), F.col("text"), F.lit("\\par }"))).alias("text"))
+
+
+@query(f"""{T}, x AS (SELECT row_key, file_name, lower(regexp_extract(file_name, '(\\.[^.]*)$', 1)) AS ext FROM tasks)
+SELECT row_key, lower(regexp_replace(file_name, '\\.[A-Za-z0-9]*[A-Za-z][A-Za-z0-9]*$', '')) AS id, {_TYPES} AS ftype FROM x""")
+def file_ids_and_types(spark, d):
+    return tasks(spark, d).select("row_key", norm_id(F.col("file_name")).alias("id"), type_of(extension(F.col("file_name"))).alias("ftype"))
+
+
+_ROW = "upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) || ', Anna' || CASE c_custkey % 3 WHEN 0 THEN c_custkey::VARCHAR WHEN 1 THEN ' anna' || c_custkey || '@example.org' ELSE ' of ' || c_name END"
+
+
+@query(f"WITH r AS (SELECT c_custkey, {_ROW} AS line FROM customer) SELECT c_custkey, {S._identifier('line')} AS has_identifier, {S._roster_line('line')} AS roster_line FROM r")
+def structured_row_flags(spark, d):
+    k, seg = F.col("c_custkey"), F.col("c_mktsegment")
+    end = F.when(k % 3 == 0, k.cast("string")).when(k % 3 == 1, F.concat(F.lit(" anna"), k.cast("string"), F.lit("@example.org"))).otherwise(F.concat(F.lit(" of "), F.col("c_name")))
+    line = F.concat(F.upper(F.substring(seg, 1, 1)), F.lower(F.expr("substring(c_mktsegment, 2)")), F.lit(", Anna"), end)
+    rows = table(spark, d, "customer").select(k, line.alias("line"))
+    return rows.select("c_custkey", detectors.row_has_identifier(F.col("line"), RULES).alias("has_identifier"), detectors.is_roster_line(F.col("line")).alias("roster_line"))
+
+
+# ---- collecting, states and polls
+
+
+def _results(spark, d):
+    """Two thirds of the tasks as written results."""
+    return tasks(spark, d).filter(F.col("row_key").cast("long") % 3 != 0).select(F.col("file_name").alias("rel_path")).distinct()
+
+
+_RESULTS = f"{T}, results AS (SELECT DISTINCT file_name AS rel_path FROM tasks WHERE row_key::BIGINT % 3 <> 0), done AS (SELECT DISTINCT file_name AS rel_path FROM tasks WHERE status = 'completed')"
+
+
+@query(f"{_RESULTS} SELECT rel_path FROM results WHERE rel_path IN (SELECT rel_path FROM done)")
+def collected_results(spark, d):
+    return sinks.collected(tasks(spark, d), _results(spark, d))[0].select("rel_path")
+
+
+@query(f"{_RESULTS} SELECT rel_path FROM done WHERE rel_path NOT IN (SELECT rel_path FROM results)")
+def missing_results(spark, d):
+    return sinks.collected(tasks(spark, d), _results(spark, d))[1]
+
+
+@query(f"""{T}, ch AS (SELECT job_id, row_key, 'pending' AS status, enq AS us, 0 AS step FROM tasks UNION ALL SELECT job_id, row_key, 'processing', s, 1 FROM tasks WHERE s IS NOT NULL UNION ALL SELECT job_id, row_key, status, e, 2 FROM tasks WHERE e IS NOT NULL)
+SELECT job_id, row_key, arg_max(status, (us, step)) AS status, max(us)::BIGINT AS changed_us FROM ch GROUP BY job_id, row_key""")
+def task_latest_state(spark, d):
+    t = tasks(spark, d)
+    keys = ["job_id", "row_key"]
+    changes = t.select(*keys, F.lit("pending").alias("status"), F.col("enqueued_at").alias("changed_at"))
+    changes = changes.unionByName(t.filter("started_at IS NOT NULL").select(*keys, F.lit("processing").alias("status"), F.col("started_at").alias("changed_at")))
+    changes = changes.unionByName(t.filter("completed_at IS NOT NULL").select(*keys, "status", F.col("completed_at").alias("changed_at")))
+    return fleet.latest(changes).select(*keys, "status", F.unix_micros("changed_at").alias("changed_us"))
+
+
+def _snapshots(spark, d):
+    """Each job's running totals at the end of each hour in which a task finished."""
+    hour = 3_600_000_000
+    t = tasks(spark, d).filter("completed_at IS NOT NULL").withColumn("h", F.floor(F.unix_micros("completed_at") / F.lit(hour)).cast("long"))
+    by = t.groupBy("job_id", "h").agg(F.sum(F.col("tokens_in") + F.col("tokens_out")).alias("k"), F.count_if(F.col("status") == "completed").alias("c"), F.count_if(F.col("status") == "dead_lettered").alias("x"))
+    w = Window.partitionBy("job_id").orderBy("h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return by.select("job_id", F.timestamp_micros((F.col("h") + 1) * hour).alias("at"), F.sum("k").over(w).alias("tokens"), F.sum("c").over(w).alias("completed"), F.sum("x").over(w).alias("dead_lettered"), F.lit(1).alias("workers"))
+
+
+_SNAPSHOTS = f"""{T}, hours AS (SELECT job_id, e // 3600000000 AS h, sum(tokens_in + tokens_out) AS k, count_if(status = 'completed') AS c, count_if(status = 'dead_lettered') AS x FROM tasks WHERE e IS NOT NULL GROUP BY ALL),
+snaps AS (SELECT job_id, ((h + 1) * 3600000000)::BIGINT AS at_us, sum(k) OVER w AS tokens, sum(c) OVER w AS completed, sum(x) OVER w AS dead FROM hours WINDOW w AS (PARTITION BY job_id ORDER BY h ROWS UNBOUNDED PRECEDING))"""
+
+
+@query(f"{_SNAPSHOTS} SELECT job_id, at_us, round_even((tokens - lag(tokens) OVER w)::DOUBLE / ((at_us - lag(at_us) OVER w) / 1000000.0::DOUBLE), 4) AS tokens_per_s FROM snaps WINDOW w AS (PARTITION BY job_id ORDER BY at_us)")
+def poll_rates(spark, d):
+    return streaming.poll_rate(_snapshots(spark, d)).select("job_id", F.unix_micros("at").alias("at_us"), "tokens_per_s")
+
+
+@query(f"{_SNAPSHOTS} SELECT job_id, at_us, completed >= 100 AND coalesce((dead - coalesce(lag(dead) OVER w, 0))::DOUBLE / nullif(completed::DOUBLE, 0) > 0.001, false) AS tripped FROM snaps WINDOW w AS (PARTITION BY job_id ORDER BY at_us)")
+def dead_letter_breaker(spark, d):
+    return streaming.dead_letter_growth(_snapshots(spark, d), 0.001).select("job_id", F.unix_micros("at").alias("at_us"), "tripped")
+
+
+@query(f"""{T} SELECT job_id || '/files/' || file_name AS rel_path, job_id AS job_dir, CASE WHEN right(job_id, 1)::INT < 4 THEN right(job_id, 1)::INT * 10 END AS job_bde_threshold FROM tasks""")
+def job_thresholds(spark, d):
+    rows = tasks(spark, d).select(F.concat("job_id", F.lit("/files/"), "file_name").alias("rel_path"))
+    jobs = spark.range(4).select(F.concat(F.lit("job-"), F.col("id").cast("string")).alias("job_dir"), (F.col("id") * 10).alias("bde_threshold"))
+    return files.with_jobs(rows, jobs).select("rel_path", "job_dir", "job_bde_threshold")
+
+
+_EACH = " UNION ALL ".join(f"SELECT '{c}' AS \"column\" FROM inv a JOIN alt b USING (rel_path) WHERE a.{c} IS DISTINCT FROM b.{c}" for c in _CHANGED)
+
+
+@query(f'{_TWO}, changed AS ({_EACH}) SELECT "column", count(*) AS files FROM changed GROUP BY "column" ORDER BY files DESC, "column" LIMIT 20')
+def run_diff_totals(spark, d):
+    return diff.column_totals(*_two(spark, d), list(_CHANGED))
+
+
 # ---- streaming, drained with availableNow
 
 

@@ -26,8 +26,9 @@ def micros(ts: Column) -> Column:
 
 
 def latest(changes: DataFrame) -> DataFrame:
-    """The last state of each (job_id, row_key) among status changes with ``changed_at``."""
-    w = Window.partitionBy("job_id", "row_key").orderBy(F.desc("changed_at"))
+    """The last state of each (job_id, row_key) among status changes with ``changed_at``; at one instant the later state of a task's life."""
+    step = F.when(F.col("status") == "pending", 0).when(F.col("status") == "processing", 1).otherwise(2)
+    w = Window.partitionBy("job_id", "row_key").orderBy(F.desc("changed_at"), step.desc())
     return changes.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
 
 
