@@ -16,11 +16,13 @@ def count_column(key: str) -> str:
 def counted(df: DataFrame, rules: RuleList, text: str = "text") -> DataFrame:
     """df with a column ``c_<KEY>`` for every rule.
 
-    The counts are plain columns, so the optimizer evaluates each pattern once however often a count is used.
+    The counts leave a generator of one row. A filter on anything derived from them then stays above it, where a count
+    is a plain column; through a projection it would be pushed with every pattern in it, as often as its count is used.
+    Filters on df's own columns are still pushed below.
     """
     df = df.withColumn("__lower", F.lower(text))
-    df = df.withColumns({count_column(r.key): count_of(F.col(text), F.col("__lower"), r) for r in rules.rules})
-    return df.drop("__lower")
+    counts = F.struct(*(count_of(F.col(text), F.col("__lower"), r).alias(count_column(r.key)) for r in rules.rules))
+    return df.select("*", F.inline(F.array(counts))).drop("__lower")
 
 
 def labels_found(rules: RuleList) -> Column:
