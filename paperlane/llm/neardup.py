@@ -13,8 +13,9 @@ From each tree come only the links of a spanning forest, never all pairs.
 
 ``one_of_each``, the filter on documents, also catches near copies beyond that radius: at a similarity of 0.8 over
 5-word shingles, fingerprints differ in some 7 bits, more than shards and trees can reach at any size. There, min-hash
-signatures are cut into bands, equal bands give candidates, and the signatures' agreement decides. Every pair that
-shares a band is linked, directly or through others, if it agrees, in buckets of any size.
+signatures are cut into bands, and texts that share a band and agree within a wide margin are candidates of one group.
+A candidate pair of a group becomes a link only if the whole sets of 5-word shingles have a Jaccard similarity of 0.8 or
+more; the estimate never decides that two texts are alike. Groups of any size are searched.
 
 Defined results: a null, empty or blank text has the fingerprint 0 and is linked like any other; a text of fewer than
 3 words has one shingle, its word sequence; rows with one doc_id and several texts are one document only if those
@@ -24,7 +25,7 @@ is null; an empty table gives an empty table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -63,26 +64,51 @@ def fingerprint_of(text: str | None) -> int:
 SIMILAR_SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 21, 6  # a pair at 0.8 agrees in one of 21 bands of 6 hashes with probability 0.998
-MARGIN = 0.05  # of the signatures' estimate, one and a half of its standard deviations at 0.8
+MARGIN = 0.15  # of the signatures' estimate, over four of its standard deviations at 0.8; it only finds candidates
 CHUNK = 4096  # signatures of a bucket that a task holds, twice
+CHUNK_CHARS = 1 << 25  # characters of a group's texts that a task holds, twice
 _rng = np.random.default_rng(SEED)
 _FACTORS, _OFFSETS = (_rng.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(k) for k in (1, 0))
 
 
-def signature_of(text: str | None) -> list[int] | None:
-    """Min-hashes of the 5-word shingles of a whole text, A-Z in lower case; None without words."""
+def shingles_of(text: str | None) -> np.ndarray:
+    """The set of a whole text's 5-word shingles as sorted 64-bit hashes, A-Z in lower case; empty without words."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return None
     digest, n = xxhash.xxh64_intdigest, SIMILAR_SHINGLE
-    h = [digest(b" ".join(words))] if len(words) < n else [digest(b" ".join(x)) for x in zip(*(words[i:] for i in range(n)))]
+    if len(words) < n:
+        h = [digest(b" ".join(words))] if words else []
+    else:
+        h = [digest(b" ".join(x)) for x in zip(*(words[i:] for i in range(n)))]
+    return np.unique(np.array(h, dtype=np.uint64))
+
+
+def _signature(shingles: np.ndarray) -> list[int] | None:
+    if not len(shingles):
+        return None
     least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for i in range(0, len(h), 2048):
-        part = np.array(h[i : i + 2048], dtype=np.uint64)
-        np.minimum(least, (_FACTORS[:, None] * part + _OFFSETS[:, None]).min(axis=1), out=least)
+    for i in range(0, len(shingles), 2048):
+        np.minimum(least, (_FACTORS[:, None] * shingles[i : i + 2048] + _OFFSETS[:, None]).min(axis=1), out=least)
     return (least >> np.uint64(32)).astype(np.uint32).view(np.int32).tolist()
 
 
+def signature_of(text: str | None) -> list[int] | None:
+    """Min-hashes of the 5-word shingles of a whole text, A-Z in lower case; None without words."""
+    return _signature(shingles_of(text))
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Exact similarity of two sets as ``shingles_of`` gives them."""
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return shared / (len(a) + len(b) - shared)
+
+
+def marks_of(text: str | None) -> tuple[int, list[int] | None, int | None]:
+    """(fingerprint, signature, hash of the shingle set) of a whole text; texts of one set differ in order at most."""
+    shingles = shingles_of(text)
+    own = xxhash.xxh64_intdigest(shingles.tobytes()) - (1 << 63) if len(shingles) else None
+    return fingerprint_of(text), _signature(shingles), own
+
+
 def similar_links(marks: DataFrame, similarity: float = SIMILARITY - MARGIN, chunk: int = CHUNK) -> DataFrame:
     """From distinct (fp, sig): links (u, v) that join all fingerprints whose texts' signatures share a band and agree.
 
@@ -142,14 +168,14 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[pa.Re
         yield held
 
 
-def forest_of(sigs: np.ndarray, pieces: np.ndarray, similarity: float) -> list[tuple[int, int]]:
-    """Places (i, j) whose links join all rows of ``sigs`` that agree in ``similarity`` or more, beyond those of one piece."""
+def forest_of(sigs: np.ndarray, pieces: np.ndarray, similarity: float, alike: Callable[[int, int], bool] | None = None) -> list[tuple[int, int]]:
+    """Places (i, j) whose links join all rows of ``sigs`` that agree in ``similarity`` or more and, where given, are ``alike``, beyond those of one piece."""
     need, pieces, out = similarity * sigs.shape[1], pieces.copy(), []
     for i in range(len(sigs) - 1):
         others = i + 1 + np.flatnonzero(pieces[i + 1 :] != pieces[i])
         if len(others):
             for j in others[(sigs[others] == sigs[i]).sum(axis=1) >= need].tolist():
-                if pieces[j] != pieces[i]:
+                if pieces[j] != pieces[i] and (alike is None or alike(i, j)):
                     out.append((i, j))
                     pieces[pieces == pieces[j]] = pieces[i]
     return out
@@ -168,6 +194,42 @@ def _link_buckets(similarity: float):
     return run
 
 
+def verified_links(texts: DataFrame, marks: DataFrame, similarity: float = SIMILARITY, margin: float = MARGIN, chunk: int = CHUNK, chars: int = CHUNK_CHARS) -> DataFrame:
+    """Links (u, v) of a spanning forest of all shingle sets (own) in one candidate group with this exact Jaccard similarity or more.
+
+    ``marks`` has (own, sig, row), ``texts`` has (row, text). Each set's text is read once, from its least row, and only
+    where the set is in a group; a group too large for one task is cut into chunks, and each pair of chunks is searched.
+    """
+    marks = marks.filter("own IS NOT NULL").groupBy("own").agg(F.min("row").alias("row"), F.first("sig").alias("sig"))
+    marks = written(marks, "shingle-sets")
+    roots = components(similar_links(marks.select(F.col("own").alias("fp"), "sig"), similarity - margin, chunk))
+    roots = written(roots.select(F.col("u").alias("own"), F.col("v").alias("root")), "candidates")
+    roots = roots.unionByName(roots.select(F.col("root").alias("own"), "root").distinct())
+    rows = marks.join(roots, "own")
+    # several rows can have one id, all with the same text
+    rows = texts.join(rows, "row").groupBy("own", "root").agg(F.first("sig").alias("sig"), F.first("text").alias("text"))
+    rows = written(rows, "candidate-texts")
+    sizes = rows.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / chunk), F.ceil(F.sum(F.length("text")) / chars)).cast("int").alias("chunks"))
+    rows = rows.join(sizes, "root").select("root", "own", "sig", "text", F.explode(_chunk_pairs("own")).alias("p"))
+    keys = ["root", "a", "b"]
+    rows = rows.select("root", "p.a", "p.b", "own", "sig", "text").repartition(*keys).sortWithinPartitions(*keys, "own")
+    return written(rows.mapInArrow(_link_groups(similarity, margin), "u long, v long").distinct(), "verified")
+
+
+def _link_groups(similarity: float, margin: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, 3):
+            own = np.concatenate([b.column(3).to_numpy(zero_copy_only=False) for b in group])
+            sigs = np.concatenate([b.column(4).flatten().to_numpy(zero_copy_only=False) for b in group]).reshape(len(own), -1)
+            sets = [shingles_of(t.as_py()) for b in group for t in b.column(5)]
+            found = forest_of(sigs, np.arange(len(own)), similarity - margin, lambda i, j: jaccard(sets[i], sets[j]) >= similarity)
+            if found:
+                i, j = zip(*found)
+                yield pa.record_batch([pa.array(own[list(x)], pa.int64()) for x in (i, j)], names=["u", "v"])
+
+    return run
+
+
 def fingerprint(text: Column) -> Column:
     """Struct with the fingerprint (long) of each text."""
     return per_text(lambda: lambda t: (fingerprint_of(t),), "fp long", [("fp", pa.int64())])(text)
@@ -314,9 +376,16 @@ def clustered(prints: DataFrame, radius: int = RADIUS, more_links: DataFrame | N
 
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", radius: int = RADIUS) -> DataFrame:
     """docs without the keys none of whose rows names its component; all rows of a kept key stay, as one document."""
-    both = per_text(lambda: lambda t: (fingerprint_of(t), signature_of(t)), "fp long, sig array<int>", [("fp", pa.int64()), ("sig", pa.list_(pa.int32()))])
-    marks = written(docs.select(F.col(key).alias("key"), both(F.col(text)).alias("m")).select("key", "m.*"), "marks")
-    rows = clustered(marks.select("key", "fp"), radius, similar_links(marks.select("fp", "sig")))
+    both = per_text(lambda: marks_of, "fp long, sig array<int>, own long", [("fp", pa.int64()), ("sig", pa.list_(pa.int32())), ("own", pa.int64())])
+    texts = docs.select(F.xxhash64(F.col(text)).alias("row"), F.col(text).alias("text"))
+    marks = docs.select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("row"), both(F.col(text)).alias("m"))
+    marks = written(marks.select("key", "row", "m.*"), "marks")
+    least = marks.filter("own IS NOT NULL").groupBy("own").agg(F.min("fp").alias("fp"))  # one fingerprint stands for a set's texts
+    alike = verified_links(texts, marks)
+    alike = alike.join(least.select(F.col("own").alias("u"), F.col("fp").alias("a")), "u").join(least.select(F.col("own").alias("v"), F.col("fp").alias("b")), "v")
+    same = marks.join(least.withColumnRenamed("fp", "b"), "own").select(F.col("fp").alias("u"), F.col("b").alias("v")).filter("u <> v").distinct()
+    more = alike.select(F.col("a").alias("u"), F.col("b").alias("v")).filter("u <> v").unionByName(same)
+    rows = clustered(marks.select("key", "fp"), radius, more)
     extra = rows.groupBy("key").agg(F.max(F.col("key").eqNullSafe(F.col("component"))).alias("first")).filter("not first")
     extra = written(extra.select(F.col("key").alias("__extra")), "extra-copies")
     return docs.join(extra, docs[key].eqNullSafe(extra["__extra"]), "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))

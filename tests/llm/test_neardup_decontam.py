@@ -192,3 +192,44 @@ def test_buckets_of_many_signatures(spark, chunk):
     agree = lambda a, b: sum(x == y for x, y in zip(a, b)) >= 0.75 * size
     assert got == {j: i for i in range(len(sigs)) for j in range(i + 1, len(sigs)) if agree(sigs[i], sigs[j])}
     assert neardup.similar_links(marks.limit(0), chunk=chunk).count() == 0
+
+
+def test_exact_similarity_decides(spark):
+    """Between 0.6 and 0.85 just the pairs of 0.8 and more are linked, whatever the signatures estimate."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    texts, similar = {}, {}
+    for i in range(120):
+        words = [word() for _ in range(204)]
+        # each changed run of words takes 4 + its length shingles from both sides
+        changed = rng.choice([18, 20, 21, 22, 23, 24, 26, 30, 36])
+        other = [word() for _ in range(changed)] + words[changed:]
+        a, b = ({tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in (words, other))
+        texts[2 * i], texts[2 * i + 1], similar[i] = words, other, len(a & b) / len(a | b)
+    assert sum(0.6 <= s < 0.8 for s in similar.values()) > 30 and sum(0.8 <= s < 0.85 for s in similar.values()) > 30
+    docs = spark.createDataFrame([(k, " ".join(w), "s") for k, w in texts.items()], SCHEMA)
+    kept = {r["doc_id"] for r in neardup.one_of_each(docs).collect()}
+    near = {i for i in similar if (neardup.fingerprint_of(" ".join(texts[2 * i])) ^ neardup.fingerprint_of(" ".join(texts[2 * i + 1]))).bit_count() <= 3}
+    assert {i for i in similar if 2 * i + 1 not in kept} == {i for i, s in similar.items() if s >= 0.8} | near and len(near) < 20
+    assert all(2 * i in kept for i in similar)
+
+
+@pytest.mark.parametrize("chunk,chars", [(4096, 1 << 25), (4, 1 << 25), (4096, 2000)])
+def test_verified_groups(spark, chunk, chars):
+    """A candidate pair that fails does not hide another of its group that holds, in one task or several."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    words = [word() for _ in range(204)]
+    texts = [" ".join(words[: 204 - 12 * i] + [word() for _ in range(12 * i)]) for i in range(4)]
+    texts += [t.rsplit(" ", 1)[0] for t in texts]
+    marks = [(i, *neardup.marks_of(t)[1:]) for i, t in enumerate(texts)]
+    found = neardup.verified_links(spark.createDataFrame(list(enumerate(texts)), "row long, text string"), spark.createDataFrame(marks, "row long, sig array<int>, own long"), chunk=chunk, chars=chars)
+    got = {r["u"]: r["v"] for r in components(found).collect()}
+    own = [m[2] for m in marks]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if neardup.jaccard(neardup.shingles_of(texts[i]), neardup.shingles_of(texts[j])) >= 0.8:
+                root = [root[j] if r == root[i] else r for r in root]
+    name = lambda i: got.get(own[i], own[i])
+    assert all((name(i) == name(j)) == (root[i] == root[j]) for i in range(len(texts)) for j in range(i))
