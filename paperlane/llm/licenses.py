@@ -4,6 +4,8 @@ Templates are word sequences. Of their GRAM-word fingerprints each run of WINNOW
 index leads from the kept ones to template and place. All fingerprints of a document are looked up, so any run of
 GRAM + WINNOW - 1 template words is met. Hits of one template on nearly one diagonal make a candidate, whose words
 are aligned with the template's within BAND words of that diagonal; matched words over template words is the coverage.
+Of overlapping matches of like length, such as versions of one license, the one that explains the words best remains.
+Lines with an SPDX identifier are read as they stand, whatever they name.
 
 The templates are a parameter; their index is sent to every task and grows with them only, not with the corpus.
 
@@ -38,12 +40,43 @@ TEMPLATES = {
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "GPL-3.0 (line)": "This work is licensed under the GNU General Public License, version 3.",
     "GPL-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "GPL-2.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version.",
+    "LGPL-2.1-or-later": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version.",
+    "LGPL-3.0-or-later": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "AGPL-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "GPL-2.0 (line)": "This work is licensed under the GNU General Public License, version 2.",
+    "LGPL-2.1 (line)": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-3.0 (line)": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "AGPL-3.0 (line)": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "BSD (line)": "Released under the BSD License.",
+    "BSD-2-Clause (line)": "Licensed under the BSD 2-Clause License.",
+    "BSD-3-Clause (line)": "Licensed under the BSD 3-Clause License.",
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "CC0-1.0 (line)": "CC0 1.0 Universal",
+    "Public domain (line)": "This work is released into the public domain.",
+    "CC-BY-NC-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC-BY-ND-4.0": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "CC-BY-NC-SA-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "CC-BY-NC-ND-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    "CC-BY-3.0": "This work is licensed under a Creative Commons Attribution 3.0 Unported License.",
+    "CC-BY-SA-3.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.",
+    "CC-BY-4.0 (line)": "Licensed under CC BY 4.0.",
+    "CC-BY-SA-4.0 (line)": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-ND-4.0 (line)": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0 (line)": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0 (line)": "Licensed under CC BY-NC-ND 4.0.",
+    "All rights reserved": "All rights reserved.",
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
 }
 
 _WORD = re.compile(r"[a-z0-9]+")
+_ID = r"\(*[A-Za-z0-9][A-Za-z0-9.+:-]*\)*"
+_SPDX = re.compile(rf"SPDX-License-Identifier:[\x20\t]*({_ID}(?:[\x20\t]+(?:AND|OR|WITH)[\x20\t]+{_ID})*)", re.I)
+RIVAL = 0.6  # share of the longer match that the shorter one has at least, if only one of both can hold
 
 
 class Index:
@@ -61,11 +94,12 @@ class Index:
 
     def matches(self, text: str | None, coverage: float = COVERAGE) -> list[tuple[str, int, int, float, int, int]]:
         """(license, matched words, template words, coverage, start, end) in order of place; code points, end exclusive."""
+        spdx = _spdx(text) if text else []
         lower = (text or "").lower()
         words = _WORD.findall(lower)
         grams = list(zip(*(words[i:] for i in range(GRAM))))
         if self.places.keys().isdisjoint(grams):
-            return []
+            return spdx
         hits: dict[str, list[tuple[int, int]]] = {}
         for i, g in enumerate(grams):
             for name, j in self.places.get(g, ()):
@@ -73,7 +107,7 @@ class Index:
         where = [m.span() for m in _WORD.finditer(text)] if len(lower) == len(text) and text.isascii() else [m.span() for m in _WORD.finditer("".join(c if len(c.lower()) != 1 else c.lower() for c in text))]
         if len(where) != len(words):  # a letter whose lower case has more characters; place by the words themselves
             where = [m.span() for m in _WORD.finditer(lower)]
-        found = []
+        found, places = [], []
         for name, pairs in hits.items():
             template = self.templates[name]
             done = -1
@@ -86,8 +120,39 @@ class Index:
                     a, b = low + matched[0][1], low + matched[-1][1]
                     if a > done:
                         found.append((name, len(matched), len(template), len(matched) / len(template), where[a][0], where[b][1]))
+                        places.append((a, b + 1))
                         done = b
-        return sorted(found, key=lambda m: (m[4], m[0]))
+        return sorted(_best(found, places) + spdx, key=lambda m: (m[4], m[0]))
+
+
+def _spdx(text: str) -> list[tuple[str, int, int, float, int, int]]:
+    """The identifiers or expressions of a text's SPDX lines, as matches."""
+    found = []
+    for m in _SPDX.finditer(text):
+        name = m[1].rstrip(".:-")
+        end = m.start(1) + len(name)
+        n = len(_WORD.findall(text[m.start() : end].lower()))
+        found.append((f"SPDX {name}", n, n, 1.0, m.start(), end))
+    return found
+
+
+def _best(found: list[tuple], places: list[tuple[int, int]]) -> list[tuple]:
+    """Matches without those that overlap a rival of like length which explains the words (from, to) better."""
+    if len(found) < 2:
+        return found
+    order = sorted(range(len(found)), key=lambda i: places[i])
+    rank = [2 * m[1] - m[2] - (b - a - m[1]) for m, (a, b) in zip(found, places)]
+    lost, open_ = set(), []
+    for i in order:
+        a, b = places[i]
+        open_ = [j for j in open_ if places[j][1] > a]
+        for j in open_:
+            c, d = places[j]
+            shared = min(b, d) - a
+            if shared >= RIVAL * max(b - a, d - c) and rank[i] != rank[j]:
+                lost.add(i if rank[i] < rank[j] else j)
+        open_.append(i)
+    return [m for i, m in enumerate(found) if i not in lost]
 
 
 def _candidates(pairs: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:

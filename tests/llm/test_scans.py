@@ -119,3 +119,28 @@ def test_licenses(spark):
     rows = licenses.scanned(docs).collect()
     assert sorted((r["doc_id"], r["license"]) for r in rows) == sorted([(i, m[0]) for i, g in enumerate(got) for m in g] + [(2, "MIT (line)")])
     assert licenses.scanned(docs.limit(0)).count() == 0
+
+
+def test_license_notices():
+    """Every template is found as what it is, alone; versions of one license are told apart; SPDX lines are read whole."""
+    index = licenses.Index()
+    for name, notice in licenses.TEMPLATES.items():
+        names = [m[0] for m in index.matches(f"Some words first.\n{notice}\nOther words after it.")]
+        short = name.replace("-or-later", "").replace(" (line)", "")
+        assert name in names and all(n.startswith(short) or (name, n) == ("Unlicense", "Public domain (line)") for n in names), (name, names)
+    for name in ("GPL-2.0-or-later", "LGPL-2.1-or-later", "AGPL-3.0-or-later", "BSD-2-Clause", "Unlicense", "CC0-1.0", "CC-BY-NC-4.0", "CC-BY-3.0", "All rights reserved"):
+        assert name in licenses.TEMPLATES
+    assert [m[0] for m in index.matches("Copyright 2020 A. ALL RIGHTS RESERVED")] == ["All rights reserved"] and index.matches("all of the rights are reserved") == []
+    text = "é // SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0\n# spdx-license-identifier: MIT.\nSPDX-License-Identifier:"
+    got = index.matches(text)
+    assert [m[0] for m in got] == ["SPDX GPL-2.0-only WITH Classpath-exception-2.0", "SPDX MIT"] and text[got[1][4] : got[1][5]] == "spdx-license-identifier: MIT"
+    assert [m[0] for m in index.matches("SPDX-License-Identifier: (MIT OR Apache-2.0)")] == ["SPDX (MIT OR Apache-2.0)"]
+
+
+def test_license_lines_of_the_tables():
+    import pyarrow.parquet as pq
+
+    lines = [x for t in pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"])["text"].to_pylist() for x in (t or "").split("\n") if re.search("licen[sc]e|rights reserved|copyright|spdx|public domain|creative commons", x, re.I)]
+    index = licenses.Index()
+    assert len(lines) > 300 and sum("All rights reserved." in x for x in lines) == 66
+    assert [x for x in lines if not index.matches(x)] == []
