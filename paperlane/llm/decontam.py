@@ -1,12 +1,16 @@
 """Benchmark decontamination by template canonicalisation. Column expressions only.
 
-Numbers (with their units) and names become typed placeholders, all else is lower-cased words, so a question whose
-figures were changed has its old template. Templates are cut into windows of WINDOW words. All windows of the
-benchmark and of a document are joined on their hash, so any run of WINDOW or more template words that a document
-shares with an item is met (with a larger ``stride`` only runs of WINDOW + stride - 1). Slot consistency: along one alignment, equal values in the
-item must stand against equal values in the document; where they don't, the shared template is chance.
-
-A document holds an item if consistent windows cover ``share`` of the item's template or more. Windows with fewer than half plain words carry no evidence and are left out.
+Texts are read in two forms. In the plain form numbers (with their units) become typed placeholders and all else
+lower-cased words, so it is the same in capitals, title case and lower case. In the form with names, these, told by
+their capitals, are placeholders too, so a question whose figures and names were changed has its old template. Both are
+cut into windows of WINDOW words. All windows of the benchmark and of a document are joined on their hash, so any run of
+WINDOW or more words of one form that a document shares with an item is met (with a larger ``stride`` only runs of
+WINDOW + stride - 1). A text without names has one form, held against both of the others. Slot consistency: along one
+alignment, equal values in the item must stand against equal values in the document; where they don't, the shared
+template is chance.
+
+A document holds an item if consistent windows cover ``share`` of the item's words or more in either form; the better one
+is reported. Windows with fewer than half plain words carry no evidence and are left out.
 
 Defined results: null or empty texts on either side match nothing; items of fewer than WINDOW words are not
 searched; repeated documents are reported by key once, repeated items under each item_id; empty tables give an empty
@@ -34,16 +38,33 @@ NAME = r"(?<=[\p{Ll},] )\p{Lu}[\p{L}'’-]+"
 SLOT = "\u0004"  # the marks of slots stand below it, letters above
 
 
-def tokens(text: Column) -> Column:
-    """Array of template tokens: plain words in lower case, or a slot, its mark before and after its value."""
+def _marked(text: Column) -> Column:
+    """Text with its numbers between their marks."""
     plain = F.translate(text, "\u0001\u0002\u0003", "   ")
-    marked = F.when(plain.rlike(r"\p{N}"), F.regexp_replace(plain, NUMBER, " \u0001$0\u0002 ")).otherwise(plain)
-    marked = F.regexp_replace(marked, NAME, "\u0003$0\u0002")
-    return F.regexp_extract_all(F.lower(marked), F.lit("[\u0001\u0003][^\u0002]*\u0002|\\p{L}+"), F.lit(0))
+    return F.when(plain.rlike(r"\p{N}"), F.regexp_replace(plain, NUMBER, " \u0001$0\u0002 ")).otherwise(plain)
+
+
+def _once(column: Column, name: str) -> Column:
+    """A generator of one row: what stands above reads its column and does not make Spark compute it again."""
+    return F.inline(F.array(F.struct(column.alias(name))))
+
+
+def _forms(df: DataFrame) -> DataFrame:
+    """df (id, text) as rows (id, form, toks): form 0 plain, 1 with names; only -1 where they are the same.
+
+    A token is a word in lower case or a slot, its mark before and after its value. Case is folded through capitals,
+    so letters that are two in capitals (as in German) are two; at once, Spark would leave the capitals out.
+    """
+    df = df.filter("text IS NOT NULL").select("id", _once(_marked(F.col("text")), "marked"))
+    df = df.select("id", "marked", _once(F.regexp_replace("marked", NAME, "\u0003$0\u0002"), "named"))
+    form = lambda n, c: F.struct(F.lit(n).alias("form"), F.upper(c).alias("t"))
+    df = df.select("id", F.inline(F.when(F.col("marked") == F.col("named"), F.array(form(-1, "marked"))).otherwise(F.array(form(0, "marked"), form(1, "named")))))
+    toks = F.regexp_extract_all(F.lower("t"), F.lit("[\u0001\u0003][^\u0002]*\u0002|\\p{L}+"), F.lit(0))
+    return df.select("id", "form", _once(toks, "toks"))
 
 
 def _windows(df: DataFrame, stride: int, window: int) -> DataFrame:
-    """df (id, toks) as rows (id, pos, h, slots): hashes of template windows and, where there are any, their slots.
+    """df (id, form, toks) as rows (id, form, pos, h, slots): hashes of template windows and, where there are any, their slots.
 
     The windows are built inside the array and only these small rows leave it, so a long text is not copied for each.
     """
@@ -59,33 +80,38 @@ def _windows(df: DataFrame, stride: int, window: int) -> DataFrame:
             F.when(F.col("has"), F.filter(own, lambda s: s["value"] < SLOT)).alias("slots"),
         )
 
-    df = df.select("id", F.inline(F.transform(F.sequence(F.lit(0), F.size("toks") - window, F.lit(stride)), one)))
+    df = df.select("id", "form", F.inline(F.transform(F.sequence(F.lit(0), F.size("toks") - window, F.lit(stride)), one)))
     return df.filter(F.coalesce(F.size("slots"), F.lit(0)) * 2 <= window)
 
 
 def matches(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", item_text: str = "text", item_key: str = "item_id", share: float = SHARE, window: int = WINDOW, stride: int = STRIDE) -> DataFrame:
     """(key, item_key, covered_words, item_words, coverage, n_slots, reworded) of every document and item it holds."""
-    own = items.select(F.col(item_key).alias("id"), tokens(F.col(item_text)).alias("toks"))
-    lengths = own.groupBy("id").agg(F.max(F.size("toks")).alias("item_words"))
-    wanted = written(_windows(own, 1, window).select(F.col("id").alias("item"), F.col("pos").alias("at"), "h", F.col("slots").alias("item_slots")), "item-windows")
+    own = written(items.select(F.monotonically_increasing_id().alias("id"), F.col(item_key).alias("item_key"), F.col(item_text).alias("text")), "items")
+    own = written(own.select("id", "item_key").join(_forms(own.select("id", "text")), "id"), "item-forms")
+    wanted = written(_windows(own.select("id", "form", "toks"), 1, window).select(F.col("id").alias("item"), F.col("form").alias("item_form"), F.col("pos").alias("at"), "h", F.col("slots").alias("item_slots")), "item-windows")
     small = wanted.count() <= BROADCAST_WINDOWS
-    rows = _windows(docs.select(F.col(key).alias("id"), tokens(F.col(text)).alias("toks")), stride, window)
+    rows = _windows(_forms(docs.select(F.col(key).alias("id"), F.col(text).alias("text"))), stride, window)
     # The benchmark's size is counted first; beyond the bound the windows are shuffled by their hash and Spark splits hot ones.
-    met = rows.join(F.broadcast(wanted) if small else wanted, "h").select("id", "item", "pos", "at", "slots", "item_slots")
+    met = rows.join(F.broadcast(wanted) if small else wanted, "h").filter("form = item_form OR form < 0 OR item_form < 0")
+    met = met.select("id", "item", F.greatest("form", "item_form").alias("form"), "item_form", "pos", "at", "slots", "item_slots")
     met = written(met, "met-windows")
-    pairs = met.select("id", "item", (F.col("pos") - F.col("at")).alias("line"), F.explode(F.arrays_zip("slots", "item_slots")).alias("z"))
-    pairs = pairs.select("id", "item", "line", F.col("z.slots.value").alias("value"), F.col("z.item_slots.value").alias("item_value"))
-    values = pairs.groupBy("id", "item", "line", "item_value").agg((F.min("value") == F.max("value")).alias("same"), F.max((F.col("value") != F.col("item_value")).cast("int")).alias("new"))
-    lines = values.groupBy("id", "item", "line").agg(F.min("same").alias("consistent"), F.count("*").alias("n_slots"), F.max("new").alias("new"))
-    met = met.select(F.col("id"), F.col("item"), (F.col("pos") - F.col("at")).alias("line"), "at")
-    good = met.join(lines.select(F.col("id").alias("i"), F.col("item").alias("j"), F.col("line").alias("l"), "consistent", "n_slots", "new"), F.col("id").eqNullSafe(F.col("i")) & F.col("item").eqNullSafe(F.col("j")) & (F.col("line") == F.col("l")), "left").filter(F.coalesce("consistent", F.lit(True)))
-    words = good.select("id", "item", F.col("n_slots"), F.col("new"), F.explode(F.sequence(F.col("at"), F.col("at") + window - 1)).alias("word"))
-    words = words.groupBy("id", "item", "word").agg(F.max("n_slots").alias("n_slots"), F.max("new").alias("new"))
-    held = words.groupBy("id", "item").agg(F.count("*").alias("covered_words"), F.coalesce(F.max("n_slots"), F.lit(0)).alias("n_slots"), F.coalesce(F.max("new"), F.lit(0)).alias("new"))
-    lengths = written(lengths.withColumnRenamed("id", "own"), "item-lengths")
-    held = held.join(lengths, F.col("item").eqNullSafe(F.col("own")))
-    held = held.filter(F.col("covered_words") >= share * F.col("item_words"))
-    return held.select(F.col("id").alias(key), F.col("item").alias(item_key), "covered_words", "item_words", (F.col("covered_words") / F.col("item_words")).alias("coverage"), "n_slots", (F.col("new") > 0).alias("reworded"))
+    pairs = met.select("id", "item", "form", (F.col("pos") - F.col("at")).alias("line"), F.explode(F.arrays_zip("slots", "item_slots")).alias("z"))
+    pairs = pairs.select("id", "item", "form", "line", F.col("z.slots.value").alias("value"), F.col("z.item_slots.value").alias("item_value"))
+    values = pairs.groupBy("id", "item", "form", "line", "item_value").agg((F.min("value") == F.max("value")).alias("same"), F.max((F.col("value") != F.col("item_value")).cast("int")).alias("new"))
+    lines = values.groupBy("id", "item", "form", "line").agg(F.min("same").alias("consistent"), F.count("*").alias("n_slots"), F.max("new").alias("new"))
+    met = met.select("id", "item", "form", "item_form", (F.col("pos") - F.col("at")).alias("line"), "at")
+    on = F.col("id").eqNullSafe(F.col("i")) & (F.col("item") == F.col("j")) & (F.col("form") == F.col("f")) & (F.col("line") == F.col("l"))
+    lines = lines.select(F.col("id").alias("i"), F.col("item").alias("j"), F.col("form").alias("f"), F.col("line").alias("l"), "consistent", "n_slots", "new")
+    good = met.join(lines, on, "left").filter(F.coalesce("consistent", F.lit(True)))
+    words = good.select("id", "item", "form", "item_form", "n_slots", "new", F.explode(F.sequence(F.col("at"), F.col("at") + window - 1)).alias("word"))
+    words = words.groupBy("id", "item", "form", "item_form", "word").agg(F.max("n_slots").alias("n_slots"), F.max("new").alias("new"))
+    held = words.groupBy("id", "item", "form", "item_form").agg(F.count("*").alias("covered_words"), F.coalesce(F.max("n_slots"), F.lit(0)).alias("n_slots"), F.coalesce(F.max("new"), F.lit(0)).alias("new"))
+    lengths = written(own.select(F.col("id").alias("item"), F.col("form").alias("item_form"), "item_key", F.size("toks").alias("item_words")), "item-lengths")
+    held = held.join(lengths, ["item", "item_form"]).filter(F.col("covered_words") >= share * F.col("item_words"))
+    held = held.withColumn("coverage", F.col("covered_words") / F.col("item_words"))
+    fields = ["coverage", "n_slots", "covered_words", "item_words", "new"]
+    best = held.groupBy("id", "item_key").agg(F.max(F.struct(*fields)).alias("b")).select("id", "item_key", "b.*")
+    return best.select(F.col("id").alias(key), F.col("item_key").alias(item_key), "covered_words", "item_words", "coverage", "n_slots", (F.col("new") > 0).alias("reworded"))
 
 
 def clean(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -233,3 +233,29 @@ def test_verified_groups(spark, chunk, chars):
                 root = [root[j] if r == root[i] else r for r in root]
     name = lambda i: got.get(own[i], own[i])
     assert all((name(i) == name(j)) == (root[i] == root[j]) for i in range(len(texts)) for j in range(i))
+
+
+CASES = [
+    "in which of the old towns, Where the river bends, did Anna Berg and her brother, Who came from Norway, build a mill of stone",
+    "am abend ging Peter mit seiner Schwester durch die lange Straße bis zum großen Haus am Ende der Stadt und dann weiter",
+    "one might ask, however, whether the judge, Having heard all sides, and the clerk, were right to close the matter so soon",
+]
+
+
+@pytest.mark.parametrize("change", [str, str.upper, str.lower, str.title, str.swapcase])
+def test_decontamination_in_any_case(spark, change):
+    """A verbatim copy is met whole whatever its capitals; changed names are met as before."""
+    docs = spark.createDataFrame([(i, f"x y z. {change(t)} u v w") for i, t in enumerate(CASES)], "doc_id long, text string")
+    items = spark.createDataFrame(list(enumerate(CASES)), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["coverage"] for r in decontam.matches(docs, items).collect()}
+    assert set(got) == {(i, i) for i in range(len(CASES))} and all(c == 1 for c in got.values())
+    renamed = spark.createDataFrame([(0, CASES[0].replace("Anna Berg", "Olga Lund").replace("Norway", "Denmark"))], "doc_id long, text string")
+    row, = decontam.matches(renamed, items).collect()
+    assert row["coverage"] == 1 and row["reworded"] and row["n_slots"] > 2
+
+
+def test_benchmark_in_any_case(spark):
+    items = spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet")
+    docs = items.selectExpr("item_id * 3 AS doc_id", "upper(text) AS text").unionByName(items.selectExpr("item_id * 3 + 1 AS doc_id", "initcap(text) AS text")).unionByName(items.selectExpr("item_id * 3 + 2 AS doc_id", "lower(text) AS text"))
+    got = {r["doc_id"] for r in decontam.matches(docs, items).filter("coverage = 1 AND floor(doc_id / 3) = item_id").collect()}
+    assert len(got) == 3 * items.count()
