@@ -4,7 +4,9 @@ The fixed patterns' findings are seeds. What stands before a seed (its two prece
 so is what stands before any other token with digits or an @ sign, an unseen instance. Patterns and instances form a
 graph, which Spark scores in a few rounds: a pattern is worth the mean score of its distinct instances, damped while
 they are few; an instance is worth its best pattern, seeds 1. Patterns that reach ``confidence`` with ``seeds`` or
-more distinct seeds make their unseen instances findings of the kind ``context``.
+more distinct seeds are accepted: their unseen instances are findings of the kind ``context`` and seeds of the next
+turn, until no pattern is newly accepted. Within a turn the rounds stay few on purpose: their fixed point is s / (s + 1)
+for s seeds, however many unseen instances a pattern has.
 
 Defined results: a null text is empty; a text without findings has empty spans; repeated rows are scanned each and
 count as one instance in the graph; an empty table gives an empty table; other columns are ignored. Instances are
@@ -159,17 +161,29 @@ def scored(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return patterns
 
 
+def accepted(edges: DataFrame, confidence: float = CONFIDENCE, seeds: int = SEEDS, rounds: int = ROUNDS) -> DataFrame:
+    """From distinct (pattern, instance, seed): the accepted patterns, each turn with the instances of the last one's as seeds."""
+    known = 0
+    while True:
+        good = written(scored(edges, rounds).filter((F.col("score") >= confidence) & (F.col("n_seeds") >= seeds)).select("pattern"), "pii-good")
+        n = good.count()
+        if n <= known:  # scores and seeds only rise, so no accepted pattern is lost
+            return good
+        known = n
+        found = written(edges.join(good, "pattern").select("instance", F.lit(True).alias("found")).distinct(), "pii-found")
+        edges = edges.join(found, "instance", "left").select("pattern", "instance", (F.col("seed") | F.coalesce("found", F.lit(False))).alias("seed"))
+        edges = written(edges, "pii-graph")
+
+
 def scanned(docs: DataFrame, text: str = "text", key: str = "doc_id", confidence: float = CONFIDENCE, seeds: int = SEEDS, rounds: int = ROUNDS) -> DataFrame:
     """key, the counts, base_sha256, n_context and spans of every document."""
     rows = docs.select(F.col(key), F.monotonically_increasing_id().alias("row"), scan(F.col(text)).alias("s")).select(key, "row", "s.*")
     rows = written(rows, "pii-rows")
     places = rows.select("row", F.inline("found"))
-    # Patterns without enough seeds, or with nothing unseen, can add nothing: they leave before the graph is built.
     edges = written(places.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pii-edges")
-    useful = edges.groupBy("pattern").agg(F.sum(F.col("seed").cast("long")).alias("s"), F.count("*").alias("n")).filter((F.col("s") >= seeds) & (F.col("n") > F.col("s")))
-    useful = written(useful.select("pattern"), "pii-useful")
-    edges = written(edges.join(useful, "pattern"), "pii-graph")
-    good = written(scored(edges, rounds).filter((F.col("score") >= confidence) & (F.col("n_seeds") >= seeds)).select("pattern"), "pii-good")
+    # A pattern of one instance lends it no more than it has already; all others stay in the graph.
+    useful = written(edges.groupBy("pattern").agg(F.count("*").alias("n")).filter("n > 1").select("pattern"), "pii-useful")
+    good = accepted(written(edges.join(useful, "pattern"), "pii-graph"), confidence, seeds, rounds)
     new = places.filter("not seed").join(good, "pattern").groupBy("row").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("new"))
     new = written(new, "pii-new").withColumnRenamed("row", "r")
     rows = rows.drop("found").join(new, F.col("row") == F.col("r"), "left")

@@ -144,3 +144,17 @@ def test_license_lines_of_the_tables():
     index = licenses.Index()
     assert len(lines) > 300 and sum("All rights reserved." in x for x in lines) == 66
     assert [x for x in lines if not index.matches(x)] == []
+
+
+def test_pii_bootstrapping_goes_on(spark):
+    """What an accepted pattern finds supports a second one, that one a third; too little support accepts nothing."""
+    ids = [f"ID-{i:04d}-X" for i in range(40)]
+    rows = [f"some words then contact number: +1 (0{i:02d}) 555-0{i:03d} and more" for i in range(90)]
+    rows += [f"please note contact number: {x} thanks" for x in ids[:10]] + [f"keep the badge code: {x} safe" for x in ids[:12]]
+    rows += [f"at the front desk entry: {x} now" for x in [*ids[:12], ids[12]]] + [f"the weak cue here {x} now" for x in ids[10:30]]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_context"] for r in pii.scanned(docs).collect()}
+    assert [got[i] for i in range(len(rows))] == [0] * 90 + [1] * 35 + [0] * 20
+    # a pattern with few seeds among many unseen instances stays out, which a fixed point of the scores would let in
+    edges = [(1, i, i < 5) for i in range(500)]
+    assert pii.accepted(spark.createDataFrame(edges, "pattern long, instance long, seed boolean")).count() == 0
