@@ -1,7 +1,8 @@
 """Personal data: fixed patterns as seeds, then contexts learned from them.
 
-The fixed patterns' findings are seeds. What stands before a seed (its two preceding words) is a lexical pattern, and
-so is what stands before any other token with digits or an @ sign, an unseen instance. Patterns and instances form a
+The fixed patterns' findings are seeds. What stands before a seed (the word, the two words, the label at the start of its
+line) gives its lexical patterns, and so does what stands before any other token with digits or an @ sign, an unseen
+instance. Patterns and instances form a
 graph, which Spark scores in a few rounds: a pattern is worth the mean score of its distinct instances, damped while
 they are few; an instance is worth its best pattern, seeds 1. Patterns that reach ``confidence`` with ``seeds`` or
 more distinct seeds are accepted: their unseen instances are findings of the kind ``context`` and seeds of the next
@@ -42,6 +43,7 @@ _DOMAIN, _CARD, _PHONE = re.compile(EMAIL_DOMAIN), re.compile(CARD), re.compile(
 _IP = re.compile("(?<![0-9])" + IP)  # a match can only begin where a run of digits does
 _DIGIT_RUN = re.compile(r"[0-9]{4}")
 _INSTANCE = re.compile(r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D]*[0-9@])[^\x20\x09-\x0D]{6,}")
+_DIGITS = re.compile("[0-9]+")
 _NON_DIGITS = re.compile("[^0-9]")
 _LOCAL = frozenset(EMAIL_LOCAL)
 EDGES = ".,;:!?()[]{}<>\"'"
@@ -95,19 +97,22 @@ def joined(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def _context(text: str, start: int) -> str | None:
-    """The two words before a place, A-Z in lower case, edge marks off except a colon or equals sign; None with fewer."""
+def _contexts(text: str, start: int) -> list[str]:
+    """What stands before a place, A-Z in lower case, edge marks off except a colon or equals sign, digits as 0.
+
+    The last word, the last two, and the label at the start of a line of three words or fewer, marked by a line break.
+    """
     size = 64
-    while True:  # as far back as two words need
+    while True:  # as far back as a label and the break before it need
         low = max(0, start - size)
         words = text[low:start].split()
-        if len(words) >= 3 or low == 0:
+        if len(words) >= 5 or low == 0:
             break
         size *= 4
-    words = [w.lower().strip(".,;!?()[]{}<>\"'") for w in words[-2:]]
-    if len(words) < 2 or not all(words) or any(c.isdigit() for w in words for c in w):
-        return None
-    return " ".join(words)
+    line = re.split("[\n\r]", text[low:start])[-1].split()
+    words, line = ([_DIGITS.sub("0", w.lower().strip(".,;!?()[]{}<>\"'")) for w in x] for x in (words[-2:], line))
+    out = [words[-1:], words if len(words) == 2 else [], ["\n", *line] if 1 <= len(line) <= 3 else []]
+    return [" ".join(x) for x in out if x and all(x)]
 
 
 def mentions(text: str | None, base: list[Span]) -> list[dict]:
@@ -117,8 +122,7 @@ def mentions(text: str | None, base: list[Span]) -> list[dict]:
         return out
 
     def add(start: int, end: int, seed: bool) -> None:
-        pattern = _context(text, start)
-        if pattern is not None:
+        for pattern in _contexts(text, start):
             p, i = (xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63) for x in (pattern, text[start:end]))
             out.append({"pattern": p, "instance": i, "start": start, "end": end, "seed": seed})
 

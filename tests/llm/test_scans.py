@@ -158,3 +158,14 @@ def test_pii_bootstrapping_goes_on(spark):
     # a pattern with few seeds among many unseen instances stays out, which a fixed point of the scores would let in
     edges = [(1, i, i < 5) for i in range(500)]
     assert pii.accepted(spark.createDataFrame(edges, "pattern long, instance long, seed boolean")).count() == 0
+
+
+def test_pii_labels(spark):
+    """Labels at the start of a line or text and one-word cues are learned, whatever stands before them."""
+    word = lambda i: "".join(chr(97 + i * k % 26) for k in (3, 5, 7, 11)) + "q" * (i % 5)
+    rows = [f"{word(i)}\nPhone-No: +1 (0{i:02d}) 555-0{i:03d} and" for i in range(30)] + [f"reach {word(i)} via: user{i}@example.org" for i in range(30)]
+    rows += ["Phone-No: 555-INV-88431", "zebra lion.\nPhone-No: 555-INV-88432 ok", "ask zebra via: 7-INV-99", "zebra lion\nOther-No: 555-INV-88433"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_context"] for r in pii.scanned(docs).collect()}
+    assert [got[i] for i in range(60, 64)] == [1, 1, 1, 0] and all(got[i] == 0 for i in range(60))
+    assert pii._contexts("a b\nEmployee 12 ID: x", 20) == ["id:", "0 id:", "\n employee 0 id:"] and pii._contexts("x", 0) == [] and pii._contexts("a one two three four x", 21) == ["four", "three four"]
