@@ -259,3 +259,94 @@ def test_benchmark_in_any_case(spark):
     docs = items.selectExpr("item_id * 3 AS doc_id", "upper(text) AS text").unionByName(items.selectExpr("item_id * 3 + 1 AS doc_id", "initcap(text) AS text")).unionByName(items.selectExpr("item_id * 3 + 2 AS doc_id", "lower(text) AS text"))
     got = {r["doc_id"] for r in decontam.matches(docs, items).filter("coverage = 1 AND floor(doc_id / 3) = item_id").collect()}
     assert len(got) == 3 * items.count()
+
+
+SHORT = {
+    1: "What is the capital of France today", 2: "What is 12 + 7 - 5 * 3 + 40 - 9 + 6 + 2 + 11?", 3: "Yes.", 4: "What is 2 + 2?",
+    5: "Anna has 5 apples and Bob has 7 pears", 6: "Who wrote it first?",
+}
+
+
+def test_short_and_slot_heavy_items(spark):
+    """Verbatim copies of every item that is not empty are found; other values in a mere row of numbers are not."""
+    texts = {10 * i: t for i, t in SHORT.items()} | {10 * i + 1: f"One more thing here.\n{t} And so it went on for long." if i != 1 else f"and then {t} he asked her" for i, t in SHORT.items()}
+    texts |= {100: "What is 13 + 8 - 6 * 4 + 41 - 10 + 7 + 3 + 12?", 101: "yes it is", 102: "what is 3 + 3?", 103: "so who wrote it first then", 104: "Olga has 9 apples and Carl has 8 pears", 105: "Olga has 9 plums and Carl has 8 pears", 106: "What is the capital of Spain today"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    items = spark.createDataFrame(list(SHORT.items()), "item_id long, text string")
+    got = {}
+    for r in decontam.matches(docs, items).collect():
+        got.setdefault(r["doc_id"], set()).add(r["item_id"])
+    assert all(i in got[10 * i] and i in got[10 * i + 1] for i in SHORT), got
+    assert got[104] == {5} and not {100, 101, 102, 103, 105} & set(got) and got[106] == {1}
+    left = {r["doc_id"] for r in decontam.clean(docs, items).collect()}
+    assert left == set(texts) - set(got)
+
+
+def brute_tokens(text):
+    """(kind, value) of each token of an ASCII text."""
+    import re
+
+    out = []
+    number = rf"(?<![A-Za-z0-9])[$]?[0-9]+(?:[.,:/][0-9]+)*(?: ?(?i:{decontam.UNITS})(?![A-Za-z0-9]))?"
+    for m in re.finditer(rf"({number})|([A-Za-z]+)", text):
+        name = m[2] and len(m[2]) > 1 and m[2][0].isupper() and not re.search("[0-9] ?$", text[: m.start()])
+        out.append(("number" if m[1] else "name" if name else "word", m[0].lower()))
+    return out
+
+
+def brute_held(doc, item, share=0.5):
+    d, q = brute_tokens(doc), brute_tokens(item)
+    w = min(8, len(q))
+    form = lambda names: (lambda t: t[0] if t[0] == "number" or names and t[0] == "name" else "=" + t[1])
+    met = []
+    for names in (False, True):
+        shape = form(names)
+        for i in range(len(d) - w + 1):
+            for j in range(len(q) - w + 1):
+                a, b = d[i : i + w], q[j : j + w]
+                if list(map(shape, a)) != list(map(shape, b)) or names and not any(k == "name" for k, _ in a):
+                    continue
+                pairs = [(x[1], y[1]) for x, y in zip(b, a) if x[0] == "number" or names and x[0] == "name"]
+                if 2 * (w - sum(x != y for x, y in pairs)) >= w:
+                    met.append((names, i - j, j, pairs))
+    covered = set()
+    for names, line, j, _ in met:
+        values = {}
+        for n, at, _, pairs in met:
+            if at == line and (names or not n):
+                for x, y in pairs:
+                    values.setdefault(x, set()).add(y)
+        if all(len(v) == 1 for v in values.values()):
+            covered |= set(range(j, j + w))
+    return len(covered) if covered and len(covered) >= share * len(q) else 0
+
+
+def test_templates_against_brute_force(spark):
+    """Slots, names at any place, consistency and coverage, over texts put together at random."""
+    rng = random.Random(4)
+    names, verbs, things = ["Anna", "Bob", "Clara", "Dan"], ["has", "sells", "counts"], ["apples", "of the pears", "coins in a box"]
+
+    def sentence():
+        return f"{rng.choice(names)} {rng.choice(verbs)} {rng.randint(1, 4)} {rng.choice(things)} and {rng.choice(names)} {rng.choice(verbs)} {rng.randint(1, 4)} km more."
+
+    items = {i: " ".join(sentence() for _ in range(rng.choice([1, 1, 2]))) for i in range(8)} | {8: "Anna counts coins in the box", 9: "4 + 3 + 2 + 1 + 4 + 3 + 2 + 1 is more"}
+    docs = {}
+    for i in range(120):
+        base = rng.choice(list(items.values()))
+        for a, b in zip(names, rng.sample(names, 4)):
+            base = base.replace(a, b.upper() if rng.random() < 0.1 else b) if rng.random() < 0.4 else base
+        words = base.split()
+        for _ in range(rng.choice([0, 0, 1, 3])):
+            words[rng.randrange(len(words))] = rng.choice(["more", "3", "Bob", "tree"])
+        docs[i] = " ".join([*(sentence().split() if rng.random() < 0.5 else ["so"]), *words, "then"])
+    got = {(r["doc_id"], r["item_id"]): r["covered_words"] for r in decontam.matches(spark.createDataFrame(list(docs.items()), "doc_id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()}
+    want = {(d, i): n for d, t in docs.items() for i, q in items.items() if (n := brute_held(t, q))}
+    assert got == want and len(want) > 60 and len(want) < 900
+
+
+def test_decontamination_keys_and_names(spark):
+    """Rows without a key are judged by their own texts, and no column name of docs gets in the way."""
+    rows = [(None, ITEM, "a"), (None, "a clean text of its own", "b"), (1, f"so {ITEM}", "c"), (1, "clean again", "d"), (2, None, "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held_key string").selectExpr("*", "1 AS t", "2 AS key", "3 AS held_text", "4 AS toks", "5 AS item")
+    left = decontam.clean(docs, spark.createDataFrame([(1, ITEM)], "item_id long, text string"))
+    assert left.columns == docs.columns and sorted(r["held_key"] for r in left.collect()) == ["b", "d", "e"]
