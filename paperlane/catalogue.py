@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -16,6 +15,7 @@ from .operators.pipeline import Services, inventory
 from .plans.rules import RuleList
 from .plans.schema import NR_LANE
 from .plans.settings import Settings
+from .shared import new_folder
 from .sources import files, sinks, tables
 from .sources.tables import table
 from .streaming import collect as streaming
@@ -683,16 +683,9 @@ def run_diff_totals(spark, d):
 # ---- streaming, drained with availableNow
 
 
-def _shared(spark: SparkSession, name: str) -> str:
-    import uuid
-
-    folder = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='paperlane-')}"
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def _task_stream(spark: SparkSession, d: str) -> DataFrame:
     """The task rows as a stream of files."""
-    path = _shared(spark, "task-rows")
+    path = new_folder(spark, "task-rows")
     rows = tasks(spark, d)
     rows.write.parquet(path)
     return spark.readStream.schema(rows.schema).parquet(path)
@@ -700,16 +693,16 @@ def _task_stream(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"{T} SELECT job_id, row_key, status, tokens_in FROM tasks WHERE e IS NOT NULL")
 def stream_collect(spark, d):
-    out = _shared(spark, "collected")
+    out = new_folder(spark, "collected")
     finished = _task_stream(spark, d).filter("completed_at IS NOT NULL").select("job_id", "row_key", "status", "tokens_in", "completed_at")
-    streaming.collect(finished, out, _shared(spark, "collect-state")).awaitTermination()
+    streaming.collect(finished, out, new_folder(spark, "collect-state")).awaitTermination()
     return spark.read.schema(finished.schema).parquet(out).select("job_id", "row_key", "status", "tokens_in")
 
 
 @query(f"""{T}, x AS (SELECT job_id, tokens_in, unnest(range(0, 5)) AS k, (e // 60000000) * 60000000 AS m FROM tasks WHERE status = 'completed')
 SELECT job_id, m - k * 60000000 AS window_us, count(*) AS completed, sum(tokens_in)::BIGINT AS tokens_in FROM x GROUP BY ALL""")
 def stream_throughput(spark, d):
-    out, state = _shared(spark, "throughput"), _shared(spark, "throughput-state")
+    out, state = new_folder(spark, "throughput"), new_folder(spark, "throughput-state")
     windows = streaming.windowed_throughput(_task_stream(spark, d))
 
     def put(batch: DataFrame, epoch: int) -> None:
@@ -724,7 +717,7 @@ def stream_throughput(spark, d):
 @query()
 def stream_breaker(spark, d):
     """The failure breaker as a stateful stream; a job's rows arrive in one batch, so the result is that of the batch."""
-    out, state = _shared(spark, "breaker"), _shared(spark, "breaker-state")
+    out, state = new_folder(spark, "breaker"), new_folder(spark, "breaker-state")
     rows = streaming.breaker(_task_stream(spark, d).filter("completed_at IS NOT NULL"), 100)
     rows.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(rows.schema).parquet(out)
