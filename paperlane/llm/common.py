@@ -1,52 +1,23 @@
-"""What the operators of this subpackage share: durable tables, text maps and the word rule.
+"""What the operators of this subpackage share: text maps and the word rule, beside the shared tables.
 
 Texts are never cut. A null text counts as the empty text wherever an operator does not say otherwise.
 """
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..shared import new_folder, unused, written  # noqa: F401
+
 # The characters that end a word, and the words' pattern, in regular-expression form.
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_BREAKS = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one only where none is set (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='paperlane-')}"
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """An unused folder for one result of one call."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts the lineage, and a lost executor costs nothing."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def unused(df: DataFrame, name: str) -> str:
-    """name, or name with more underscores, that no column of df has."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def word_count(text: Column) -> Column:
     """Number of words of a text (long); null: 0."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

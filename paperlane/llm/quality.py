@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BREAKS, per_text, written
+from .common import WORD_BREAKS, per_text, unused, written
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -98,11 +98,11 @@ def judged(rows: DataFrame, max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
 
 def keep_good(docs: DataFrame, text: str = "text", host: str = "source", max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
     """The documents that pass, with docs' own columns."""
-    rows = docs.select(F.col(host).alias("host"), measures(F.col(text)).alias("m"))
-    rows = rows.select("host", failed(F.col("m.n_words"), F.col("m.n_repeat_words")).alias("base_failed"))
-    bad = host_rates(rows).filter(F.col("low") > max_host_rate).select(F.col("host").alias("__bad_host"))
-    bad = written(bad, "bad-hosts")
-    m = F.col("__measures")
-    good = docs.withColumn("__measures", measures(F.col(text))).filter(~failed(m["n_words"], m["n_repeat_words"]))
-    good = good.join(bad, good[host].eqNullSafe(bad["__bad_host"]), "left_anti")
+    m, bad_host = unused(docs, "own_measures"), unused(docs, "bad_host")
+    rows = docs.withColumn(m, measures(F.col(text)))
+    rows = written(rows.withColumn(m, failed(F.col(m)["n_words"], F.col(m)["n_repeat_words"])), "judged-texts")  # texts are measured once
+    bad = host_rates(rows.select(F.col(host).alias("host"), F.col(m).alias("base_failed"))).filter(F.col("low") > max_host_rate)
+    bad = written(bad.select(F.col("host").alias(bad_host)), "bad-hosts")
+    good = rows.filter(~F.col(m))
+    good = good.join(bad, good[host].eqNullSafe(bad[bad_host]), "left_anti")
     return good.select(*(F.col(f"`{c}`") for c in docs.columns))
