@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_text, written
+from .common import per_text, unused, written
 from .components import components
 
 RADIUS = 3
@@ -66,6 +66,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 21, 6  # a pair at 0.8 agrees in one of 21 bands of 6 hashes with probability 0.998
 MARGIN = 0.15  # of the signatures' estimate, over four of its standard deviations at 0.8; it only finds candidates
 CHUNK = 4096  # signatures of a bucket that a task holds, twice
+LOT, MOST_HOT = 512, 100_000  # rows of one key that a join leaves together; hot keys that may be broadcast, 12 bytes each
 CHUNK_CHARS = 1 << 25  # characters of a group's texts that a task holds, twice
 _rng = np.random.default_rng(SEED)
 _FACTORS, _OFFSETS = (_rng.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(k) for k in (1, 0))
@@ -82,17 +83,27 @@ def shingles_of(text: str | None) -> np.ndarray:
     return np.unique(np.array(h, dtype=np.uint64))
 
 
-def _signature(shingles: np.ndarray) -> list[int] | None:
+Marks = tuple[list[int] | None, list[int] | None]
+
+
+def banded(hashes: np.ndarray) -> Marks:
+    """From a signature of min-hashes (32 bits): the hash of each band, and 8 bits of each min-hash."""
+    h = np.ascontiguousarray(hashes, dtype=np.uint32)
+    digest = xxhash.xxh64_intdigest
+    return [digest(x.tobytes(), b) - (1 << 63) for b, x in enumerate(h.reshape(BANDS, ROWS))], (h & np.uint32(255)).astype(np.uint8).view(np.int8).tolist()
+
+
+def _signature(shingles: np.ndarray) -> Marks:
     if not len(shingles):
-        return None
+        return None, None
     least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
     for i in range(0, len(shingles), 2048):
         np.minimum(least, (_FACTORS[:, None] * shingles[i : i + 2048] + _OFFSETS[:, None]).min(axis=1), out=least)
-    return (least >> np.uint64(32)).astype(np.uint32).view(np.int32).tolist()
+    return banded((least >> np.uint64(32)).astype(np.uint32))
 
 
-def signature_of(text: str | None) -> list[int] | None:
-    """Min-hashes of the 5-word shingles of a whole text, A-Z in lower case; None without words."""
+def signature_of(text: str | None) -> Marks:
+    """Bands and sketch of the min-hashes of a whole text's 5-word shingles, A-Z in lower case; None without words."""
     return _signature(shingles_of(text))
 
 
@@ -102,38 +113,47 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return shared / (len(a) + len(b) - shared)
 
 
-def marks_of(text: str | None) -> tuple[int, list[int] | None, int | None]:
-    """(fingerprint, signature, hash of the shingle set) of a whole text; texts of one set differ in order at most."""
+def marks_of(text: str | None) -> tuple[int, list[int] | None, list[int] | None, int | None]:
+    """(fingerprint, bands, sketch, hash of the shingle set) of a whole text; texts of one set differ in order at most."""
     shingles = shingles_of(text)
     own = xxhash.xxh64_intdigest(shingles.tobytes()) - (1 << 63) if len(shingles) else None
-    return fingerprint_of(text), _signature(shingles), own
+    return fingerprint_of(text), *_signature(shingles), own
 
 
-def similar_links(marks: DataFrame, similarity: float = SIMILARITY - MARGIN, chunk: int = CHUNK) -> DataFrame:
-    """From distinct (fp, sig): links (u, v) that join all fingerprints whose texts' signatures share a band and agree.
+def candidate_groups(marks: DataFrame, similarity: float = SIMILARITY - MARGIN, chunk: int = CHUNK) -> DataFrame:
+    """From distinct (fp, bands, sketch): (fp, root) of all fps in groups of two and more whose signatures share a band and agree.
 
     First every signature of a bucket of equal bands is held against the least and the greatest of the bucket, which is
     every pair in a bucket of three and links most larger ones whole. Buckets that are still in several pieces are
     searched exactly, each against all of its own, in chunks and pairs of chunks as in ``sharded``; only the links of a
-    spanning forest leave a task.
+    spanning forest leave a task. Sketches are compared, whose 8 bits agree by chance once in 256, so none is missed.
     """
-    marks = written(marks.filter("sig IS NOT NULL").withColumn("sid", F.xxhash64("sig")).dropDuplicates(["fp", "sid"]), "signatures")
-    sigs = marks.select("sid", "sig").dropDuplicates(["sid"])
-    bands = F.array(*(F.struct(F.lit(b).alias("band"), F.xxhash64(*(F.get("sig", F.lit(b * ROWS + i)) for i in range(ROWS))).alias("key")) for b in range(BANDS)))
-    rows = written(sigs.select("sid", F.explode(bands).alias("b")).select("sid", "b.band", "b.key"), "signature-bands")
+    marks = written(marks.filter("bands IS NOT NULL").withColumn("sid", F.xxhash64("bands")), "signatures")
+    sigs = marks.select("sid", "bands", "sketch").dropDuplicates(["sid"])
+    rows = written(sigs.select("sid", F.posexplode("bands").alias("band", "key")), "signature-bands")
+    sigs = sigs.select("sid", "sketch")
     ends = rows.groupBy("band", "key").agg(F.min("sid").alias("low"), F.max("sid").alias("high"), F.count("*").alias("n")).filter("low < high")
     met = rows.join(ends, ["band", "key"])
     wide = written(met.filter("n > 3").select("band", "key", "sid"), "wide-buckets")
-    met = met.select("sid", F.explode(F.array("low", "high")).alias("other")).filter("sid <> other")
-    met = met.select(F.least("sid", "other").alias("a"), F.greatest("sid", "other").alias("b")).distinct()
-    met = met.join(sigs.select(F.col("sid").alias("a"), F.col("sig").alias("sa")), "a").join(sigs.select(F.col("sid").alias("b"), F.col("sig").alias("sb")), "b")
-    alike = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
-    good = written(met.filter(alike >= similarity * BANDS * ROWS).select("a", "b"), "similar")
-    good = good.unionByName(_open_buckets(wide, good, sigs, similarity, chunk))
-    least = marks.groupBy("sid").agg(F.min("fp").alias("fp"))  # one fingerprint stands for a signature's texts
-    own = marks.join(least.withColumnRenamed("fp", "v"), "sid").select(F.col("fp").alias("u"), "v").filter("u <> v")
-    pairs = good.join(least.select(F.col("sid").alias("a"), F.col("fp").alias("u")), "a").join(least.select(F.col("sid").alias("b"), F.col("fp").alias("v")), "b")
-    return pairs.select("u", "v").filter("u <> v").unionByName(own)
+    met = met.select("sid", F.explode(F.array("low", "high")).alias("other")).filter("sid <> other").distinct()
+    met = met.join(sigs, "sid").select("sid", "other", F.col("sketch").alias("a"))
+    met = _spread(met, "other", "sid", sigs.select(F.col("sid").alias("other"), F.col("sketch").alias("b")))
+    alike = F.aggregate(F.zip_with("a", "b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+    good = written(met.filter(alike >= similarity * BANDS * ROWS).select(F.col("sid").alias("a"), F.col("other").alias("b")), "similar")
+    roots = components(good.unionByName(_open_buckets(wide, good, sigs, similarity, chunk)).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    named = marks.select("fp", "sid").join(roots.withColumnRenamed("u", "sid"), "sid", "left").select("fp", F.coalesce("v", "sid").alias("group"))
+    groups = named.groupBy("group").agg(F.min("fp").alias("root"), F.max("fp").alias("last")).filter("root < last")
+    return named.join(groups.select("group", "root"), "group").select("fp", "root")
+
+
+def _spread(rows: DataFrame, key: str, by: str, table: DataFrame) -> DataFrame:
+    """rows joined with table on key, which is unique in table; a key of more than LOT rows is dealt out by ``by``."""
+    hot = rows.groupBy(key).agg(F.ceil(F.count("*") / LOT).cast("int").alias("lots")).filter("lots > 1")
+    hot = written(hot, "hot-keys")  # at most one row for each LOT rows
+    lots = F.coalesce("lots", F.lit(1))
+    table = table.join(hot, key, "left").withColumn("lot", F.explode(F.sequence(F.lit(0), lots - 1))).drop("lots")
+    rows = rows.join(F.broadcast(hot) if hot.count() <= MOST_HOT else hot, key, "left").withColumn("lot", F.pmod(F.xxhash64(by), lots).cast("int")).drop("lots")
+    return rows.join(table, [key, "lot"]).drop("lot")
 
 
 def _open_buckets(wide: DataFrame, good: DataFrame, sigs: DataFrame, similarity: float, chunk: int) -> DataFrame:
@@ -144,7 +164,7 @@ def _open_buckets(wide: DataFrame, good: DataFrame, sigs: DataFrame, similarity:
     pieces = wide.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
     pieces = written(pieces.select("band", "key", F.ceil(F.col("n") / chunk).cast("int").alias("chunks")), "open-buckets")
     rows = wide.join(pieces, ["band", "key"]).select("band", "key", "sid", "root", F.explode(_chunk_pairs("sid")).alias("p"))
-    rows = rows.join(sigs, "sid").select("band", "key", "p.a", "p.b", "sid", "root", "sig")
+    rows = rows.join(sigs, "sid").select("band", "key", "p.a", "p.b", "sid", "root", "sketch")
     keys = ["band", "key", "a", "b"]
     found = rows.repartition(*keys).sortWithinPartitions(*keys, "sid").mapInArrow(_link_buckets(similarity), "a long, b long")
     return written(found.distinct(), "similar-in-buckets")
@@ -197,22 +217,20 @@ def _link_buckets(similarity: float):
 def verified_links(texts: DataFrame, marks: DataFrame, similarity: float = SIMILARITY, margin: float = MARGIN, chunk: int = CHUNK, chars: int = CHUNK_CHARS) -> DataFrame:
     """Links (u, v) of a spanning forest of all shingle sets (own) in one candidate group with this exact Jaccard similarity or more.
 
-    ``marks`` has (own, sig, row), ``texts`` has (row, text). Each set's text is read once, from its least row, and only
+    ``marks`` has (own, bands, sketch, row), ``texts`` has (row, text). Each set's text is read once, from its least row, and only
     where the set is in a group; a group too large for one task is cut into chunks, and each pair of chunks is searched.
     """
-    marks = marks.filter("own IS NOT NULL").groupBy("own").agg(F.min("row").alias("row"), F.first("sig").alias("sig"))
+    marks = marks.filter("own IS NOT NULL").groupBy("own").agg(F.min("row").alias("row"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     marks = written(marks, "shingle-sets")
-    roots = components(similar_links(marks.select(F.col("own").alias("fp"), "sig"), similarity - margin, chunk))
-    roots = written(roots.select(F.col("u").alias("own"), F.col("v").alias("root")), "candidates")
-    roots = roots.unionByName(roots.select(F.col("root").alias("own"), "root").distinct())
-    rows = marks.join(roots, "own")
+    roots = written(candidate_groups(marks.select(F.col("own").alias("fp"), "bands", "sketch"), similarity - margin, chunk).withColumnRenamed("fp", "own"), "candidates")
+    rows = marks.select("own", "row", "sketch").join(roots, "own")
     # several rows can have one id, all with the same text
-    rows = texts.join(rows, "row").groupBy("own", "root").agg(F.first("sig").alias("sig"), F.first("text").alias("text"))
+    rows = texts.join(rows, "row").groupBy("own", "root").agg(F.first("sketch").alias("sketch"), F.first("text").alias("text"))
     rows = written(rows, "candidate-texts")
     sizes = rows.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / chunk), F.ceil(F.sum(F.length("text")) / chars)).cast("int").alias("chunks"))
-    rows = rows.join(sizes, "root").select("root", "own", "sig", "text", F.explode(_chunk_pairs("own")).alias("p"))
+    rows = rows.join(sizes, "root").select("root", "own", "sketch", "text", F.explode(_chunk_pairs("own")).alias("p"))
     keys = ["root", "a", "b"]
-    rows = rows.select("root", "p.a", "p.b", "own", "sig", "text").repartition(*keys).sortWithinPartitions(*keys, "own")
+    rows = rows.select("root", "p.a", "p.b", "own", "sketch", "text").repartition(*keys).sortWithinPartitions(*keys, "own")
     return written(rows.mapInArrow(_link_groups(similarity, margin), "u long, v long").distinct(), "verified")
 
 
@@ -376,7 +394,7 @@ def clustered(prints: DataFrame, radius: int = RADIUS, more_links: DataFrame | N
 
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", radius: int = RADIUS) -> DataFrame:
     """docs without the keys none of whose rows names its component; all rows of a kept key stay, as one document."""
-    both = per_text(lambda: marks_of, "fp long, sig array<int>, own long", [("fp", pa.int64()), ("sig", pa.list_(pa.int32())), ("own", pa.int64())])
+    both = per_text(lambda: marks_of, "fp long, bands array<long>, sketch array<tinyint>, own long", [("fp", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int8())), ("own", pa.int64())])
     texts = docs.select(F.xxhash64(F.col(text)).alias("row"), F.col(text).alias("text"))
     marks = docs.select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("row"), both(F.col(text)).alias("m"))
     marks = written(marks.select("key", "row", "m.*"), "marks")
@@ -387,5 +405,6 @@ def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", radius
     more = alike.select(F.col("a").alias("u"), F.col("b").alias("v")).filter("u <> v").unionByName(same)
     rows = clustered(marks.select("key", "fp"), radius, more)
     extra = rows.groupBy("key").agg(F.max(F.col("key").eqNullSafe(F.col("component"))).alias("first")).filter("not first")
-    extra = written(extra.select(F.col("key").alias("__extra")), "extra-copies")
-    return docs.join(extra, docs[key].eqNullSafe(extra["__extra"]), "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    name = unused(docs, "extra_copy")
+    extra = written(extra.select(F.col("key").alias(name)), "extra-copies")
+    return docs.join(extra, docs[key].eqNullSafe(extra[name]), "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))

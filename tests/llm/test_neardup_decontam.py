@@ -130,7 +130,7 @@ def test_similar_documents(spark):
         assert 100 * i in kept
     assert n > 25
     sig = [neardup.signature_of(t) for t in (None, " ", "one", "One", "a b c d e f", "a b c d e f")]
-    assert sig[0] is None and sig[1] is None and sig[2] == sig[3] and sig[4] == sig[5] != sig[2] and len(sig[2]) == 126
+    assert sig[0] == sig[1] == (None, None) and sig[2] == sig[3] and sig[4] == sig[5] != sig[2] and len(sig[2][0]) == 21 and len(sig[2][1]) == 126
 
 
 ITEM = "if a train leaves the old station at 40 km and a second train follows it after 3 hours how far will both have gone when they meet"
@@ -186,12 +186,12 @@ def test_buckets_of_many_signatures(spark, chunk):
         for b in range(1, neardup.BANDS):  # one change in every other band
             two[b * neardup.ROWS + rng.randrange(neardup.ROWS)] ^= 1
         sigs += [one, two] if i % 3 else [one]
-    marks = spark.createDataFrame([(i, s) for i, s in enumerate(sigs)], "fp long, sig array<int>")
-    found = neardup.similar_links(marks, chunk=chunk)
-    got = {r["u"]: r["v"] for r in components(found).collect()}
+    marks = spark.createDataFrame([(i, *neardup.banded(s)) for i, s in enumerate(sigs)], "fp long, bands array<long>, sketch array<tinyint>")
+    got = {r["fp"]: r["root"] for r in neardup.candidate_groups(marks, chunk=chunk).collect()}
     agree = lambda a, b: sum(x == y for x, y in zip(a, b)) >= 0.75 * size
-    assert got == {j: i for i in range(len(sigs)) for j in range(i + 1, len(sigs)) if agree(sigs[i], sigs[j])}
-    assert neardup.similar_links(marks.limit(0), chunk=chunk).count() == 0
+    pairs = {j: i for i in range(len(sigs)) for j in range(i + 1, len(sigs)) if agree(sigs[i], sigs[j])}
+    assert got == pairs | {i: i for i in pairs.values()}
+    assert neardup.candidate_groups(marks.limit(0), chunk=chunk).count() == 0
 
 
 def test_exact_similarity_decides(spark):
@@ -223,9 +223,9 @@ def test_verified_groups(spark, chunk, chars):
     texts = [" ".join(words[: 204 - 12 * i] + [word() for _ in range(12 * i)]) for i in range(4)]
     texts += [t.rsplit(" ", 1)[0] for t in texts]
     marks = [(i, *neardup.marks_of(t)[1:]) for i, t in enumerate(texts)]
-    found = neardup.verified_links(spark.createDataFrame(list(enumerate(texts)), "row long, text string"), spark.createDataFrame(marks, "row long, sig array<int>, own long"), chunk=chunk, chars=chars)
+    found = neardup.verified_links(spark.createDataFrame(list(enumerate(texts)), "row long, text string"), spark.createDataFrame(marks, "row long, bands array<long>, sketch array<tinyint>, own long"), chunk=chunk, chars=chars)
     got = {r["u"]: r["v"] for r in components(found).collect()}
-    own = [m[2] for m in marks]
+    own = [m[3] for m in marks]
     root = list(range(len(texts)))
     for i in range(len(texts)):
         for j in range(i):
@@ -350,3 +350,24 @@ def test_decontamination_keys_and_names(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, held_key string").selectExpr("*", "1 AS t", "2 AS key", "3 AS held_text", "4 AS toks", "5 AS item")
     left = decontam.clean(docs, spark.createDataFrame([(1, ITEM)], "item_id long, text string"))
     assert left.columns == docs.columns and sorted(r["held_key"] for r in left.collect()) == ["b", "d", "e"]
+
+
+def test_recall_by_similarity(spark):
+    """Of the tables' own near copies every pair of 0.8 and more loses a document; below that nothing is lost but by the radius or by chains."""
+    import pyarrow.parquet as pq
+
+    table = pq.read_table("/root/testdata/sf0.01/documents.parquet").select(["doc_id", "text", "source"]).to_pylist()
+    sets = {r["doc_id"]: neardup.shingles_of(r["text"]) for r in table}
+    kept = {r["doc_id"] for r in neardup.one_of_each(spark.createDataFrame([tuple(r.values()) for r in table], SCHEMA)).collect()}
+    where = {}
+    for k, x in sets.items():
+        for h in x.tolist():
+            where.setdefault(h, []).append(k)
+    pairs = {(a, b) for x in where.values() if 1 < len(x) <= 20 for a in x for b in x if a < b}
+    similar = {p: neardup.jaccard(sets[p[0]], sets[p[1]]) for p in pairs}
+    high = [p for p, j in similar.items() if j >= 0.8]
+    assert len(high) > 20 and not any(a in kept and b in kept for a, b in high)
+    linked = {k for p in high for k in p}
+    prints = {r["doc_id"]: neardup.fingerprint_of(r["text"]) for r in table}
+    near = {k for k, x in prints.items() if any(x != y and (x ^ y).bit_count() <= 3 or x == y and k != m for m, y in prints.items())}
+    assert set(sets) - kept <= linked | near
