@@ -6,10 +6,10 @@ are summed along the source's documents, ordered by size, one random offset is a
 once for each whole number its stretch crosses. Ordering by size keeps the words taken near the target.
 
 The running sum is made in two steps, so that no source meets in one task: documents go to cells (source, size
-class, hash digits of doc_id); cells get their offset from the table of cells, documents their place in the cell.
+class, hash digits of doc_id and text); cells get their offset from the table of cells, documents their place in the cell.
 
 Defined results: a null text has no words; sources go by code point, null last, as a source of its own; a source
-without words has target 0 and nothing is taken; rows with equal doc_id and size are interchangeable; an empty
+without words has target 0 and nothing is taken; repeated rows each count and are interchangeable; an empty
 table gives an empty table; reruns with the same seed agree.
 """
 
@@ -18,11 +18,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import word_count, written
+from .common import unused, word_count, written
 
 WEIGHTS = (1, 2, 3)  # by rank of the source, repeating
 MAX_COPIES = 3
 SEED = 7
+RUN = 4096  # numbers in one array when a count is dealt out to rows
 
 
 def _offset(source: Column, seed: int) -> Column:
@@ -53,24 +54,40 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = M
     return steps.select("source", "source_size", F.when(full < share, full).otherwise(share).alias("target"))
 
 
+def _each(n: Column) -> Column:
+    """An array of arrays that together hold 0 .. n - 1, none of them long."""
+    return F.transform(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / RUN)), lambda b: F.sequence(b * RUN, F.least((b + 1) * RUN, n) - 1))
+
+
 def placed(rows: DataFrame) -> DataFrame:
-    """rows (source, size, key, ...) with place, the document's 1-based place among its source's by size class."""
-    rows = rows.withColumns({
+    """rows (source, size, key, tie, ...) with place, the document's 1-based place among its source's by size class.
+
+    Equal rows are counted first and take the places of their number, so no window meets them one by one.
+    """
+    columns = rows.columns
+    rows = rows.groupBy(*columns).agg(F.count("*").alias("equal")).withColumns({
         "cell_class": F.length(F.bin("size")) * 4 + F.when(F.col("size") >= 4, F.floor(4 * (F.col("size") / F.pow(F.lit(2.0), F.length(F.bin("size")) - 1) - 1))).otherwise(F.col("size")).cast("int"),
-        "cell": F.substring(F.md5(F.coalesce(F.col("key").cast("string"), F.lit("")).cast("binary")), 1, 3),
+        "cell": F.substring(F.md5(F.concat(F.coalesce(F.col("key").cast("string"), F.lit("")), F.lit(":"), "tie").cast("binary")), 1, 3),
     })
-    cells = rows.groupBy("source", "cell_class", "cell").agg(F.count("*").alias("n"))
-    classes = cells.groupBy("source", "cell_class").agg(F.sum("n").alias("n"))
-    by_source = Window.partitionBy("source").orderBy("cell_class").rowsBetween(Window.unboundedPreceding, -1)
-    by_class = Window.partitionBy("source", "cell_class").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    classes = classes.select(F.col("source").alias("s"), F.col("cell_class").alias("c"), F.coalesce(F.sum("n").over(by_source), F.lit(0)).alias("class_start"))
-    cells = cells.withColumn("cell_start", F.coalesce(F.sum("n").over(by_class), F.lit(0)))
-    cells = cells.join(classes, cells["source"].eqNullSafe(classes["s"]) & (cells["cell_class"] == classes["c"]))
-    cells = cells.select(F.col("source").alias("s"), F.col("cell_class").alias("c"), F.col("cell").alias("h"), (F.col("class_start") + F.col("cell_start")).alias("cell_place"))
-    in_cell = Window.partitionBy("source", "cell_class", "cell").orderBy("size", "key", "tie")
-    rows = rows.withColumn("place_in_cell", F.row_number().over(in_cell))
-    rows = rows.join(cells, rows["source"].eqNullSafe(cells["s"]) & (rows["cell_class"] == cells["c"]) & (rows["cell"] == cells["h"]))
-    return rows.withColumn("place", F.col("cell_place") + F.col("place_in_cell")).drop("s", "c", "h", "cell_class", "cell", "cell_place", "place_in_cell")
+    rows = written(rows, "mix-rows")
+    cells = written(rows.groupBy("source", "cell_class", F.substring("cell", 1, 1).alias("block"), "cell").agg(F.sum("equal").alias("n")), "mix-cells")
+
+    def starts(level: DataFrame, *by: str) -> DataFrame:
+        """level (by ..., n) with the sum of n before each row among those that agree in all but the last of by."""
+        before = Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+        return level.select(F.struct(*by).alias("id"), F.struct(*by[:-1]).alias("above"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("at"))
+
+    # from classes of a source to blocks of a class to cells of a block: no window meets more than 256 rows
+    path = ["source", "cell_class", "block", "cell"]
+    place = starts(cells.groupBy(*path[:2]).agg(F.sum("n").alias("n")), *path[:2])
+    for level in (3, 4):
+        upper = place.select(F.col("id").alias("above"), F.col("at").alias("upper"))
+        place = starts(cells.groupBy(*path[:level]).agg(F.sum("n").alias("n")), *path[:level]).join(upper, "above").select("id", (F.col("upper") + F.col("at")).alias("at"))
+    in_cell = Window.partitionBy("source", "cell_class", "cell").orderBy("size", "key", *(c for c in columns if c not in ("source", "size", "key"))).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("before", F.coalesce(F.sum("equal").over(in_cell), F.lit(0)))
+    rows = rows.withColumn("id", F.struct("source", "cell_class", F.substring("cell", 1, 1).alias("block"), "cell")).join(place, "id")
+    rows = rows.select(*columns, (F.col("at") + F.col("before") + 1).alias("start"), F.explode(_each(F.col("equal"))).alias("run"))
+    return rows.select(*columns, "start", F.explode("run").alias("nth")).select(*columns, (F.col("start") + F.col("nth")).alias("place"))
 
 
 def copies(rows: DataFrame, seed: int = SEED, weights: tuple[int, ...] = WEIGHTS, cap: int = MAX_COPIES) -> DataFrame:
@@ -86,30 +103,26 @@ def copies(rows: DataFrame, seed: int = SEED, weights: tuple[int, ...] = WEIGHTS
     return rows.withColumn("copies", F.least(crossed.cast("long"), F.lit(cap).cast("long")))
 
 
-def sized(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
-    """(key, source, size, tie) of every document; tie orders different texts of one key and size."""
-    return docs.select(F.col(key).alias("key"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.xxhash64(text).alias("tie"))
+def sized(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", **more: Column) -> DataFrame:
+    """(key, source, size, tie, more ...) of every document; tie orders and deals out different texts of one key and size."""
+    tie = F.substring(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")), 1, 16)
+    return docs.select(F.col(key).alias("key"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), tie.alias("tie"), *(v.alias(k) for k, v in more.items()))
 
 
 def mixed(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", seed: int = SEED) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with docs' own columns.
 
-    The copies of a row are looked up by (key, text hash, source): rows equal in all three get the sum of theirs
-    dealt out evenly, so the number of rows taken stays the same.
+    Documents are known by source, key and a hash of all columns but maps; of those equal in these, one is emitted as
+    often as all are taken.
     """
-    digest = written(sized(docs, text, source, key), "mix-sizes")
-    got = copies(digest, seed).groupBy("key", "tie", "source").agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows"))
-    got = written(got.filter("__copies > 0").select(F.col("key").alias("__key"), F.col("tie").alias("__tie"), F.col("source").alias("__source"), "__copies", "__rows"), "mix-copies")
-    rows = docs.withColumns({"__k": F.col(key), "__t": F.xxhash64(text)})
-
-    def taken(part: DataFrame) -> DataFrame:
-        return rows.join(part, rows["__k"].eqNullSafe(part["__key"]) & (rows["__t"] == part["__tie"]) & rows[source].eqNullSafe(part["__source"]))
-
-    one = taken(got.filter("__rows = 1")).withColumn("__mine", F.col("__copies"))
-    twins = got.filter("__rows > 1")  # seldom any, so a small join beside the large one
-    nth = F.row_number().over(Window.partitionBy("__k", "__t", "__source").orderBy(F.lit(1)))
-    twins = taken(twins).withColumn("__nth", nth)
-    twins = twins.withColumn("__mine", F.floor(F.col("__copies") * F.col("__nth") / F.col("__rows")) - F.floor(F.col("__copies") * (F.col("__nth") - 1) / F.col("__rows"))).drop("__nth")
-    both = one.unionByName(twins).filter("__mine > 0")
-    both = both.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__mine").cast("int"))))
-    return both.select(*(F.col(f"`{c}`") for c in docs.columns))
+    whole = F.xxhash64(*(F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()))
+    digest = written(sized(docs, text, source, key, row=whole), "mix-sizes")
+    own, id_, n, run = (unused(docs, x) for x in ("mix_own", "mix_id", "mix_copies", "mix_run"))
+    got = copies(digest, seed).groupBy(F.struct("source", "key", "row").alias(id_)).agg(F.sum("copies").alias(n), F.count("*").alias("equal"))
+    got = written(got.filter(F.col(n) > 0), "mix-copies")
+    rows = docs.withColumn(own, F.struct(F.col(source).alias("source"), F.col(key).alias("key"), whole.alias("row")))
+    one = rows.join(got.filter("equal = 1").drop("equal"), F.col(own) == F.col(id_)).drop(id_)
+    equal = got.filter("equal > 1").drop("equal")  # seldom any, so a small join beside the large one
+    first = rows.join(equal, F.col(own) == F.col(id_)).drop(id_).dropDuplicates([own])
+    both = one.unionByName(first).withColumn(run, F.explode(_each(F.col(n))))
+    return both.withColumn(run, F.explode(run)).select(*(F.col(f"`{c}`") for c in docs.columns))

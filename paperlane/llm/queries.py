@@ -135,7 +135,7 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        sum(chars)::BIGINT AS formatted_chars
 FROM f GROUP BY conv_id""",
     "op9_source_mixing": rf"""
-WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS size FROM documents),
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS size, substr(md5(coalesce(text, '')), 1, 16) AS tie FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM s),
 w AS (SELECT *, (rank % 3 + 1)::BIGINT AS weight FROM r),
@@ -143,9 +143,9 @@ p AS (SELECT *, sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (O
              sum(weight) OVER (ORDER BY source_size / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights FROM w),
 lv AS (SELECT rest, weights FROM p WHERE 3 * source_size * weights >= rest * weight ORDER BY source_size / weight, rank LIMIT 1),
 t AS (SELECT source, source_size, least((3 * source_size)::DOUBLE, lv.rest::DOUBLE * weight::DOUBLE / lv.weights::DOUBLE) AS target FROM p, lv),
-c AS (SELECT *, length(bin(size)) AS bits, substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 3) AS cell FROM d),
+c AS (SELECT *, length(bin(size)) AS bits, substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || tie), 1, 3) AS cell FROM d),
 k AS (SELECT *, bits * 4 + CASE WHEN size >= 4 THEN floor(4 * (size / pow(2.0, bits - 1) - 1)) ELSE size END AS class FROM c),
-o AS (SELECT doc_id, source, size, row_number() OVER (PARTITION BY source ORDER BY class, cell, size, doc_id NULLS FIRST) AS place FROM k),
+o AS (SELECT doc_id, source, size, row_number() OVER (PARTITION BY source ORDER BY class, cell, size, doc_id NULLS FIRST, tie) AS place FROM k),
 x AS (SELECT o.doc_id, o.size, t.source_size, t.target, place, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
              ('0x' || substr(md5('7:' || coalesce('s' || o.source, 'null')), 1, 8))::BIGINT::DOUBLE / 4294967296.0 AS u
       FROM o JOIN t ON o.source IS NOT DISTINCT FROM t.source)

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from paperlane.llm import mixing, quality, urls
 
@@ -118,3 +119,28 @@ def test_mix(spark):
     mixed = mixing.mixed(docs)
     assert mixed.columns == docs.columns and mixed.count() == sum(r["copies"] for r in got)
     assert mixing.copies(mixing.sized(docs.limit(0))).count() == 0 and mixing.mixed(docs.limit(0)).count() == 0
+
+
+def test_clashing_names(spark):
+    """Columns of documents that are named like an operator's own pass through as they are."""
+    text = "one two three four five six seven eight nine ten eleven"
+    names = ["own_measures", "bad_host", "__measures", "host", "mix_own", "mix_id", "mix_copies", "size", "tie", "row", "place", "equal", "copies"]
+    rows = [(i, f"{text} {i}", "s", *range(len(names))) for i in range(9)] + [(None, None, None, *range(len(names)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{n} long" for n in names))
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == sorted(rows[:9])
+    mix = mixing.mixed(docs)
+    assert mix.columns == docs.columns and {tuple(r) for r in mix.collect()} <= set(rows)
+
+
+def test_mix_of_equal_rows(spark):
+    """Null keys, one key for many texts and equal rows in number: places stay distinct and what is taken near the target."""
+    rows = [(None, f"w {i}", "a") for i in range(3000)] + [(7, f"x y {i}", "a") for i in range(3000)] + [(8, "same text here", "b")] * 5000 + [(None, "same text here", "b")] * 5000 + [(i, "a b c d", "c") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    placed = mixing.placed(mixing.sized(docs))
+    assert placed.groupBy("source").agg(F.countDistinct("place").alias("d"), F.min("place").alias("a"), F.max("place").alias("b"), F.count("*").alias("n")).filter("a = 1 AND b = n AND d = n").count() == 3
+    got = mixing.copies(mixing.sized(docs)).groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"), F.first("target").alias("target"), F.count("*").alias("n")).collect()
+    assert {r["source"]: r["n"] for r in got} == {"a": 6000, "b": 10_000, "c": 200}
+    assert all(abs(r["taken"] - r["target"]) <= 0.01 * r["target"] + 8 for r in got)
+    mix = mixing.mixed(docs).groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("taken")).collect()
+    assert {r["source"]: r["taken"] for r in mix} == {r["source"]: r["taken"] for r in got}
