@@ -7,8 +7,8 @@ The loss mask of a turn is the prefix sum of +1 where an assistant's text begins
 turn in its conversation is the prefix sum of the turns' lengths.
 
 Defined results: a null text is empty; a null role is the empty role; roles without a heading of their own get the
-general heading with the escaped role; turns order by turn, null first, then role and text, so repeated rows stand
-side by side; a null conv_id is a conversation of its own; an empty table gives an empty table; other columns are
+general heading with the escaped role; turns order by turn, null first, then by a hash of role and text, so repeated rows
+stand side by side; a null conv_id is a conversation of its own; an empty table gives an empty table; other columns are
 ignored. A conversation is read as a stream, never held whole.
 """
 
@@ -128,11 +128,18 @@ def formatted(turns: DataFrame, tokenizer: str | None = None) -> DataFrame:
                 yield pa.record_batch([b.column(0), b.column(1), b.column(4), lengths, ids, mask], names=["conv_id", "turn", "tie", "n", "ids", "mask"])
 
     rows = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text", F.xxhash64("role", "text").alias("tie"))
-    rows = rows.mapInArrow(run, "conv_id long, turn long, tie long, n long, ids array<int>, mask array<tinyint>")
-    order = Window.partitionBy("conv_id").orderBy("turn", "tie")
-    place = F.row_number().over(order)
-    start = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return rows.select("conv_id", place.alias("place"), start.alias("start"), "ids", "mask")
+    rows = written(rows.mapInArrow(run, "conv_id long, turn long, tie long, n long, ids array<int>, mask array<tinyint>"), "chat-turns")
+    # Windows run over a row of four numbers for each distinct turn; turns that are equal in all stand side by side.
+    each = rows.groupBy("conv_id", "turn", "tie").agg(F.count("*").alias("rows"), F.max("n").alias("n"))
+    before = Window.partitionBy("conv_id").orderBy("turn", "tie").rowsBetween(Window.unboundedPreceding, -1)
+    each = each.select(
+        F.struct("conv_id", "turn", "tie").alias("id"), "rows",
+        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("first"), F.coalesce(F.sum(F.col("rows") * F.col("n")).over(before), F.lit(0)).alias("start"))
+    single = rows.withColumn("id", F.struct("conv_id", "turn", "tie")).join(each, "id")
+    nth = F.when(F.col("rows") == 1, F.lit(0))
+    twins = single.filter("rows > 1").withColumn("nth", F.row_number().over(Window.partitionBy("id").orderBy("n")) - 1)
+    both = single.filter("rows = 1").withColumn("nth", nth).unionByName(twins)
+    return both.select("conv_id", (F.col("first") + F.col("nth") + 1).cast("int").alias("place"), (F.col("start") + F.col("nth") * F.col("n")).alias("start"), "ids", "mask")
 
 
 def digests(rows: DataFrame, tokenizer: str | None = None) -> DataFrame:
