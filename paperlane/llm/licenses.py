@@ -9,7 +9,7 @@ Lines with an SPDX identifier are read as they stand, whatever they name.
 
 The templates are a parameter; their index is sent to every task and grows with them only, not with the corpus.
 
-Defined results: null and empty texts have no matches; a repeated notice is reported at each place; repeated rows are
+Defined results: null and empty texts have no matches; a repeated notice is reported at each place; only A-Z has a lower case; repeated rows are
 scanned each; empty tables give empty tables; other columns are ignored.
 """
 
@@ -76,14 +76,19 @@ TEMPLATES = {
 _WORD = re.compile(r"[a-z0-9]+")
 _ID = r"\(*[A-Za-z0-9][A-Za-z0-9.+:-]*\)*"
 _SPDX = re.compile(rf"SPDX-License-Identifier:[\x20\t]*({_ID}(?:[\x20\t]+(?:AND|OR|WITH)[\x20\t]+{_ID})*)", re.I)
+_LOWER = {c: c + 32 for c in range(65, 91)}
 RIVAL = 0.6  # share of the longer match that the shorter one has at least, if only one of both can hold
 
 
+def ascii_lower(text: str) -> str:
+    return text.lower() if text.isascii() else text.translate(_LOWER)
+
+
 class Index:
     """Templates with the inverted index of their winnowed fingerprints."""
 
     def __init__(self, templates: dict[str, str] = TEMPLATES):
-        self.templates = {name: _WORD.findall(t.lower()) for name, t in templates.items()}
+        self.templates = {name: _WORD.findall(ascii_lower(t)) for name, t in templates.items()}
         self.places: dict[tuple[str, ...], list[tuple[str, int]]] = {}
         for name, words in self.templates.items():
             grams = list(zip(*(words[i:] for i in range(GRAM))))
@@ -95,7 +100,7 @@ class Index:
     def matches(self, text: str | None, coverage: float = COVERAGE) -> list[tuple[str, int, int, float, int, int]]:
         """(license, matched words, template words, coverage, start, end) in order of place; code points, end exclusive."""
         spdx = _spdx(text) if text else []
-        lower = (text or "").lower()
+        lower = ascii_lower(text or "")  # as long as the text, so places in it are places in the text
         words = _WORD.findall(lower)
         grams = list(zip(*(words[i:] for i in range(GRAM))))
         if self.places.keys().isdisjoint(grams):
@@ -104,9 +109,7 @@ class Index:
         for i, g in enumerate(grams):
             for name, j in self.places.get(g, ()):
                 hits.setdefault(name, []).append((i, j))
-        where = [m.span() for m in _WORD.finditer(text)] if len(lower) == len(text) and text.isascii() else [m.span() for m in _WORD.finditer("".join(c if len(c.lower()) != 1 else c.lower() for c in text))]
-        if len(where) != len(words):  # a letter whose lower case has more characters; place by the words themselves
-            where = [m.span() for m in _WORD.finditer(lower)]
+        where = [m.span() for m in _WORD.finditer(lower)]
         found, places = [], []
         for name, pairs in hits.items():
             template = self.templates[name]
@@ -131,7 +134,7 @@ def _spdx(text: str) -> list[tuple[str, int, int, float, int, int]]:
     for m in _SPDX.finditer(text):
         name = m[1].rstrip(".:-")
         end = m.start(1) + len(name)
-        n = len(_WORD.findall(text[m.start() : end].lower()))
+        n = len(_WORD.findall(ascii_lower(text[m.start() : end])))
         found.append((f"SPDX {name}", n, n, 1.0, m.start(), end))
     return found
 
