@@ -34,11 +34,12 @@ KINDS = ("assign", "access", "hex", "format")
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 CUES = ("passw", "secret", "token", "api")
 
-CANDIDATE = r"[A-Za-z0-9+/_=.-]{20,}"
+CANDIDATE = r"[A-Za-z0-9+/_=.-]+"
+LEAST_CANDIDATE = 16  # characters; shorter tokens are too few symbols to tell a format from a word with digits
 MARGIN = 0.6  # nats a character by which a format must beat ordinary tokens
 ALPHA = 0.05  # of the Hoeffding bounds
 
-_ASSIGN, _ACCESS, _HEX, _CANDIDATE = re.compile(ASSIGN, re.I | re.A), re.compile(ACCESS), re.compile(HEX[:-1] + "{16,}"), re.compile(CANDIDATE)
+_ASSIGN, _ACCESS, _HEX, _CANDIDATE = re.compile(ASSIGN, re.I | re.A), re.compile(ACCESS), re.compile(HEX[:-1] + "{16,}"), re.compile(f"{CANDIDATE[:-1]}{{{LEAST_CANDIDATE},}}")
 
 Span = tuple[str, int, int]
 
@@ -182,7 +183,7 @@ def labelled_credentials(seed: int = 11, each: int = 120) -> dict[str, list[str]
 
 
 def ordinary_tokens(seed: int = 12, each: int = 120) -> list[str]:
-    """Strings after names, paths, hosts, versions, numbers and joined words, made from the seed."""
+    """Strings after names, paths, hosts, versions, numbers, UUIDs and other ids, and joined words, made from the seed."""
     rng = random.Random(seed)
 
     def word() -> str:
@@ -191,6 +192,11 @@ def ordinary_tokens(seed: int = 12, each: int = 120) -> list[str]:
     def number() -> str:
         return str(rng.randint(0, 10 ** rng.randint(1, 6)))
 
+    def some(chars: str, n: int) -> str:
+        return "".join(rng.choices(chars, k=n))
+
+    hexes = "0123456789abcdef"
+
     forms = [
         lambda: "".join(word() for _ in range(6)),
         lambda: "".join(word().capitalize() for _ in range(5)),
@@ -204,6 +210,11 @@ def ordinary_tokens(seed: int = 12, each: int = 120) -> list[str]:
         lambda: "_".join(word().upper() for _ in range(6)),
         lambda: "-".join(number() for _ in range(6)),
         lambda: "".join(word().upper() for _ in range(6)),
+        lambda: "-".join(some(hexes, n) for n in (8, 4, 4, 4, 12)),  # UUIDs
+        lambda: "-".join(some(hexes, n) for n in (8, 4, 4, 4, 12)).upper(),
+        lambda: "-".join(some(hexes, 2) for _ in range(rng.choice([6, 8]))),  # hardware addresses
+        lambda: word().upper() + "-" + str(rng.randint(2000, 2030)) + "-" + some("0123456789", rng.randint(4, 10)) + rng.choice(["", "-" + word().upper()]),  # record numbers
+        lambda: "v" + ".".join(number() for _ in range(3)) + "-" + word() + "." + some(hexes, rng.randint(7, 12)),  # versions
     ]
     return [make() for make in forms for _ in range(each)]
 
@@ -231,7 +242,7 @@ class Model:
             a, b = m.start(), m.start() + len(token)
             if any(s < b and a < e for _, s, e in base):
                 continue
-            if len(token) >= 20 and self.margin(token) > margin:
+            if len(token) >= LEAST_CANDIDATE and self.margin(token) > margin:
                 found.append(("format", a, b))
         return found
 
