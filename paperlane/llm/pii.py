@@ -42,7 +42,8 @@ ROUNDS = 3
 _DOMAIN, _CARD, _PHONE = re.compile(EMAIL_DOMAIN), re.compile(CARD), re.compile(PHONE)
 _IP = re.compile("(?<![0-9])" + IP)  # a match can only begin where a run of digits does
 _DIGIT_RUN = re.compile(r"[0-9]{4}")
-_INSTANCE = re.compile(r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D]*[0-9@])[^\x20\x09-\x0D]{6,}")
+LEAST_INSTANCE = 5  # characters of an unseen instance; shorter tokens with digits are mostly counts, years and times
+_INSTANCE = re.compile(rf"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D]*[0-9@])[^\x20\x09-\x0D]{{{LEAST_INSTANCE},}}")
 _DIGITS = re.compile("[0-9]+")
 _NON_DIGITS = re.compile("[^0-9]")
 _LOCAL = frozenset(EMAIL_LOCAL)
@@ -105,11 +106,12 @@ def _contexts(text: str, start: int) -> list[str]:
     size = 64
     while True:  # as far back as a label and the break before it need
         low = max(0, start - size)
-        words = text[low:start].split()
+        left = text[low:start].rstrip("([{<\"'")  # what opens around the place is no word of its own
+        words = left.split()
         if len(words) >= 5 or low == 0:
             break
         size *= 4
-    line = re.split("[\n\r]", text[low:start])[-1].split()
+    line = re.split("[\n\r]", left)[-1].split()
     words, line = ([_DIGITS.sub("0", w.lower().strip(".,;!?()[]{}<>\"'")) for w in x] for x in (words[-2:], line))
     out = [words[-1:], words if len(words) == 2 else [], ["\n", *line] if 1 <= len(line) <= 3 else []]
     return [" ".join(x) for x in out if x and all(x)]
@@ -132,7 +134,7 @@ def mentions(text: str | None, base: list[Span]) -> list[dict]:
         token = m[0].strip(EDGES)
         a = m.start() + len(m[0]) - len(m[0].lstrip(EDGES))
         b = a + len(token)
-        if len(token) >= 6 and any(c.isdigit() or c == "@" for c in token) and not any(s < b and a < e for _, s, e in base):
+        if len(token) >= LEAST_INSTANCE and any(c.isdigit() or c == "@" for c in token) and not any(s < b and a < e for _, s, e in base):
             add(a, b, False)
     return out
 
@@ -180,7 +182,7 @@ def accepted(edges: DataFrame, confidence: float = CONFIDENCE, seeds: int = SEED
 
 
 def scanned(docs: DataFrame, text: str = "text", key: str = "doc_id", confidence: float = CONFIDENCE, seeds: int = SEEDS, rounds: int = ROUNDS) -> DataFrame:
-    """key, the counts, base_sha256, n_context and spans of every document."""
+    """key, the counts, base_sha256, n_context, spans and has_pii (whether there are any) of every document."""
     rows = docs.select(F.col(key), F.monotonically_increasing_id().alias("row"), scan(F.col(text)).alias("s")).select(key, "row", "s.*")
     rows = written(rows, "pii-rows")
     places = rows.select("row", F.inline("found"))
@@ -193,4 +195,6 @@ def scanned(docs: DataFrame, text: str = "text", key: str = "doc_id", confidence
     rows = rows.drop("found").join(new, F.col("row") == F.col("r"), "left")
     added = F.transform("new", lambda s: F.concat_ws(":", F.lit("context"), s["start"], s["end"]))
     spans = F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), F.array_join(added, ","))
-    return rows.select(key, "n_email", "n_ip", "n_card", "n_phone", "base_sha256", F.coalesce(F.size("new"), F.lit(0)).cast("long").alias("n_context"), F.when(F.col("new").isNull(), F.col("base")).otherwise(spans).alias("spans"))
+    spans = F.when(F.col("new").isNull(), F.col("base")).otherwise(spans)
+    n_context = F.when(F.col("new").isNull(), 0).otherwise(F.size("new")).cast("long")
+    return rows.select(key, "n_email", "n_ip", "n_card", "n_phone", "base_sha256", n_context.alias("n_context"), spans.alias("spans"), (spans != "").alias("has_pii"))

@@ -169,3 +169,82 @@ def test_pii_labels(spark):
     got = {r["doc_id"]: r["n_context"] for r in pii.scanned(docs).collect()}
     assert [got[i] for i in range(60, 64)] == [1, 1, 1, 0] and all(got[i] == 0 for i in range(60))
     assert pii._contexts("a b\nEmployee 12 ID: x", 20) == ["id:", "0 id:", "\n employee 0 id:"] and pii._contexts("x", 0) == [] and pii._contexts("a one two three four x", 21) == ["four", "three four"]
+
+
+def test_grammar_on_other_samples():
+    """Strings after public formats and everyday ids, none made by the operator's own generators: hits and false hits."""
+    rng = random.Random(77)
+    some = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    digits, hexes, base62 = "0123456789", "0123456789abcdef", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    secret = {
+        "hf": lambda: "hf_" + some(base62[10:], 17) + some(base62, 17), "dapi": lambda: "SG." + some(base62 + "-_", 22) + "." + some(base62 + "-_", 43),
+        "aiza": lambda: "AIza" + some(base62 + "-_", 35), "pypi": lambda: "pypi-AgEIcHlwaS5vcmc" + some(base62, 60), "shop": lambda: "shpat_" + some(base62, 32), "azure": lambda: some(base62 + "+/", 86) + "==",
+    }
+    plain = {
+        "uuid": lambda: "-".join(some(hexes, n) for n in (8, 4, 4, 4, 12)), "UUID": lambda: "-".join(some(hexes.upper()[:16], n) for n in (8, 4, 4, 4, 12)), "isbn": lambda: "978-" + some(digits, 1) + "-" + some(digits, 4) + "-" + some(digits, 4) + "-" + some(digits, 1),
+        "mac": lambda: "-".join(some(hexes, 2) for _ in range(6)), "order": lambda: f"INV-{rng.randint(2000, 2030)}-{some(digits, 6)}", "stamp": lambda: f"20{some('012', 2)}-0{some('123456789', 1)}-1{some(digits, 1)}T1{some(digits, 1)}.{some('012345', 1)}5.00Z",
+        "iban": lambda: "DE" + some(digits, 20), "path": lambda: f"src/main/java/org/example/v{rng.randint(1, 9)}/Main.java", "ver": lambda: f"release-{rng.randint(1, 9)}.{rng.randint(0, 20)}.{rng.randint(0, 20)}-beta.{rng.randint(1, 9)}",
+    }
+    model = secrets.default_model()
+    rate = {k: sum(bool(model.spans(f"see {make()} here", [])) for _ in range(200)) / 200 for k, make in (secret | plain).items()}
+    assert min(rate[k] for k in secret) > 0.9 and max(rate[k] for k in plain) <= 0.05, rate
+
+
+def test_pii_held_out_contexts(spark):
+    """Recall of unseen identifiers in contexts that hold seeds, and false hits in contexts that hold none or few."""
+    rng = random.Random(5)
+    some = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    word = lambda: some("abcdefghijklmnop", rng.randint(3, 9))
+    noise = lambda n: " ".join(word() for _ in range(n))
+    contexts = ["Contact No.: {}", "you can reach me at {}", "Member-ID = {}", "mailbox <{}>", "his extension is {}", "Login\t{}", "dial {}", "fax line ({})"]
+    seeds = [lambda: f"+49 {some('123456789', 3)} {some('0123456789', 7)}", lambda: f"{word()}{some('0123456789', 2)}@{word()}.org"]
+    unseen = [lambda: f"{some('ABCDEF', 3)}-{some('0123456789', 5)}", lambda: some("0123456789", 9), lambda: f"{word()}_{some('0123456789', 3)}@intern", lambda: f"00{some('0123456789', 8)}"]
+    wild = ["in the year {}", "a price of {}", "page number {}"]
+    rows, kind = [], []
+    for c in contexts:
+        for i in range(60):
+            rows.append(f"{noise(8)}\n{c.format(rng.choice(seeds)() if i < 40 else rng.choice(unseen)())} {noise(4)}")
+            kind.append("seed" if i < 40 else "unseen")
+    for c in wild:
+        for i in range(60):
+            rows.append(f"{noise(8)} {c.format(rng.choice(seeds)() if i < 2 else some('0123456789', 6))} {noise(4)}")
+            kind.append("seed" if i < 2 else "plain")
+    got = {r["doc_id"]: r for r in pii.scanned(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    share = lambda k: sum(got[i]["n_context"] > 0 for i, x in enumerate(kind) if x == k) / kind.count(k)
+    assert share("unseen") >= 0.9 and share("plain") <= 0.02 and all(got[i]["has_pii"] for i, x in enumerate(kind) if x == "seed"), (share("unseen"), share("plain"))
+    assert not any(got[i]["has_pii"] for i, x in enumerate(kind) if x == "plain" and not got[i]["n_context"])
+
+
+def test_license_spans():
+    """Places are those of the text as it stands, whatever its other letters turn into in lower case."""
+    index = licenses.Index()
+    mit = licenses.TEMPLATES["MIT (line)"]
+    for before in ("", "İ İİ ", "ẞ ß é ", "x " * 50 + "\n", "ﬁn İ\n"):
+        (m,) = index.matches(f"{before}{mit} after İ it")
+        assert f"{before}{mit} after İ it"[m[4] : m[5]] == mit.rstrip("."), before
+        (m,) = index.matches(f"{before}{mit.upper()} İ")
+        assert f"{before}{mit.upper()} İ"[m[4] : m[5]] == mit.upper().rstrip(".")
+
+
+def test_license_candidates_against_brute_force():
+    """Every template that stands in a text with at least COVERAGE of its words is found where an unbounded alignment finds it."""
+    rng = random.Random(3)
+    index, words = licenses.Index(), lambda t: re.findall("[a-z0-9]+", t.lower())
+    n = 0
+    for name, notice in licenses.TEMPLATES.items():
+        parts = notice.split()
+        if len(parts) < 12:
+            continue
+        for drop in (0, 1, len(parts) // 20):
+            lost = set(rng.sample(range(len(parts)), drop))
+            kept = [w for i, w in enumerate(parts) if i not in lost]
+            text = " ".join([*(f"pad{i}x" for i in range(30)), *kept, *(f"end{i}x" for i in range(30))])
+            best = max(((lcs(words(t), words(text)) / len(words(t)), k) for k, t in licenses.TEMPLATES.items()), key=lambda x: (x[0], len(licenses.TEMPLATES[x[1]])))
+            found = {m[0]: m for m in index.matches(text)}
+            if best[0] < licenses.COVERAGE:
+                continue
+            assert best[1] in found or name in found, (name, drop, best, list(found))
+            m = found.get(name) or found[best[1]]
+            assert words(text[m[4] : m[5]])[0] in words(licenses.TEMPLATES[m[0]]) and m[1] == lcs(words(licenses.TEMPLATES[m[0]]), words(text))
+            n += 1
+    assert n > 40
