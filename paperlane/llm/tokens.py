@@ -14,7 +14,7 @@ rows each count; an empty table gives no files and an empty index; other columns
 
 from __future__ import annotations
 
-import re
+import json
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -93,13 +93,14 @@ class Encoder:
     distinct piece once. A text with other white space next to a cut is encoded whole.
     """
 
-    def __init__(self, tokenizer_json: str, dtype: str = "<u2"):
+    def __init__(self, tokenizer_json: str, dtype: str):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.dtype = Tokenizer.from_str(tokenizer_json), dtype
         self.model, self.code = self.tokenizer.model, {"<u2": "H", "<u4": "I"}[dtype]
-        flat = re.sub(r"\s", "", tokenizer_json[:20_000])
-        self.split = '"pre_tokenizer":{"type":"ByteLevel","add_prefix_space":false' in flat and '"normalizer":null' in flat
+        parts = json.loads(tokenizer_json)
+        before = parts.get("pre_tokenizer") or {}
+        self.split = before.get("type") == "ByteLevel" and before.get("add_prefix_space") is False and before.get("use_regex", True) and parts.get("normalizer") is None
         self.marks: dict[str, bytes] = {}
         self.table = _Bytes()
         self.feed = self.whole("\n") if self.split else b""
@@ -139,8 +140,20 @@ def encoder(tokenizer_json: str, dtype: str) -> Encoder:
     return Encoder(tokenizer_json, dtype)
 
 
+def dtype_for(tokenizer_json: str, end: int) -> str:
+    """The smallest type that holds all ids."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if max(Tokenizer.from_str(tokenizer_json).get_vocab_size(), end + 1) <= 1 << 16 else "<u4"
+
+
+# Names that Hadoop has for stores which pyarrow knows by another.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "abfs"}
+
+
 def _open(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path)
+    scheme, mark, rest = path.partition("://")
+    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}{mark}{rest}")
 
 
 def _sequence_schema(dtype: str, length: int) -> pa.Schema:
@@ -203,9 +216,13 @@ class _Writer:
         return self.docs, self.n_tokens
 
 
-def write(docs: DataFrame, folder: str, tokenizer_json: str, text: str = "text", key: str = "doc_id", length: int = LENGTH, end: int = END, dtype: str = "<u2") -> DataFrame:
-    """Writes the files under folder; returns one row per file: part, docs, tokens, first (ids in the files before it)."""
+def write(docs: DataFrame, folder: str, tokenizer_json: str, text: str = "text", key: str = "doc_id", length: int = LENGTH, end: int = END, dtype: str | None = None) -> DataFrame:
+    """Writes the files under folder; returns one row per file: part, docs, tokens, first (ids in the files before it).
+
+    Without ``dtype`` ids take 16 bits if the vocabulary allows it, else 32.
+    """
     spark = docs.sparkSession
+    dtype = dtype or dtype_for(tokenizer_json, end)
     vocabulary = spark.sparkContext.broadcast(tokenizer_json)  # a fixed few MB
     closing = np.array([end], dtype=dtype).tobytes()
 
@@ -222,8 +239,9 @@ def write(docs: DataFrame, folder: str, tokenizer_json: str, text: str = "text",
             n, tokens = writer.close()
             yield pa.record_batch([pa.array([context.partitionId()], pa.int32()), pa.array([n], pa.int64()), pa.array([tokens], pa.int64())], names=["part", "docs", "tokens"])
 
-    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.xxhash64(text).alias("h"))
-    rows = rows.repartitionByRange("k", "h").sortWithinPartitions("k", "h").select("k", "t")
+    # equal rows, however many, have a number of their own, so they don't all fall in one range
+    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.xxhash64(text).alias("h"), F.monotonically_increasing_id().alias("n"))
+    rows = rows.repartitionByRange("k", "h", "n").sortWithinPartitions("k", "h", "n").select("k", "t")
     files = written(rows.mapInArrow(run, "part int, docs long, tokens long"), "token-files")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     return files.withColumn("first", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
@@ -252,7 +270,7 @@ def sequences(folder: str, part: int) -> pa.ipc.RecordBatchFileReader:
 def _documents(folder: str, part: int, first: int) -> Iterator[pa.RecordBatch]:
     files, root = _open(folder)
     reader = sequences(folder, part)
-    at, block = 0, np.empty(0, dtype=np.uint16)  # ids of the current batch, from position ``at`` of the file
+    at, block = 0, np.empty(0, dtype=np.uint32)  # ids of the current batch, from position ``at`` of the file
     number = 0
     with files.open_input_stream(f"{root}/part-{part:05d}.docs.arrow") as source:
         for index in pa.ipc.open_stream(source):
