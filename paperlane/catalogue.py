@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import catalogue_sql as S
 from .functions import detectors
-from .functions.text import FILE_TYPES, extension, norm_id, sample_for_model, strip_html, strip_rtf, type_of
+from .functions.text import FILE_TYPES, extension, norm_id, sample_for_model, score_summary, strip_html, strip_rtf, text_fingerprint, type_of
 from .operators import detect, diff, fleet, reports, route, score
 from .operators.pipeline import Services, inventory
 from .plans.rules import RuleList
@@ -22,6 +23,7 @@ from .streaming import collect as streaming
 
 RULES = RuleList()
 PRICES = Settings(price_per_1k_in=0.25, price_per_1k_out=1.0, price_per_1k_pages=10.0)
+WHOLE = Settings(max_scan_chars=(1 << 31) - 1)  # the queries read whole texts; a run over files has the limits of its settings
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -48,11 +50,11 @@ def corpus(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
-def whole(spark: SparkSession, d: str, settings: Settings = Settings()) -> DataFrame:
+def whole(spark: SparkSession, d: str, settings: Settings = WHOLE) -> DataFrame:
     return inventory(corpus(spark, d), settings, Services(stage2="offline"))
 
 
-def docs(spark: SparkSession, d: str, settings: Settings = Settings()) -> DataFrame:
+def docs(spark: SparkSession, d: str, settings: Settings = WHOLE) -> DataFrame:
     return inventory(tables.documents(spark, d), settings, Services(stage2="offline"))
 
 
@@ -137,7 +139,7 @@ _STRUCTURED = "WITH " + S.inventory_cte(("customers",))
 
 @query(f"{_STRUCTURED} SELECT rel_path, size_bytes, estimated_entities, is_bde, detail, suggested_lane FROM inv")
 def structured_roster(spark, d):
-    df = inventory(tables.customers(spark, d, RULES), Settings(), Services(stage2="offline"))
+    df = inventory(tables.customers(spark, d, RULES), WHOLE, Services(stage2="offline"))
     return df.select("rel_path", "size_bytes", "estimated_entities", "is_bde", "detail", "suggested_lane")
 
 
@@ -380,7 +382,7 @@ _TWO = f"{DOCS}, {S.inventory_cte(('documents',), 1, 'alt', counted=False)}"
 
 
 def _two(spark, d):
-    a, b = docs(spark, d), docs(spark, d, Settings(bde_threshold=1))
+    a, b = docs(spark, d), docs(spark, d, replace(WHOLE, bde_threshold=1))
     return [diff.keyed(_numbered(x), F.col("rel_path")) for x in (a, b)]
 
 
@@ -660,9 +662,10 @@ def poll_rates(spark, d):
     return streaming.poll_rate(_snapshots(spark, d)).select("job_id", F.unix_micros("at").alias("at_us"), "tokens_per_s")
 
 
-@query(f"{_SNAPSHOTS} SELECT job_id, at_us, completed >= 100 AND coalesce((dead - coalesce(lag(dead) OVER w, 0))::DOUBLE / nullif(completed::DOUBLE, 0) > 0.001, false) AS tripped FROM snaps WINDOW w AS (PARTITION BY job_id ORDER BY at_us)")
+@query(f"{_SNAPSHOTS} SELECT job_id, at_us, completed * 3 >= 200 AND coalesce(greatest(0, dead - first_value(dead) OVER (PARTITION BY job_id ORDER BY at_us)) / nullif((completed * 3)::DOUBLE, 0) > 0.001, false) AS tripped FROM snaps")
 def dead_letter_breaker(spark, d):
-    return streaming.dead_letter_growth(_snapshots(spark, d), 0.001).select("job_id", F.unix_micros("at").alias("at_us"), "tripped")
+    snapshots = _snapshots(spark, d).withColumn("workers", F.lit(3))
+    return streaming.dead_letter_growth(snapshots, 0.001, 200).select("job_id", F.unix_micros("at").alias("at_us"), "tripped")
 
 
 @query(f"""{T} SELECT job_id || '/files/' || file_name AS rel_path, job_id AS job_dir, CASE WHEN right(job_id, 1)::INT < 4 THEN right(job_id, 1)::INT * 10 END AS job_bde_threshold FROM tasks""")
@@ -680,6 +683,187 @@ def run_diff_totals(spark, d):
     return diff.column_totals(*_two(spark, d), list(_CHANGED))
 
 
+# ---- rows that no table holds by itself: early ends, failed models, reviewers' words, bytes
+
+_EARLY = [("unsupported_ext", "no_parser", "unknown"), ("", "skipped_too_large", ""), ("per_file_timeout", "timeout", ""), ("KeyError", "error", ""), ("expand_first", "container", "none"), ("", "no_parser", "needs_conversion"), ("", "no_parser", "unknown")]
+
+
+@query("""WITH p AS (SELECT p_partkey, p_size * 2 AS n, p_partkey % 7 AS k FROM part)
+SELECT 'early/' || p_partkey || '.x' AS rel_path, ['no_parser', 'skipped_too_large', 'timeout', 'error', 'container', 'no_parser', 'no_parser'][k + 1] AS status,
+  ['needs_parser', 'manual_oversize', 'review_error', 'review_error', 'container_expand', 'convert_lane', 'needs_parser'][k + 1] AS suggested_lane,
+  CASE WHEN k < 4 THEN '' WHEN n <= 4 THEN '1-4 pages' WHEN n <= 10 THEN '5-10 pages' WHEN n <= 50 THEN '11-50 pages' ELSE '51+ pages' END AS complexity_bucket,
+  ['no_parser', 'skipped_too_large', 'timeout', 'extract_error', 'not_searchable', 'not_searchable', 'not_searchable'][k + 1] AS s2_skip_reason, ['unsupported_ext', '', 'per_file_timeout', 'KeyError', 'expand_first', '', ''][k + 1] AS detail FROM p""")
+def early_rows(spark, d):
+    k = F.col("p_partkey") % 7
+    of = lambda i: F.element_at(F.array(*(F.lit(x[i]) for x in _EARLY)), (k + 1).cast("int"))
+    name = F.concat(F.col("p_partkey").cast("string"), F.lit(".x"))
+    rows = table(spark, d, "part").select(F.concat(F.lit("early/"), name).alias("rel_path"), name.alias("file_name"), F.lit(".x").alias("ext"), F.lit(9).cast("long").alias("size_bytes"), F.lit("").alias("text"),
+                                          tables.meta(detail=of(0), status=of(1), text_extractable=of(2), page_or_sheet_count=F.col("p_size") * 2).alias("meta"))
+    return inventory(rows, WHOLE).select("rel_path", "status", "suggested_lane", "complexity_bucket", "s2_skip_reason", "detail")
+
+
+@query(f"""{INV}, x AS (SELECT *, size_bytes % 3 AS k FROM inv WHERE ambiguity = 'ambiguous') SELECT ['fail:TimeoutError', 'fail:RateLimitError', 'not_run(off?)'][k + 1] AS failure, count(*) AS files FROM x GROUP BY 1""")
+def model_failures_noted(spark, d):
+    k = F.col("size_bytes") % 3
+    note = F.when(k == 0, "roster_by_rowcount llm_failed:TimeoutError").when(k == 1, "llm_failed:RateLimitError bde_llm_count").otherwise(F.col("detail"))
+    return reports.model_failures(whole(spark, d).withColumn("detail", note))
+
+
+_WORDS = ["Responsive", " nr ", "R", "no", "7", "0", "nan", "inf", "1e3", "-2", "unclear", "", "TRUE", "N"]
+
+
+@query(f"SELECT o_orderkey, [true, false, true, false, true, false, false, true, true, false, NULL, NULL, true, false][(o_orderkey % {len(_WORDS)} + 1)::INT] AS responsive FROM orders")
+def reviewers_words(spark, d):
+    word = F.element_at(F.array(*map(F.lit, _WORDS)), (F.col("o_orderkey") % len(_WORDS) + 1).cast("int"))
+    return table(spark, d, "orders").select("o_orderkey", score.parse_responsive(word).alias("responsive"))
+
+
+_BYTES = (".txt", ".html", ".csv", ".eml", ".png", ".zip", ".ppt", ".dwg")
+
+
+@query(r"""WITH f AS (SELECT doc_id, doc_id % 8 AS k, coalesce(text, '') AS t FROM documents)
+SELECT 'bytes/' || doc_id || ['.txt', '.html', '.csv', '.eml', '.png', '.zip', '.ppt', '.dwg'][(k + 1)::INT] AS rel_path, ['', '', '', '', '', 'container', 'no_parser', 'no_parser'][(k + 1)::INT] AS status,
+  ['text', 'text', 'text', 'text', 'image_only', 'none', 'needs_conversion', 'unknown'][(k + 1)::INT] AS text_extractable,
+  CASE k WHEN 0 THEN t WHEN 1 THEN regexp_replace(' ' || regexp_replace(t, '<[^>]+>', ' ', 'g') || ' ', '', '') WHEN 2 THEN 'name mail' || chr(10) || 'a, b n' || doc_id || '@x.org' WHEN 3 THEN 'mail ' || doc_id || chr(10) || 'body of ' || doc_id || chr(10) ELSE '' END AS text,
+  CASE WHEN k = 2 THEN 1 END::INT AS people, CASE WHEN k = 2 THEN 2 END::INT AS total FROM f""")
+def extracted_bytes(spark, d):
+    """Documents as files of eight kinds, from their bytes on: tolerant decoding, markup, delimited rows, mail, and kinds that are not opened."""
+    i, k = F.col("doc_id").cast("string"), F.col("doc_id") % 8
+    text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    junk = F.lit(bytearray(b"\xff\xc3"))
+    body = (
+        F.when(k == 0, F.concat(junk, text, junk)).when(k == 1, F.concat(F.encode(F.lit("<p>"), "UTF-8"), text, F.encode(F.lit("</p>"), "UTF-8")))
+        .when(k == 2, F.encode(F.concat(F.lit('name,mail\n"a, b",n'), i, F.lit("@x.org\n")), "UTF-8")).when(k == 3, F.encode(F.concat(F.lit("Subject: mail "), i, F.lit("\n\nbody of "), i, F.lit("\n")), "UTF-8")))
+    ext = F.element_at(F.array(*map(F.lit, _BYTES)), (k + 1).cast("int"))
+    rows = table(spark, d, "documents").select(F.concat(F.lit("bytes/"), i, ext).alias("rel_path"), F.concat(i, ext).alias("file_name"), ext.alias("ext"), F.coalesce(F.octet_length(body), F.lit(5)).cast("long").alias("size_bytes"), body.alias("content"))
+    out = files.extracted(rows, WHOLE)
+    return out.select("rel_path", F.coalesce("meta.status", F.lit("")).alias("status"), "meta.text_extractable", "text", F.col("meta.structured_entity_rows").alias("people"), F.col("meta.structured_total_rows").alias("total"))
+
+
+@query(r"SELECT doc_id, sha256(regexp_replace(text, '\r\n?', chr(10), 'g')) AS fingerprint FROM documents")
+def text_fingerprints(spark, d):
+    return table(spark, d, "documents").select("doc_id", text_fingerprint(F.replace("text", F.lit("\n"), F.lit("\r\n"))).alias("fingerprint"))
+
+
+@query("SELECT o_orderkey, o_orderkey::VARCHAR AS scored, '0.' || lpad((o_orderkey % 100)::VARCHAR, 2, '0') AS recall, (o_orderkey % 7)::VARCHAR AS tp, (o_orderkey % 5)::VARCHAR AS tn FROM orders")
+def printed_scorecards(spark, d):
+    k = F.col("o_orderkey")
+    text = lambda x: x.cast("string")
+    printed = F.concat(F.lit("STAGE 1\n  scored  1\nNR/R -- PIPELINE\n  scored   "), F.regexp_replace(text(k), "(\\d)(?=(\\d{3})+$)", "$1,"), F.lit(" (excluded: 3)\n  recall   0."), F.lpad(text(k % 100), 2, "0"), F.lit("  F1 0.5\n  TP="), text(k % 7), F.lit("  FP=1  FN=2  TN="), text(k % 5), F.lit("\nNR/R -- UNION\n  recall 9\n"))
+    rows = table(spark, d, "orders").select("o_orderkey", score_summary(printed).alias("m"))
+    return rows.select("o_orderkey", *(F.try_element_at("m", F.lit(n)).alias(n) for n in ("scored", "recall", "tp", "tn")))
+
+
+# ---- further views of runs and jobs
+
+
+@query(f"""{INV}, u AS (SELECT inv.*, v.llm_tokens AS lt, v.s2_llm_tokens AS st, v.ocr_pages AS op, v.img_ocr_calls AS ic, v.di_calls AS dc FROM inv JOIN ({_UNITS.replace('nr_stage1, ', '')}) AS v USING (rel_path)),
+g AS (SELECT 'lane' AS section, suggested_lane AS name, count(*) AS n FROM u GROUP BY ALL UNION ALL SELECT 's2_lane', s2_lane, count(*) FROM u WHERE s2_lane <> '' GROUP BY ALL UNION ALL SELECT 'status', status, count(*) FROM u GROUP BY ALL
+  UNION ALL SELECT 'grade', s2_llm_responsiveness, count(*) FROM u WHERE s2_llm_responsiveness <> '' GROUP BY ALL
+  UNION ALL SELECT * FROM (SELECT 'label', label, count(*) AS files FROM (SELECT trim(unnest(string_split(entities_found, '|'))) AS label FROM inv WHERE entities_found <> '') GROUP BY label ORDER BY files DESC, label LIMIT 20)),
+t AS (SELECT count(*) AS f, count_if(nr_stage1) AS nr, count_if(is_bde) AS b, count_if(s2_is_bde) AS b2, count_if(s2_nr) AS nr2, count_if(s2_llm_consulted) AS c2, sum(dc) AS dc, sum(op) AS op, sum(ic) AS ic, sum(lt) AS lt, sum(st) AS st FROM u),
+c AS (SELECT unnest([
+  {{'section': 'decision', 'name': 'files', 'value': f::DOUBLE}}, {{'section': 'decision', 'name': 'nr_stage1', 'value': nr}}, {{'section': 'decision', 'name': 'responsive_stage1', 'value': f - nr}}, {{'section': 'decision', 'name': 'is_bde', 'value': b}},
+  {{'section': 'decision', 'name': 's2_is_bde', 'value': b2}}, {{'section': 'decision', 'name': 's2_nr', 'value': nr2}}, {{'section': 'decision', 'name': 'llm_consulted', 'value': 0}}, {{'section': 'decision', 'name': 's2_consulted', 'value': c2}},
+  {{'section': 'decision', 'name': 'rules_decided', 'value': f - c2}}, {{'section': 'decision', 'name': 'model_decided', 'value': c2}},
+  {{'section': 'ocr', 'name': 'di_calls', 'value': dc}}, {{'section': 'ocr', 'name': 'ocr_attempted', 'value': 0}}, {{'section': 'ocr', 'name': 'ocr_pages', 'value': op}}, {{'section': 'ocr', 'name': 'img_ocr_calls', 'value': ic}}, {{'section': 'ocr', 'name': 'di_pages_billable', 'value': op + ic}},
+  {{'section': 'tokens', 'name': 'total', 'value': lt + st}}, {{'section': 'tokens', 'name': 'stage1', 'value': lt}}, {{'section': 'tokens', 'name': 'stage2', 'value': st}},
+  {{'section': 'cost', 'name': 'di', 'value': round_even((op + ic) / 1000.0::DOUBLE * 10.0, 2)}}, {{'section': 'cost', 'name': 'llm', 'value': round_even((lt + st) / 1000.0::DOUBLE * 0.25, 2)}},
+  {{'section': 'cost', 'name': 'total', 'value': round_even(round_even((op + ic) / 1000.0::DOUBLE * 10.0, 2) + round_even((lt + st) / 1000.0::DOUBLE * 0.25, 2), 2)}}], recursive := true) FROM t)
+SELECT section, name, value FROM c UNION ALL SELECT section, name, n::DOUBLE FROM g""")
+def inventory_summary(spark, d):
+    return reports.summary(_units(whole(spark, d)), 0.25, 10.0)
+
+
+@query(f"{INV}, u AS ({_UNITS}) SELECT sum(llm_tokens)::BIGINT AS llm_tokens_stage1, sum(s2_llm_tokens)::BIGINT AS llm_tokens_stage2, sum(di_calls)::BIGINT AS di_calls, (sum(ocr_pages) + sum(img_ocr_calls))::BIGINT AS di_pages_billable, (sum(llm_tokens) + sum(s2_llm_tokens))::BIGINT AS llm_tokens_total, NULL::DOUBLE AS llm_cost_low, NULL::DOUBLE AS llm_cost_high, NULL::DOUBLE AS di_cost, NULL::DOUBLE AS di_share_of_spend_pct FROM u")
+def cost_without_prices(spark, d):
+    return reports.cost(_units(whole(spark, d)), Settings())
+
+
+@query(f"WITH {S.inventory_cte(('customers',))} SELECT rel_path, CASE WHEN base < 5 AND total >= 5 THEN total ELSE base END::INT AS estimated_entities FROM inv3")
+def review_threshold(spark, d):
+    """A review threshold of its own, below the one for files about many people."""
+    df = inventory(tables.customers(spark, d, RULES), replace(WHOLE, structured_review_rows=5), Services(stage2="offline"))
+    return df.select("rel_path", "estimated_entities")
+
+
+_SCORED_ZERO = f"{DOCS}, zero AS (SELECT inv.*, coalesce(({S.HUMAN})::BIGINT, 0) AS human FROM inv LEFT JOIN (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id) AS l ON rel_path = 'documents/' || l.doc_id || '.txt')"
+
+
+@query(f"{_SCORED_ZERO}, v AS (SELECT *, {S.CALLS} FROM zero), w AS (SELECT *, CASE WHEN s1 IS NULL THEN NULL WHEN NOT s1 THEN false ELSE coalesce(s2, true) END AS p, CASE WHEN s1 IS NOT NULL OR s2 IS NOT NULL THEN coalesce(s1, false) OR coalesce(s2, false) END AS u FROM v), m AS (SELECT view, {S.CELLS} FROM (SELECT 'stage1' AS view, s1 AS pred, human > 0 AS truth FROM w UNION ALL SELECT 'stage2', s2, human > 0 FROM w UNION ALL SELECT 'pipeline', p, human > 0 FROM w UNION ALL SELECT 'union', u, human > 0 FROM w) GROUP BY view) SELECT *, {S.RATES} FROM m")
+def scorecard_views_zero(spark, d):
+    return score.scorecard(_scored(spark, d, "zero"))
+
+
+@query(f"{_SCORED}, b AS (SELECT *, {S.EFFECTIVE} AS eff FROM scored) SELECT {_TYPES} AS ftype, searchable, count(*) AS files FROM b WHERE human > 6 AND eff < 7 GROUP BY ALL")
+def missed_bde(spark, d):
+    return score.missed_bde(_scored(spark, d))
+
+
+@query(f"{INV}, v AS (SELECT *, {S.CALLS} FROM inv) SELECT {_TYPES} AS ftype, searchable, suggested_lane, s2_lane, {_VN.format('(' + _V + ')')} AS verdict, count(*) AS files, count_if(is_bde) AS bde, sum(estimated_entities)::BIGINT AS estimated_entities, 0::BIGINT AS di_calls, 0::BIGINT AS tokens FROM v GROUP BY ALL")
+def score_without_truth(spark, d):
+    return score.overview(whole(spark, d))
+
+
+_CHANGES = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", rel_path AS key, a.{c}::VARCHAR AS before, b.{c}::VARCHAR AS after FROM inv a JOIN alt b USING (rel_path) WHERE a.{c} IS DISTINCT FROM b.{c}" for c in _CHANGED)
+
+
+@query(f'{_TWO}, x AS ({_CHANGES}), g AS (SELECT "column", before, after, count(*) AS files FROM x GROUP BY ALL) SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY files DESC, before NULLS FIRST, after NULLS FIRST)::INT AS rank FROM g QUALIFY rank <= 6')
+def run_diff_transitions(spark, d):
+    return diff.top_transitions(*_two(spark, d), list(_CHANGED))
+
+
+@query(f'{_TWO}, x AS ({_CHANGES}) SELECT "column", key, before, after FROM x QUALIFY row_number() OVER (PARTITION BY "column" ORDER BY key) <= 5')
+def run_diff_examples(spark, d):
+    return diff.examples(*_two(spark, d), list(_CHANGED))
+
+
+@query(f"""{T}, ev AS (SELECT job_id, s AS t_us, 1 AS x FROM tasks WHERE e > s UNION ALL SELECT job_id, e, -1 FROM tasks WHERE e > s), g AS (SELECT job_id, t_us, sum(x) AS x FROM ev GROUP BY ALL)
+SELECT job_id, t_us, (sum(x) OVER (PARTITION BY job_id ORDER BY t_us ROWS UNBOUNDED PRECEDING))::BIGINT AS active FROM g""")
+def concurrency_levels(spark, d):
+    return fleet.concurrency_series(tasks(spark, d))
+
+
+@query(f"""{T}, dn AS (SELECT * FROM tasks WHERE status = 'completed' AND e IS NOT NULL), sp AS (SELECT job_id, min(s) AS t0, greatest(2, (max(e) - min(s)) // 60000000 + 2) AS minutes FROM dn GROUP BY job_id),
+wn AS (SELECT DISTINCT job_id, worker_instance, true AS w FROM tasks WHERE lower(regexp_extract(file_name, '(\\.[^.]*)$', 1)) IN ('.doc', '.xls', '.ppt')),
+fl AS (SELECT job_id, least(minutes - 1, greatest(0, (e - t0) // 60000000)) AS minute, count_if(w IS NULL) AS linux, count_if(w) AS windows, sum(tokens_in) AS tokens_in, sum(tokens_out) AS tokens_out FROM dn LEFT JOIN wn USING (job_id, worker_instance) JOIN sp USING (job_id) GROUP BY ALL),
+st AS (SELECT job_id, s + duration_ms // 2 * 1000 AS begun, duration_ms - duration_ms // 2 AS ms FROM tasks WHERE s IS NOT NULL), md AS (SELECT job_id, list_sort(list(ms) FILTER (ms > 0)) AS l FROM st GROUP BY job_id),
+ev AS (SELECT job_id, least(minutes - 1, greatest(0, (begun - t0) // 60000000)) AS minute, count(*) AS rate_limited FROM st JOIN md USING (job_id) JOIN sp USING (job_id) WHERE len(l) >= 3 AND ms >= greatest(30000, 3 * l[len(l) // 2 + 1]) GROUP BY ALL),
+spine AS (SELECT job_id, unnest(range(0, minutes)) AS minute FROM sp)
+SELECT job_id, minute, coalesce(linux, 0) AS linux, coalesce(windows, 0) AS windows, coalesce(tokens_in, 0)::BIGINT AS tokens_in, coalesce(tokens_out, 0)::BIGINT AS tokens_out, coalesce(rate_limited, 0) AS rate_limited FROM spine LEFT JOIN fl USING (job_id, minute) LEFT JOIN ev USING (job_id, minute)""")
+def timeline_by_class(spark, d):
+    return fleet.minute_series(tasks(spark, d), llm_step="llm")
+
+
+@query(f"""{T}, r AS (SELECT job_id, e, count(*) OVER w AS n, avg((status <> 'completed')::INT) OVER w AS rate FROM tasks WHERE e IS NOT NULL WINDOW w AS (PARTITION BY job_id ORDER BY e, row_key ROWS BETWEEN 999 PRECEDING AND CURRENT ROW))
+SELECT job_id, count(*) AS finished, round_even(max(rate) FILTER (n = 1000), 6) AS worst_rate, min(e) FILTER (n = 1000 AND rate > 0.05) AS tripped_at_us FROM r GROUP BY job_id""")
+def rolling_failure_1000(spark, d):
+    return fleet.rolling_failure(tasks(spark, d), 1000)
+
+
+@query(f"""{T}, x AS (SELECT *, regexp_replace(file_name, '\\.[^.]*$', '') || CASE lower(regexp_extract(file_name, '(\\.[^.]*)$', 1)) WHEN '.doc' THEN '.docx' WHEN '.xls' THEN '.xlsx' WHEN '.ppt' THEN '.pptx' END AS target FROM tasks),
+k AS (SELECT * FROM x WHERE target IS NULL OR NOT EXISTS (SELECT 1 FROM tasks y WHERE y.job_id = x.job_id AND y.file_name = x.target)),
+ev AS (SELECT job_id, s AS t, 1 AS x FROM k WHERE e > s UNION ALL SELECT job_id, e, -1 FROM k WHERE e > s), lv AS (SELECT job_id, sum(x) OVER (PARTITION BY job_id ORDER BY t, x ROWS UNBOUNDED PRECEDING) AS level FROM ev), pk AS (SELECT job_id, max(level)::BIGINT AS peak FROM lv GROUP BY job_id)
+SELECT job_id, count(*) AS total, count_if(status = 'completed') AS completed, string_agg(DISTINCT worker_instance, ',' ORDER BY worker_instance) AS worker_names, sum(duration_ms // 2)::BIGINT AS extract_ms, any_value(peak) AS peak, count_if(status = 'processing' AND {_NOW} - s > 300000000) AS stuck FROM k LEFT JOIN pk USING (job_id) GROUP BY job_id""")
+def job_monitor(spark, d):
+    out = fleet.job_monitor(tasks(spark, d), _now(spark, d))
+    return out.select("job_id", "total", "completed", F.array_join("worker_names", ",").alias("worker_names"), F.col("checkpoints")["extract"]["ms"].alias("extract_ms"), "peak", "stuck")
+
+
+@query("SELECT 'job-1' AS job_id, sha256('documents/' || doc_id || '.doc') AS row_key, 'documents/' || doc_id || '.doc' AS file_name, 'windows' AS target_queue FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def queue_work_list(spark, d):
+    path = F.concat(F.lit("documents/"), F.col("doc_id").cast("string"), F.lit(".doc")).alias("rel_path")
+    return fleet.work_list(table(spark, d, "documents").select(path), "job-1", True, table(spark, d, "labels").select(path))
+
+
+@query(f"{DOCS} SELECT rel_path, suggested_lane, entities_found, estimated_entities, detail FROM inv")
+def result_round_trip(spark, d):
+    """Results written by job and read back by the inventory's schema."""
+    path = new_folder(spark, "results")
+    sinks.write_results(docs(spark, d).withColumn("job_id", F.concat(F.lit("job-"), (F.col("size_bytes") % 3).cast("string"))), path)
+    return sinks.read_results(spark, path).select("rel_path", "suggested_lane", "entities_found", "estimated_entities", "detail")
+
+
 # ---- streaming, drained with availableNow
 
 
@@ -714,7 +898,8 @@ def stream_throughput(spark, d):
     return spark.read.parquet(last).select("job_id", F.unix_micros("window_start").alias("window_us"), "completed", "tokens_in")
 
 
-@query()
+@query(f"""{T}, r AS (SELECT job_id, count(*) OVER w AS n, sum((status <> 'completed')::INT) OVER w AS bad FROM tasks WHERE e IS NOT NULL WINDOW w AS (PARTITION BY job_id ORDER BY e, row_key ROWS BETWEEN 99 PRECEDING AND CURRENT ROW))
+SELECT job_id, max(bad) / 100.0::DOUBLE > 0.05 AS tripped, max(bad) / 100.0::DOUBLE AS rate FROM r WHERE n = 100 GROUP BY job_id""")
 def stream_breaker(spark, d):
     """The failure breaker as a stateful stream; a job's rows arrive in one batch, so the result is that of the batch."""
     out, state = new_folder(spark, "breaker"), new_folder(spark, "breaker-state")

@@ -1,4 +1,4 @@
-"""A thin shell over the library: scan, report, sample, estimate, benchmark, diff.
+"""A thin shell over the library: scan, report, sample, estimate, benchmark, score, diff, and for processing jobs collect, status, copy-sample.
 
 ``python -m paperlane.cli scan ROOT OUT`` and so on; every command is a few calls that a program can make itself.
 """
@@ -6,16 +6,22 @@
 from __future__ import annotations
 
 import argparse
+import re
+from collections.abc import Iterator
 from dataclasses import replace
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import diff, reports, score
+from .operators import diff, fleet, reports, score
 from .operators.pipeline import Services, inventory
 from .plans import rules
+from .plans.schema import INVENTORY_SCHEMA
 from .plans.settings import Settings
+from .shared import written
 from .sources import files, sinks
+from .streaming import collect
 
 
 def parser() -> argparse.ArgumentParser:
@@ -44,9 +50,44 @@ def parser() -> argparse.ArgumentParser:
     for name in ("--id-col", "--responsive-col", "--bde-col", "--sheet"):
         c.add_argument(name)
     command("diff", "before", "after")
+    c = command("score", "inventory", "out")
+    c.add_argument("--export", help="entity counts by reviewers; without it only what needs no truth")
+    c.add_argument("--tasks", help="task rows as Parquet")
+    c.add_argument("--sheet")
+    c.add_argument("--absent-means", choices=["unreviewed", "zero"], default="unreviewed")
+    c.add_argument("--bde-threshold", type=int, default=6)
+    c = command("collect", "tasks", "results", "out")
+    c.add_argument("--watch", action="store_true", help="go on as results appear")
+    c = command("status", "tasks")
+    c.add_argument("--failures", action="store_true")
+    command("copy-sample", "manifest", "root", "out")
     return p
 
 
+def _copied(plan: DataFrame, out: str) -> DataFrame:
+    """Copies each found file of a located manifest below out, on the executors; (rel_path, target, copied)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for b in batches:
+            done = []
+            for found, target in zip(b["found"], b["target"]):
+                if found is None:
+                    done.append(False)
+                    continue
+                a, path_a = fs.FileSystem.from_uri(found if "://" in found else re.sub("^([a-z0-9]+):/+", r"\1:///", found))
+                z, path_z = fs.FileSystem.from_uri(f"{out}/{target}")
+                z.create_dir(path_z.rsplit("/", 1)[0], recursive=True)
+                with a.open_input_stream(path_a) as source, z.open_output_stream(path_z) as sink:
+                    while part := source.read(1 << 20):
+                        sink.write(part)
+                done.append(True)
+            yield pd.DataFrame({"rel_path": b["rel_path"], "target": b["target"], "copied": done})
+
+    return plan.select("rel_path", "found", "target").mapInPandas(run, "rel_path string, target string, copied boolean")
+
+
 def _numbered(inv: DataFrame) -> DataFrame:
     return inv.withColumn("row", F.monotonically_increasing_id())
 
@@ -75,6 +116,35 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         case "benchmark":
             gold = sinks.read_gold(spark, a.gold, a.sheet, a.id_col, a.responsive_col, a.bde_col)
             print(score.benchmark(_numbered(sinks.read_csv(spark, a.inventory)), gold, a.absent_means, a.bde_threshold).toJSON().first())
+        case "score":
+            inv = _numbered(sinks.read_csv(spark, a.inventory))
+            inv = written(inv, "scored-inventory")
+            export = sinks.read_export(spark, a.export, a.sheet) if a.export else None
+            tasks = spark.read.parquet(a.tasks) if a.tasks else None
+            sinks.write_sheets(score.sheets(inv, export, tasks, {"inventory": a.inventory, "export": a.export or ""}, a.bde_threshold, a.absent_means), a.out)
+        case "collect":
+            # results carry their file's rel_path; a result counts once its task is completed
+            schema = spark.read.parquet(a.tasks).schema
+            done = spark.read.schema(schema).parquet(a.tasks)
+            if a.watch:
+                rows = spark.readStream.schema(f"{INVENTORY_SCHEMA.simpleString()[7:-1]}, job_id:string").option("recursiveFileLookup", True).json(a.results)
+                collect.collect(rows, f"{a.out}/rows", f"{a.out}/state", ("job_id", "rel_path"), available_now=False).awaitTermination()
+            else:
+                found, missing = sinks.collected(done, sinks.read_results(spark, a.results))
+                sinks.write_csv(found, f"{a.out}/inventory")
+                sinks.write_csv(missing, f"{a.out}/missing")
+        case "status":
+            tasks = spark.read.parquet(a.tasks)
+            rows = fleet.failures(tasks) if a.failures else fleet.job_monitor(tasks, F.current_timestamp())
+            for line in rows.toJSON().toLocalIterator():
+                print(line)
+        case "copy-sample":
+            manifest = spark.read.options(**sinks.CSV).csv(a.manifest)
+            for name in ("dest_name", "label"):
+                manifest = manifest if name in manifest.columns else manifest.withColumn(name, F.lit(None).cast("string"))
+            listed = files.scan(spark, a.root).select("path", "rel_path")
+            plan = fleet.located(manifest, listed.select(F.col("rel_path").alias("path"))).join(listed.select(F.col("rel_path").alias("found"), "path"), "found", "left")
+            sinks.write_csv(_copied(plan.select("rel_path", F.col("path").alias("found"), "target"), a.out), f"{a.out}-copied")
         case "diff":
             before, after = (diff.keyed(_numbered(sinks.read_csv(spark, p)), F.col("rel_path")) for p in (a.before, a.after))
             print(diff.rules_decided(before, after).toJSON().first())

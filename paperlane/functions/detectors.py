@@ -24,7 +24,9 @@ NAME_CUES = (
 )
 ROSTER_LINE = r"^[A-Z][A-Za-z'\u2019\-]{1,},\s+[A-Z][A-Za-z.'\u2019\-]+(?:\s+[A-Z][A-Za-z.'\u2019\-]*)*"
 STREET = r"(?i)\b\d{1,6}\s+(?:[A-Za-z0-9.'-]+\s){0,4}(?:Street|St|Avenue|Ave|Road|Rd|Boulevard|Blvd|Lane|Ln|Drive|Dr|Court|Ct|Way|Place|Pl|Terrace|Ter|Circle|Cir|Highway|Hwy)\b\.?"
-CITY_ZIP = r"\b[A-Z][A-Za-z.'\- ]+,\s*[A-Z]{2}\s+\d{5}(?:-\d{4})?\b"
+_CITY = r"[A-Za-z.'\- ]"
+# each run of a city's characters is entered once, at its start, and read to its end without a way back
+CITY_ZIP = rf"(?<!{_CITY})(?:(?!\b[A-Z]){_CITY})*+(\b[A-Z]{_CITY}++,\s*[A-Z]{{2}}\s+\d{{5}}(?:-\d{{4}})?\b)"
 MONEY = (
     r"(?i)[$£€]\s?\d[\d,]*(?:\.\d+)?"
     r"|\b(?:USD|EUR|GBP|CAD|AUD)\s?\$?\d[\d,]*(?:\.\d+)?"
@@ -105,12 +107,18 @@ def _clean(array: Column) -> Column:
     return F.transform(array, lambda v: F.lower(F.trim(v)))
 
 
-def count_names(text: Column) -> Column:
-    return _distinct([_clean(_all(text, p, 1)) for p in NAME_CUES])
+# What a match of each name cue holds: as it stands, or in lower case together with one of the marks after a label.
+_NAME_HINTS = (("Mr", "Ms", "Mx", "Miss", "Dr", "Prof"), ("name", "patient", "employee", "insured", "member", "customer", "client", "data subject", "applicant", "signed"), ("Dear",))
+
+
+def count_names(text: Column, lower: Column) -> Column:
+    none = F.array().cast("array<string>")
+    tests = [_any(text.contains(h) for h in _NAME_HINTS[0]), text.rlike("[:-]") & _any(lower.contains(h) for h in _NAME_HINTS[1]), text.contains(_NAME_HINTS[2][0])]
+    return _distinct([F.when(t, _clean(_all(text, p, 1))).otherwise(none) for t, p in zip(tests, NAME_CUES)])
 
 
 def count_addresses(text: Column) -> Column:
-    return _distinct([_clean(_all(text, p)) for p in (STREET, CITY_ZIP)])
+    return _distinct([_clean(_all(text, STREET)), _clean(_all(text, CITY_ZIP, 1))])
 
 
 def count_money(text: Column) -> Column:
@@ -147,7 +155,7 @@ def count_of(text: Column, lower: Column, rule: Rule) -> Column:
         case "keyword":
             n = _any(text.rlike(f"(?i){p}") for p in rule.patterns).cast("int") if rule.patterns else F.lit(0)
         case "name":
-            n = count_names(text)
+            n = count_names(text, lower)
         case "address":
             n = count_addresses(text)
         case "money":

@@ -6,6 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Fixed values of this module: the patterns of markup, rich text and ids, and the marks of left-out text.
+
+
 def strip_html(html: Column) -> Column:
     """script and style blocks away, then every tag a blank."""
     bare = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1>", " ")
@@ -53,6 +56,25 @@ def to_int(value: Column) -> Column:
     return F.coalesce(value.try_cast("double").try_cast("int"), F.lit(0))
 
 
+def text_fingerprint(text: Column) -> Column:
+    """sha256 of a text with every line break as a line feed, so files that differ only there are equal."""
+    return F.sha2(F.regexp_replace(text, "\r\n?", "\n"), 256)
+
+
+# What a printed scorecard shows in its pipeline section, and where the number stands.
+_SHOWN = {
+    "scored": r"(?m)^\s*scored\s+([0-9,]+)", "excluded": r"excluded:\s*([0-9,]+)", "recall": r"(?m)^\s*recall\s+([0-9.]+)", "precision": r"(?m)^\s*precision\s+([0-9.]+)", "accuracy": r"(?m)^\s*accuracy\s+([0-9.]+)",
+    "f1": r"\bF1\s+([0-9.]+)", "nr_accuracy": r"(?m)^\s*NR accuracy\s+([0-9.]+)", "r_accuracy": r"(?m)^\s*R accuracy\s+([0-9.]+)", "flagged": r"(?m)^\s*flagged\s+([0-9.]+)", "over_call": r"over-call\s+([0-9.]+)", "under_call": r"under-call\s+([0-9.]+)",
+} | {k.lower(): rf"{k}=([0-9,]+)" for k in ("TP", "FP", "FN", "TN")}
+
+
+def score_summary(printed: Column) -> Column:
+    """Map of the headline numbers in a printed scorecard's PIPELINE section; without one it is empty."""
+    block = F.regexp_extract(printed, r"(?s)(PIPELINE.*?)(?:NR/R --|$)", 1)
+    found = F.array(*(F.struct(F.lit(k).alias("k"), F.nullif(F.regexp_replace(F.regexp_extract(block, p, 1), ",", ""), F.lit("")).alias("v")) for k, p in _SHOWN.items()))
+    return F.map_from_entries(F.filter(found, lambda x: x["v"].isNotNull()))
+
+
 def ratio(a: Column, b: Column) -> Column:
     """a / b, and 0 where b is 0."""
     return F.coalesce(a / F.nullif(b.cast("double"), F.lit(0.0)), F.lit(0.0))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.schema import INVENTORY
@@ -43,6 +43,21 @@ def column_totals(a: DataFrame, b: DataFrame, columns: list[str] | None = None,
     return column_changes(a, b, columns).groupBy("column").agg(F.sum("files").alias("files")).orderBy(F.desc("files"), "column").limit(top)
 
 
+def top_transitions(a: DataFrame, b: DataFrame, columns: list[str] | None = None, top: int = 6) -> DataFrame:
+    """Each column's most frequent value changes, ties by value."""
+    w = Window.partitionBy("column").orderBy(F.desc("files"), F.col("before").asc_nulls_first(), F.col("after").asc_nulls_first())
+    return column_changes(a, b, columns).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
+
+
+def examples(a: DataFrame, b: DataFrame, columns: list[str] | None = None, top: int = 5) -> DataFrame:
+    """(column, key, before, after): the least keys with a changed value, a few for each column; kept map-side, never sorted whole."""
+    columns = columns or [c for c in INVENTORY if c not in ("rel_path", "elapsed_s")]
+    j = paired(a, b).filter("a IS NOT NULL AND b IS NOT NULL")
+    cells = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col("key"), F.col(f"a.{c}").cast("string").alias("before"), F.col(f"b.{c}").cast("string").alias("after")) for c in columns)))
+    rows = j.select(cells.alias("x")).select("x.*").filter(~F.col("before").eqNullSafe(F.col("after")))
+    return rows.withColumn("n", F.row_number().over(Window.partitionBy("column").orderBy("key"))).filter(F.col("n") <= top).drop("n")
+
+
 # Columns that only a model's answer may change.
 MODEL_COLUMNS = ("llm_consulted", "llm_responsive", "llm_tokens", "llm_tokens_total", "bde_person_count", "s2_llm_consulted", "s2_llm_responsiveness", "s2_llm_responsive", "s2_llm_tokens", "s2_detail")
 

@@ -1,8 +1,9 @@
 """Calls to outside services, injected as Python functions; without them the rules decide.
 
-A function gets the rows that need it and no others: the table is split by the gate, only the open side goes through
-``mapInPandas``, and the sides are joined again. A Python function inside CASE WHEN would be called for every row.
-The gate's column is written first when it is itself expensive, so both sides read it rather than compute it.
+A function gets the rows that need it and no others, as narrow rows of a number and what it asks about; its answers are
+written and joined back by that number. So the table that the calls stand on is written first (``numbered``): however
+many services there are, the corpus is read and its patterns are run once. A Python function inside CASE WHEN would be
+called for every row.
 """
 
 from __future__ import annotations
@@ -14,11 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.schema import struct_of
+from ..plans.schema import META, struct_of
+from ..shared import written
 
 ModelFn = Callable[[str], dict]
 
-ANSWER = struct_of("failed string, responsive boolean, n_names int, person_count int, is_roster boolean, level string, tokens int")
+ANSWER_FIELDS = "failed string, responsive boolean, n_names int, person_count int, is_roster boolean, level string, tokens int"
+ANSWER = struct_of(ANSWER_FIELDS)
 
 
 def _number(value: object) -> int:
@@ -44,21 +47,34 @@ def _answer(call: ModelFn, text: str) -> dict:
     }
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """df as a written table with a number ``call_id`` for each row, to which answers are joined back."""
+    return written(df.withColumn("call_id", F.monotonically_increasing_id()), name)
+
+
+def _answers(todo: DataFrame, call: Callable[[pd.Series], list], fields: str) -> DataFrame:
+    """todo (call_id, ...) with the answer's ``fields`` for each row, written: a call is made once, whatever reads its answer."""
+    names = [f.name for f in struct_of(fields)]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            got = [call(row) for row in b.itertuples(index=False)]
+            yield pd.DataFrame({"call_id": b["call_id"], **{n: [g[n] for g in got] for n in names}})
+
+    schema = T.StructType([T.StructField("call_id", T.LongType()), *struct_of(fields).fields])
+    return written(todo.mapInPandas(run, schema), "answers")
+
+
 def asked(df: DataFrame, gate: Column, call: ModelFn | None, into: str, prompt: Column) -> DataFrame:
-    """df with a struct column ``into``: the answer where the gate is open, null elsewhere."""
+    """df with a struct column ``into``: the answer where the gate is open, null elsewhere. df is ``numbered`` if there is a call."""
     if call is None:
         return df.withColumn(into, F.lit(None).cast(ANSWER))
-    df = df.withColumn("__gate", F.coalesce(gate, F.lit(False)))
-    open_side = df.filter("__gate").drop("__gate").withColumn("__prompt", prompt)
-    schema = T.StructType(open_side.drop("__prompt").schema.fields + [T.StructField(into, ANSWER)])
+    todo = df.filter(gate).select("call_id", prompt.alias("prompt"))
+    got = _answers(todo, lambda row: _answer(call, row.prompt or ""), ANSWER_FIELDS)
+    return df.join(got.select("call_id", F.struct(*ANSWER.names).alias(into)), "call_id", "left")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            answers = [_answer(call, t or "") for t in b.pop("__prompt")]
-            b[into] = answers
-            yield b
 
-    return open_side.mapInPandas(run, schema).unionByName(df.filter("not __gate").drop("__gate").withColumn(into, F.lit(None).cast(ANSWER)))
+OCR_FIELDS = "failed string, new_text string, pages int, has_tables boolean, rows int"
 
 
 def recognised(df: DataFrame, call: Callable[[str], dict] | None) -> DataFrame:
@@ -68,67 +84,58 @@ def recognised(df: DataFrame, call: Callable[[str], dict] | None) -> DataFrame:
     """
     if call is None:
         return df
-    wanted = F.coalesce(F.col("meta.text_extractable") == "image_only", F.lit(False))
-    todo = df.filter(wanted)
-    schema = todo.schema
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            texts, metas = [], []
-            for path, text, meta in zip(b["rel_path"], b["text"], b["meta"]):
-                meta = dict(meta) | {"ocr_attempted": True}
-                try:
-                    got = call(path)
-                    text = got.get("text", "")
-                    pages = _number(got.get("pages"))
-                    meta = dict.fromkeys(meta) | {
-                        "text_extractable": "text", "is_structured": bool(got.get("has_tables")), "page_or_sheet_count": pages,
-                        "structured_entity_rows": _number(got.get("structured_entity_rows")), "ocr": True, "ocr_attempted": True, "ocr_pages": pages,
-                    }
-                except Exception as e:
-                    meta["detail"] = " ".join(x for x in (meta.get("detail"), f"ocr_failed:{type(e).__name__}") if x)
-                texts.append(text)
-                metas.append(meta)
-            b["text"], b["meta"] = texts, metas
-            yield b
-
-    return todo.mapInPandas(run, schema).unionByName(df.filter(~wanted))
+    def one(row: tuple) -> dict:
+        try:
+            got = call(row.rel_path)
+            return {"failed": None, "new_text": got.get("text", ""), "pages": _number(got.get("pages")), "has_tables": bool(got.get("has_tables")), "rows": _number(got.get("structured_entity_rows"))}
+        except Exception as e:
+            return {"failed": type(e).__name__, "new_text": None, "pages": None, "has_tables": None, "rows": None}
+
+    got = _answers(df.filter(F.col("meta.text_extractable") == "image_only").select("call_id", "rel_path"), one, OCR_FIELDS)
+    got = got.withColumn("answered", F.lit(True))
+    df = df.join(got, "call_id", "left")
+    good = F.coalesce(F.col("answered") & F.col("failed").isNull(), F.lit(False))
+    read = {"text_extractable": F.lit("text"), "is_structured": F.col("has_tables"), "page_or_sheet_count": F.col("pages"), "structured_entity_rows": F.col("rows"), "ocr": F.lit(True), "ocr_attempted": F.lit(True), "ocr_pages": F.col("pages")}
+    note = F.concat_ws(" ", "meta.detail", F.concat(F.lit("ocr_failed:"), F.col("failed")))
+    meta = F.when(good, _meta_of(read)).when(F.col("answered"), F.col("meta").withField("ocr_attempted", F.lit(True)).withField("detail", note)).otherwise(F.col("meta"))
+    return df.withColumns({"text": F.when(good, F.col("new_text")).otherwise(F.col("text")), "meta": meta}).drop("answered", *(f.name for f in struct_of(OCR_FIELDS)))
+
+
+def _meta_of(values: dict[str, Column]) -> Column:
+    return F.struct(*(values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in META))
 
 
 LEAST_IMAGE_BYTES = 1024
-IMAGE_STATS = {"img_ocr_qualifying": "int", "img_ocr_calls": "int", "img_ocr_ok": "int", "img_note": "string"}
+IMAGE_FIELDS = "added string, calls int, good int, note string"
 
 
 def images_read(df: DataFrame, call: Callable[[bytes], str] | None, max_chars: int) -> DataFrame:
     """OCR of images embedded in searchable files: their texts are appended, up to ``max_chars`` in all.
 
-    Adds IMAGE_STATS: images of LEAST_IMAGE_BYTES or more, calls, calls that gave text, and a note of what failed. Files
-    without such images, and all files without ``call``, keep their text.
+    Adds img_ocr_qualifying (images of LEAST_IMAGE_BYTES or more), img_ocr_calls, img_ocr_ok (calls that gave text) and
+    img_note, of what failed. Files without such images, and all files without ``call``, keep their text.
     """
     images = F.filter(F.coalesce("meta.content_images", F.array().cast("array<binary>")), lambda b: F.octet_length(b) >= LEAST_IMAGE_BYTES)
     n = F.when(F.coalesce(F.col("meta.text_extractable") == "text", F.lit(False)), F.size(images)).otherwise(0)
-    df = df.withColumn("img_ocr_qualifying", n)
-    none = {"img_ocr_calls": F.lit(0), "img_ocr_ok": F.lit(0), "img_note": F.lit("")}
     if call is None:
-        return df.withColumns(none)
-    todo = df.filter("img_ocr_qualifying > 0")
-    schema = T.StructType([*todo.schema.fields, *struct_of("img_ocr_calls int, img_ocr_ok int, img_note string").fields])
+        return df.withColumns({"img_ocr_qualifying": n, "img_ocr_calls": F.lit(0), "img_ocr_ok": F.lit(0), "img_note": F.lit("")})
+
+    def one(row: tuple) -> dict:
+        parts, failed = [], {}
+        for image in row.images:
+            try:
+                parts.append(call(bytes(image)) or "")
+            except Exception as e:
+                failed[type(e).__name__] = failed.get(type(e).__name__, 0) + 1
+        note = " ".join(f"img_ocr_failed:{k}x{v}" for k, v in sorted(failed.items()))
+        return {"added": "\n".join(p for p in parts if p), "calls": len(row.images), "good": sum(bool(p.strip()) for p in parts), "note": note}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            texts, calls, good, notes = [], [], [], []
-            for text, meta in zip(b["text"], b["meta"]):
-                parts, failed, wanted = [text or ""], {}, [i for i in meta["content_images"] if len(i) >= LEAST_IMAGE_BYTES]
-                for image in wanted:
-                    try:
-                        parts.append(call(bytes(image)) or "")
-                    except Exception as e:
-                        failed[type(e).__name__] = failed.get(type(e).__name__, 0) + 1
-                texts.append("\n".join(p for p in parts if p)[:max_chars])
-                calls.append(len(wanted))
-                good.append(sum(bool(p.strip()) for p in parts[1:]))
-                notes.append(" ".join(f"img_ocr_failed:{k}x{v}" for k, v in sorted(failed.items())))
-            b["text"], b["img_ocr_calls"], b["img_ocr_ok"], b["img_note"] = texts, calls, good, notes
-            yield b
-
-    return todo.mapInPandas(run, schema).unionByName(df.filter("img_ocr_qualifying = 0").withColumns(none))
+    df = df.withColumn("img_ocr_qualifying", n)
+    got = _answers(df.filter("img_ocr_qualifying > 0").select("call_id", images.alias("images")), one, IMAGE_FIELDS)
+    df = df.join(got, "call_id", "left")
+    text = F.array_join(F.filter(F.array(F.coalesce("text", F.lit("")), "added"), lambda x: x != ""), "\n")
+    return df.withColumns({
+        "text": F.when(F.col("calls") > 0, F.substring(text, 1, max_chars)).otherwise(F.col("text")), "img_ocr_calls": F.coalesce("calls", F.lit(0)),
+        "img_ocr_ok": F.coalesce("good", F.lit(0)), "img_note": F.coalesce("note", F.lit("")),
+    }).drop("added", "calls", "good", "note")

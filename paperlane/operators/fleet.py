@@ -71,6 +71,14 @@ def job_metrics(tasks: DataFrame) -> DataFrame:
 def concurrency(tasks: DataFrame) -> DataFrame:
     """Peak number of tasks at once per job: a running sum over starts and ends, ends before starts at one instant.
 
+    The greatest of ``concurrency_series``; at one instant starts come last, so its last number is its greatest.
+    """
+    return concurrency_series(tasks).groupBy("job_id").agg(F.max("active").alias("peak"))
+
+
+def concurrency_series(tasks: DataFrame) -> DataFrame:
+    """(job_id, t_us, active): how many tasks run from each instant on at which one starts or ends; those of no length count nowhere.
+
     Events are first summed by instant, so equal instants cost one row. The running sum goes by job and hour: each hour
     starts from the number still open before it, taken from the hours' own small table, so no job meets in one task.
     """
@@ -82,8 +90,20 @@ def concurrency(tasks: DataFrame) -> DataFrame:
     hours = hours.select(F.col("job_id").alias("j"), F.col("hour").alias("h"), F.coalesce(F.sum("net").over(before), F.lit(0)).alias("open"))
     run = Window.partitionBy("job_id", "hour").orderBy("t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ev = ev.join(hours, (F.col("job_id") == F.col("j")) & (F.col("hour") == F.col("h")))
-    level = ev.withColumn("level", F.col("open") + F.sum(F.col("up") - F.col("down")).over(run))
-    return level.groupBy("job_id").agg(F.max("level").alias("peak"))
+    return ev.select("job_id", F.col("t").alias("t_us"), (F.col("open") + F.sum(F.col("up") - F.col("down")).over(run)).alias("active"))
+
+
+def job_monitor(tasks: DataFrame, now: Column, window_s: int = 300, visibility_s: int = 300) -> DataFrame:
+    """One row per job with all a monitor shows: counts without legacy twins, sums, worker names, checkpoints, peak, throughput, time left, stuck tasks."""
+    tasks = collapse_pairs(tasks)
+    names = tasks.groupBy("job_id").agg(F.sort_array(F.collect_set(F.nullif("worker_instance", F.lit("")))).alias("worker_names"))  # a job's workers, not its tasks
+    steps = tasks.select("job_id", F.explode("checkpoints").alias("c")).groupBy("job_id", "c.label").agg(F.count("*").alias("n"), F.sum("c.duration_ms").alias("ms"))
+    steps = steps.groupBy("job_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("label", F.struct("n", "ms").alias("v"))))).alias("checkpoints"))
+    held = stuck(tasks, now, visibility_s).groupBy("job_id").agg(F.count("*").alias("stuck"))
+    out = job_metrics(tasks)
+    for part in (names, steps, concurrency(tasks), trailing_throughput(tasks, now, window_s), held):
+        out = out.join(part, "job_id", "left")
+    return out.na.fill(0, ["peak", "stuck"])
 
 
 def trailing_throughput(tasks: DataFrame, now: Column, window_s: int = 300) -> DataFrame:
@@ -160,16 +180,62 @@ def timeline(tasks: DataFrame, minutes: int = 1) -> DataFrame:
     return by.withColumn("completed_so_far", F.sum("completed").over(w))
 
 
+LLM_STEP, WAIT_STEP = "azure_openai", "azure_openai_rate_limit_wait"  # fixed values: labels of checkpoints
+
+
+def minute_series(tasks: DataFrame, llm_step: str = LLM_STEP, wait_step: str = WAIT_STEP) -> DataFrame:
+    """Each job's minutes from its first start, none left out: completions by class of worker, tokens, and rate-limit events.
+
+    A worker is of the class windows if it ever took a legacy format. An event is a model step of three times the job's
+    upper median of such steps or more (30 s at least, 3 steps at least), or a wait of more than a second; it counts in
+    the minute in which the step began.
+    """
+    minute = lambda t: F.floor((t - F.col("t0")) / F.lit(60_000_000)).cast("long")
+    done = tasks.filter((F.col("status") == "completed") & F.col("completed_at").isNotNull() & F.col("started_at").isNotNull())
+    spans = done.groupBy("job_id").agg(F.min(micros(F.col("started_at"))).alias("t0"), F.max(micros(F.col("completed_at"))).alias("t1"))
+    spans = spans.withColumn("minutes", F.greatest(F.lit(2), F.floor((F.col("t1") - F.col("t0")) / F.lit(60_000_000)) + 2))
+    ext = F.lower(F.regexp_extract("file_name", r"(\.[^.]*)$", 1))
+    windows = tasks.filter(ext.isin(*CONVERTED)).select("job_id", "worker_instance").distinct().withColumn("windows", F.lit(True))
+    rows = done.join(windows, ["job_id", "worker_instance"], "left").join(spans, "job_id")
+    at = F.least(F.col("minutes") - 1, F.greatest(F.lit(0), minute(micros(F.col("completed_at")))))
+    windows_n, linux_n = F.count_if(F.col("windows")), F.count_if(F.col("windows").isNull())
+    files = rows.groupBy("job_id", at.alias("minute")).agg(linux_n.alias("linux"), windows_n.alias("windows"), F.sum("tokens_in").alias("tokens_in"), F.sum("tokens_out").alias("tokens_out"))
+    steps = checkpoint_offsets(tasks.filter(F.col("started_at").isNotNull())).filter(F.col("label").isin(llm_step, wait_step))
+    # the upper median over distinct durations, which a job's milliseconds bound
+    each = steps.filter((F.col("label") == llm_step) & (F.col("duration_ms") > 0)).groupBy("job_id", "duration_ms").agg(F.count("*").alias("k"))
+    whole = Window.partitionBy("job_id")
+    each = each.withColumn("upto", F.sum("k").over(whole.orderBy("duration_ms").rowsBetween(Window.unboundedPreceding, Window.currentRow))).withColumn("n", F.sum("k").over(whole))
+    median = F.min(F.when(F.col("upto") > F.floor(F.col("n") / 2), F.col("duration_ms")))
+    limits = each.groupBy("job_id").agg(F.when(F.max("n") >= 3, F.greatest(F.lit(30_000), 3 * median)).alias("limit_ms"))
+    starts = tasks.select("job_id", "row_key", micros(F.col("started_at")).alias("s"))
+    late = (F.col("label") == llm_step) & (F.col("duration_ms") >= F.col("limit_ms")) | (F.col("label") == wait_step) & (F.col("duration_ms") > 1000)
+    events = steps.join(limits, "job_id", "left").filter(late).join(starts, ["job_id", "row_key"]).join(spans, "job_id")
+    begun = F.least(F.col("minutes") - 1, F.greatest(F.lit(0), minute(F.col("s") + F.col("offset_ms") * 1000)))
+    events = events.groupBy("job_id", begun.alias("minute")).agg(F.count("*").alias("rate_limited"))
+    spine = spans.select("job_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("minutes") - 1)).alias("minute"))
+    out = spine.join(files, ["job_id", "minute"], "left").join(events, ["job_id", "minute"], "left")
+    return out.na.fill(0, ["linux", "windows", "tokens_in", "tokens_out", "rate_limited"])
+
+
 def rolling_failure(tasks: DataFrame, size: int = 1000, limit: float = 0.05) -> DataFrame:
     """For each job: whether, and when first, more than ``limit`` of the last ``size`` finished tasks had failed.
 
-    The order is the time of completion within a job; a job's finishes are ranked by (time, key) and one frame slides.
+    The order is the time of completion within a job, then the key. Failures up to the n-th finish less those up to the
+    (n - size)-th are those of the last ``size``: running numbers are made by job and hour on top of the hours' own sums,
+    and a join brings both ends together, so no job meets in one task.
     """
-    done = tasks.filter(F.col("status").isin("completed", "failed", "dead_lettered") & F.col("completed_at").isNotNull()).select("job_id", "row_key", "completed_at", (F.col("status") != "completed").cast("int").alias("bad"))
-    w = Window.partitionBy("job_id").orderBy("completed_at", "row_key").rowsBetween(-(size - 1), Window.currentRow)
-    rows = done.withColumn("n", F.count("*").over(w)).withColumn("rate", F.avg("bad").over(w))
-    tripped = (F.col("n") == size) & (F.col("rate") > limit)
-    return rows.groupBy("job_id").agg(F.count("*").alias("finished"), F.bround(F.max(F.when(F.col("n") == size, F.col("rate"))), 6).alias("worst_rate"), F.min(F.when(tripped, micros(F.col("completed_at")))).alias("tripped_at_us"))
+    done = tasks.filter(F.col("status").isin("completed", "failed", "dead_lettered") & F.col("completed_at").isNotNull())
+    done = done.select("job_id", "row_key", micros(F.col("completed_at")).alias("t"), (F.col("status") != "completed").cast("int").alias("bad")).withColumn("hour", F.floor(F.col("t") / F.lit(3_600_000_000)))
+    before = Window.partitionBy("job_id").orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
+    hours = done.groupBy("job_id", "hour").agg(F.count("*").alias("k"), F.sum("bad").alias("b"))
+    hours = hours.select(F.struct("job_id", "hour").alias("id"), F.coalesce(F.sum("k").over(before), F.lit(0)).alias("n0"), F.coalesce(F.sum("b").over(before), F.lit(0)).alias("bad0"))
+    run = Window.partitionBy("job_id", "hour").orderBy("t", "row_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = done.withColumns({"i": F.row_number().over(run), "s": F.sum("bad").over(run)}).withColumn("id", F.struct("job_id", "hour")).join(hours, "id")
+    rows = rows.select("job_id", "t", (F.col("n0") + F.col("i")).alias("n"), (F.col("bad0") + F.col("s")).alias("failures"))
+    earlier = rows.select("job_id", (F.col("n") + size).alias("n"), F.col("failures").alias("earlier"))
+    rows = rows.join(earlier, ["job_id", "n"], "left")
+    rate = F.when(F.col("n") >= size, (F.col("failures") - F.coalesce("earlier", F.lit(0))) / F.lit(size))
+    return rows.groupBy("job_id").agg(F.count("*").alias("finished"), F.bround(F.max(rate), 6).alias("worst_rate"), F.min(F.when(rate > limit, F.col("t"))).alias("tripped_at_us"))
 
 
 def stuck(tasks: DataFrame, now: Column, visibility_s: int = 300) -> DataFrame:
@@ -204,6 +270,15 @@ def queue_of(ext: Column, windows_queue: bool, legacy: tuple[str, ...] = tuple(C
     return F.when(F.lower(ext).isin(*legacy) & F.lit(windows_queue), "windows").otherwise("linux")
 
 
+def work_list(files: DataFrame, job_id: str, windows_queue: bool = False, done: DataFrame | None = None, base: Column | None = None) -> DataFrame:
+    """One message for each file of a job: job_id, row_key, file_name, target_queue; files with a row in ``done`` (rel_path) are left out."""
+    from ..functions.text import extension
+
+    rows = files if done is None else files.join(done.select("rel_path").distinct(), "rel_path", "left_anti")
+    name = F.col("rel_path") if base is None else base
+    return rows.select(F.lit(job_id).alias("job_id"), F.sha2("rel_path", 256).alias("row_key"), name.alias("file_name"), queue_of(extension(F.col("rel_path")), windows_queue).alias("target_queue"))
+
+
 def job_dir_of(path: Column) -> Column:
     """The folder above the deepest ``files`` folder of a path."""
     return F.regexp_extract(path, "^(.*)/files/", 1)

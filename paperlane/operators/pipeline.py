@@ -1,7 +1,8 @@
 """From extracted documents to the inventory: one row of 49 columns for each, in one narrow stage.
 
 ``extracted`` rows are (rel_path, file_name, ext, size_bytes, text, meta). Without outside calls there is no shuffle
-and no Python: scan, detection, routing and stage 2 are one projection chain.
+and no Python: scan, detection, routing and stage 2 are one projection chain. With calls the extracted rows (for OCR) and
+the detected rows (for a model) are each written once, and what follows reads these.
 """
 
 from __future__ import annotations
@@ -36,10 +37,13 @@ def inventory(extracted: DataFrame, settings: Settings = Settings(), services: S
     if "job_bde_threshold" not in df.columns:
         df = df.withColumn("job_bde_threshold", F.lit(None).cast("int"))
     df = df.withColumn("threshold", F.coalesce("job_bde_threshold", F.lit(settings.bde_threshold)))
+    if services.ocr or services.ocr_image:
+        df = enrich.numbered(df, "extracted")
     df = enrich.recognised(df, services.ocr)
     df = enrich.images_read(df, services.ocr_image, settings.max_scan_chars)
     meta = {f.name: c(f"meta.{f.name}") for f in META}
-    early = F.coalesce(meta["status"], F.lit("ok")).isin("no_parser", "skipped_too_large", "timeout", "error")
+    # rows that no reader got to see; a reader's own no_parser (legacy formats, missing libraries) goes on to routing
+    early = F.coalesce(meta["status"].isin("skipped_too_large", "timeout", "error") | (meta["status"] == "no_parser") & (meta["detail"] == "unsupported_ext"), F.lit(False))
     df = df.withColumns({
         "early": early,
         "status": F.coalesce(meta["status"], F.lit("ok")),
@@ -68,7 +72,7 @@ def inventory(extracted: DataFrame, settings: Settings = Settings(), services: S
     df = df.withColumn("base_estimate", route.estimate_entities(rules))
     review = F.lit(settings.structured_review_rows) if settings.structured_review_rows else c("threshold")
     total = F.when(c("is_structured"), F.coalesce("structured_total_rows", F.lit(0))).otherwise(0)
-    bumped = F.when((review > 0) & c("is_structured") & (c("base_estimate") < review) & (total >= review), total).otherwise(c("base_estimate"))
+    bumped = route.roster_estimate(c("base_estimate"), total, c("is_structured"), review)
     df = df.withColumn("estimated_entities", F.when(c("searchable"), bumped).otherwise(0))
     ssn = c(detect.count_column("SSN")) if any(r.key == "SSN" for r in rules.rules) else F.lit(0)
     kind = route.classify_ambiguity(ssn, c("labels"), c("is_structured"), c("estimated_entities"), total)
@@ -80,7 +84,17 @@ def inventory(extracted: DataFrame, settings: Settings = Settings(), services: S
         "detail": route.notes(c("img_note"), decode, c("meta_detail"), F.when(c("searchable") & (c("estimated_entities") != c("base_estimate")), "roster_by_rowcount")),
     }).drop("base_estimate", "meta_detail", "img_note", "labels", "categories", *(detect.count_column(r.key) for r in rules.rules))
     # ---- the model on ambiguous files, then the counter of people
-    prompt = sample_for_model(c("scanned"), settings.llm_input_chars)
+    df = df.withColumn("blank", route.is_blank(c("scanned")))
+    offline = services.stage2 == "offline"
+    if offline:
+        df = df.withColumn("offline_level", route.offline_level(c("scanned")))
+    if services.judge or services.count_people or services.stage2 and not offline:
+        # what follows needs no text but a sample of each that may be asked about
+        protocol = f"Protocol of the matter, to be applied:\n{settings.protocol_text[:8000]}\n\n" if settings.protocol_text else ""
+        prompt = F.concat(F.lit(protocol), sample_for_model(c("scanned"), settings.llm_input_chars))
+        df = df.withColumn("prompt", F.when(c("searchable") & ~c("blank"), prompt))
+        df = enrich.numbered(df.drop("text", "scanned", "call_id"), "detected")
+    prompt = c("prompt") if "prompt" in df.columns else F.lit("")
     df = enrich.asked(df, c("ambiguity") == "ambiguous", services.judge, "judged", prompt)
     j = c("judged")
     answered = j.isNotNull() & j["failed"].isNull()
@@ -95,7 +109,7 @@ def inventory(extracted: DataFrame, settings: Settings = Settings(), services: S
         "entities_found": F.when(answered & (j["n_names"] > 0) & ~c("entities_found").contains("Name"), named).otherwise(c("entities_found")),
     }).drop("judged")
     floor = settings.bde_count_floor
-    gate = c("searchable") & ~route.is_blank(c("scanned")) & (c("is_structured") | (c("estimated_entities") >= floor))
+    gate = c("searchable") & ~c("blank") & (c("is_structured") | (c("estimated_entities") >= floor))
     hint = F.when(c("estimated_entities") >= floor, F.format_string("This file has about %d rows; the text may be a part of it.\n\n", "estimated_entities")).otherwise("")
     df = enrich.asked(df, gate, services.count_people, "people", F.concat(hint, prompt))
     p = c("people")
@@ -128,14 +142,14 @@ def _stage2(df: DataFrame, settings: Settings, services: Services) -> DataFrame:
     early_reason = F.when(c("status") == "error", "extract_error").otherwise(c("status"))
     reason = (
         F.when(c("early"), early_reason).when(F.lit(not settings.use_stage2), "stage2_disabled").when(cleared, "stage1_nr")
-        .when(~c("searchable"), "not_searchable").when(route.is_blank(c("scanned")), "no_text").otherwise("")
+        .when(~c("searchable"), "not_searchable").when(c("blank"), "no_text").otherwise("")
     )
     df = df.withColumn("s2_skip_reason", reason).withColumn("s2_ran", c("s2_skip_reason") == "")
     offline = services.stage2 == "offline"
-    df = enrich.asked(df, c("s2_ran"), None if offline else services.stage2, "graded", sample_for_model(c("scanned"), settings.llm_input_chars))
+    df = enrich.asked(df, c("s2_ran"), None if offline else services.stage2, "graded", c("prompt") if "prompt" in df.columns else F.lit(""))
     g = c("graded")
     answered = c("s2_ran") if offline else c("s2_ran") & g.isNotNull() & g["failed"].isNull()
-    level = F.when(answered, route.offline_level(c("scanned")) if offline else F.coalesce(g["level"], F.lit(""))).otherwise("")
+    level = F.when(answered, c("offline_level") if offline else F.coalesce(g["level"], F.lit(""))).otherwise("")
     df = df.withColumns({"s2_llm_consulted": answered, "s2_llm_responsiveness": level, "s2_legacy": F.lit(False) if offline else F.coalesce(g["responsive"], F.lit(False))})
     by_rules = c("value_signal") | (c("is_structured") & (c("estimated_entities") > 0))
     yes = F.when(c("s2_llm_consulted"), route.level_responsive(c("s2_llm_responsiveness"), c("s2_legacy"))).otherwise(by_rules)

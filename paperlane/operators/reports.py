@@ -20,9 +20,13 @@ def _total(name: str) -> Column:
 
 def tally(inv: DataFrame) -> DataFrame:
     """One row with the run's counters, all in one pass."""
+    return inv.agg(*(v.cast("long").alias(k) for k, v in _tally_cells().items()))
+
+
+def _tally_cells() -> dict[str, Column]:
     c = F.col
     ambiguous = c("ambiguity") == "ambiguous"
-    cells = {
+    return {
         "files": F.count("*"),
         **{f"status_{s}": _n(c("status") == s) for s in ("ok", "no_parser", "skipped_too_large", "timeout", "error", "container")},
         "image_only": _n(c("text_extractable") == "image_only"),
@@ -42,7 +46,6 @@ def tally(inv: DataFrame) -> DataFrame:
         "cleared": _n(ambiguous & c("llm_consulted") & (c("llm_responsive") != "yes")),
         "failed": _n(ambiguous & ~c("llm_consulted")),
     }
-    return inv.agg(*(v.cast("long").alias(k) for k, v in cells.items()))
 
 
 def counts_by(inv: DataFrame, *columns: str) -> DataFrame:
@@ -66,7 +69,19 @@ def model_failures(inv: DataFrame) -> DataFrame:
 
 def cost(inv: DataFrame, settings: Settings) -> DataFrame:
     """One row: units always, money only for prices that are set; a range where the two token prices differ."""
-    t = inv.agg(_total("llm_tokens").alias("llm_tokens_stage1"), _total("s2_llm_tokens").alias("llm_tokens_stage2"), _total("di_calls").alias("di_calls"), (_total("ocr_pages") + _total("img_ocr_calls")).alias("di_pages_billable"))
+    return priced(inv.agg(*_cost_sums()), settings)
+
+
+COST_UNITS = ("llm_tokens_stage1", "llm_tokens_stage2", "di_calls", "di_pages_billable")
+
+
+def _cost_sums() -> list[Column]:
+    sums = (_total("llm_tokens"), _total("s2_llm_tokens"), _total("di_calls"), _total("ocr_pages") + _total("img_ocr_calls"))
+    return [s.alias(n) for s, n in zip(sums, COST_UNITS)]
+
+
+def priced(t: DataFrame, settings: Settings) -> DataFrame:
+    """Units (COST_UNITS) with their sums of money."""
     t = t.withColumn("llm_tokens_total", F.col("llm_tokens_stage1") + F.col("llm_tokens_stage2"))
     prices = [p for p in (settings.price_per_1k_in, settings.price_per_1k_out) if p]
     low, high = (min(prices), max(prices)) if prices else (None, None)
@@ -79,6 +94,37 @@ def cost(inv: DataFrame, settings: Settings) -> DataFrame:
     return t.withColumn("di_share_of_spend_pct", F.bround(share, 1))
 
 
+def summary(inv: DataFrame, per_1k_tokens: float = 0.0, per_1k_pages: float = 0.0, top: int = 20) -> DataFrame:
+    """What a results screen shows, as rows (section, name, value): decisions, OCR, tokens and money, files by lane, status and grade, top labels.
+
+    Tokens are priced as a whole, because an inventory does not split them. One pass over the inventory by the columns
+    that the sections group by; labels take another.
+    """
+    c = F.col
+    no_model = ~c("llm_consulted") & ~c("s2_llm_consulted")
+    sums = {
+        "nr_stage1": _n(c("nr_stage1")), "is_bde": _n(c("is_bde")), "s2_is_bde": _n(c("s2_is_bde")), "s2_nr": _n(c("s2_nr")), "llm_consulted": _n(c("llm_consulted")), "s2_consulted": _n(c("s2_llm_consulted")), "rules_decided": _n(no_model),
+        "di_calls": _total("di_calls"), "ocr_attempted": _n(c("ocr_attempted")), "ocr_pages": _total("ocr_pages"), "img_ocr_calls": _total("img_ocr_calls"),
+        "tokens_total": _total("llm_tokens_total"), "tokens_stage1": _total("llm_tokens"), "tokens_stage2": _total("s2_llm_tokens"), "files": F.count("*"),
+    }
+    blank = lambda n, other: F.coalesce(F.nullif(F.trim(n), F.lit("")), F.lit(other))
+    keys = {"lane": blank("suggested_lane", "(blank)"), "s2_lane": blank("s2_lane", ""), "status": blank("status", "(blank)"), "grade": blank("s2_llm_responsiveness", "")}
+    by = inv.groupBy(*(v.alias(k) for k, v in keys.items())).agg(*(v.cast("long").alias(k) for k, v in sums.items()))
+    row = lambda section, name, value: F.struct(F.lit(section).alias("section"), (F.lit(name) if isinstance(name, str) else name).alias("name"), value.cast("double").alias("value"))
+    grouped = by.select(F.inline(F.array(*(row(k, c(k), c("files")) for k in keys)))).filter("name <> ''").groupBy("section", "name").agg(F.sum("value").alias("value"))
+    t = by.agg(*(_total(k).alias(k) for k in sums))
+    tokens = F.when((c("tokens_total") == 0), c("tokens_stage1") + c("tokens_stage2")).otherwise(c("tokens_total"))
+    pages = c("ocr_pages") + c("img_ocr_calls")
+    llm, di = F.bround(tokens / 1000.0 * per_1k_tokens, 2), F.bround(pages / 1000.0 * per_1k_pages, 2)
+    cells = [row("decision", k, c(k)) for k in ("files", "nr_stage1", "is_bde", "s2_is_bde", "s2_nr", "llm_consulted", "s2_consulted", "rules_decided")]
+    cells += [row("decision", "responsive_stage1", c("files") - c("nr_stage1")), row("decision", "model_decided", c("files") - c("rules_decided"))]
+    cells += [row("ocr", k, c(k)) for k in ("di_calls", "ocr_attempted", "ocr_pages", "img_ocr_calls")] + [row("ocr", "di_pages_billable", pages)]
+    cells += [row("tokens", "total", tokens), row("tokens", "stage1", c("tokens_stage1")), row("tokens", "stage2", c("tokens_stage2"))]
+    cells += [row("cost", "di", di), row("cost", "llm", llm), row("cost", "total", F.bround(di + llm, 2))]
+    labels = label_counts(inv, top).select(row("label", c("label"), c("files")).alias("r")).select("r.*")
+    return t.select(F.inline(F.array(*cells))).unionByName(grouped).unionByName(labels)
+
+
 def label_counts(inv: DataFrame, top: int = 20) -> DataFrame:
     """The most frequent labels; ties by label."""
     each = inv.filter(F.coalesce(F.col("entities_found"), F.lit("")) != "").select(F.explode(F.split("entities_found", r"\|")).alias("l")).select(F.trim("l").alias("label"))
@@ -102,13 +148,17 @@ def draw_sample(inv: DataFrame, rate: float = 0.05, seed: int = 12345) -> DataFr
 
     Which files are drawn differs from another generator's choice; sizes and reproducibility are the same.
     """
-    rows = nonsearchable(inv)
-    sizes = rows.groupBy("complexity_bucket").agg(F.count("*").alias("n"))
     draw = F.md5(F.concat(F.col("rel_path"), F.lit(str(seed))).cast("binary"))
-    rank = F.row_number().over(Window.partitionBy("complexity_bucket").orderBy("draw", "rel_path"))
-    ranked = rows.withColumn("draw", draw).withColumn("rank", rank).join(sizes, "complexity_bucket")
-    taken = ranked.filter(F.col("rank") <= F.greatest(F.lit(1), F.ceil(F.col("n") * F.lit(rate))))
-    return taken.select("rel_path", "complexity_bucket", F.col("ext").alias("file_type"))
+    rows = nonsearchable(inv).select("rel_path", "complexity_bucket", F.col("ext").alias("file_type"), draw.alias("draw"), F.substring(draw, 1, 4).alias("head"))
+    # Files are counted by the first digits of their draw; only those at the border of the quota are ranked.
+    heads = rows.groupBy("complexity_bucket", "head").agg(F.count("*").alias("k"))
+    whole = Window.partitionBy("complexity_bucket")
+    heads = heads.withColumn("n", F.sum("k").over(whole)).withColumn("before", F.coalesce(F.sum("k").over(whole.orderBy("head").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    heads = heads.withColumn("open", F.greatest(F.lit(1), F.ceil(F.col("n") * F.lit(rate))) - F.col("before")).filter("open > 0")
+    drawn = rows.join(heads.select("complexity_bucket", "head", "k", "open"), ["complexity_bucket", "head"])
+    rank = F.row_number().over(Window.partitionBy("complexity_bucket", "head").orderBy("draw", "rel_path"))
+    border = drawn.filter("k > open").withColumn("rank", rank).filter("rank <= open").drop("rank")
+    return drawn.filter("k <= open").unionByName(border).select("rel_path", "complexity_bucket", "file_type")
 
 
 def extrapolate(inv: DataFrame, coded: DataFrame) -> DataFrame:
@@ -151,10 +201,14 @@ def extension_counts(paths: DataFrame, top: int = 12) -> DataFrame:
 
 
 def manifest(inv: DataFrame, settings: Settings, extra: dict[str, str] | None = None) -> DataFrame:
-    """One row for a run: its tally, cost, lanes as a map, rule list and fingerprint; ``toJSON`` makes the file."""
-    lanes = counts_by(inv, "suggested_lane").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("suggested_lane", "files")))).alias("lanes"))
-    t = tally(inv).select(F.struct("*").alias("counters"))
-    m = cost(inv, settings).select(F.struct("*").alias("cost"))
-    out = t.join(m).join(lanes)  # one row each
+    """One row for a run: its tally, cost, lanes as a map, rule list and fingerprint; ``toJSON`` makes the file.
+
+    The inventory is read once: counters are summed by lane, and the few rows of lanes are summed up.
+    """
+    cells = _tally_cells() | dict(zip(COST_UNITS, _cost_sums()))
+    by = inv.groupBy("suggested_lane").agg(*(v.cast("long").alias(k) for k, v in cells.items()))
+    lanes = F.map_from_entries(F.sort_array(F.collect_list(F.struct("suggested_lane", "files")))).alias("lanes")
+    own = by.agg(lanes, *(_total(n).alias(n) for n in cells))
+    out = priced(own, settings).select(F.struct(*_tally_cells()).alias("counters"), F.struct(*COST_UNITS, "llm_tokens_total", "llm_cost_low", "llm_cost_high", "di_cost", "di_share_of_spend_pct").alias("cost"), "lanes")
     notes = {"rules_name": settings.rules.name, "rules_version": settings.rules.version, "rules_sha256": settings.rules.fingerprint(), "bde_threshold": str(settings.bde_threshold)} | (extra or {})
     return out.withColumns({k: F.lit(v) for k, v in notes.items()})

@@ -32,12 +32,10 @@ def estimate_entities(rules: RuleList) -> Column:
     return F.when(F.col("is_structured"), F.coalesce("structured_entity_rows", F.lit(0))).otherwise(plain)
 
 
-def roster_estimate(estimate: Column, total_rows: Column, structured: Column, threshold: int) -> Column:
-    """A long structured file that was read as holding few people counts by its rows."""
-    if threshold <= 0:
-        return estimate
+def roster_estimate(estimate: Column, total_rows: Column, structured: Column, threshold: Column) -> Column:
+    """A long structured file that was read as holding few people counts by its rows; a threshold of 0 turns that off."""
     total = F.coalesce(total_rows, F.lit(0))
-    return F.when(structured & (estimate < threshold) & (total >= threshold), total).otherwise(estimate)
+    return F.when((threshold > 0) & structured & (estimate < threshold) & (total >= threshold), total).otherwise(estimate)
 
 
 def classify_ambiguity(ssn: Column, labels: Column, structured: Column, rows: Column, total_rows: Column) -> Column:
@@ -72,7 +70,7 @@ def notes(*parts: Column) -> Column:
     return F.concat_ws(" ", *(F.when(p != "", p) for p in parts))
 
 
-# Graded answers that mean yes and no.
+# Graded answers that mean yes and no; below, the words that grade without a model.
 YES_LEVELS, NO_LEVELS = ("clear_yes", "likely_yes"), ("borderline", "likely_no", "clear_no")
 
 

@@ -37,10 +37,16 @@ def pick_column(headers: list[str], hints: tuple[str, ...], given: str | None =
     return None
 
 
+def _number(value: Column) -> Column:
+    """A text's number; what is no number counts as less than any."""
+    n = value.try_cast("double")
+    return F.when(F.isnan(n), F.lit(float("-inf"))).otherwise(n)
+
+
 def parse_responsive(value: Column) -> Column:
     """True, False or null from a reviewer's word or count."""
     v = F.lower(F.trim(value.cast("string")))
-    return F.when(v.isin(*TRUE_WORDS), True).when(v.isin(*FALSE_WORDS), False).otherwise(v.try_cast("double") > 0)
+    return F.when(v.isin(*TRUE_WORDS), True).when(v.isin(*FALSE_WORDS), False).otherwise(_number(v) > 0)
 
 
 def manual_status(value: Column) -> Column:
@@ -134,7 +140,7 @@ def benchmark(inv: DataFrame, gold: DataFrame, absent_means: str = "unreviewed",
     if bde_threshold is None:
         same = F.col("is_bde") == yes
     else:
-        same = (F.col("estimated_entities") >= bde_threshold) == F.coalesce(gb.try_cast("double") >= bde_threshold, yes)
+        same = (F.col("estimated_entities") >= bde_threshold) == F.coalesce(_number(gb) >= bde_threshold, yes)
     scored = F.col("pred").isNotNull() & F.coalesce(gb != "", F.lit(False))
     p, t = F.col("pred"), F.col("truth")
 
@@ -200,6 +206,47 @@ def count_accuracy(scored: DataFrame, threshold: int = 6) -> DataFrame:
     return out.withColumns({"rescued": F.col("eff_ge") - F.col("raw_ge"), "still_missed": F.col("n_true_bde") - F.col("eff_ge")})
 
 
+def missed_bde(scored: DataFrame, threshold: int = 6) -> DataFrame:
+    """True BDEs whose effective count stays below them, by type and searchable."""
+    rows = scored.filter((F.col("human") > threshold) & (effective_count() < threshold + 1))
+    return rows.groupBy(type_of(F.col("ext")).alias("ftype"), "searchable").agg(F.count("*").alias("files"))
+
+
+def overview(inv: DataFrame) -> DataFrame:
+    """What a scorecard says without truth: files by type, searchable, lane, stage-2 lane and final verdict."""
+    final = F.when(verdict().isNull(), "undetermined").when(verdict(), "R").otherwise("NR")
+    keys = [type_of(F.col("ext")).alias("ftype"), "searchable", "suggested_lane", "s2_lane", final.alias("verdict")]
+    return inv.groupBy(*keys).agg(F.count("*").alias("files"), F.count_if("is_bde").alias("bde"), F.sum("estimated_entities").alias("estimated_entities"), F.sum("di_calls").alias("di_calls"), F.sum("llm_tokens_total").alias("tokens"))
+
+
+def file_detail(scored: DataFrame) -> DataFrame:
+    """One row per file with every call on it beside the truth, where there is one (column human)."""
+    calls = {f"{k}_call": f() for k, f in VIEWS.items()}
+    human = [F.col("human"), (F.col("human") > 0).alias("truth")] if "human" in scored.columns else []
+    return scored.select("rel_path", type_of(F.col("ext")).alias("ftype"), "searchable", "programmatic", "suggested_lane", "s2_lane", *(v.alias(k) for k, v in calls.items()), "estimated_entities", "bde_person_count", effective_count().alias("effective_count"), "is_bde", "s2_is_bde", "detail", *human)
+
+
+def sheets(inv: DataFrame, export: DataFrame | None = None, tasks: DataFrame | None = None, run_info: dict[str, str] | None = None, threshold: int = 6, absent_means: str = "unreviewed") -> dict[str, DataFrame]:
+    """The scorecard's sheets by name, in order. Without an export those on accuracy are left out, without tasks those on time.
+
+    inv needs ``row``; the same table is read for each sheet, so hand in a written one.
+    """
+    from . import fleet, reports
+
+    info = inv.sparkSession.createDataFrame(sorted((run_info or {}).items()), "item string, value string")
+    out = {"Run Info": info, "Summary": reports.summary(inv), "Overview": overview(inv)}
+    if tasks is not None:
+        done = tasks.filter(F.col("status") == "completed")
+        per_file = done.select("job_id", "file_name", "worker_instance", "duration_ms", "attempt_count", "tokens_in", "tokens_out", F.element_at(F.split("file_name", r"\."), -1).alias("ext"))
+        out |= {"Timing": fleet.duration_stats(tasks, "job_id"), "Run Timeline": fleet.minute_series(tasks), "Per-file Timing": per_file}
+    if export is None:
+        return out | {"File Detail": file_detail(inv)}
+    scored = joined_truth(inv, export, absent_means)
+    return out | {
+        "NR-R": scorecard(scored), "BDE": bde_definitions(scored, threshold), "Count Accuracy": count_accuracy(scored, threshold), "Missed BDE": missed_bde(scored, threshold), "Metrics by Type": metrics_by_type(scored),
+        "Stage 2": level_distribution(scored), "OCR Yield": ocr_yield(scored, threshold), "File Detail": file_detail(scored), "Misses": misses(scored)}
+
+
 def metrics_by_type(scored: DataFrame) -> DataFrame:
     """Stage-1 matrices overall, by type, searchable, and (searchable, programmatic), each also by type: one grouping-sets sum, zero-filled."""
     rows = scored.select(type_of(F.col("ext")).alias("ftype"), "searchable", "programmatic", stage1_call().alias("pred"), (F.col("human") > 0).alias("truth"))

@@ -86,7 +86,7 @@ DEFAULT_RULES: tuple[Rule, ...] = (
     _k("ALIEN_REG", "Alien Registration", _GOV, "alien registration|anumber|a-number|uscis", r"\b(?:alien registration|a-?number|uscis)\b"),
     _k("MILITARY_ID", "Military ID", _GOV, "military id|dod id|service number", r"\b(?:military id|\bdod id\b|service number)\b"),
     _k("TRIBAL_ID", "Tribal ID", _GOV, "tribal id", r"\btribal id\b"),
-    _v("DOB", "Date of Birth", "Birth Information", 25, 0, "birth|d.o|do|d.ob|born", r"date\s*of\s*birth|d\.?o\.?b\.?|born(?:\s*on)?|birth\s*date", r"\d{1,2}[/-]\d{1,2}[/-]\d{2,4}|(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?\s+\d{1,2},?\s+\d{4}"),
+    _v("DOB", "Date of Birth", "Birth Information", 25, 0, "birth|born|dob|do.b|d.ob|d.o.b", r"date\s*of\s*birth|d\.?o\.?b\.?|born(?:\s*on)?|birth\s*date", r"\d{1,2}[/-]\d{1,2}[/-]\d{2,4}|(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?\s+\d{1,2},?\s+\d{4}"),
     _k("BIRTH_CERT", "Birth Certificate", "Birth Information", "birth certificate", r"\bbirth certificate\b"),
     Rule("CARD", "Payment Card", _FIN, "regex", (r"\b(?:\d[ -]?){13,19}\b",), per_person=True, luhn=True),
     _v("BANK_ACCOUNT", "Bank/Account Number", _FIN, 30, 6, "account|iban|routing|sort|loan", r"account\s*(?:no\.?|number|#)|\biban\b|routing\s*(?:no\.?|number)?|sort\s*code|loan\s*(?:no\.?|number)", r"[A-Z]{2}\d{2}[A-Z0-9]{10,30}|\d{6,17}"),

@@ -24,6 +24,10 @@ class Settings:
     sample_rows: int = 50
     zip_ratio_limit: int = 200
     timeout_s: int = 150
+    pdf_open_timeout_s: float = 30.0
+    pdf_max_pages: int = 0  # pages of a PDF that are read for text; 0: all
+    pdf_probe_pages: int = 0  # after so many pages of little text a PDF is tested for being a scan; 0: at its end
+    protocol_text: str = ""  # the matter's own rules, for the model; its first 8,000 characters are sent
     llm_input_chars: int = 24_000
     price_per_1k_in: float = 0.0
     price_per_1k_out: float = 0.0

@@ -8,43 +8,98 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from urllib.parse import unquote
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import base_name, extension, strip_html, strip_rtf
 from ..plans.schema import EXTRACTED_SCHEMA, META
 from ..plans.settings import Settings
+from ..shared import written
 from . import extract
 from .tables import meta
 
 
-def scan(spark: SparkSession, root: str, empty_files: bool = True) -> DataFrame:
-    """Every file below root: path, rel_path, file_name, ext, size_bytes, content.
+def _glob(extensions: list[str]) -> str:
+    """A file pattern for names with these extensions, in either case."""
+    either = ("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in e) for e in extensions)
+    return "{" + ",".join(f"*{e}" for e in either) + "}"
 
-    Spark's scan leaves out files without bytes. They are added from the listing that the scan has made on the driver
-    anyway; ``empty_files=False`` saves that for corpora where they don't matter.
-    """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length", "content")
-    if empty_files and (listed := files.inputFiles()):
-        norm = F.regexp_replace("path", "^([a-z0-9]+):/+", "$1:/")
-        every = spark.createDataFrame([(unquote(p),) for p in listed], "path string")
-        missing = every.withColumn("n", norm).join(files.select(norm.alias("n")), "n", "left_anti")
-        files = files.unionByName(missing.select("path", F.lit(0).cast("long").alias("length"), F.lit(b"").alias("content")))
+
+def _described(files: DataFrame, root: str) -> DataFrame:
     bare = re.sub(r"^[a-z0-9]+:/*", "/", root).rstrip("/")
     rel = F.regexp_replace("path", "^.*?" + re.escape(bare).replace("/", "/+") + "/", "")
     return files.select("path", rel.alias("rel_path"), base_name(F.col("path")).alias("file_name"), extension(F.col("path")).alias("ext"), F.col("length").alias("size_bytes"), "content")
 
 
-def kind_of(ext: Column) -> Column:
-    out = None
-    for kind, exts in extract.READERS.items():
-        out = F.when(ext.isin(*exts), kind) if out is None else out.when(ext.isin(*exts), kind)
+def scan(spark: SparkSession, root: str, empty_files: bool = True, settings: Settings = Settings(), readers: extract.Registry = extract.Registry()) -> DataFrame:
+    """Every file below root: path, rel_path, file_name, ext, size_bytes, content.
+
+    Bytes are read of files that have a reader and are not too large; all others are listed with null content and never
+    opened. Spark's listing leaves out files without bytes; ``empty_files`` finds those by a walk on the executors.
+    """
+    def reader(pattern: str) -> DataFrameReader:
+        return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+
+    readable = F.coalesce(extension(F.col("path")).isin(*readers.opened()), F.lit(False)) & (F.col("length") <= settings.max_bytes)
+    opened = reader(_glob(readers.opened())).load(root).filter(F.col("length") <= settings.max_bytes).select("path", "length", "content").filter(readable)
+    files = opened.unionByName(reader("*").load(root).select("path", "length").filter(~readable).withColumn("content", F.lit(None).cast("binary")))
+    if empty_files:
+        files = files.unionByName(_empty(spark, root).select("path", F.lit(0).cast("long").alias("length"), F.lit(b"").alias("content")))
+    return _described(files, root)
+
+
+def _empty(spark: SparkSession, root: str) -> DataFrame:
+    """Paths of files without bytes: folder by folder, one round a level; only the question whether any are left comes to the driver."""
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for b in batches:
+            for folder in b["folder"]:
+                store, path = fs.FileSystem.from_uri(folder)
+                prefix = folder[: len(folder) - len(path)] if folder.endswith(path) else "file://"
+                found = [x for x in store.get_file_info(fs.FileSelector(path)) if not x.base_name.startswith((".", "_"))]
+                kept = [(prefix + x.path, x.type == fs.FileType.Directory) for x in found if x.type == fs.FileType.Directory or x.size == 0]
+                yield pd.DataFrame(kept, columns=["path", "is_folder"])
+
+    root = (root if "://" in root else f"file://{root}").rstrip("/")
+    level, out = spark.createDataFrame([(root,)], "folder string"), None
+    while True:
+        found = written(level.mapInPandas(listed, "path string, is_folder boolean"), "listing")
+        empty = found.filter("not is_folder").select("path")
+        out = empty if out is None else out.unionByName(empty)
+        level = found.filter("is_folder").select(F.col("path").alias("folder")).repartition("folder")
+        if level.isEmpty():
+            return out
+
+
+def stream(spark: SparkSession, root: str, files_per_batch: int = 1000, settings: Settings = Settings(), readers: extract.Registry = extract.Registry()) -> DataFrame:
+    """As ``scan``, as a stream of files as they appear below root; files without a reader or too large are not in it."""
+    source = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+    source = source.option("recursiveFileLookup", True).option("pathGlobFilter", _glob(readers.opened())).option("maxFilesPerTrigger", files_per_batch)
+    return _described(source.load(root).filter(F.col("length") <= settings.max_bytes).select("path", "length", "content"), root)
+
+
+def kind_of(ext: Column, readers: extract.Registry = extract.Registry()) -> Column:
+    kinds: dict[str, list[str]] = {}
+    for e, kind in readers.extensions.items():
+        kinds.setdefault(kind, []).append(e)
+    out = F.lit(None).cast("string")
+    for kind, exts in kinds.items():
+        out = F.when(ext.isin(*exts), kind).otherwise(out)
     return out
 
 
+def text_of(content: Column) -> Column:
+    """Bytes as UTF-8 text without what is not valid in them; a replacement character that stands in the file stays."""
+    mark = "\U0010fffd"
+    raw = content.cast("string")
+    valid = F.replace(F.make_valid_utf8(F.replace(raw, F.lit("\ufffd"), F.lit(mark))), F.lit("\ufffd"), F.lit(""))
+    return F.when(F.is_valid_utf8(raw), raw).otherwise(F.replace(valid, F.lit(mark), F.lit("\ufffd")))
+
+
 def _person_tests(settings: Settings):
     """Row tests for the parsers, from the same rule list as the column expressions."""
     from ..functions import detectors as d
@@ -78,14 +133,15 @@ def _person_tests(settings: Settings):
     return is_person, is_name
 
 
-def extracted(files: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def extracted(files: DataFrame, settings: Settings = Settings(), readers: extract.Registry = extract.Registry()) -> DataFrame:
     """Rows of the extracted schema for scanned files."""
     s = settings
-    files = files.withColumn("kind", F.when(F.col("size_bytes") > s.max_bytes, F.when(kind_of(F.col("ext")).isNotNull(), "large").otherwise("none")).otherwise(F.coalesce(kind_of(F.col("ext")), F.lit("none"))))
-    raw = F.decode("content", "UTF-8")
-    head = F.substring(raw, 1, 2 * s.max_scan_chars)
+    of = F.coalesce(kind_of(F.col("ext"), readers), F.lit("none"))
+    files = files.withColumn("kind", F.when((F.col("size_bytes") > s.max_bytes) & (of != "none"), "large").otherwise(of))
+    raw = text_of(F.col("content"))
+    head = F.substring(raw, 1, min(2 * s.max_scan_chars, (1 << 31) - 1))
     flags = {
-        "none": ("unknown", "no_parser", "unsupported_ext"), "large": ("", "skipped_too_large", f"size>{s.max_bytes}"), "convert": ("needs_conversion", None, None),
+        "none": ("unknown", "no_parser", "unsupported_ext"), "large": ("", "skipped_too_large", f"size>{s.max_bytes}"), "convert": ("needs_conversion", "no_parser", None),
         "image": ("image_only", None, None), "container": ("none", "container", "expand_first"),
     }
     native = {"text": F.substring(raw, 1, s.max_scan_chars), "markup": F.substring(strip_html(head), 1, s.max_scan_chars), "rtf": F.substring(strip_rtf(head), 1, s.max_scan_chars)}
@@ -99,8 +155,9 @@ def extracted(files: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     text = F.coalesce(pick(native), F.lit(""))
     m = meta(text_extractable=pick({k: F.lit(v[0]) for k, v in flags.items()} | {k: F.lit("text") for k in native}), status=pick({k: F.lit(v[1]) for k, v in flags.items()}), detail=pick({k: F.lit(v[2]) for k, v in flags.items()}))
-    simple = files.filter(kind.isin(*flags, *native)).select("rel_path", "file_name", "ext", "size_bytes", text.alias("text"), m.alias("meta"))
-    parsed = files.filter(~kind.isin(*flags, *native)).select("rel_path", "file_name", "ext", "size_bytes", "kind", "content")
+    own = kind.isin(*readers.parsers)
+    simple = files.filter(~own).select("rel_path", "file_name", "ext", "size_bytes", text.alias("text"), m.alias("meta"))
+    parsed = files.filter(own).select("rel_path", "file_name", "ext", "size_bytes", "kind", "content")
     tests = _person_tests(s)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -109,7 +166,7 @@ def extracted(files: DataFrame, settings: Settings = Settings()) -> DataFrame:
             for kind, ext, data in zip(b["kind"], b["ext"], b["content"]):
                 try:
                     with extract.TimeLimit(s.timeout_s):
-                        text, got = extract.read(kind, ext, bytes(data), extract.RowCounter(*tests, s), s)
+                        text, got = readers.parsers[kind](bytes(data), ext, extract.RowCounter(*tests, s), s)
                 except TimeoutError:
                     text, got = "", {"status": "timeout", "detail": "per_file_timeout"}
                 except Exception as e:  # one bad file is a row with a status, never the end of a run

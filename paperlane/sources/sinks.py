@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import to_int, truthy
@@ -13,13 +14,17 @@ from ..plans.schema import COLUMNS, INVENTORY_SCHEMA, ZERO
 from .extract import sheets
 
 
+# One way to quote on both sides: doubled quotes, line breaks and outer blanks kept.
+CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_csv(inv: DataFrame, path: str, mode: str = "error") -> None:
-    inv.write.mode(mode).option("header", True).option("emptyValue", "").csv(path)
+    inv.write.mode(mode).options(**CSV, emptyValue="").csv(path)
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """An inventory from CSV: missing columns get their zero, booleans and numbers are read leniently, partial rows dropped."""
-    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    raw = spark.read.options(**CSV, multiLine=True).csv(path)
     out = []
     for name, kind in COLUMNS:
         if name not in raw.columns:
@@ -36,8 +41,35 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """Result files of finished tasks, one JSON object each, by the inventory's schema."""
-    return spark.read.schema(INVENTORY_SCHEMA).option("recursiveFileLookup", True).option("multiLine", True).json(path)
+    """Result files of finished tasks, a JSON object to a line, by the inventory's schema."""
+    return spark.read.schema(INVENTORY_SCHEMA).option("recursiveFileLookup", True).json(path)
+
+
+def write_results(rows: DataFrame, path: str, mode: str = "append") -> None:
+    """Inventory rows with ``job_id`` as one JSON object a line, in a folder for each job; ``read_results`` reads them back."""
+    rows.write.mode(mode).partitionBy("job_id").option("ignoreNullFields", False).json(path)
+
+
+def key_values(text: str) -> dict[str, str]:
+    """KEY=VALUE lines of a settings file: comments, blank lines and a leading ``export`` aside, quotes around a value off."""
+    out = {}
+    for line in map(str.strip, text.splitlines()):
+        if line.startswith("#") or "=" not in line:
+            continue
+        key, _, value = line.removeprefix("export ").partition("=")
+        key, value = key.strip(), value.strip()
+        if len(value) >= 2 and value[0] == value[-1] and value[0] in "'\"":
+            value = value[1:-1]
+        if key:
+            out.setdefault(key, value)
+    return out
+
+
+def write_sheets(sheets: dict[str, DataFrame], path: str) -> None:
+    """Each sheet as a CSV folder of its name, nested columns as JSON."""
+    for name, df in sheets.items():
+        flat = [F.to_json(f.name).alias(f.name) if f.dataType.typeName() in ("array", "map", "struct") else F.col(f"`{f.name}`") for f in df.schema]
+        write_csv(df.select(*flat), f"{path}/{name}")
 
 
 def collected(tasks: DataFrame, results: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -48,10 +80,11 @@ def collected(tasks: DataFrame, results: DataFrame) -> tuple[DataFrame, DataFram
 
 def archive(rows: DataFrame, path: str) -> int:
     """Writes rows as JSON lines and reads them back; raises unless the counts agree."""
-    rows.write.json(path)
-    written, back = rows.count(), rows.sparkSession.read.schema(rows.schema).json(path).count()
-    if written != back:
-        raise RuntimeError(f"archive holds {back} of {written} rows")
+    seen = Observation("archive")
+    rows.observe(seen, F.count(F.lit(1)).alias("n")).write.option("ignoreNullFields", False).json(path)
+    made, back = seen.get["n"], rows.sparkSession.read.schema(rows.schema).json(path).count()
+    if made != back:
+        raise RuntimeError(f"archive holds {back} of {made} rows")
     return back
 
 
@@ -67,13 +100,15 @@ def write_manifest(manifest: DataFrame, path: str) -> None:
     manifest.write.json(path)
 
 
-def _rows_of(spark: SparkSession, path: str, tab: str | None) -> tuple[list[str], DataFrame]:
+def _rows_of(spark: SparkSession, path: str, tab: str | None, is_header: Callable[[list[str]], bool]) -> tuple[list[str], DataFrame]:
     if path.lower().endswith(".xlsx"):
         data = spark.read.format("binaryFile").load(path).select("content").first()[0]
         found = sheets(bytes(data))
         rows = next(r for n, r in found if tab is None or n == tab)
-        # the header is among the first 25 rows: the first with two or more filled cells
-        top = next(i for i, r in enumerate(rows[:25]) if sum(bool(c.strip()) for c in r) >= 2)
+        # the header is the first of 25 rows that has the wanted columns; banners may stand above it
+        top = next((i for i, r in enumerate(rows[:25]) if is_header([c.strip() for c in r])), None)
+        if top is None:
+            raise ValueError(f"no header with the wanted columns in the first 25 rows of {path}")
         headers = [c.strip() or f"column{i}" for i, c in enumerate(rows[top])]
         body = [tuple((r + [""] * len(headers))[: len(headers)]) for r in rows[top + 1 :]]
         return headers, spark.createDataFrame(body, ", ".join(f"`{h}` string" for h in headers))
@@ -84,7 +119,7 @@ def _rows_of(spark: SparkSession, path: str, tab: str | None) -> tuple[list[str]
 
 def read_gold(spark: SparkSession, path: str, tab: str | None = None, id_col: str | None = None, responsive_col: str | None = None, bde_col: str | None = None) -> DataFrame:
     """A reviewers' sheet as (id, responsive, bde); columns are found by their headers unless given."""
-    headers, df = _rows_of(spark, path, tab)
+    headers, df = _rows_of(spark, path, tab, lambda cells: pick_column(cells, ID_HINTS, id_col) is not None and pick_column(cells, RESPONSIVE_HINTS, responsive_col) not in (None, pick_column(cells, ID_HINTS, id_col)))
     i, r, b = (pick_column(headers, h, g) for h, g in ((ID_HINTS, id_col), (RESPONSIVE_HINTS, responsive_col), (BDE_HINTS, bde_col)))
     if i is None or r is None:
         raise ValueError(f"no id or verdict column among {headers}")
@@ -94,5 +129,5 @@ def read_gold(spark: SparkSession, path: str, tab: str | None = None, id_col: st
 
 def read_export(spark: SparkSession, path: str, tab: str | None = None, id_col: str = "Control ID", total_col: str = "Total Entities") -> DataFrame:
     """An export of entity counts as (id, total)."""
-    headers, df = _rows_of(spark, path, tab)
+    headers, df = _rows_of(spark, path, tab, lambda cells: all(pick_column(cells, (), c) is not None for c in (id_col, total_col)))
     return df.select(F.col(f"`{pick_column(headers, (), id_col)}`").alias("id"), F.col(f"`{pick_column(headers, (), total_col)}`").alias("total"))

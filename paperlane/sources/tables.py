@@ -44,7 +44,7 @@ def threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_files(turns, "threads", "conv_id", ".eml", F.array_join("t.text", "\n"), attachment_count=F.lit(0))
 
 
-def structured(rows: DataFrame, key: str, row_text: Column, order: str, rules: RuleList, folder: str, sample_rows: int = 50, max_rows: int = 200_000) -> DataFrame:
+def structured(rows: DataFrame, key: str, row_text: Column, order: str, rules: RuleList, folder: str, sample_rows: int = 50, max_rows: int = (1 << 31) - 1) -> DataFrame:
     """Rows of a table as one structured file for each key: counts of rows, and the first rows as its text.
 
     Counts are summed map-side. The sample is the ``sample_rows`` least rows by order, kept by a bounded aggregate

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,21 +42,20 @@ def windowed_throughput(tasks: DataFrame, window: str = "5 minutes", slide: str
 def breaker(finished: DataFrame, size: int = 1000, limit: float = 0.05) -> DataFrame:
     """Streaming (job_id, tripped, rate) whenever a job's last ``size`` finishes hold more than ``limit`` failures.
 
-    The state of a job is its last ``size`` outcomes as a text of 0 and 1; rows of a batch are taken in order of completion.
+    The state of a job is its last ``size`` outcomes as a text of 0 and 1. A batch's rows are taken in order of completion,
+    and held as two numbers and a key each until it is sorted: what a job finishes in one batch, which the source bounds
+    (``maxFilesPerTrigger``), must fit a worker so. Rows that come in a later batch count after those of an earlier one.
     """
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         ring = state.get[0] if state.exists else ""
-        rows = pd.concat(list(batches)).sort_values(["completed_at", "row_key"])
-        worst = None
-        for bad in rows["bad"]:
-            ring = (ring + ("1" if bad else "0"))[-size:]
-            if len(ring) == size:
-                rate = ring.count("1") / size
-                worst = rate if worst is None else max(worst, rate)
-        state.update((ring,))
-        if worst is not None:
+        times, keys, bads = (np.concatenate(x) for x in zip(*((b["completed_at"].to_numpy("datetime64[us]").astype(np.int64), b["row_key"].to_numpy(), b["bad"].to_numpy(bool)) for b in batches)))
+        bad = np.concatenate([np.frombuffer(ring.encode(), np.uint8) == ord("1"), bads[np.lexsort((keys, times))]])
+        state.update(("".join("01"[int(b)] for b in bad[-size:]),))
+        if len(bad) >= size:
+            sums = np.concatenate([[0], np.cumsum(bad)])
+            worst = float((sums[size:] - sums[:-size])[max(0, len(ring) + 1 - size) :].max()) / size
             yield pd.DataFrame({"job_id": [key[0]], "tripped": [worst > limit], "rate": [worst]})
 
     rows = finished.select("job_id", "row_key", "completed_at", (F.col("status") != "completed").alias("bad"))
@@ -63,13 +63,15 @@ def breaker(finished: DataFrame, size: int = 1000, limit: float = 0.05) -> DataF
 
 
 def dead_letter_growth(snapshots: DataFrame, limit: float = 0.05, least: int = 100) -> DataFrame:
-    """Snapshots (job_id, at, completed, dead_lettered, workers): whether dead letters grew too fast against completions."""
-    from pyspark.sql import Window
+    """Snapshots (job_id, at, completed by one worker, dead_lettered, workers): whether dead letters grew too fast since a job's first snapshot.
 
-    w = Window.partitionBy("job_id").orderBy("at")
-    grown = F.col("dead_lettered") - F.coalesce(F.lag("dead_lettered").over(w), F.lit(0))
-    share = grown / F.nullif((F.col("completed") * F.col("workers")).cast("double"), F.lit(0.0))
-    return snapshots.select("job_id", "at", ((F.col("completed") >= least) & F.coalesce(share > limit, F.lit(False))).alias("tripped"))
+    Growth is held against the completions of all workers, once these are ``least`` or more.
+    """
+    first = snapshots.groupBy("job_id").agg(F.min_by("dead_lettered", "at").alias("at_start"))
+    grown = F.greatest(F.lit(0), F.col("dead_lettered") - F.col("at_start"))
+    done = F.col("completed") * F.col("workers")
+    share = grown / F.nullif(done.cast("double"), F.lit(0.0))
+    return snapshots.join(first, "job_id").select("job_id", "at", ((done >= least) & F.coalesce(share > limit, F.lit(False))).alias("tripped"))
 
 
 def poll_rate(snapshots: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ def test_buckets(spark):
 
 def test_roster(spark):
     cases = [(3, 500, True, 51, 500), (40, 55, True, 51, 55), (0, 500, True, 51, 500), (60, 500, True, 51, 60), (3, 30, True, 51, 3), (3, 500, False, 51, 3), (3, 500, True, 0, 3)]
-    got = spark.range(1).select(*(route.roster_estimate(F.lit(b), F.lit(t), F.lit(s), n).alias(f"c{i}") for i, (b, t, s, n, _) in enumerate(cases))).first()
+    got = spark.range(1).select(*(route.roster_estimate(F.lit(b), F.lit(t), F.lit(s), F.lit(n)).alias(f"c{i}") for i, (b, t, s, n, _) in enumerate(cases))).first()
     assert list(got) == [c[-1] for c in cases]
 
 
@@ -50,17 +50,19 @@ def test_ambiguity_and_lanes(spark):
         file("bare.csv", "x", is_structured=True, structured_entity_rows=3, structured_total_rows=500),
         file("dark.xlsx", "", 50_000, is_structured=True), file("small.xlsx", "", 1000, is_structured=True),
         file("scan.pdf", text_extractable="image_only", page_or_sheet_count=7), file("bad.pdf", text_extractable="pdf_unreadable"),
-        file("old.doc", text_extractable="needs_conversion"), file("a.zip", text_extractable="none", status="container", detail="expand_first"),
+        file("old.doc", text_extractable="needs_conversion", status="no_parser"), file("old.xls", text_extractable="needs_conversion", status="no_parser", is_structured=True), file("m.msg", text_extractable="unknown", status="no_parser"), file("a.zip", text_extractable="none", status="container", detail="expand_first"),
         file("x.dwg", text_extractable="unknown", status="no_parser", detail="unsupported_ext"), file("big.txt", text_extractable="", status="skipped_too_large"), file("err.docx", text_extractable="", status="error", detail="KeyError"), file("blank.txt", "  "),
     ])
     lanes = {k: v["suggested_lane"] for k, v in got.items()}
     assert lanes == {
         "ssn.txt": "standard", "none.txt": "likely_non_responsive", "mail.txt": "standard", "money.txt": "likely_non_responsive", "roster.csv": "structured_bde", "rows.csv": "standard", "bare.csv": "structured_bde",
-        "dark.xlsx": "structured_unreadable", "small.xlsx": "likely_non_responsive", "scan.pdf": "nonsearchable_sample", "bad.pdf": "nonsearchable_sample", "old.doc": "nonsearchable_sample", "a.zip": "container_expand", "x.dwg": "needs_parser",
+        "dark.xlsx": "structured_unreadable", "small.xlsx": "likely_non_responsive", "scan.pdf": "nonsearchable_sample", "bad.pdf": "nonsearchable_sample", "old.doc": "convert_lane", "old.xls": "convert_lane", "m.msg": "needs_parser", "a.zip": "container_expand", "x.dwg": "needs_parser",
         "big.txt": "manual_oversize", "err.docx": "review_error", "blank.txt": "likely_non_responsive"}
     assert {k: got[k]["ambiguity"] for k in ("ssn.txt", "none.txt", "mail.txt", "money.txt", "rows.csv", "scan.pdf")} == {"ssn.txt": "clear_responsive", "none.txt": "clear_non_responsive", "mail.txt": "ambiguous", "money.txt": "clear_non_responsive", "rows.csv": "ambiguous", "scan.pdf": ""}
     assert got["bare.csv"]["detail"] == "roster_by_rowcount" and got["bare.csv"]["estimated_entities"] == 500
     assert got["scan.pdf"]["complexity_bucket"] == "5-10 pages" and got["x.dwg"]["complexity_bucket"] == ""
+    # a reader that could not read is not an early end: such rows keep a bucket and a reason of their own
+    assert all((got[k]["complexity_bucket"], got[k]["s2_skip_reason"]) == ("1-4 pages", "not_searchable") for k in ("old.doc", "old.xls", "m.msg")) and got["x.dwg"]["s2_skip_reason"] == "no_parser"
     assert all(v["s2_ran"] or v["s2_skip_reason"] for v in got.values())
     assert got["err.docx"]["s2_skip_reason"] == "extract_error" and got["scan.pdf"]["s2_skip_reason"] == "not_searchable" and got["none.txt"]["s2_skip_reason"] == "stage1_nr"
     assert not any("123-45" in str(v) or "a@b" in str(v) for row in got.values() for v in row.values())  # no matched value leaves
