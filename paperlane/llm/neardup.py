@@ -135,9 +135,11 @@ def candidate_groups(marks: DataFrame, similarity: float = SIMILARITY - MARGIN,
     ends = rows.groupBy("band", "key").agg(F.min("sid").alias("low"), F.max("sid").alias("high"), F.count("*").alias("n")).filter("low < high")
     met = rows.join(ends, ["band", "key"])
     wide = written(met.filter("n > 3").select("band", "key", "sid"), "wide-buckets")
-    met = met.select("sid", F.explode(F.array("low", "high")).alias("other")).filter("sid <> other").distinct()
+    met = written(met.select("sid", F.explode(F.array("low", "high")).alias("other")).filter("sid <> other").distinct(), "signature-pairs")
+    sigs = written(sigs, "sketches")
+    hot = written(met.groupBy("other").agg(F.ceil(F.count("*") / LOT).cast("int").alias("lots")).filter("lots > 1"), "hot-keys")  # at most one row for each LOT rows
     met = met.join(sigs, "sid").select("sid", "other", F.col("sketch").alias("a"))
-    met = _spread(met, "other", "sid", sigs.select(F.col("sid").alias("other"), F.col("sketch").alias("b")))
+    met = _spread(met, "other", "sid", sigs.select(F.col("sid").alias("other"), F.col("sketch").alias("b")), hot)
     alike = F.aggregate(F.zip_with("a", "b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
     good = written(met.filter(alike >= similarity * BANDS * ROWS).select(F.col("sid").alias("a"), F.col("other").alias("b")), "similar")
     roots = components(good.unionByName(_open_buckets(wide, good, sigs, similarity, chunk)).select(F.col("a").alias("u"), F.col("b").alias("v")))
@@ -146,10 +148,8 @@ def candidate_groups(marks: DataFrame, similarity: float = SIMILARITY - MARGIN,
     return named.join(groups.select("group", "root"), "group").select("fp", "root")
 
 
-def _spread(rows: DataFrame, key: str, by: str, table: DataFrame) -> DataFrame:
-    """rows joined with table on key, which is unique in table; a key of more than LOT rows is dealt out by ``by``."""
-    hot = rows.groupBy(key).agg(F.ceil(F.count("*") / LOT).cast("int").alias("lots")).filter("lots > 1")
-    hot = written(hot, "hot-keys")  # at most one row for each LOT rows
+def _spread(rows: DataFrame, key: str, by: str, table: DataFrame, hot: DataFrame) -> DataFrame:
+    """rows joined with table on key, which is unique in table; a key in hot (key, lots) is dealt out in lots by ``by``."""
     lots = F.coalesce("lots", F.lit(1))
     table = table.join(hot, key, "left").withColumn("lot", F.explode(F.sequence(F.lit(0), lots - 1))).drop("lots")
     rows = rows.join(F.broadcast(hot) if hot.count() <= MOST_HOT else hot, key, "left").withColumn("lot", F.pmod(F.xxhash64(by), lots).cast("int")).drop("lots")
@@ -401,7 +401,8 @@ def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", radius
     least = marks.filter("own IS NOT NULL").groupBy("own").agg(F.min("fp").alias("fp"))  # one fingerprint stands for a set's texts
     alike = verified_links(texts, marks)
     alike = alike.join(least.select(F.col("own").alias("u"), F.col("fp").alias("a")), "u").join(least.select(F.col("own").alias("v"), F.col("fp").alias("b")), "v")
-    same = marks.join(least.withColumnRenamed("fp", "b"), "own").select(F.col("fp").alias("u"), F.col("b").alias("v")).filter("u <> v").distinct()
+    same = marks.filter("own IS NOT NULL").select("own", "fp").distinct()  # copies meet before the join, not in it
+    same = same.join(least.withColumnRenamed("fp", "b"), "own").select(F.col("fp").alias("u"), F.col("b").alias("v")).filter("u <> v").distinct()
     more = alike.select(F.col("a").alias("u"), F.col("b").alias("v")).filter("u <> v").unionByName(same)
     rows = clustered(marks.select("key", "fp"), radius, more)
     extra = rows.groupBy("key").agg(F.max(F.col("key").eqNullSafe(F.col("component"))).alias("first")).filter("not first")
