@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shared import new_folder, unused, written  # noqa: F401
@@ -45,3 +45,41 @@ def per_text(make: Callable[[], Callable[[str | None], tuple]], schema: str, fie
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, schema).asNondeterministic()
+
+
+RUN = 4096  # numbers in one array when a count is dealt out to rows
+
+
+def offsets(leaves: DataFrame, path: list[str], within: tuple[str, ...] = ()) -> DataFrame:
+    """leaves (within ..., path ..., n) with ``at``, the sum of n of the leaves before among those that agree in ``within``.
+
+    Leaves are ordered by ``path``, whose columns go from coarse to fine and hold no nulls. Sums are made level by level, so a window
+    meets only the children of one value of the level above. leaves are read once a level: hand in a written table.
+    """
+    upper = None
+    for depth in range(1, len(path) + 1):
+        above = [*within, *path[: depth - 1]]
+        level = leaves if depth == len(path) else leaves.groupBy(*above, path[depth - 1]).agg(F.sum("n").alias("n"))
+        before = Window.partitionBy(*above).orderBy(path[depth - 1]).rowsBetween(Window.unboundedPreceding, -1)
+        level = level.withColumn("at", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        if upper is not None:
+            level = level.join(upper.select(*above, F.col("at").alias("upper_at")), above).withColumn("at", F.col("at") + F.col("upper_at")).drop("upper_at")
+        upper = level
+    return upper
+
+
+def each_of(n: Column) -> Column:
+    """An array of arrays that together hold 0 .. n - 1, none of them long."""
+    return F.transform(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / RUN)), lambda b: F.sequence(b * RUN, F.least((b + 1) * RUN, n) - 1))
+
+
+def numbered(rows: DataFrame, within: list[str], order: list[str], at: str, number: str) -> DataFrame:
+    """Distinct rows (..., equal) as all rows they stand for, with ``number``: at, plus the place from 0 among those that agree in ``within``, by ``order``.
+
+    ``equal`` says how many rows a row stands for; the window meets them as one.
+    """
+    before = Window.partitionBy(*within).orderBy(*(F.col(c).asc_nulls_first() for c in order)).rowsBetween(Window.unboundedPreceding, -1)
+    kept = [c for c in rows.columns if c not in ("equal", at)]
+    rows = rows.withColumn("first_number", F.col(at) + F.coalesce(F.sum("equal").over(before), F.lit(0)))
+    rows = rows.select(*kept, "first_number", F.explode(each_of(F.col("equal"))).alias("run"))
+    return rows.select(*kept, "first_number", F.explode("run").alias("nth")).select(*kept, (F.col("first_number") + F.col("nth")).alias(number))

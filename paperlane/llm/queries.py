@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, licenses, mixing, neardup, pii, quality, secrets, tokens, urls
+from . import chat, decontam, licenses, mixing, neardup, pii, quality, repair, resampling, secrets, sharding, tokens, urls
 from .common import written
 
 
@@ -66,12 +66,34 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scanned(table(spark, sf_dir, "documents"))
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.digests(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.placed(table(spark, sf_dir, "documents"))
+    return rows.select(F.col("key").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = resampling.ranks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select(F.col("key").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_quality_rules, op2_license_scans, op3_url_filters, op4_benchmark_decontamination, op5_simhash_near_dedup, op6_secret_scans, op7_token_binary, op8_chat_formatting, op9_source_mixing, op10_pii)
+    for f in (op1_quality_rules, op2_license_scans, op3_url_filters, op4_benchmark_decontamination, op5_simhash_near_dedup, op6_secret_scans, op7_token_binary, op8_chat_formatting, op9_source_mixing, op10_pii, op11_structure_repair, op12_sharding, op13_importance_resampling)
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
+_FEATURE = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _crc32(text: str) -> str:
+    """DuckDB SQL for the crc32 of a text's UTF-8 bytes, bit by bit."""
+    bits = f"flatten([[('0x' || x)::BIGINT, 0, 0, 0, 0, 0, 0, 0] FOR x IN regexp_extract_all(hex({text}), '..')])"
+    step = "CASE WHEN xor(c, x) % 2 = 1 THEN xor(xor(c, x) >> 1, 3988292384) ELSE xor(c, x) >> 1 END"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bits}), lambda c, x: {step}), 4294967295)"
 
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": rf"""
@@ -150,4 +172,69 @@ x AS (SELECT o.doc_id, o.size, t.source_size, t.target, place, CASE WHEN t.sourc
              ('0x' || substr(md5('7:' || coalesce('s' || o.source, 'null')), 1, 8))::BIGINT::DOUBLE / 4294967296.0 AS u
       FROM o JOIN t ON o.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, (least(floor(place * rate + u)::BIGINT - floor((place - 1) * rate + u)::BIGINT, 3) * size)::BIGINT AS taken FROM x""",
+    "op11_structure_repair": rf"""
+WITH RECURSIVE o AS (SELECT row_number() OVER () AS r, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                  {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS what FROM conversations),
+d AS (SELECT conv_id, turn, CASE WHEN what = 4 THEN 'user' ELSE role END AS role,
+             CASE what WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+      FROM (SELECT *, unnest(CASE WHEN what = 3 THEN [0, 1] ELSE [0] END) FROM o WHERE what > 0)),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS pos FROM d),
+f AS (SELECT *, substr(role, 1, 1) AS letter, lead(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS next_letter,
+             CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+                  WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault FROM p),
+c AS (SELECT o.conv_id, coalesce(g.n, 0) AS n, coalesce(g.gaps, 0) AS gaps, coalesce(g.blank, 0) AS blank, coalesce(g.duplicate, 0) AS duplicate,
+             coalesce(g.truncated, 0) AS truncated, coalesce(g.illegal, 0) AS illegal
+      FROM (SELECT DISTINCT conv_id FROM o) AS o LEFT JOIN (
+        SELECT conv_id, max(pos) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+               count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+               count(*) FILTER (next_letter IS NOT NULL AND letter || next_letter NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM f GROUP BY conv_id) AS g ON o.conv_id IS NOT DISTINCT FROM g.conv_id),
+-- the best rest of a conversation from each state: cost, edits, lines
+b(conv_id, pos, s0, s1, s2, s3) AS (
+  SELECT conv_id, n, {{c: 0, e: '', l: []::VARCHAR[]}}, {{c: 10, e: 'II', l: ['user:', 'assistant:']}}, {{c: 5, e: 'I', l: ['assistant:']}}, {{c: 0, e: '', l: []::VARCHAR[]}} FROM c
+  UNION ALL
+  SELECT conv_id, pos, t0, t1, t2, t3 FROM (
+    SELECT *, least(u0, {{c: t2.c + 5, e: 'I' || t2.e, l: list_prepend('user:', t2.l)}}) AS t0, least(u1, {{c: t2.c + 5, e: 'I' || t2.e, l: list_prepend('user:', t2.l)}}) AS t1,
+           least(u3, {{c: t2.c + 5, e: 'I' || t2.e, l: list_prepend('user:', t2.l)}}) AS t3
+    FROM (SELECT *, least(u2, {{c: u3.c + 5, e: 'I' || u3.e, l: list_prepend('assistant:', u3.l)}}) AS t2 FROM (
+      SELECT f.conv_id, f.pos - 1 AS pos,
+        least({{c: s0.c + 2, e: 'D' || s0.e, l: s0.l}}, CASE WHEN free AND letter = 's' THEN {{c: s1.c + x, e: 'K' || s1.e, l: list_prepend(line, s1.l)}} END, CASE WHEN free AND letter = 'u' THEN {{c: s2.c + x, e: 'K' || s2.e, l: list_prepend(line, s2.l)}} END, CASE WHEN free THEN {{c: s2.c + x + 1, e: 'R' || s2.e, l: list_prepend('user:' || text, s2.l)}} END) AS u0,
+        least({{c: s1.c + 2, e: 'D' || s1.e, l: s1.l}}, CASE WHEN free AND letter = 'u' THEN {{c: s2.c + x, e: 'K' || s2.e, l: list_prepend(line, s2.l)}} END, CASE WHEN free THEN {{c: s2.c + x + 1, e: 'R' || s2.e, l: list_prepend('user:' || text, s2.l)}} END) AS u1,
+        least({{c: s2.c + 2, e: 'D' || s2.e, l: s2.l}}, CASE WHEN free AND letter = 'a' THEN {{c: s3.c + x, e: 'K' || s3.e, l: list_prepend(line, s3.l)}} END, CASE WHEN free THEN {{c: s3.c + x + 1, e: 'R' || s3.e, l: list_prepend('assistant:' || text, s3.l)}} END) AS u2,
+        least({{c: s3.c + 2, e: 'D' || s3.e, l: s3.l}}, CASE WHEN free AND letter = 'u' THEN {{c: s2.c + x, e: 'K' || s2.e, l: list_prepend(line, s2.l)}} END, CASE WHEN free THEN {{c: s2.c + x + 1, e: 'R' || s2.e, l: list_prepend('user:' || text, s2.l)}} END) AS u3
+      FROM b JOIN (SELECT *, fault IN ('', 'truncated') AS free, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS x, role || ':' || text AS line FROM f) AS f ON b.conv_id IS NOT DISTINCT FROM f.conv_id AND b.pos = f.pos)))
+)
+SELECT c.conv_id, gaps::BIGINT AS gaps, blank::BIGINT AS blank, duplicate::BIGINT AS duplicate, truncated::BIGINT AS truncated, illegal::BIGINT AS illegal,
+       s0.c::BIGINT AS cost, s0.e AS audit, sha256(array_to_string(s0.l, chr(10))) AS repaired_sha256
+FROM c JOIN b ON c.conv_id IS NOT DISTINCT FROM b.conv_id AND b.pos = 0""",
+    "op12_sharding": f"""
+WITH d AS (SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT + 8 AS size, {_crc32("coalesce(text, '')")} AS text_crc32 FROM documents),
+i AS (SELECT DISTINCT doc_id, coalesce(doc_id::VARCHAR, '') AS id FROM d),
+leaf AS (SELECT shard::INT AS shard, (shard // 8)::VARCHAR AS g, (shard // 8)::VARCHAR || '/' || (shard // 4 % 2)::VARCHAR AS k FROM range(25) AS t(shard)),
+nodes AS (SELECT 24 + extra AS n, level, parent, name, count(*)::DOUBLE AS weight, any_value(shard) AS shard
+          FROM (SELECT shard, unnest([{{l: 1, p: '', x: g}}, {{l: 2, p: g, x: k}}, {{l: 3, p: k, x: k || '/' || shard::VARCHAR}}], recursive := true) FROM leaf) AS t(shard, level, parent, name)
+               JOIN range(2) AS e(extra) ON shard < 24 + extra
+          GROUP BY ALL HAVING count(*) > 0),
+one AS (SELECT n, doc_id, id, arg_min(name, draw) AS name FROM (SELECT n, doc_id, id, name, -ln((('0x' || substr(md5('11:' || name || ':' || id), 1, 8))::BIGINT::DOUBLE + 0.5) / 4294967296.0) / weight AS draw FROM i JOIN (SELECT n, name, sum(weight) AS weight FROM nodes WHERE level = 1 GROUP BY ALL) ON true) GROUP BY ALL),
+two AS (SELECT n, doc_id, id, arg_min(name, draw) AS name FROM (SELECT n, doc_id, id, k.name, -ln((('0x' || substr(md5('11:' || k.name || ':' || id), 1, 8))::BIGINT::DOUBLE + 0.5) / 4294967296.0) / weight AS draw FROM one JOIN (SELECT n, parent, name, sum(weight) AS weight FROM nodes WHERE level = 2 GROUP BY ALL) AS k USING (n) WHERE k.parent = one.name) GROUP BY ALL),
+three AS (SELECT n, doc_id, arg_min(shard, draw) AS shard FROM (SELECT n, doc_id, id, k.shard, -ln((('0x' || substr(md5('11:' || k.name || ':' || id), 1, 8))::BIGINT::DOUBLE + 0.5) / 4294967296.0) AS draw FROM two JOIN (SELECT * FROM nodes WHERE level = 3) AS k USING (n) WHERE k.parent = two.name) GROUP BY ALL),
+s AS (SELECT d.*, a.shard, b.shard AS grown_shard, substr(md5(coalesce(d.doc_id::VARCHAR, '') || ':' || size || ':' || text_crc32), 1, 4) AS cell
+      FROM d JOIN three AS a ON a.n = 24 AND d.doc_id IS NOT DISTINCT FROM a.doc_id JOIN three AS b ON b.n = 25 AND d.doc_id IS NOT DISTINCT FROM b.doc_id)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY cell, doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown_shard FROM s""",
+    "op13_importance_resampling": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_FEATURE}') AS ws FROM documents),
+e AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_FEATURE}')) AS w FROM benchmark),
+u AS (SELECT r, unnest(ws) AS w FROM d),
+k AS (SELECT w, {_crc32("w")} % 10000 AS bucket FROM (SELECT w FROM u UNION SELECT w FROM e)),
+s AS (SELECT bucket, count(*) AS s FROM u JOIN k USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM e JOIN k USING (w) GROUP BY bucket),
+n AS (SELECT (SELECT coalesce(sum(s), 0) FROM s) AS s_all, (SELECT coalesce(sum(t), 0) FROM t) AS t_all),
+g AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (s_all + 10000)::DOUBLE / ((coalesce(s, 0) + 1)::DOUBLE * (t_all + 10000)::DOUBLE)))::BIGINT AS gain FROM s FULL JOIN t USING (bucket), n),
+w AS (SELECT r, sum(gain) AS weight FROM u JOIN k USING (w) JOIN g USING (bucket) GROUP BY r),
+x AS (SELECT doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+             floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT::DOUBLE + 0.5) / 4294967296.0)))::BIGINT AS noise FROM d LEFT JOIN w USING (r)),
+o AS (SELECT *, weight + noise AS score, n_features >= 20 AS able FROM x),
+q AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id NULLS FIRST) AS place, count(*) FILTER (able) OVER () * 10 // 100 AS size FROM o)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= size THEN place END AS rank FROM q""",
 }
