@@ -5,7 +5,9 @@ Texts are never cut. A null text counts as the empty text wherever an operator d
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -47,6 +49,19 @@ def per_text(make: Callable[[], Callable[[str | None], tuple]], schema: str, fie
     return F.arrow_udf(run, schema).asNondeterministic()
 
 
+class Covered:
+    """Spans (kind, start, end) of a text in any order; ``touches`` costs a binary search, however many there are."""
+
+    def __init__(self, spans: list[tuple[str, int, int]]):
+        places = sorted((a, b) for _, a, b in spans)
+        self.starts = [a for a, _ in places]
+        self.reach = list(accumulate((b for _, b in places), max))  # how far the spans up to each one go
+
+    def touches(self, start: int, end: int) -> bool:
+        n = bisect_left(self.starts, end)  # spans that begin before the end
+        return n > 0 and self.reach[n - 1] > start
+
+
 RUN = 4096  # numbers in one array when a count is dealt out to rows
 
 

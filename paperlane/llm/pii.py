@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_text, written
+from .common import Covered, per_text, written
 
 # Patterns of the base findings and their kinds in order.
 EMAIL_DOMAIN = r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
@@ -42,6 +42,7 @@ ROUNDS = 3
 _DOMAIN, _CARD, _PHONE = re.compile(EMAIL_DOMAIN), re.compile(CARD), re.compile(PHONE)
 _IP = re.compile("(?<![0-9])" + IP)  # a match can only begin where a run of digits does
 _DIGIT_RUN = re.compile(r"[0-9]{4}")
+MOST_CONTEXT = 256  # characters before a place that are read for its context
 LEAST_INSTANCE = 5  # characters of an unseen instance; shorter tokens with digits are mostly counts, years and times
 _INSTANCE = re.compile(rf"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D]*[0-9@])[^\x20\x09-\x0D]{{{LEAST_INSTANCE},}}")
 _DIGITS = re.compile("[0-9]+")
@@ -101,14 +102,15 @@ def joined(spans: list[Span]) -> str:
 def _contexts(text: str, start: int) -> list[str]:
     """What stands before a place, A-Z in lower case, edge marks off except a colon or equals sign, digits as 0.
 
-    The last word, the last two, and the label at the start of a line of three words or fewer, marked by a line break.
+    The last word, the last two, and the label at the start of a line of three words or fewer, marked by a line break. Nothing
+    further back than MOST_CONTEXT characters counts, so a long word costs no more at each place that follows it.
     """
     size = 64
     while True:  # as far back as a label and the break before it need
-        low = max(0, start - size)
+        low = max(0, start - min(size, MOST_CONTEXT))
         left = text[low:start].rstrip("([{<\"'")  # what opens around the place is no word of its own
         words = left.split()
-        if len(words) >= 5 or low == 0:
+        if len(words) >= 5 or low == 0 or size >= MOST_CONTEXT:
             break
         size *= 4
     line = re.split("[\n\r]", left)[-1].split()
@@ -128,13 +130,14 @@ def mentions(text: str | None, base: list[Span]) -> list[dict]:
             p, i = (xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63) for x in (pattern, text[start:end]))
             out.append({"pattern": p, "instance": i, "start": start, "end": end, "seed": seed})
 
+    covered = Covered(base)
     for _, a, b in base:
         add(a, b, True)
     for m in _INSTANCE.finditer(text):
         token = m[0].strip(EDGES)
         a = m.start() + len(m[0]) - len(m[0].lstrip(EDGES))
         b = a + len(token)
-        if len(token) >= LEAST_INSTANCE and any(c.isdigit() or c == "@" for c in token) and not any(s < b and a < e for _, s, e in base):
+        if len(token) >= LEAST_INSTANCE and any(c.isdigit() or c == "@" for c in token) and not covered.touches(a, b):
             add(a, b, False)
     return out
 

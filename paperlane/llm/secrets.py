@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_text
+from .common import Covered, per_text
 
 # Patterns of the base findings, their kinds in order, and the least lengths of what they find.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -233,14 +233,14 @@ class Model:
 
     def spans(self, text: str | None, base: list[Span], margin: float = MARGIN) -> list[Span]:
         """Candidates with digits and letters that no base span touches and that a format explains."""
-        found = []
+        found, covered = [], Covered(base)
         for m in _CANDIDATE.finditer(text or ""):
             token = m[0].rstrip(".")
             kinds = set(classes(token))
             if "0" not in kinds or not kinds & {"a", "z", "A"}:
                 continue
             a, b = m.start(), m.start() + len(token)
-            if any(s < b and a < e for _, s, e in base):
+            if covered.touches(a, b):
                 continue
             if len(token) >= LEAST_CANDIDATE and self.margin(token) > margin:
                 found.append(("format", a, b))

@@ -3,8 +3,9 @@
 import hashlib
 import random
 import re
+import time
 
-from paperlane.llm import licenses, pii, secrets
+from paperlane.llm import common, licenses, pii, secrets
 
 LONG = "word " * 30_000
 
@@ -248,3 +249,31 @@ def test_license_candidates_against_brute_force():
             assert words(text[m[4] : m[5]])[0] in words(licenses.TEMPLATES[m[0]]) and m[1] == lcs(words(licenses.TEMPLATES[m[0]]), words(text))
             n += 1
     assert n > 40
+
+
+def timed(call):
+    start = time.time()
+    call()
+    return time.time() - start
+
+
+def test_long_texts_take_linear_time():
+    """5 MB each: a log with addresses, one line of addresses, a checksum list, one word; op6 and op10."""
+    log = "".join(f"2024-01-01 10.0.{i % 200}.{i % 250} user{i}@mail.example.org took {i} ms\n" for i in range(90_000))
+    line = ",".join(f"person{i}@mail.example.org" for i in range(180_000))
+    sums = "".join(f"{hashlib.md5(str(i).encode()).hexdigest()}  file{i}.bin\n" for i in range(110_000))
+    texts = [log, line, sums, "a1" * 2_500_000, "1," * 2_500_000, "a." * 2_500_000, "+1 " * 1_700_000]
+    model = secrets.default_model()
+    for text in texts:
+        assert len(text) > 4_500_000
+        assert timed(lambda: pii.mentions(text, pii.base_spans(text))) < 25, text[:40]
+        assert timed(lambda: model.spans(text, secrets.base_spans(text))) < 25, text[:40]
+
+
+def test_covered_spans():
+    rng = random.Random(4)
+    for _ in range(300):
+        spans = [("k", a, a + rng.randint(1, 9)) for a in (rng.randint(0, 60) for _ in range(rng.randint(0, 9)))]
+        covered = common.Covered(spans)
+        for a in range(0, 60, 3):
+            assert covered.touches(a, a + 4) == any(s < a + 4 and a < e for _, s, e in spans)
