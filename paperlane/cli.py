@@ -6,7 +6,6 @@
 from __future__ import annotations
 
 import argparse
-import re
 from collections.abc import Iterator
 from dataclasses import replace
 
@@ -20,7 +19,7 @@ from .plans import rules
 from .plans.schema import INVENTORY_SCHEMA
 from .plans.settings import Settings
 from .shared import written
-from .sources import files, sinks
+from .sources import files, listing, sinks, stores
 from .streaming import collect
 
 
@@ -68,21 +67,12 @@ def _copied(plan: DataFrame, out: str) -> DataFrame:
     """Copies each found file of a located manifest below out, on the executors; (rel_path, target, copied)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
         for b in batches:
             done = []
             for found, target in zip(b["found"], b["target"]):
-                if found is None:
-                    done.append(False)
-                    continue
-                a, path_a = fs.FileSystem.from_uri(found if "://" in found else re.sub("^([a-z0-9]+):/+", r"\1:///", found))
-                z, path_z = fs.FileSystem.from_uri(f"{out}/{target}")
-                z.create_dir(path_z.rsplit("/", 1)[0], recursive=True)
-                with a.open_input_stream(path_a) as source, z.open_output_stream(path_z) as sink:
-                    while part := source.read(1 << 20):
-                        sink.write(part)
-                done.append(True)
+                if found is not None:
+                    stores.copy(found, f"{out.rstrip('/')}/{target}")
+                done.append(found is not None)
             yield pd.DataFrame({"rel_path": b["rel_path"], "target": b["target"], "copied": done})
 
     return plan.select("rel_path", "found", "target").mapInPandas(run, "rel_path string, target string, copied boolean")
@@ -142,7 +132,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
             manifest = spark.read.options(**sinks.CSV).csv(a.manifest)
             for name in ("dest_name", "label"):
                 manifest = manifest if name in manifest.columns else manifest.withColumn(name, F.lit(None).cast("string"))
-            listed = files.scan(spark, a.root).select("path", "rel_path")
+            listed = listing.files_below(spark, a.root).select("path", "rel_path")
             plan = fleet.located(manifest, listed.select(F.col("rel_path").alias("path"))).join(listed.select(F.col("rel_path").alias("found"), "path"), "found", "left")
             sinks.write_csv(_copied(plan.select("rel_path", F.col("path").alias("found"), "target"), a.out), f"{a.out}-copied")
         case "diff":

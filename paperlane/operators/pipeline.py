@@ -19,6 +19,9 @@ from ..plans.settings import Settings
 from . import detect, enrich, route
 
 
+PROTOCOL_CHARS = 8000  # fixed value: characters of a protocol that a model gets
+
+
 @dataclass(frozen=True)
 class Services:
     """Outside calls; each may be missing. stage2 may be ``"offline"`` for the keyword grading."""
@@ -28,10 +31,11 @@ class Services:
     judge: enrich.ModelFn | None = None
     count_people: enrich.ModelFn | None = None
     stage2: enrich.ModelFn | str | None = None
+    calls: enrich.Calls = enrich.Calls()
 
 
 def inventory(extracted: DataFrame, settings: Settings = Settings(), services: Services = Services()) -> DataFrame:
-    """The inventory of extracted documents. A job's own threshold may come as a column ``job_bde_threshold``."""
+    """The inventory of extracted documents. A job's own threshold and protocol may come as columns ``job_bde_threshold`` and ``job_protocol`` (``files.with_jobs``)."""
     c, rules = F.col, settings.rules
     df = extracted.filter("true")
     if "job_bde_threshold" not in df.columns:
@@ -39,8 +43,8 @@ def inventory(extracted: DataFrame, settings: Settings = Settings(), services: S
     df = df.withColumn("threshold", F.coalesce("job_bde_threshold", F.lit(settings.bde_threshold)))
     if services.ocr or services.ocr_image:
         df = enrich.numbered(df, "extracted")
-    df = enrich.recognised(df, services.ocr)
-    df = enrich.images_read(df, services.ocr_image, settings.max_scan_chars)
+    df = enrich.recognised(df, services.ocr, services.calls)
+    df = enrich.images_read(df, services.ocr_image, settings.max_scan_chars, services.calls)
     meta = {f.name: c(f"meta.{f.name}") for f in META}
     # rows that no reader got to see; a reader's own no_parser (legacy formats, missing libraries) goes on to routing
     early = F.coalesce(meta["status"].isin("skipped_too_large", "timeout", "error") | (meta["status"] == "no_parser") & (meta["detail"] == "unsupported_ext"), F.lit(False))
@@ -90,12 +94,14 @@ def inventory(extracted: DataFrame, settings: Settings = Settings(), services: S
         df = df.withColumn("offline_level", route.offline_level(c("scanned")))
     if services.judge or services.count_people or services.stage2 and not offline:
         # what follows needs no text but a sample of each that may be asked about
-        protocol = f"Protocol of the matter, to be applied:\n{settings.protocol_text[:8000]}\n\n" if settings.protocol_text else ""
-        prompt = F.concat(F.lit(protocol), sample_for_model(c("scanned"), settings.llm_input_chars))
+        own = F.nullif("job_protocol", F.lit("")) if "job_protocol" in df.columns else F.lit(None)
+        rules_of = F.substring(F.coalesce(own, F.lit(settings.protocol_text)), 1, PROTOCOL_CHARS)
+        protocol = F.when(rules_of != "", F.concat(F.lit("Protocol of the matter, to be applied:\n"), rules_of, F.lit("\n\n"))).otherwise("")
+        prompt = F.concat(protocol, sample_for_model(c("scanned"), settings.llm_input_chars))
         df = df.withColumn("prompt", F.when(c("searchable") & ~c("blank"), prompt))
-        df = enrich.numbered(df.drop("text", "scanned", "call_id"), "detected")
+        df = enrich.numbered(df.drop("text", "scanned", "call_id", "job_protocol"), "detected")
     prompt = c("prompt") if "prompt" in df.columns else F.lit("")
-    df = enrich.asked(df, c("ambiguity") == "ambiguous", services.judge, "judged", prompt)
+    df = enrich.asked(df, c("ambiguity") == "ambiguous", services.judge, "judged", prompt, services.calls)
     j = c("judged")
     answered = j.isNotNull() & j["failed"].isNull()
     people = F.when(j["person_count"] > 0, j["person_count"]).otherwise(j["n_names"])
@@ -111,7 +117,7 @@ def inventory(extracted: DataFrame, settings: Settings = Settings(), services: S
     floor = settings.bde_count_floor
     gate = c("searchable") & ~c("blank") & (c("is_structured") | (c("estimated_entities") >= floor))
     hint = F.when(c("estimated_entities") >= floor, F.format_string("This file has about %d rows; the text may be a part of it.\n\n", "estimated_entities")).otherwise("")
-    df = enrich.asked(df, gate, services.count_people, "people", F.concat(hint, prompt))
+    df = enrich.asked(df, gate, services.count_people, "people", F.concat(hint, prompt), services.calls)
     p = c("people")
     counted = p.isNotNull() & p["failed"].isNull()
     n = F.greatest(p["person_count"], F.lit(0))
@@ -146,7 +152,7 @@ def _stage2(df: DataFrame, settings: Settings, services: Services) -> DataFrame:
     )
     df = df.withColumn("s2_skip_reason", reason).withColumn("s2_ran", c("s2_skip_reason") == "")
     offline = services.stage2 == "offline"
-    df = enrich.asked(df, c("s2_ran"), None if offline else services.stage2, "graded", c("prompt") if "prompt" in df.columns else F.lit(""))
+    df = enrich.asked(df, c("s2_ran"), None if offline else services.stage2, "graded", c("prompt") if "prompt" in df.columns else F.lit(""), services.calls)
     g = c("graded")
     answered = c("s2_ran") if offline else c("s2_ran") & g.isNotNull() & g["failed"].isNull()
     level = F.when(answered, c("offline_level") if offline else F.coalesce(g["level"], F.lit(""))).otherwise("")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_TYPES = {"string": T.StringType(), "boolean": T.BooleanType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(), "array<binary>": T.ArrayType(T.BinaryType())}
+_TYPES = {"string": T.StringType(), "boolean": T.BooleanType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(), "images": T.ArrayType(T.StructType([T.StructField("page", T.IntegerType()), T.StructField("jpeg", T.BinaryType())]))}
 
 
 def struct_of(fields: str, separator: str = ",") -> T.StructType:
@@ -42,6 +42,6 @@ LANES = (*RESPONSIVE_LANES, NR_LANE, "structured_unreadable", "nonsearchable_sam
 META = struct_of(
     "text_extractable string, is_structured boolean, page_or_sheet_count int, attachment_count int, structured_entity_rows int, "
     "structured_total_rows int, estimate_truncated boolean, status string, detail string, pdf_images_decode_failed int, "
-    "ocr boolean, ocr_attempted boolean, ocr_pages int, content_images array<binary>"
+    "ocr boolean, ocr_attempted boolean, ocr_pages int, content_images images, pdf_images_seen int"
 )
 EXTRACTED_SCHEMA = struct_of("rel_path string, file_name string, ext string, size_bytes bigint, text string").add("meta", META)

@@ -23,7 +23,8 @@ class Settings:
     max_scan_rows: int = 200_000
     sample_rows: int = 50
     zip_ratio_limit: int = 200
-    timeout_s: int = 150
+    timeout_s: float = 150  # of a file's parser, which is killed then
+    parser_memory_mb: int = 4096  # what a file's parser may take beside the worker; 0: no limit
     pdf_open_timeout_s: float = 30.0
     pdf_max_pages: int = 0  # pages of a PDF that are read for text; 0: all
     pdf_probe_pages: int = 0  # after so many pages of little text a PDF is tested for being a scan; 0: at its end

@@ -1,7 +1,8 @@
 """Folders of files as extracted rows.
 
 Plain text, markup and flags are column expressions on the bytes; only formats that need a parser go through
-``mapInPandas``. Extension and size are tested first, so unsupported and oversized files are never opened.
+``mapInPandas``, in a child process with a deadline and a limit of memory. Extension and size are tested first, so
+unsupported and oversized files are never opened.
 """
 
 from __future__ import annotations
@@ -10,76 +11,79 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import base_name, extension, strip_html, strip_rtf
 from ..plans.schema import EXTRACTED_SCHEMA, META
 from ..plans.settings import Settings
 from ..shared import written
-from . import extract
+from . import extract, listing, stores
+from .guarded import Died, Guard
 from .tables import meta
 
 
-def _glob(extensions: list[str]) -> str:
-    """A file pattern for names with these extensions, in either case."""
-    either = ("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in e) for e in extensions)
-    return "{" + ",".join(f"*{e}" for e in either) + "}"
+def _described(listing: DataFrame) -> DataFrame:
+    return listing.select("path", "rel_path", base_name(F.col("rel_path")).alias("file_name"), extension(F.col("rel_path")).alias("ext"), F.coalesce("size_bytes", F.lit(0)).cast("long").alias("size_bytes"), "problem", "place")
 
 
-def _described(files: DataFrame, root: str) -> DataFrame:
-    bare = re.sub(r"^[a-z0-9]+:/*", "/", root).rstrip("/")
-    rel = F.regexp_replace("path", "^.*?" + re.escape(bare).replace("/", "/+") + "/", "")
-    return files.select("path", rel.alias("rel_path"), base_name(F.col("path")).alias("file_name"), extension(F.col("path")).alias("ext"), F.col("length").alias("size_bytes"), "content")
+READ_BATCH = 16 << 20  # bytes of files that are handed on at a time
 
 
-def scan(spark: SparkSession, root: str, empty_files: bool = True, settings: Settings = Settings(), readers: extract.Registry = extract.Registry()) -> DataFrame:
-    """Every file below root: path, rel_path, file_name, ext, size_bytes, content.
+def _with_content(listing: DataFrame, root: str, settings: Settings, readers: extract.Registry) -> DataFrame:
+    """Adds content: bytes of files that have a reader and are within the limit of size; what cannot be read says why in ``problem``.
 
-    Bytes are read of files that have a reader and are not too large; all others are listed with null content and never
-    opened. Spark's listing leaves out files without bytes; ``empty_files`` finds those by a walk on the executors.
+    Only these are read, one at a time, by the tasks; all others pass with null content.
     """
-    def reader(pattern: str) -> DataFrameReader:
-        return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    wanted = F.coalesce(F.col("ext").isin(*readers.opened()), F.lit(False)) & (F.col("size_bytes") <= settings.max_bytes) & F.col("problem").isNull()
+    rows = listing.withColumn("wanted", wanted)
+    schema = "path string, rel_path string, file_name string, ext string, size_bytes long, problem string, content binary"
+    limit = settings.max_bytes
 
-    readable = F.coalesce(extension(F.col("path")).isin(*readers.opened()), F.lit(False)) & (F.col("length") <= settings.max_bytes)
-    opened = reader(_glob(readers.opened())).load(root).filter(F.col("length") <= settings.max_bytes).select("path", "length", "content").filter(readable)
-    files = opened.unionByName(reader("*").load(root).select("path", "length").filter(~readable).withColumn("content", F.lit(None).cast("binary")))
-    if empty_files:
-        files = files.unionByName(_empty(spark, root).select("path", F.lit(0).cast("long").alias("length"), F.lit(b"").alias("content")))
-    return _described(files, root)
-
-
-def _empty(spark: SparkSession, root: str) -> DataFrame:
-    """Paths of files without bytes: folder by folder, one round a level; only the question whether any are left comes to the driver."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, _ = stores.opened(root)
+        for b in batches:
+            at, held, contents, problems = 0, 0, [], []
+
+            def part(end: int, b: pa.RecordBatch = b) -> pa.RecordBatch:
+                cut = b.slice(at, end - at)
+                columns = [cut.column(n) for n in ("path", "rel_path", "file_name", "ext", "size_bytes")]
+                return pa.record_batch([*columns, pa.array(problems, pa.string()), pa.array(contents, pa.binary())], names=["path", "rel_path", "file_name", "ext", "size_bytes", "problem", "content"])
+
+            for i, (place, problem, wanted) in enumerate(zip(b.column("place").to_pylist(), b.column("problem").to_pylist(), b.column("wanted").to_pylist())):
+                data = None
+                if wanted:
+                    try:
+                        data = stores.read(store, place, limit)
+                    except Exception as e:  # gone since it was listed, or not ours to read
+                        problem = type(e).__name__
+                contents.append(data)
+                problems.append(problem)
+                held += len(data or b"")
+                if held >= READ_BATCH:
+                    yield part(i + 1)
+                    at, held, contents, problems = i + 1, 0, [], []
+            if at < b.num_rows:
+                yield part(b.num_rows)
+
+    return rows.mapInArrow(run, schema)
+
+
+def scan(spark: SparkSession, root: str, settings: Settings = Settings(), readers: extract.Registry = extract.Registry()) -> DataFrame:
+    """Every file below root: path, rel_path, file_name, ext, size_bytes, problem, content; hidden and empty ones, too.
+
+    Executors list the folders once (``listing``) and read bytes of files that have a reader and are not too large; all others are
+    listed with null content and never opened. Files are dealt out anew between the two, so a folder that holds most of
+    them is read by all tasks. What cannot be listed or read is a row with a ``problem``.
+    """
+    found = _described(listing.files_below(spark, root)).repartition(F.xxhash64("place"))
+    return _with_content(found, root, settings, readers)
 
-    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
 
-        for b in batches:
-            for folder in b["folder"]:
-                store, path = fs.FileSystem.from_uri(folder)
-                prefix = folder[: len(folder) - len(path)] if folder.endswith(path) else "file://"
-                found = [x for x in store.get_file_info(fs.FileSelector(path)) if not x.base_name.startswith((".", "_"))]
-                kept = [(prefix + x.path, x.type == fs.FileType.Directory) for x in found if x.type == fs.FileType.Directory or x.size == 0]
-                yield pd.DataFrame(kept, columns=["path", "is_folder"])
-
-    root = (root if "://" in root else f"file://{root}").rstrip("/")
-    level, out = spark.createDataFrame([(root,)], "folder string"), None
-    while True:
-        found = written(level.mapInPandas(listed, "path string, is_folder boolean"), "listing")
-        empty = found.filter("not is_folder").select("path")
-        out = empty if out is None else out.unionByName(empty)
-        level = found.filter("is_folder").select(F.col("path").alias("folder")).repartition("folder")
-        if level.isEmpty():
-            return out
-
-
-def stream(spark: SparkSession, root: str, files_per_batch: int = 1000, settings: Settings = Settings(), readers: extract.Registry = extract.Registry()) -> DataFrame:
-    """As ``scan``, as a stream of files as they appear below root; files without a reader or too large are not in it."""
-    source = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
-    source = source.option("recursiveFileLookup", True).option("pathGlobFilter", _glob(readers.opened())).option("maxFilesPerTrigger", files_per_batch)
-    return _described(source.load(root).filter(F.col("length") <= settings.max_bytes).select("path", "length", "content"), root)
+def stream(spark: SparkSession, root: str, settings: Settings = Settings(), readers: extract.Registry = extract.Registry()) -> DataFrame:
+    """As ``scan``, as a stream of files as they appear below root, and again when they change."""
+    return _with_content(_described(listing.new_files(spark, root)), root, settings, readers)
 
 
 def kind_of(ext: Column, readers: extract.Registry = extract.Registry()) -> Column:
@@ -137,12 +141,13 @@ def extracted(files: DataFrame, settings: Settings = Settings(), readers: extrac
     """Rows of the extracted schema for scanned files."""
     s = settings
     of = F.coalesce(kind_of(F.col("ext"), readers), F.lit("none"))
-    files = files.withColumn("kind", F.when((F.col("size_bytes") > s.max_bytes) & (of != "none"), "large").otherwise(of))
+    problem = F.col("problem") if "problem" in files.columns else F.lit(None).cast("string")
+    files = files.withColumn("problem", problem).withColumn("kind", F.when(F.col("problem").isNotNull(), "unread").when((F.col("size_bytes") > s.max_bytes) & (of != "none"), "large").otherwise(of))
     raw = text_of(F.col("content"))
     head = F.substring(raw, 1, min(2 * s.max_scan_chars, (1 << 31) - 1))
     flags = {
         "none": ("unknown", "no_parser", "unsupported_ext"), "large": ("", "skipped_too_large", f"size>{s.max_bytes}"), "convert": ("needs_conversion", "no_parser", None),
-        "image": ("image_only", None, None), "container": ("none", "container", "expand_first"),
+        "image": ("image_only", None, None), "container": ("none", "container", "expand_first"), "unread": ("", "error", F.col("problem")),
     }
     native = {"text": F.substring(raw, 1, s.max_scan_chars), "markup": F.substring(strip_html(head), 1, s.max_scan_chars), "rtf": F.substring(strip_rtf(head), 1, s.max_scan_chars)}
     kind = F.col("kind")
@@ -154,33 +159,64 @@ def extracted(files: DataFrame, settings: Settings = Settings(), readers: extrac
         return out
 
     text = F.coalesce(pick(native), F.lit(""))
-    m = meta(text_extractable=pick({k: F.lit(v[0]) for k, v in flags.items()} | {k: F.lit("text") for k in native}), status=pick({k: F.lit(v[1]) for k, v in flags.items()}), detail=pick({k: F.lit(v[2]) for k, v in flags.items()}))
+    m = meta(text_extractable=pick({k: F.lit(v[0]) for k, v in flags.items()} | {k: F.lit("text") for k in native}), status=pick({k: F.lit(v[1]) for k, v in flags.items()}), detail=pick({k: v[2] if isinstance(v[2], Column) else F.lit(v[2]) for k, v in flags.items()}))
     own = kind.isin(*readers.parsers)
     simple = files.filter(~own).select("rel_path", "file_name", "ext", "size_bytes", text.alias("text"), m.alias("meta"))
     parsed = files.filter(own).select("rel_path", "file_name", "ext", "size_bytes", "kind", "content")
     tests = _person_tests(s)
 
+    def parse(data: bytes, header: tuple[str, str]) -> extract.Extracted:
+        kind, ext = header
+        return readers.parsers[kind](data, ext, extract.RowCounter(*tests, s), s)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            texts, metas = [], []
-            for kind, ext, data in zip(b["kind"], b["ext"], b["content"]):
-                try:
-                    with extract.TimeLimit(s.timeout_s):
-                        text, got = readers.parsers[kind](bytes(data), ext, extract.RowCounter(*tests, s), s)
-                except TimeoutError:
-                    text, got = "", {"status": "timeout", "detail": "per_file_timeout"}
-                except Exception as e:  # one bad file is a row with a status, never the end of a run
-                    text, got = "", {"status": "error", "detail": type(e).__name__}
-                texts.append(text)
-                metas.append(dict.fromkeys(META.names) | got)
-            yield pd.DataFrame({"rel_path": b["rel_path"], "file_name": b["file_name"], "ext": b["ext"], "size_bytes": b["size_bytes"], "text": texts, "meta": metas})
+        with Guard(parse, s.timeout_s, s.parser_memory_mb) as guard:
+            for b in batches:
+                texts, metas = [], []
+                for kind, ext, data in zip(b["kind"], b["ext"], b["content"]):
+                    try:
+                        text, got = guard(bytes(data), (kind, ext))
+                    except TimeoutError:
+                        text, got = "", {"status": "timeout", "detail": "per_file_timeout"}
+                    except Died:
+                        text, got = "", {"status": "error", "detail": "parser_died"}
+                    except RuntimeError as e:  # one bad file is a row with a status, never the end of a run
+                        text, got = "", {"status": "error", "detail": str(e)}
+                    texts.append(text.encode("utf-8", "replace").decode())
+                    metas.append(dict.fromkeys(META.names) | got)
+                yield pd.DataFrame({"rel_path": b["rel_path"], "file_name": b["file_name"], "ext": b["ext"], "size_bytes": b["size_bytes"], "text": texts, "meta": metas})
 
     return simple.unionByName(parsed.mapInPandas(run, EXTRACTED_SCHEMA))
 
 
 def with_jobs(rows: DataFrame, jobs: DataFrame) -> DataFrame:
-    """extracted rows with their job's threshold: jobs (job_dir, bde_threshold) holds a row for each job folder."""
+    """extracted rows with what their job's folder says: job_dir, job_bde_threshold, job_rules_version, job_protocol (null where nothing is said).
+
+    jobs (job_dir, and any of bde_threshold, rules_version, protocol_text) holds a row for each job folder; of several the greatest
+    counts. Empty values are none. The table is written first, so Spark knows its size and sends it to all tasks only if it is small.
+    """
     from ..operators.fleet import job_dir_of
 
-    j = jobs.select("job_dir", F.col("bde_threshold").cast("int").alias("job_bde_threshold"))
+    given = {"bde_threshold": ("job_bde_threshold", "int"), "rules_version": ("job_rules_version", "string"), "protocol_text": ("job_protocol", "string")}
+    values = [(F.nullif(F.trim(F.col(a).cast("string")), F.lit("")).try_cast(kind) if a in jobs.columns else F.lit(None).cast(kind)).alias(b) for a, (b, kind) in given.items()]
+    j = jobs.select(F.regexp_replace("job_dir", "/+$", "").alias("job_dir"), *values)
+    j = written(j.groupBy("job_dir").agg(*(F.max(b).alias(b) for b, _ in given.values())), "jobs")
     return rows.withColumn("job_dir", job_dir_of(F.col("rel_path"))).join(j, "job_dir", "left")
+
+
+PROTOCOL_KINDS = (".pdf", ".docx", ".doc", ".txt", ".rtf")  # fixed value: the first that is there counts
+
+
+def jobs_below(spark: SparkSession, root: str, settings: Settings = Settings()) -> DataFrame:
+    """The job folders below root for ``with_jobs``: folders that hold pii_job.json or a protocol file beside ``files``.
+
+    The JSON's bde_threshold counts where it is a whole number above 0; names count in either case.
+    """
+    found = _described(listing.files_below(spark, root)).filter(F.lower("file_name").isin("pii_job.json", *(f"protocol{e}" for e in PROTOCOL_KINDS)) & ~F.col("rel_path").rlike("(^|/)files/"))
+    readers = extract.Registry()
+    readers = extract.Registry(readers.extensions | {".json": "text"}, readers.parsers)
+    texts = extracted(_with_content(found, root, settings, readers), settings, readers).select(F.regexp_extract("rel_path", "^(.*)/[^/]*$", 1).alias("job_dir"), F.lower("file_name").alias("name"), "text")
+    is_json = F.col("name") == "pii_job.json"
+    said = F.get_json_object("text", "$.bde_threshold").try_cast("int")
+    rank = F.array_position(F.array(*(F.lit(f"protocol{e}") for e in PROTOCOL_KINDS)), F.col("name"))
+    return texts.groupBy("job_dir").agg(F.max(F.when(is_json & (said > 0), said)).alias("bde_threshold"), F.max(F.when(is_json, F.get_json_object("text", "$.rules_version"))).alias("rules_version"), F.min_by(F.nullif(F.trim("text"), F.lit("")), F.when(~is_json, rank)).alias("protocol_text"))

@@ -7,6 +7,7 @@ from email.message import EmailMessage
 from pyspark.sql import functions as F
 
 from paperlane.operators import reports, route
+from paperlane.operators.enrich import Calls
 from paperlane.operators.pipeline import Services, inventory
 from paperlane.plans.rules import RuleList
 from paperlane.plans.schema import EXTRACTED_SCHEMA, INVENTORY, INVENTORY_SCHEMA, LANES, LEGACY, META
@@ -14,6 +15,9 @@ from paperlane.plans.settings import Settings
 from paperlane.sources import extract, files, sinks
 
 
+QUICK = Calls(pause_s=0.001)
+
+
 def file(name, text="", size=100, **meta):
     ext = name[name.rfind("."):] if "." in name else ""
     return (name, name.split("/")[-1], ext, size, text, tuple(({"text_extractable": "text"} | meta).get(n) for n in META.names))
@@ -125,7 +129,7 @@ def test_ocr(spark):
             raise OSError
         return {"text": "SSN 123-45-6789", "pages": 3}
 
-    got = inv_of(spark, [file("good.png", text_extractable="image_only"), file("bad.png", text_extractable="image_only"), file("t.txt", "x")], services=Services(ocr=ocr))
+    got = inv_of(spark, [file("good.png", text_extractable="image_only"), file("bad.png", text_extractable="image_only"), file("t.txt", "x")], services=Services(ocr=ocr, calls=QUICK))
     assert {k: (v["searchable"], v["ocr"], v["ocr_attempted"], v["di_calls"]) for k, v in got.items()} == {"good.png": (True, True, True, 1), "bad.png": (False, False, True, 1), "t.txt": (True, False, False, 0)}
     assert got["bad.png"]["detail"] == "ocr_failed:OSError" and got["good.png"]["ocr_pages"] == 3
 
@@ -137,13 +141,13 @@ def test_embedded_images(spark):
         return "SSN 123-45-6789" if image.startswith(b"ssn") else ""
 
     big = b"x" * 1024
-    rows = [file("a.pdf", "policy", content_images=[b"ssn" + big, b"bad" + big, b"nothing" + big, b"small"]), file("b.pdf", "policy", content_images=[b"small"]), file("c.pdf", "policy"), file("d.pdf", text_extractable="image_only", content_images=[b"ssn" + big])]
-    got = inv_of(spark, rows, services=Services(ocr_image=read))
+    rows = [file("a.pdf", "policy", content_images=[(1, b"ssn" + big), (1, b"bad" + big), (3, b"nothing" + big), (4, b"small"), (7, b"ssn" + big)]), file("b.pdf", "policy", content_images=[(1, b"small")]), file("c.pdf", "policy"), file("d.pdf", text_extractable="image_only", content_images=[(1, b"ssn" + big)])]
+    got = inv_of(spark, rows, services=Services(ocr_image=read, calls=QUICK))
     assert {k: (v["img_ocr_qualifying"], v["img_ocr_calls"], v["img_ocr_ok"], v["di_calls"], v["suggested_lane"]) for k, v in got.items()} == {
-        "a.pdf": (3, 3, 1, 3, "standard"), "b.pdf": (0, 0, 0, 0, "likely_non_responsive"), "c.pdf": (0, 0, 0, 0, "likely_non_responsive"), "d.pdf": (0, 0, 0, 0, "nonsearchable_sample")}
-    assert got["a.pdf"]["detail"] == "img_ocr_failed:OSErrorx1"
+        "a.pdf": (5, 4, 2, 4, "standard"), "b.pdf": (1, 0, 0, 0, "likely_non_responsive"), "c.pdf": (0, 0, 0, 0, "likely_non_responsive"), "d.pdf": (0, 0, 0, 0, "nonsearchable_sample")}
+    assert got["a.pdf"]["detail"] == "img_ocr:p1,p7(2/5,+30chars) img_ocr_failed:OSErrorx1"
     off = inv_of(spark, rows[:1])["a.pdf"]
-    assert (off["img_ocr_qualifying"], off["img_ocr_calls"], off["di_calls"]) == (3, 0, 0)
+    assert (off["img_ocr_qualifying"], off["img_ocr_calls"], off["di_calls"]) == (5, 0, 0)
 
 
 def _zip(parts):

@@ -47,17 +47,9 @@ def test_hostile_files(spark, tmp_path):
     for name, body in bodies.items():
         (tmp_path / "in" / name).write_bytes(body)
     settings = Settings(max_bytes=1000)
-    before = spark.conf.get("spark.sql.sources.binaryFile.maxLength", None)
-    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "4000")
-    try:
-        found = files.scan(spark, f"file://{tmp_path}/in", settings=settings)
-        assert "LessThanOrEqual(length,1000)" in found._jdf.queryExecution().executedPlan().toString()
-        rows = {r["rel_path"]: r for r in files.extracted(found, settings).collect()}
-    finally:
-        if before is None:
-            spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
-        else:
-            spark.conf.set("spark.sql.sources.binaryFile.maxLength", before)
+    found = files.scan(spark, f"file://{tmp_path}/in", settings=settings)
+    assert found.filter("size_bytes > 1000 AND content IS NOT NULL").count() == 0
+    rows = {r["rel_path"]: r for r in files.extracted(found, settings).collect()}
     assert set(rows) == set(bodies)
     assert rows["bad.txt"]["text"] == " SSN 123-45-6789  café � end" and rows["BIG.TXT"]["text"] == "y" * 100
     status = {k: r["meta"]["status"] for k, r in rows.items()}
@@ -73,7 +65,7 @@ def test_file_stream(spark, tmp_path):
     (tmp_path / "in" / "b.mp4").write_text("x")
     rows = inventory(files.extracted(files.stream(spark, f"file://{tmp_path}/in")))
     rows.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
-    assert [(r["rel_path"], r["suggested_lane"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [("a.txt", "standard")]
+    assert sorted((r["rel_path"], r["suggested_lane"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [("a.txt", "standard"), ("b.mp4", "needs_parser")]
 
 
 def test_large_workbooks():
@@ -162,7 +154,12 @@ def test_pdf_kinds(monkeypatch):
     images = [_Image("a", (450, 300)), _Image("a", (450, 300)), _Image("logo", (100, 100)), _Image("page", (900, 900)), _Image("bad")]
     _pypdf(monkeypatch, [_Page(prose, images=images)])
     meta = extract.pdf(b"%PDF", s)[1]
-    assert len(meta["content_images"]) == 1 and meta["pdf_images_decode_failed"] == 1
+    assert [i["page"] for i in meta["content_images"]] == [1] and meta["content_images"][0]["jpeg"].startswith(b"jpeg")
+    assert meta["pdf_images_decode_failed"] == 1 and meta["pdf_images_seen"] == 4
+    better = [_Page(prose, images=[_Image("a", (10, 10)), _Image("b", (500, 200))]), _Page(prose, images=[_Image("a", (400, 100)), _Image("b", (500, 200))])]
+    _pypdf(monkeypatch, better)
+    meta = extract.pdf(b"%PDF", s)[1]
+    assert [i["page"] for i in meta["content_images"]] == [1, 2] and meta["pdf_images_seen"] == 3
     _pypdf(monkeypatch, [_Page(prose)] * 9)
     text, meta = extract.pdf(b"%PDF", Settings(pdf_max_pages=3))
     assert meta["detail"] == "pdf_text_capped:3/9" and meta["page_or_sheet_count"] == 9
@@ -190,7 +187,7 @@ def test_optional_readers(monkeypatch):
 def test_registry_in_a_scan(spark, tmp_path):
     (tmp_path / "a.dwg").write_bytes(b"abc")
     more = extract.Registry().with_parser("drawing", (".dwg",), lambda data, ext, rows, s: (data.decode(), {"text_extractable": "text"}))
-    (row,) = files.extracted(files.scan(spark, f"file://{tmp_path}", False, readers=more), readers=more).collect()
+    (row,) = files.extracted(files.scan(spark, f"file://{tmp_path}", readers=more), readers=more).collect()
     assert row["text"] == "abc" and row["meta"]["status"] is None
 
 
