@@ -18,6 +18,7 @@ import json
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from .common import new_folder, written
 LENGTH = 2048
 BATCH = 64  # sequences in a record batch
 END = 0
-CACHE = 700_000  # pieces whose ids a task keeps; beyond it starts anew
+CACHE = 700_000  # pieces whose ids a worker process keeps; beyond it starts anew
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -133,7 +134,9 @@ class Encoder:
         return out
 
 
+@lru_cache(1)
 def encoder(tokenizer_json: str, dtype: str) -> Encoder:
+    """The encoder of this worker process: one for all its tasks, since each holds a vocabulary and what it has seen."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
