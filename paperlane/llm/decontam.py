@@ -13,8 +13,8 @@ alignment, equal values in the item must stand against equal values in the docum
 template is chance. A document holds an item if such windows cover ``share`` of the item's tokens or more.
 
 Items shorter than WINDOW are one window of their own length. Items of fewer than LEAST tokens would be met in running
-text by chance: a document holds such an item where it stands as a sentence or line of its own, or is the whole text,
-with its own values.
+text by chance: a document holds such an item, with its own values, where it stands as a sentence or line of its own, after a
+label or a list mark, or is the whole text; a question of LEAST_QUESTION tokens or more is also met as the end of any question.
 
 Only windows whose hash may be the benchmark's leave a document's row: a Bloom filter of all the benchmark's hashes, of
 at most 2^MOST_BITS bits, is tested inside the array. Beyond that size it lets more windows through to the join, which
@@ -50,7 +50,11 @@ NAME = r"(?<![\p{L}\p{N}])(?<!\p{N} )\p{Lu}\p{L}+"  # what follows a digit and a
 # A slot's token begins with its mark, and only slots are below END in order.
 NUM, END, NAM = "\u0001", "\u0002", "\u0003"
 WORDS_FROM = "\u0004"
-SENTENCES = r"[\n\r]+|(?<=[.!?])\s+"
+# A label's colon ends a piece, too; a quotation mark or bracket may close it.
+SENTENCES = r"[\n\r]+|(?<=[.!?:;])\s+|(?<=[.!?:;][\"')\]\u2019\u201d])\s+"
+LIST_MARK = r"^\s*(?:[-*>#\u2022]+|\(?(?:[0-9]{1,3}|[A-Za-z])[.)])\s+"
+QUESTION = r"\?[\s\"'\u2019\u201d)\]]*$"
+LEAST_QUESTION = 3  # tokens of a short question that is met at the end of a longer one
 
 
 Test = Callable[[Column], Column]
@@ -159,7 +163,7 @@ def _whole(toks: Column) -> Column:
 
 def _held(docs: DataFrame, items: DataFrame, share: float, window: int, stride: int) -> DataFrame:
     """From docs (key, text) and items (item_key, text): key, t (the text's hash), item_key and the measures of what each text holds."""
-    own = written(items.select(F.monotonically_increasing_id().alias("item"), "item_key", tokens(F.col("text")).alias("toks")).filter("size(toks) > 0"), "items")
+    own = written(items.select(F.monotonically_increasing_id().alias("item"), "item_key", F.coalesce(F.col("text").rlike(QUESTION), F.lit(False)).alias("asks"), tokens(F.col("text")).alias("toks")).filter("size(toks) > 0"), "items")
     docs = docs.filter("text IS NOT NULL").select("key", F.xxhash64("text").alias("t"), "text")
     lengths = sorted(r[0] for r in own.select(F.least(F.size("toks"), F.lit(window))).distinct().collect())  # at most ``window`` numbers
     found = [_brief(docs, own.filter(F.size("toks") < LEAST))] if lengths and lengths[0] < LEAST else []
@@ -205,12 +209,18 @@ def _covered(docs: DataFrame, wanted: DataFrame, own: DataFrame, lengths: list[i
 
 
 def _brief(docs: DataFrame, own: DataFrame) -> DataFrame:
-    """Items of few tokens that stand as a sentence, a line or the whole of a text, with their own values."""
-    own = own.select("item_key", _whole(F.col("toks")).alias("h"), F.size("toks").alias("item_words"), F.size(F.filter("toks", lambda t: t < WORDS_FROM)).cast("long").alias("n_slots"))
+    """Items of few tokens that stand as a sentence, a line, behind a label or list mark, at the end of a question or as the whole of a text, with their own values."""
+    own = own.select("item_key", "asks", _whole(F.col("toks")).alias("h"), F.size("toks").alias("item_words"), F.size(F.filter("toks", lambda t: t < WORDS_FROM)).cast("long").alias("n_slots"))
     pieces = docs.select("key", "t", F.explode(F.array_union(F.split("text", SENTENCES), F.array("text"))).alias("piece"))
-    pieces = pieces.select("key", "t", _once(tokens(F.col("piece")), "toks")).filter(F.size("toks").between(1, LEAST - 1))
-    held = pieces.select("key", "t", _whole(F.col("toks")).alias("h")).distinct().join(own, "h")
-    return held.select("key", "t", "item_key", F.col("item_words").cast("long").alias("covered_words"), "item_words", F.lit(1.0).alias("coverage"), "n_slots", F.lit(0).alias("new"))
+    pieces = pieces.select("key", "t", F.regexp_replace("piece", LIST_MARK, "").alias("piece"))
+    pieces = pieces.select("key", "t", F.col("piece").rlike(QUESTION).alias("question"), _once(tokens(F.col("piece")), "toks"))
+    n = F.size("toks")
+    alone = F.when(n.between(1, LEAST - 1), F.struct(_whole(F.col("toks")).alias("h"), F.lit(False).alias("tail")))
+    tails = [F.when(F.col("question") & (n > k), F.struct(_whole(F.slice("toks", n - k + 1, F.lit(k))).alias("h"), F.lit(True).alias("tail"))) for k in range(LEAST_QUESTION, LEAST)]
+    found = pieces.select("key", "t", F.explode(F.array_compact(F.array(alone, *tails))).alias("x")).select("key", "t", "x.*").distinct()
+    held = found.join(own, "h").filter(F.col("asks") | ~F.col("tail"))
+    held = held.select("key", "t", "item_key", F.col("item_words").cast("long").alias("covered_words"), "item_words", F.lit(1.0).alias("coverage"), "n_slots", F.lit(0).alias("new"))
+    return held.distinct()
 
 
 def matches(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", item_text: str = "text", item_key: str = "item_id", share: float = SHARE, window: int = WINDOW, stride: int = STRIDE) -> DataFrame:

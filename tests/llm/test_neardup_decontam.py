@@ -371,3 +371,42 @@ def test_recall_by_similarity(spark):
     prints = {r["doc_id"]: neardup.fingerprint_of(r["text"]) for r in table}
     near = {k for k, x in prints.items() if any(x != y and (x ^ y).bit_count() <= 3 or x == y and k != m for m, y in prints.items())}
     assert set(sets) - kept <= linked | near
+
+
+def brute_brief(doc, item):
+    """Whether a short item stands as a piece of its own, or at the end of a question, by plain rules on ASCII texts."""
+    import re
+
+    values = lambda x: [v for _, v in brute_tokens(x)]
+    q = values(item)
+    for piece in [*re.split(r"[\n\r]+|(?<=[.!?:;])\s+|(?<=[.!?:;][\"')\]])\s+", doc), doc]:
+        d = values(re.sub(r"^\s*(?:[-*>#]+|\(?(?:[0-9]{1,3}|[A-Za-z])[.)])\s+", "", piece))
+        if d == q or item.endswith("?") and re.search(r"\?[\s\"')\]]*$", piece) and 3 <= len(q) < len(d) and d[-len(q) :] == q:
+            return True
+    return False
+
+
+def test_short_items_behind_labels_and_in_questions(spark):
+    items = ["Who wrote Hamlet?", "Name the capital", "Yes", "Why not?", "What is 7?"]
+    docs = [
+        "Q: Who wrote Hamlet?", "quiz: who wrote Hamlet? it was easy", "1. Who wrote Hamlet?", "2) who wrote hamlet", "(b) Who wrote Hamlet? Shakespeare", "- WHO WROTE HAMLET?\n- other", "* Who wrote Hamlet",
+        'They asked him at once who wrote Hamlet? He did not know.', 'She said "tell me who wrote Hamlet?" and left', "the man who wrote Hamlet was here", "nobody knows who wrote Hamlet", "I wonder why not?", "Why not? Because.", "task; name the capital", "name the capital of it",
+        "Question 5: what is 7?", "tell us what is 7?", "tell us what is 8?", "yes", "oh yes", "a yes: yes", "who wrote", "",
+    ]
+    rows = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    asked = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.matches(rows, asked).collect()}
+    want = {(i, j) for i, d in enumerate(docs) for j, q in enumerate(items) if brute_brief(d, q)}
+    assert got == want and {i for i, j in want if j == 0} == {0, 1, 2, 3, 4, 5, 6, 7, 8} and (16, 4) in want and (17, 4) not in want and (11, 3) not in want
+
+
+def test_recall_of_short_items(spark):
+    """Questions of three and four words in running text, behind labels, marks and as lines: all are found, and statements that hold the words are not."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 7)))
+    prose = lambda: " ".join(word() for _ in range(rng.randint(3, 40)))
+    items = [f"{word().capitalize()} {' '.join(word() for _ in range(rng.randint(2, 3)))}?" for _ in range(40)]
+    forms = [lambda q: f"{prose()}. {q} {prose()}", lambda q: f"Q{rng.randint(1, 9)}: {q}", lambda q: f"{prose()}\n{rng.randint(1, 30)}) {q}\n{prose()}", lambda q: f"{prose()} {q.lower()} {prose()}", lambda q: f"- {q.upper()}"]
+    docs = [(i * 10 + k, f(q)) for i, q in enumerate(items) for k, f in enumerate(forms)] + [(i * 10 + 9, f"{prose()} {q.rstrip('?').lower()} {prose()}.") for i, q in enumerate(items)]
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+    assert got == {(i * 10 + k, i) for i in range(len(items)) for k in range(len(forms))}
