@@ -34,6 +34,23 @@ MONEY = (
     r"|\b\d{1,3}(?:,\d{3})+(?:\.\d{1,2})?\b"
     r"|\b\d+\.\d{2}\b"
 )
+# Equal forms of two patterns for the JVM, whose matcher would look at a long run of their characters once from each place in it. Both
+# are entered at the start of a run, or where the last match ended in one, pass what cannot begin a match, and hold what they
+# find in the group given; what stands behind a run is tried from its first place only, since no later one has another outcome.
+_AMOUNT = r"\d[\d,]*+(?:\.\d++)?+\s?+(?:USD|EUR|GBP|CAD|AUD|dollars?|euros?|pounds?)\b"
+MONEY_ONCE = (
+    rf"(?i)(?:(?:(?<![\d,])|\G(?<=\.\d{{1,40}}))(?:(?!\b\d)[\d,])*+(?=\b{_AMOUNT})())?+("
+    r"[$£€]\s?\d[\d,]*+(?:\.\d+)?"
+    r"|\b(?:USD|EUR|GBP|CAD|AUD)\s?\$?\d[\d,]*+(?:\.\d+)?"
+    rf"|\1\b{_AMOUNT}"
+    r"|\b\d{1,3}(?:,\d{3})+(?:\.\d{1,2})?\b"
+    r"|\b\d++\.\d{2}\b)"
+)
+_LOCAL = r"[A-Za-z0-9._%+-]"
+EMAIL = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b"
+EMAIL_ONCE = rf"(?:(?<!{_LOCAL})|\G)(?:(?!\b){_LOCAL})*+(\b{_LOCAL}++@[A-Za-z0-9.-]+\.[A-Za-z]{{2,}}\b)"
+#: Patterns of a rule list that have such a form, with the group that holds the match.
+ONCE = {EMAIL: (EMAIL_ONCE, 1)}
 SSN_SEPARATED = r"\b\d{3}[- ]\d{2}[- ]\d{4}\b"
 SSN_LABEL = r"(?i)(?:\bssn\b|social\s+security(?:\s+(?:no\.?|number|num|#))?)"
 SSN_BARE = r"\b\d{9}\b"
@@ -122,7 +139,7 @@ def count_addresses(text: Column) -> Column:
 
 
 def count_money(text: Column) -> Column:
-    return F.size(F.array_distinct(F.transform(_all(text, MONEY), lambda v: F.trim(v))))  # F.trim itself would take the index, too
+    return F.size(F.array_distinct(F.transform(_all(text, MONEY_ONCE, 2), lambda v: F.trim(v))))  # F.trim itself would take the index, too
 
 
 def count_labeled(text: Column, near: str, value: str, window: int, min_digits: int) -> Column:
@@ -142,7 +159,7 @@ def count_regex(text: Column, rule: Rule) -> Column:
         if rule.luhn:
             arrays.append(card_numbers(text, p))
         else:
-            found = _all(text, p, groups_of(p))
+            found = _all(text, *ONCE.get(p, (p, groups_of(p))))
             arrays.append(F.transform(found, F.lower) if rule.casefold else found)
     return _distinct(arrays) if arrays else F.lit(0)
 
@@ -180,7 +197,7 @@ def row_has_identifier(text: Column, rules: RuleList) -> Column:
         if r.per_person and r.method == "ssn":
             tests.append(text.rlike(SSN_SEPARATED))
         elif r.per_person and r.method == "regex":
-            tests += [F.size(card_numbers(text, p)) > 0 if r.luhn else text.rlike(p) for p in r.patterns]
+            tests += [F.size(card_numbers(text, p)) > 0 if r.luhn else text.rlike(ONCE.get(p, (p, 0))[0]) for p in r.patterns]
     return F.coalesce(_any(tests), F.lit(False)) if tests else F.lit(False)
 
 

@@ -9,10 +9,27 @@ from pyspark.sql import functions as F
 # Fixed values of this module: the patterns of markup, rich text and ids, and the marks of left-out text.
 
 
+_HELD = "\uf8ff"  # stands behind the < of a block that nothing closes while the others are taken away
+
+
+def _behind(text: Column, head: Column) -> Column:
+    return F.substring(text, F.length(head) + 1, F.length(text))
+
+
 def strip_html(html: Column) -> Column:
-    """script and style blocks away, then every tag a blank."""
-    bare = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1>", " ")
-    return F.regexp_replace(bare, "<[^>]+>", " ")
+    """script and style blocks away, then every tag a blank.
+
+    Behind the last closing mark of its kind no block ends, and behind the last ``>`` no tag. The beginnings there are taken out of the
+    search first, so each of the others finds its end and no part of a page is read twice.
+    """
+    marked = html
+    for kind in ("script", "style"):
+        head = F.regexp_extract(marked, rf"(?is)\A.*</{kind}>", 0)
+        held = F.concat(head, F.regexp_replace(_behind(marked, head), rf"(?i)<(?={kind}\b)", f"<{_HELD}"))
+        marked = F.when(marked.rlike(rf"(?i)<{kind}\b"), held).otherwise(marked)
+    bare = F.regexp_replace(marked, r"(?is)<(script|style)\b.*?</\1>", " ")
+    head = F.regexp_extract(bare, r"(?s)\A.*>", 0)
+    return F.concat(F.regexp_replace(head, "<[^>]+>", " "), F.regexp_replace(_behind(bare, head), f"<{_HELD}", "<"))
 
 
 def strip_rtf(rtf: Column) -> Column:
@@ -63,15 +80,26 @@ def text_fingerprint(text: Column) -> Column:
 
 # What a printed scorecard shows in its pipeline section, and where the number stands.
 _SHOWN = {
-    "scored": r"(?m)^\s*scored\s+([0-9,]+)", "excluded": r"excluded:\s*([0-9,]+)", "recall": r"(?m)^\s*recall\s+([0-9.]+)", "precision": r"(?m)^\s*precision\s+([0-9.]+)", "accuracy": r"(?m)^\s*accuracy\s+([0-9.]+)",
-    "f1": r"\bF1\s+([0-9.]+)", "nr_accuracy": r"(?m)^\s*NR accuracy\s+([0-9.]+)", "r_accuracy": r"(?m)^\s*R accuracy\s+([0-9.]+)", "flagged": r"(?m)^\s*flagged\s+([0-9.]+)", "over_call": r"over-call\s+([0-9.]+)", "under_call": r"under-call\s+([0-9.]+)",
-} | {k.lower(): rf"{k}=([0-9,]+)" for k in ("TP", "FP", "FN", "TN")}
+    "scored": r"(?m)^\s*scored\s+([\d,]+)",
+    "excluded": r"excluded:\s*([\d,]+)",
+    "recall": r"(?m)^\s*recall\s+([\d.]+)",
+    "precision": r"(?m)^\s*precision\s+([\d.]+)",
+    "accuracy": r"(?m)^\s*accuracy\s+([\d.]+)",
+    "f1": r"\bF1\s+([\d.]+)",
+    "nr_accuracy": r"(?m)^\s*NR accuracy\s+([\d.]+)",
+    "r_accuracy": r"(?m)^\s*R accuracy\s+([\d.]+)",
+    "flagged": r"(?m)^\s*flagged\s+([\d.]+)",
+    "over_call": r"over-call\s+([\d.]+)",
+    "under_call": r"under-call\s+([\d.]+)",
+}
+_COUNTS, _COUNT_NAMES = r"TP=([\d,]+)\s+FP=([\d,]+)\s+FN=([\d,]+)\s+TN=([\d,]+)", ("tp", "fp", "fn", "tn")
 
 
 def score_summary(printed: Column) -> Column:
-    """Map of the headline numbers in a printed scorecard's PIPELINE section; without one it is empty."""
+    """Map of the headline numbers in a printed scorecard's PIPELINE section; without one it is empty. The four counts are taken together or not at all."""
     block = F.regexp_extract(printed, r"(?s)(PIPELINE.*?)(?:NR/R --|$)", 1)
-    found = F.array(*(F.struct(F.lit(k).alias("k"), F.nullif(F.regexp_replace(F.regexp_extract(block, p, 1), ",", ""), F.lit("")).alias("v")) for k, p in _SHOWN.items()))
+    places = [(k, p, 1) for k, p in _SHOWN.items()] + [(k, _COUNTS, n) for n, k in enumerate(_COUNT_NAMES, 1)]
+    found = F.array(*(F.struct(F.lit(k).alias("k"), F.nullif(F.regexp_replace(F.regexp_extract(block, p, n), ",", ""), F.lit("")).alias("v")) for k, p, n in places))
     return F.map_from_entries(F.filter(found, lambda x: x["v"].isNotNull()))
 
 

@@ -123,7 +123,8 @@ def _person_tests(settings: Settings):
         if r.per_person and r.method == "ssn":
             plain.append(re.compile(d.SSN_SEPARATED))
         elif r.per_person and r.method == "regex":
-            (cards if r.luhn else plain).extend(re.compile(p) for p in r.patterns)
+            # the first match of a line needs no place where another ended
+            (cards if r.luhn else plain).extend(re.compile(d.ONCE[p][0].replace(r"|\G", "") if p in d.ONCE else p) for p in r.patterns)
     roster = re.compile(d.ROSTER_LINE)
 
     def is_person(line: str) -> bool:

@@ -1,6 +1,8 @@
 """Detectors against the findings they must and must not make."""
 
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,8 @@ from paperlane.functions import detectors as d
 from paperlane.functions import text as tx
 from paperlane.operators import detect
 from paperlane.plans import rules as R
+from paperlane.plans.settings import Settings
+from paperlane.sources import extract, files
 
 RULES = R.RuleList()
 
@@ -123,3 +127,58 @@ def test_rule_lists(tmp_path):
     assert R.load().fingerprint() == R.RuleList().fingerprint() != got.fingerprint()
     assert R.RuleList().per_person == ["NAME", "EMAIL", "PHONE", "SSN", "CARD"]
     assert len(R.RuleList().rules) == 27 and R.RuleList().value_keys == ["ADDRESS", "EMAIL", "PHONE", "SSN", "PASSPORT", "DRIVER_LICENSE", "TIN", "NATIONAL_ID", "DOB", "CARD", "BANK_ACCOUNT"]
+
+
+def fuzzed(alphabets, n, seed):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(rng.choice(alphabets)) for _ in range(rng.randint(0, 14))) for _ in range(n)]
+
+
+def test_patterns_entered_once_find_the_same(spark):
+    """The forms for the JVM against the plain patterns in Python, on texts that are put together to break them."""
+    amounts = fuzzed([list("1250"), list("12,.,. "), ["1,234", ",000", "123", ",", ".", ".50", "1.50,000 USD"], ["$", "USD", " EUR", "usd ", "dollars", "x", "é", "_", " ", "pound"]], 6000, 1)
+    mails = fuzzed([list("ab1@.-_%+ "), ["a@b.com", ".co", "@", "x.y", "é", ".-", "@a.b", "a.a.a."], list("@@..a")], 6000, 2)
+    df = spark.createDataFrame(list(zip(amounts, mails)), "a string, m string").repartition(4)
+    rows = df.select("a", "m", F.regexp_extract_all("a", F.lit(d.MONEY_ONCE), F.lit(2)).alias("x"), F.regexp_extract_all("m", F.lit(d.EMAIL_ONCE), F.lit(1)).alias("y"), F.col("m").rlike(d.EMAIL_ONCE).alias("any")).collect()
+    money, mail = re.compile(d.MONEY), re.compile(d.EMAIL)
+    first = re.compile(d.EMAIL_ONCE.replace(r"|\G", ""))
+    hits = 0
+    for r in rows:
+        wanted = [m[0] for m in money.finditer(r["a"])]
+        assert r["x"] == wanted, r["a"]
+        wanted = [m[0] for m in mail.finditer(r["m"])]
+        assert r["y"] == wanted and r["any"] == bool(wanted) == bool(first.search(r["m"])), r["m"]
+        hits += len(r["x"]) > 1 and len(r["y"]) > 1
+    assert hits > 20 and {r.method for r in R.RuleList().rules if set(r.patterns) & set(d.ONCE)} == {"regex"}
+
+
+def plain_html(t):
+    return re.sub("<[^>]+>", " ", re.sub(r"(?is)<(script|style)\b.*?</\1>", " ", t))
+
+
+def test_markup_is_taken_away_as_before(spark):
+    pieces = ["<script", "<STYLE>", "</script>", "</style>", "</Script>", "<script>", "<p>", "<", ">", "x", " y ", "<b", "scripts", "<style a='>'>", "\n", "<>", "é"]
+    texts = ["".join(p) for p in ([random.Random(i).choice(pieces) for i in range(k, k + random.Random(k).randint(0, 12))] for k in range(0, 60_000, 15))]
+    got = {r["t"]: r["s"] for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", tx.strip_html(F.col("t")).alias("s")).collect()}
+    for t in set(texts):
+        assert got[t] == plain_html(t) == extract.strip_tags(t), t
+        assert extract._without_tags(t) == re.sub("<[^>]+>", " ", t)
+
+
+LONG = {"numbers": "1," * 500_000, "numbers and a word": "1," * 500_000 + " pounds", "grouped": "123,456,7," * 100_000, "decimals": "1.50," * 200_000, "dotted": "a." * 500_000 + "@", "addresses": "a.b@c.de," * 110_000,
+        "open": "<" * 1_000_000, "scripts": "<script " * 125_000, "styles": "<style></script>" * 60_000, "closed late": "<script " * 100_000 + "</style>" + "<style " * 20_000}
+
+
+def test_long_texts_in_linear_time(spark):
+    """1 MB each, in seconds, in the JVM and in the parsers."""
+    for name, text in LONG.items():
+        df = spark.createDataFrame([(text,)], "t string").cache()
+        df.count()
+        start = time.time()
+        df.select(d.count_money(F.col("t")), d.count_regex(F.col("t"), next(r for r in R.RuleList().rules if r.key == "EMAIL")), F.length(tx.strip_html(F.col("t")))).collect()
+        assert time.time() - start < 15, name
+        start = time.time()
+        extract.strip_tags(text), extract._without_tags(text)
+        person, roster = files._person_tests(Settings())
+        person(text), roster(text)
+        assert time.time() - start < 15, name
