@@ -19,6 +19,7 @@ from .plans.settings import Settings
 from .shared import new_folder
 from .sources import files, sinks, tables
 from .sources.tables import table
+from .streaming import breaker
 from .streaming import collect as streaming
 
 RULES = RuleList()
@@ -898,11 +899,19 @@ def stream_throughput(spark, d):
     return spark.read.parquet(last).select("job_id", F.unix_micros("window_start").alias("window_us"), "completed", "tokens_in")
 
 
+BREAKER_BATCHES = 4
+
+
 @query(f"""{T}, r AS (SELECT job_id, count(*) OVER w AS n, sum((status <> 'completed')::INT) OVER w AS bad FROM tasks WHERE e IS NOT NULL WINDOW w AS (PARTITION BY job_id ORDER BY e, row_key ROWS BETWEEN 99 PRECEDING AND CURRENT ROW))
 SELECT job_id, max(bad) / 100.0::DOUBLE > 0.05 AS tripped, max(bad) / 100.0::DOUBLE AS rate FROM r WHERE n = 100 GROUP BY job_id""")
 def stream_breaker(spark, d):
-    """The failure breaker as a stateful stream; a job's rows arrive in one batch, so the result is that of the batch."""
-    out, state = new_folder(spark, "breaker"), new_folder(spark, "breaker-state")
-    rows = streaming.breaker(_task_stream(spark, d).filter("completed_at IS NOT NULL"), 100)
-    rows.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(rows.schema).parquet(out)
+    """The failure breaker as a stateful stream in event time: rows come in several batches and in no order, and trip as in one."""
+    path, out, state = (new_folder(spark, f"breaker-{x}") for x in ("rows", "out", "state"))
+    rows = tasks(spark, d).filter("completed_at IS NOT NULL").select("job_id", "row_key", "status", "completed_at")
+    rows.repartition(BREAKER_BATCHES, F.xxhash64("row_key")).write.parquet(path)
+    end = spark.createDataFrame([(None, "end", "completed")], "job_id string, row_key string, status string").withColumn("completed_at", F.lit(breaker.END_OF_STREAM).cast("timestamp"))
+    end.write.mode("append").parquet(path)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    found = breaker.breaker(stream, 100, late="3650 days")
+    found.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    return breaker.latest(spark.read.schema(found.schema).parquet(out)).filter("worst_rate IS NOT NULL").select("job_id", "tripped", F.col("worst_rate").alias("rate"))

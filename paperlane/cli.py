@@ -1,4 +1,4 @@
-"""A thin shell over the library: scan, report, sample, estimate, benchmark, score, diff, and for processing jobs collect, status, copy-sample.
+"""A thin shell over the library: scan, report, sample, estimate, benchmark, score, diff, and for processing jobs enqueue, collect, status, copy-sample.
 
 ``python -m paperlane.cli scan ROOT OUT`` and so on; every command is a few calls that a program can make itself.
 """
@@ -6,6 +6,8 @@
 from __future__ import annotations
 
 import argparse
+import json
+import uuid
 from collections.abc import Iterator
 from dataclasses import replace
 
@@ -13,14 +15,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.text import base_name
 from .operators import diff, fleet, reports, score
 from .operators.pipeline import Services, inventory
 from .plans import rules
-from .plans.schema import INVENTORY_SCHEMA
+from .plans.schema import NR_LANE
 from .plans.settings import Settings
 from .shared import written
 from .sources import files, listing, sinks, stores
-from .streaming import collect
+from .streaming import watch
 
 
 def parser() -> argparse.ArgumentParser:
@@ -56,7 +59,14 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--absent-means", choices=["unreviewed", "zero"], default="unreviewed")
     c.add_argument("--bde-threshold", type=int, default=6)
     c = command("collect", "tasks", "results", "out")
-    c.add_argument("--watch", action="store_true", help="go on as results appear")
+    c.add_argument("--watch", action="store_true", help="go on as results appear, until no task is open")
+    c.add_argument("--poll", type=float, default=15.0, help="seconds between passes")
+    c = command("enqueue", "root", "out")
+    c.add_argument("--inventory", help="an earlier inventory; only its files are taken")
+    c.add_argument("--exclude-lanes", default=NR_LANE, help="lanes of that inventory that are left out, by commas")
+    c.add_argument("--job-id")
+    c.add_argument("--bde-threshold", type=int, help="the job's own, written beside its files")
+    c.add_argument("--windows-queue", action="store_true", help="there is a queue for legacy formats")
     c = command("status", "tasks")
     c.add_argument("--failures", action="store_true")
     command("copy-sample", "manifest", "root", "out")
@@ -117,8 +127,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
             schema = spark.read.parquet(a.tasks).schema
             done = spark.read.schema(schema).parquet(a.tasks)
             if a.watch:
-                rows = spark.readStream.schema(f"{INVENTORY_SCHEMA.simpleString()[7:-1]}, job_id:string").option("recursiveFileLookup", True).json(a.results)
-                collect.collect(rows, f"{a.out}/rows", f"{a.out}/state", ("job_id", "rel_path"), available_now=False).awaitTermination()
+                tasks = lambda: spark.read.schema(schema).parquet(a.tasks)
+                print(json.dumps(watch.watch(spark, tasks, a.results, a.out, a.poll)._asdict()))
+                found, missing = watch.collected(spark, tasks(), a.out)
+                sinks.write_csv(found, f"{a.out}/inventory", "overwrite")
+                sinks.write_csv(missing, f"{a.out}/missing", "overwrite")
             else:
                 found, missing = sinks.collected(done, sinks.read_results(spark, a.results))
                 sinks.write_csv(found, f"{a.out}/inventory")
@@ -135,9 +148,25 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
             listed = listing.files_below(spark, a.root).select("path", "rel_path")
             plan = fleet.located(manifest, listed.select(F.col("rel_path").alias("path"))).join(listed.select(F.col("rel_path").alias("found"), "path"), "found", "left")
             sinks.write_csv(_copied(plan.select("rel_path", F.col("path").alias("found"), "target"), a.out), f"{a.out}-copied")
+        case "enqueue":
+            listed = listing.files_below(spark, a.root).select("rel_path")
+            if a.inventory:
+                kept = reports.rescan_set(sinks.read_csv(spark, a.inventory), [x.strip() for x in a.exclude_lanes.split(",") if x.strip()])
+                listed = listed.join(kept.select("rel_path").distinct(), "rel_path", "left_semi")
+            folder = [x for x in a.root.split("/") if x]
+            job = a.job_id or f"{(['job', *folder])[-2]}-{'rescan' if a.inventory else 'job'}-{uuid.uuid4().hex[:8]}"
+            if a.bde_threshold is not None:
+                stores.write(f"{a.root.rstrip('/').rsplit('/', 1)[0]}/pii_job.json", json.dumps({"bde_threshold": a.bde_threshold}).encode())
+            fleet.work_list(listed, job, a.windows_queue, base=base_name(F.col("rel_path"))).write.parquet(a.out)
+            print(json.dumps({"job_id": job, "enqueued": spark.read.parquet(a.out).count()}))
         case "diff":
-            before, after = (diff.keyed(_numbered(sinks.read_csv(spark, p)), F.col("rel_path")) for p in (a.before, a.after))
-            print(diff.rules_decided(before, after).toJSON().first())
+            # kept once each: every view reads both runs
+            before, after = (written(diff.keyed(_numbered(sinks.read_csv(spark, p)), F.col("rel_path")), "compared") for p in (a.before, a.after))
+            views = {"rules_decided": diff.rules_decided, "verdicts": diff.verdict_changes, "columns": diff.column_totals, "transitions": diff.top_transitions, "examples": diff.examples}
+            for name, view in views.items():
+                rows = view(before, after)
+                for row in rows.orderBy(*rows.columns).toJSON().collect():  # a few for each column
+                    print(json.dumps({"view": name} | json.loads(row)))
 
 
 if __name__ == "__main__":

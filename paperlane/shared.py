@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,15 +40,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, paths: list[str]) -> int:
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)
+
+
 def removed(spark: SparkSession) -> int:
     """Deletes the folders made so far and returns their number; results that still read them must be saved before."""
-    n, conf = len(_made), spark.sparkContext._jsc.hadoopConfiguration()
-    while _made:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
-        path.getFileSystem(conf).delete(path, True)
+    n = _delete(spark, _made)
+    _made.clear()
     return n
 
 
+@contextmanager
+def scoped(spark: SparkSession) -> Iterator[None]:
+    """Tables that are written inside are deleted at its end, whether it succeeds or not: save what is to stay."""
+    before = len(_made)
+    try:
+        yield
+    finally:
+        own, _made[before:] = _made[before:], []
+        _delete(spark, own)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """name, or name with more underscores, that no column of df has."""
     taken = {c.lower() for c in df.columns}

@@ -70,6 +70,27 @@ def _with_content(listing: DataFrame, root: str, settings: Settings, readers: ex
     return rows.mapInArrow(run, schema)
 
 
+def with_bytes(found: DataFrame, root: str, most: int) -> DataFrame:
+    """A listing with the bytes of all its files up to ``most``: content, and a ``problem`` where they could not be read."""
+    schema = f"{listing.SCHEMA}, content binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, _ = stores.opened(root)
+        for b in batches:
+            for i in range(b.num_rows):
+                one = b.slice(i, 1)
+                data, problem = None, one.column("problem")[0].as_py()
+                if problem is None:
+                    try:
+                        data = stores.read(store, one.column("place")[0].as_py(), most)
+                    except Exception as e:
+                        problem = type(e).__name__
+                columns = [one.column(n) for n in ("path", "rel_path", "place", "size_bytes", "modified")]
+                yield pa.record_batch([*columns, pa.array([problem], pa.string()), pa.array([data], pa.binary())], names=["path", "rel_path", "place", "size_bytes", "modified", "problem", "content"])
+
+    return found.mapInArrow(run, schema)
+
+
 def scan(spark: SparkSession, root: str, settings: Settings = Settings(), readers: extract.Registry = extract.Registry()) -> DataFrame:
     """Every file below root: path, rel_path, file_name, ext, size_bytes, problem, content; hidden and empty ones, too.
 

@@ -77,6 +77,17 @@ def copy(source: str, target: str) -> None:
             o.write(part)
 
 
+def write(target: str, data: bytes) -> None:
+    """A small file of its own, whole or not at all."""
+    from pyarrow import fs
+
+    z, path = opened(target)
+    z = z or fs.LocalFileSystem()
+    with z.open_output_stream(f"{path}.new") as o:
+        o.write(data)
+    z.move(f"{path}.new", path)
+
+
 def read(store: object, path: bytes, most: int) -> bytes:
     """A file's bytes; ValueError if it has grown beyond ``most``."""
     if store is None:

@@ -1,4 +1,4 @@
-"""Incremental versions: collecting finished results, throughput by window, the failure breaker.
+"""Incremental versions: collecting finished results, throughput by window, growth of dead letters.
 
 Each takes a streaming DataFrame and returns a started query or a streaming DataFrame; with ``availableNow`` the same
 code drains what is there and stops. Results append through Spark's own file sink, so a restart neither loses nor
@@ -7,10 +7,6 @@ repeats a row.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -39,29 +35,6 @@ def windowed_throughput(tasks: DataFrame, window: str = "5 minutes", slide: str
     return by.select("job_id", F.col("w.start").alias("window_start"), "completed", "tokens_in")
 
 
-def breaker(finished: DataFrame, size: int = 1000, limit: float = 0.05) -> DataFrame:
-    """Streaming (job_id, tripped, rate) whenever a job's last ``size`` finishes hold more than ``limit`` failures.
-
-    The state of a job is its last ``size`` outcomes as a text of 0 and 1. A batch's rows are taken in order of completion,
-    and held as two numbers and a key each until it is sorted: what a job finishes in one batch, which the source bounds
-    (``maxFilesPerTrigger``), must fit a worker so. Rows that come in a later batch count after those of an earlier one.
-    """
-    from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        ring = state.get[0] if state.exists else ""
-        times, keys, bads = (np.concatenate(x) for x in zip(*((b["completed_at"].to_numpy("datetime64[us]").astype(np.int64), b["row_key"].to_numpy(), b["bad"].to_numpy(bool)) for b in batches)))
-        bad = np.concatenate([np.frombuffer(ring.encode(), np.uint8) == ord("1"), bads[np.lexsort((keys, times))]])
-        state.update(("".join("01"[int(b)] for b in bad[-size:]),))
-        if len(bad) >= size:
-            sums = np.concatenate([[0], np.cumsum(bad)])
-            worst = float((sums[size:] - sums[:-size])[max(0, len(ring) + 1 - size) :].max()) / size
-            yield pd.DataFrame({"job_id": [key[0]], "tripped": [worst > limit], "rate": [worst]})
-
-    rows = finished.select("job_id", "row_key", "completed_at", (F.col("status") != "completed").alias("bad"))
-    return rows.groupBy("job_id").applyInPandasWithState(step, "job_id string, tripped boolean, rate double", "ring string", "append", GroupStateTimeout.NoTimeout)
-
-
 def dead_letter_growth(snapshots: DataFrame, limit: float = 0.05, least: int = 100) -> DataFrame:
     """Snapshots (job_id, at, completed by one worker, dead_lettered, workers): whether dead letters grew too fast since a job's first snapshot.
 
