@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import written
+
 TASK_SCHEMA = (
     "job_id string, row_key string, file_name string, status string, enqueued_at timestamp, started_at timestamp, completed_at timestamp, duration_ms bigint, "
     "attempt_count int, worker_instance string, tokens_in bigint, tokens_out bigint, file_size_bytes bigint, "
@@ -33,15 +35,20 @@ def latest(changes: DataFrame) -> DataFrame:
 
 
 def collapse_pairs(tasks: DataFrame) -> DataFrame:
-    """Tasks without a legacy file's row where its converted form is in the same job."""
+    """Tasks without a legacy file's row where its converted form is in the same job.
+
+    A legacy file and its converted form meet under the converted name, so the tasks are read once and not joined with themselves.
+    """
     stem = F.regexp_replace("file_name", r"\.[^.]*$", "")
     ext = F.lower(F.regexp_extract("file_name", r"(\.[^.]*)$", 1))
     target = None
     for a, b in CONVERTED.items():
         target = F.when(ext == a, F.concat(stem, F.lit(b))) if target is None else target.when(ext == a, F.concat(stem, F.lit(b)))
-    names = tasks.select(F.col("job_id").alias("j"), F.col("file_name").alias("f")).distinct()
-    rows = tasks.withColumn("__target", target)
-    return rows.join(names, (F.col("job_id") == F.col("j")) & (F.col("__target") == F.col("f")), "left_anti").drop("__target")
+    # rows without a name have none to share and are dealt out by their key
+    rows = tasks.withColumn("__target", target).withColumn("__pair", F.coalesce("__target", "file_name", "row_key"))
+    converted = F.max(F.coalesce(F.col("file_name") == F.col("__pair"), F.lit(False))).over(Window.partitionBy("job_id", "__pair"))
+    rows = rows.withColumn("__converted", converted).filter(F.col("__target").isNull() | ~F.col("__converted"))
+    return rows.drop("__target", "__pair", "__converted")
 
 
 def job_list(tasks: DataFrame) -> DataFrame:
@@ -55,17 +62,24 @@ def latest_job(tasks: DataFrame) -> DataFrame:
     return tasks.agg(F.max_by("job_id", F.struct("enqueued_at", "job_id")).alias("job_id"))
 
 
-def job_metrics(tasks: DataFrame) -> DataFrame:
-    """One row per job: counts, retries, sums, workers, tokens, span."""
+def _counters() -> list[Column]:
     n = lambda s: F.count_if(F.col("status") == s)
     done = F.col("status") == "completed"
-    return tasks.groupBy("job_id").agg(
+    return [
         F.count("*").alias("total"), n("completed").alias("completed"), n("processing").alias("processing"), n("pending").alias("pending"),
         F.count_if(F.col("status").isin("failed", "dead_lettered")).alias("failed"),
         F.count_if(F.col("attempt_count") > 1).alias("retried"), F.sum(F.greatest(F.col("attempt_count") - 1, F.lit(0))).alias("extra_attempts"),
         F.coalesce(F.sum("file_size_bytes"), F.lit(0)).alias("total_bytes"), F.coalesce(F.sum("tokens_in"), F.lit(0)).alias("tokens_in"), F.coalesce(F.sum("tokens_out"), F.lit(0)).alias("tokens_out"),
-        F.sum(F.when(done, F.col("duration_ms"))).alias("processing_ms"), F.countDistinct("worker_instance").alias("workers"),
-        (F.max(micros(F.col("completed_at"))) - F.min(micros(F.col("started_at")))).alias("span_us"))
+        F.sum(F.when(done, F.col("duration_ms"))).alias("processing_ms")]
+
+
+def _span() -> Column:
+    return (F.max(micros(F.col("completed_at"))) - F.min(micros(F.col("started_at")))).alias("span_us")
+
+
+def job_metrics(tasks: DataFrame) -> DataFrame:
+    """One row per job: counts, retries, sums, workers, tokens, span."""
+    return tasks.groupBy("job_id").agg(*_counters(), F.countDistinct("worker_instance").alias("workers"), _span())
 
 
 def concurrency(tasks: DataFrame) -> DataFrame:
@@ -82,9 +96,19 @@ def concurrency_series(tasks: DataFrame) -> DataFrame:
     Events are first summed by instant, so equal instants cost one row. The running sum goes by job and hour: each hour
     starts from the number still open before it, taken from the hours' own small table, so no job meets in one task.
     """
-    spans = tasks.filter((F.col("completed_at") > F.col("started_at"))).select("job_id", micros(F.col("started_at")).alias("s"), micros(F.col("completed_at")).alias("e"))
-    ev = spans.select("job_id", F.explode(F.array(F.struct(F.col("s").alias("t"), F.lit(1).alias("up"), F.lit(0).alias("down")), F.struct(F.col("e").alias("t"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("x"))
-    ev = ev.groupBy("job_id", "x.t").agg(F.sum("x.up").alias("up"), F.sum("x.down").alias("down")).withColumn("hour", F.floor(F.col("t") / F.lit(3_600_000_000)))
+    rows = tasks.filter(F.col("completed_at") > F.col("started_at")).select("job_id", F.explode(_events()).alias("x"))
+    return _active(rows.groupBy("job_id", "x.t").agg(F.sum("x.up").alias("up"), F.sum("x.down").alias("down")))
+
+
+def _events() -> Column:
+    """A task's start and end as array of struct<t, up, down>."""
+    event = lambda t, up, down: F.struct(micros(F.col(t)).alias("t"), F.lit(up).alias("up"), F.lit(down).alias("down"))
+    return F.array(event("started_at", 1, 0), event("completed_at", 0, 1))
+
+
+def _active(ev: DataFrame) -> DataFrame:
+    """From starts (up) and ends (down) by job and instant (t): (job_id, t_us, active)."""
+    ev = ev.withColumn("hour", F.floor(F.col("t") / F.lit(3_600_000_000)))
     hours = ev.groupBy("job_id", "hour").agg(F.sum(F.col("up") - F.col("down")).alias("net"))
     before = Window.partitionBy("job_id").orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
     hours = hours.select(F.col("job_id").alias("j"), F.col("hour").alias("h"), F.coalesce(F.sum("net").over(before), F.lit(0)).alias("open"))
@@ -93,32 +117,52 @@ def concurrency_series(tasks: DataFrame) -> DataFrame:
     return ev.select("job_id", F.col("t").alias("t_us"), (F.col("open") + F.sum(F.col("up") - F.col("down")).over(run)).alias("active"))
 
 
+def _monitor_cells(tasks: DataFrame, now: Column, window_s: int, visibility_s: int) -> DataFrame:
+    """One grouped sum over the tasks: a row of counters for each job (kind task), of each step's label (step), of each instant at which tasks start or end (event)."""
+    empty = F.array().cast("array<struct<kind:string,label:string,t:bigint,up:int,down:int,ms:bigint>>")
+    cell = lambda kind, label=None, t=None, up=0, down=0, ms=0: F.struct(F.lit(kind).alias("kind"), F.lit(label).cast("string").alias("label"), F.lit(t).cast("bigint").alias("t"), F.lit(up).cast("int").alias("up"), F.lit(down).cast("int").alias("down"), F.lit(ms).cast("bigint").alias("ms"))
+    events = F.when(F.col("completed_at") > F.col("started_at"), F.transform(_events(), lambda e: cell("event", None, e["t"], e["up"], e["down"]))).otherwise(empty)
+    steps = F.coalesce(F.transform("checkpoints", lambda c: cell("step", c["label"], None, 1, 0, c["duration_ms"])), empty)
+    rows = tasks.select(*(c for c in tasks.columns if c != "checkpoints"), F.explode(F.concat(F.array(cell("task")), events, steps)).alias("x"))
+    end, at, done = micros(F.col("completed_at")), micros(now), (F.col("status") == "completed") & F.col("completed_at").isNotNull()
+    late = (F.col("status") == "processing") & (at - micros(F.col("started_at")) > visibility_s * 1_000_000)
+    workers = F.collect_set(F.when(F.col("x.kind") == "task", F.col("worker_instance")))  # a job's workers, not its tasks
+    return rows.groupBy("job_id", "x.kind", "x.label", "x.t").agg(
+        *_counters(), F.size(workers).cast("long").alias("workers"), _span(), F.sort_array(F.filter(workers, lambda w: w != "")).alias("worker_names"), F.count_if(late).alias("stuck"),
+        F.min(F.when(done, end)).alias("first_done"), F.count_if(done & (end >= at - window_s * 1_000_000)).alias("in_window"), F.count_if(F.col("status").isin("pending", "processing")).alias("remaining"),
+        F.sum("x.up").alias("up"), F.sum("x.down").alias("down"), F.sum("x.ms").alias("ms"))
+
+
 def job_monitor(tasks: DataFrame, now: Column, window_s: int = 300, visibility_s: int = 300) -> DataFrame:
-    """One row per job with all a monitor shows: counts without legacy twins, sums, worker names, checkpoints, peak, throughput, time left, stuck tasks."""
-    tasks = collapse_pairs(tasks)
-    names = tasks.groupBy("job_id").agg(F.sort_array(F.collect_set(F.nullif("worker_instance", F.lit("")))).alias("worker_names"))  # a job's workers, not its tasks
-    steps = tasks.select("job_id", F.explode("checkpoints").alias("c")).groupBy("job_id", "c.label").agg(F.count("*").alias("n"), F.sum("c.duration_ms").alias("ms"))
-    steps = steps.groupBy("job_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("label", F.struct("n", "ms").alias("v"))))).alias("checkpoints"))
-    held = stuck(tasks, now, visibility_s).groupBy("job_id").agg(F.count("*").alias("stuck"))
-    out = job_metrics(tasks)
-    for part in (names, steps, concurrency(tasks), trailing_throughput(tasks, now, window_s), held):
-        out = out.join(part, "job_id", "left")
-    return out.na.fill(0, ["peak", "stuck"])
+    """One row per job with all a monitor shows: counts without legacy twins, sums, worker names, checkpoints, peak, throughput, time left, stuck tasks.
+
+    The tasks are read once; what is written and read again are sums.
+    """
+    cells = written(_monitor_cells(collapse_pairs(tasks), now, window_s, visibility_s), "monitor")
+    steps = cells.filter("kind = 'step'").groupBy("job_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("label", F.struct(F.col("up").alias("n"), "ms").alias("v"))))).alias("checkpoints"))
+    peaks = _active(cells.filter("kind = 'event'").select("job_id", "t", "up", "down")).groupBy("job_id").agg(F.max("active").alias("peak"))
+    out = cells.filter("kind = 'task'").join(steps, "job_id", "left").join(peaks, "job_id", "left").na.fill(0, ["peak"])
+    rates = _rates(F.col("first_done"), F.col("in_window"), F.col("remaining"), micros(now), window_s)
+    return out.select(*MONITOR, *rates, "stuck")
+
+
+MONITOR = ["job_id", "total", "completed", "processing", "pending", "failed", "retried", "extra_attempts", "total_bytes", "tokens_in", "tokens_out", "processing_ms", "workers", "span_us", "worker_names", "checkpoints", "peak"]
+
+
+def _rates(first: Column, in_window: Column, remaining: Column, at: Column, window_s: int) -> list[Column]:
+    """Completions a minute since the window's start, or the first, and the minutes left; null where too little was seen."""
+    span_us = at - F.greatest(first, at - window_s * 1_000_000)
+    ok = (span_us >= 10_000_000) & (in_window >= 1)
+    rate = in_window / (span_us / 60_000_000.0)
+    eta = F.when(ok & (remaining > 0), remaining / rate)
+    return [F.when(ok, F.bround(rate, 1)).alias("per_minute"), F.bround(eta * 0.7, 0).cast("long").alias("eta_low_min"), F.bround(eta * 1.4, 0).cast("long").alias("eta_high_min")]
 
 
 def trailing_throughput(tasks: DataFrame, now: Column, window_s: int = 300) -> DataFrame:
-    """Completions a minute over the last ``window_s`` seconds, or since the first; null where too little was seen."""
-    done = tasks.filter((F.col("status") == "completed") & F.col("completed_at").isNotNull()).select("job_id", micros(F.col("completed_at")).alias("t"))
-    at = micros(now)
-    first = done.groupBy("job_id").agg(F.min("t").alias("first"))
-    j = first.withColumn("start", F.greatest(F.col("first"), at - window_s * 1_000_000)).withColumn("span_us", at - F.col("start"))
-    got = done.join(j, "job_id").filter(F.col("t") >= F.col("start")).groupBy("job_id").agg(F.count("*").alias("in_window"))
-    left = tasks.groupBy("job_id").agg(F.count_if(F.col("status").isin("pending", "processing")).alias("remaining"))
-    j = j.join(got, "job_id", "left").join(left, "job_id")
-    ok = (F.col("span_us") >= 10_000_000) & (F.col("in_window") >= 1)
-    rate = F.col("in_window") / (F.col("span_us") / 60_000_000.0)
-    eta = F.when(ok & (F.col("remaining") > 0), F.col("remaining") / rate)
-    return j.select("job_id", F.when(ok, F.bround(rate, 1)).alias("per_minute"), F.bround(eta * 0.7, 0).cast("long").alias("eta_low_min"), F.bround(eta * 1.4, 0).cast("long").alias("eta_high_min"))
+    """Completions a minute over the last ``window_s`` seconds, or since the first, of jobs that have completed any; null where too little was seen."""
+    done, end, at = (F.col("status") == "completed") & F.col("completed_at").isNotNull(), micros(F.col("completed_at")), micros(now)
+    sums = tasks.groupBy("job_id").agg(F.min(F.when(done, end)).alias("first"), F.count_if(done & (end >= at - window_s * 1_000_000)).alias("in_window"), F.count_if(F.col("status").isin("pending", "processing")).alias("remaining"))
+    return sums.filter(F.col("first").isNotNull()).select("job_id", *_rates(F.col("first"), F.col("in_window"), F.col("remaining"), at, window_s))
 
 
 def checkpoint_rollup(tasks: DataFrame) -> DataFrame:

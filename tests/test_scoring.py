@@ -156,3 +156,21 @@ def test_manifest_files(spark):
     m = spark.createDataFrame([("a/x.txt", None, "good"), ("b/y.txt", "copy.txt", ""), ("c/z.txt", None, None)], "rel_path string, dest_name string, label string")
     f = spark.createDataFrame([("a/x.txt",), ("q/y.txt",), ("p/y.txt",)], "path string")
     assert {r["rel_path"]: (r["found"], r["target"]) for r in fleet.located(m, f).collect()} == {"a/x.txt": ("a/x.txt", "good/x.txt"), "b/y.txt": ("p/y.txt", "copy.txt"), "c/z.txt": (None, "z.txt")}
+
+
+def test_monitor_reads_the_tasks_once(spark, tmp_path):
+    """One scan of the tasks and no join of them with themselves; the views agree with the operators they are made of."""
+    rows = [task(f"j{i % 3}", f"{i:03d}", i, i + 5 + i % 40, ["completed", "failed", "processing", "pending"][i % 4]) for i in range(200)]
+    tasks(spark, rows).write.parquet(str(tmp_path / "t"))
+    read = spark.read.parquet(str(tmp_path / "t"))
+    now = F.lit(T0 + timedelta(seconds=400))
+    plan = fleet._monitor_cells(fleet.collapse_pairs(read), now, 300, 300)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+    got = {r["job_id"]: r for r in fleet.job_monitor(read, now).collect()}
+    kept = fleet.collapse_pairs(read)
+    for r in fleet.job_metrics(kept).collect():
+        assert all(got[r["job_id"]][c] == r[c] for c in r.asDict())
+    assert {k: r["peak"] for k, r in got.items()} == {r["job_id"]: r["peak"] for r in fleet.concurrency(kept).collect()}
+    for r in fleet.trailing_throughput(kept, now).collect():
+        assert all(got[r["job_id"]][c] == r[c] for c in r.asDict())
+    assert sum(r["stuck"] for r in got.values()) == fleet.stuck(kept, now).count()
