@@ -22,7 +22,7 @@ from .plans import rules
 from .plans.schema import NR_LANE
 from .plans.settings import Settings
 from .shared import written
-from .sources import files, listing, sinks, stores
+from .sources import files, listing, sinks, stores, workbook
 from .streaming import watch
 
 
@@ -55,6 +55,7 @@ def parser() -> argparse.ArgumentParser:
     c = command("score", "inventory", "out")
     c.add_argument("--export", help="entity counts by reviewers; without it only what needs no truth")
     c.add_argument("--tasks", help="task rows as Parquet")
+    c.add_argument("--workbook", help="the sheets as one .xlsx file, too")
     c.add_argument("--sheet")
     c.add_argument("--absent-means", choices=["unreviewed", "zero"], default="unreviewed")
     c.add_argument("--bde-threshold", type=int, default=6)
@@ -121,7 +122,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
             inv = written(inv, "scored-inventory")
             export = sinks.read_export(spark, a.export, a.sheet) if a.export else None
             tasks = spark.read.parquet(a.tasks) if a.tasks else None
-            sinks.write_sheets(score.sheets(inv, export, tasks, {"inventory": a.inventory, "export": a.export or ""}, a.bde_threshold, a.absent_means), a.out)
+            sheets = score.sheets(inv, export, tasks, {"inventory": a.inventory, "export": a.export or ""}, a.bde_threshold, a.absent_means)
+            sinks.write_sheets(sheets, a.out)
+            if a.workbook:
+                workbook.write(sheets, a.workbook)
         case "collect":
             # results carry their file's rel_path; a result counts once its task is completed
             schema = spark.read.parquet(a.tasks).schema

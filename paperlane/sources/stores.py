@@ -77,15 +77,33 @@ def copy(source: str, target: str) -> None:
             o.write(part)
 
 
+class Replacing:
+    """A stream to a file that takes the place of an older one once it is whole; after an error nothing is left of it."""
+
+    def __init__(self, target: str, attempt: object = ""):
+        from pyarrow import fs
+
+        store, self.path = opened(target)
+        self.store, self.part = store or fs.LocalFileSystem(), f"{self.path}.{attempt}.new"
+
+    def __enter__(self) -> object:
+        if "/" in self.path.strip("/"):
+            self.store.create_dir(self.path.rsplit("/", 1)[0], recursive=True)
+        self.out = self.store.open_output_stream(self.part)
+        return self.out
+
+    def __exit__(self, kind: object, *_: object) -> None:
+        self.out.close()
+        if kind is None:
+            self.store.move(self.part, self.path)
+        else:
+            self.store.delete_file(self.part)
+
+
 def write(target: str, data: bytes) -> None:
     """A small file of its own, whole or not at all."""
-    from pyarrow import fs
-
-    z, path = opened(target)
-    z = z or fs.LocalFileSystem()
-    with z.open_output_stream(f"{path}.new") as o:
-        o.write(data)
-    z.move(f"{path}.new", path)
+    with Replacing(target) as out:
+        out.write(data)
 
 
 def read(store: object, path: bytes, most: int) -> bytes:

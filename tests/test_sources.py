@@ -293,8 +293,33 @@ def test_shell_of_jobs(spark, tmp_path, capsys):
     (tmp_path / "m.csv").write_text("rel_path,label\na.txt,good\nnone.txt,\n")
     cli.main(["copy-sample", str(tmp_path / "m.csv"), f"file://{tmp_path}/in", f"file://{tmp_path}/copy"], spark)
     assert (tmp_path / "copy/good/a.txt").read_text() == "a@b.org"
-    cli.main(["score", str(tmp_path / "inv"), str(tmp_path / "card"), "--tasks", str(tmp_path / "tasks")], spark)
+    cli.main(["score", str(tmp_path / "inv"), str(tmp_path / "card"), "--tasks", str(tmp_path / "tasks"), "--workbook", str(tmp_path / "card.xlsx")], spark)
+    assert {n for n, _ in extract.sheets((tmp_path / "card.xlsx").read_bytes())} == {p.name for p in (tmp_path / "card").iterdir()}
     assert {p.name for p in (tmp_path / "card").iterdir()} == {"Run Info", "Summary", "Overview", "Timing", "Run Timeline", "Per-file Timing", "File Detail"}
     (tmp_path / "e.csv").write_text("Control ID,Total Entities\na.txt,3\n")
     sheets = score.sheets(inv.withColumn("row", F.lit(1)), sinks.read_export(spark, str(tmp_path / "e.csv")))
     assert len(sheets) == 12 and sheets["NR-R"].filter("view = 'stage1'").first()["tp"] == 1
+
+
+def test_sheets_in_one_workbook(spark, tmp_path, monkeypatch):
+    """Read back by the reader: kinds of values, order, characters that XML has not, clashing and long names, and tables longer than a sheet."""
+    from decimal import Decimal
+
+    from paperlane.sources import workbook
+
+    one = spark.createDataFrame([(i, f"t{i} <&>\"\n é\u0001", i % 2 == 0, i / 4, [i]) for i in range(25)] + [(None, None, None, None, None)], "n long, t string, b boolean, d double, a array<int>").orderBy(F.desc_nulls_last("n"))
+    two = spark.createDataFrame([(float("nan"), Decimal("1.50"), b"xy", datetime(2024, 1, 2))], "f double, m decimal(9,2), raw binary, at timestamp")
+    path = f"file://{tmp_path}/deep/book.xlsx"
+    assert workbook.write({"First": one, "a/b[c]" + "x" * 40: two, "FIRST": two.limit(0)}, path) == ["First", "a_b_c_" + "x" * 25, "FIRST (2)"]
+    (_, rows), (_, other), (_, empty) = extract.sheets((tmp_path / "deep/book.xlsx").read_bytes())
+    assert rows[0] == ["n", "t", "b", "d", "a"] and len(rows) == 27 and rows[1] == ["24", 't24 <&>"\n é\ufffd', "True", "6.0", "[24]"] and rows[2][2] == "False" and rows[-1] == [""] * 5
+    assert other[1] == ["NaN", "1.50", "eHk=", "2024-01-02 00:00:00"] and empty == [["f", "m", "raw", "at"]]
+    assert [p.name for p in (tmp_path / "deep").iterdir()] == ["book.xlsx"]
+    out = io.BytesIO()
+    monkeypatch.setattr(workbook, "MOST_ROWS", 10)
+    book = workbook._Book(out, ["Long"])
+    for cells in (["shead"], *([f"n{i}"] for i in range(25))):
+        book.add(0, cells)
+    assert book.close() == ["Long", "Long (2)", "Long (3)"]
+    got = extract.sheets(out.getvalue())
+    assert all(r[0] == ["head"] for _, r in got) and [x[0] for _, r in got for x in r[1:]] == [str(i) for i in range(25)]
