@@ -1,7 +1,7 @@
 """Personal data: fixed patterns as seeds, then contexts learned from them.
 
-The fixed patterns' findings are seeds. What stands before a seed (the word, the two words, the label at the start of its
-line) gives its lexical patterns, and so does what stands before any other token with digits or an @ sign, an unseen
+The fixed patterns' findings are seeds. What stands before a seed (a word with a label's mark, the two words, the label at the start
+of its line) gives its lexical patterns, and so does what stands before any other token with digits or an @ sign, an unseen
 instance. Patterns and instances form a
 graph, which Spark scores in a few rounds: a pattern is worth the mean score of its distinct instances, damped while
 they are few; an instance is worth its best pattern, seeds 1. Patterns that reach ``confidence`` with ``seeds`` or
@@ -42,6 +42,7 @@ ROUNDS = 3
 _DOMAIN, _CARD, _PHONE = re.compile(EMAIL_DOMAIN), re.compile(CARD), re.compile(PHONE)
 _IP = re.compile("(?<![0-9])" + IP)  # a match can only begin where a run of digits does
 _DIGIT_RUN = re.compile(r"[0-9]{4}")
+LABEL_MARKS = (":", "=", "#")  # what ends a word that announces a value
 MOST_CONTEXT = 256  # characters before a place that are read for its context
 LEAST_INSTANCE = 5  # characters of an unseen instance; shorter tokens with digits are mostly counts, years and times
 _INSTANCE = re.compile(rf"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D]*[0-9@])[^\x20\x09-\x0D]{{{LEAST_INSTANCE},}}")
@@ -102,7 +103,8 @@ def joined(spans: list[Span]) -> str:
 def _contexts(text: str, start: int) -> list[str]:
     """What stands before a place, A-Z in lower case, edge marks off except a colon or equals sign, digits as 0.
 
-    The last word, the last two, and the label at the start of a line of three words or fewer, marked by a line break. Nothing
+    The last word if it is a label, the last two words, and the label at the start of a line of three words or fewer, marked by a line
+    break. A common word alone stands before seeds by chance, so without a label's mark it is no pattern of its own. Nothing
     further back than MOST_CONTEXT characters counts, so a long word costs no more at each place that follows it.
     """
     size = 64
@@ -115,7 +117,8 @@ def _contexts(text: str, start: int) -> list[str]:
         size *= 4
     line = re.split("[\n\r]", left)[-1].split()
     words, line = ([_DIGITS.sub("0", w.lower().strip(".,;!?()[]{}<>\"'")) for w in x] for x in (words[-2:], line))
-    out = [words[-1:], words if len(words) == 2 else [], ["\n", *line] if 1 <= len(line) <= 3 else []]
+    own = words[-1:] if words and words[-1].endswith(LABEL_MARKS) else []
+    out = [own, words if len(words) == 2 else [], ["\n", *line] if 1 <= len(line) <= 3 else []]
     return [" ".join(x) for x in out if x and all(x)]
 
 

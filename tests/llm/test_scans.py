@@ -169,7 +169,7 @@ def test_pii_labels(spark):
     docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
     got = {r["doc_id"]: r["n_context"] for r in pii.scanned(docs).collect()}
     assert [got[i] for i in range(60, 64)] == [1, 1, 1, 0] and all(got[i] == 0 for i in range(60))
-    assert pii._contexts("a b\nEmployee 12 ID: x", 20) == ["id:", "0 id:", "\n employee 0 id:"] and pii._contexts("x", 0) == [] and pii._contexts("a one two three four x", 21) == ["four", "three four"]
+    assert pii._contexts("a b\nEmployee 12 ID: x", 20) == ["id:", "0 id:", "\n employee 0 id:"] and pii._contexts("x", 0) == [] and pii._contexts("a one two three four x", 21) == ["three four"] and pii._contexts("a code# x", 8) == ["code#", "a code#", "\n a code#"]
 
 
 def test_grammar_on_other_samples():
