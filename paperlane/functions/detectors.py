@@ -164,8 +164,12 @@ def count_regex(text: Column, rule: Rule) -> Column:
     return _distinct(arrays) if arrays else F.lit(0)
 
 
-def count_of(text: Column, lower: Column, rule: Rule) -> Column:
-    """Number of distinct findings of a rule in a text; ``lower`` is the text in lower case, for hints."""
+def has_digit(text: Column) -> Column:
+    return text.rlike("[0-9]")
+
+
+def count_of(text: Column, lower: Column, rule: Rule, digit: Column | None = None) -> Column:
+    """Number of distinct findings of a rule in a text; ``lower`` is the text in lower case, for hints, ``digit`` whether it holds one."""
     match rule.method:
         case "regex":
             n = count_regex(text, rule)
@@ -186,7 +190,7 @@ def count_of(text: Column, lower: Column, rule: Rule) -> Column:
     if rule.hints:
         n = F.when(_any(lower.contains(h) for h in rule.hints), n).otherwise(0)
     elif rule.method in ("ssn", "address", "money") or rule.luhn or rule.key == "PHONE":
-        n = F.when(text.rlike("[0-9]"), n).otherwise(0)  # all of these hold a digit
+        n = F.when(has_digit(text) if digit is None else digit, n).otherwise(0)  # all of these hold a digit
     return F.coalesce(n, F.lit(0)).cast("int")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.detectors import count_of
+from ..functions.detectors import count_of, has_digit
 from ..plans.rules import RuleList
 
 
@@ -20,9 +20,9 @@ def counted(df: DataFrame, rules: RuleList, text: str = "text") -> DataFrame:
     is a plain column; through a projection it would be pushed with every pattern in it, as often as its count is used.
     Filters on df's own columns are still pushed below.
     """
-    df = df.withColumn("__lower", F.lower(text))
-    counts = F.struct(*(count_of(F.col(text), F.col("__lower"), r).alias(count_column(r.key)) for r in rules.rules))
-    return df.select("*", F.inline(F.array(counts))).drop("__lower")
+    df = df.withColumns({"__lower": F.lower(text), "__digit": has_digit(F.col(text))})
+    counts = F.struct(*(count_of(F.col(text), F.col("__lower"), r, F.col("__digit")).alias(count_column(r.key)) for r in rules.rules))
+    return df.select("*", F.inline(F.array(counts))).drop("__lower", "__digit")
 
 
 def labels_found(rules: RuleList) -> Column:

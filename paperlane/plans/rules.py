@@ -100,7 +100,7 @@ DEFAULT_RULES: tuple[Rule, ...] = (
     _k("FAMILY", "Family", "Family Information", "maiden name|marriage certificate", r"\b(?:mother'?s maiden name|maiden name|marriage certificate)\b"),
     _k("DEMOGRAPHIC", "Demographic", "Demographic Information", "ethnicity|sexual orientation|religio|criminal conviction|trade union", r"\b(?:race/?ethnicity|ethnicity|sexual orientation|religion|religious|criminal conviction|trade union)\b"),
     _k("STUDENT_ID", "Student ID", "Student-Related Information", "student id", r"\bstudent id\b", r"\bstudent identification\b"),
-    _k("WORK", "Work-Related", "Work-Related Information", "employee id|employee number|salary|compensation|disciplinary|performance evaluation|comp|employment application", r"\b(?:employee id|employee number|salary|compensation|disciplinary|performance evaluation|workers'? comp|employment application)\b"),
+    _k("WORK", "Work-Related", "Work-Related Information", "employee id|employee number|salary|compensation|disciplinary|performance evaluation|worker|employment application", r"\b(?:employee id|employee number|salary|compensation|disciplinary|performance evaluation|workers'? comp|employment application)\b"),
 )
 
 
