@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import to_int, truthy
 from ..operators.score import BDE_HINTS, ID_HINTS, RESPONSIVE_HINTS, pick_column
 from ..plans.schema import COLUMNS, INVENTORY_SCHEMA, ZERO
+from . import stores
 from .extract import sheets
 
 
@@ -50,6 +53,21 @@ def write_results(rows: DataFrame, path: str, mode: str = "append") -> None:
     rows.write.mode(mode).partitionBy("job_id").option("ignoreNullFields", False).json(path)
 
 
+def write_files(rows: DataFrame, root: str) -> int:
+    """Rows (rel_path, content) as files below root, written by the executors, each whole or not at all; returns their number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, attempt = 0, TaskContext.get().taskAttemptId()
+        for b in batches:
+            for path, data in zip(b.column(0).to_pylist(), b.column(1)):
+                with stores.Replacing(f"{root.rstrip('/')}/{path}", attempt) as out:
+                    out.write(data.as_buffer() if data.is_valid else b"")
+                n += 1
+        yield pa.record_batch([pa.array([n], pa.int64())], names=["n"])
+
+    return rows.select("rel_path", "content").mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def key_values(text: str) -> dict[str, str]:
     """KEY=VALUE lines of a settings file: comments, blank lines and a leading ``export`` aside, quotes around a value off."""
     out = {}
