@@ -34,6 +34,7 @@ LONGEST = 1
 SEED = 2024
 LEAST_WORDS = 20
 PERCENT = 10
+FAN_IN = 16  # vectors that are merged at one place, and about as many that reach the driver
 PIECE = 1 << 21  # bytes of a text, and words of a batch, that are held as words at a time
 
 _CAPITALS = bytes(range(65, 91))
@@ -92,9 +93,10 @@ def bucket_counts(texts: DataFrame, longest: int = LONGEST) -> np.ndarray:
         yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], names=["counts"])
 
     vectors = texts.mapInArrow(run, "counts binary").rdd.map(lambda r: np.frombuffer(bytes(r[0]), np.int64))
-    if not vectors.getNumPartitions():
+    n = vectors.getNumPartitions()
+    if not n:
         return np.zeros(BUCKETS, np.int64)
-    return vectors.treeReduce(np.add)
+    return vectors.treeReduce(np.add, max(2, math.ceil(math.log(n, FAN_IN))))
 
 
 def gains(corpus: np.ndarray, target: np.ndarray) -> np.ndarray:
