@@ -35,7 +35,7 @@ SEED = 2024
 LEAST_WORDS = 20
 PERCENT = 10
 FAN_IN = 16  # vectors that are merged at one place, and about as many that reach the driver
-PIECE = 1 << 21  # bytes of a text, and words of a batch, that are held as words at a time
+PIECE = 1 << 19  # bytes of a text, and words of a batch, that are held as words at a time
 
 _CAPITALS = bytes(range(65, 91))
 #: A-Z to a-z; all other ASCII but digits and a-z to blanks; bytes of other characters as they are.
