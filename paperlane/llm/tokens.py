@@ -8,7 +8,7 @@ sequence i of batch b without copying. Beside it lies an index stream file with
 Files are named by their partition, written under another name first and then moved, so a repeated task leaves the
 same file. Paths are those of the shared folder and are opened through pyarrow's file systems.
 
-Defined results: a null or empty text is only the end id; rows order by key, null first, then by text hash, repeated
+Defined results: the key is a whole number or null, as the index holds 64-bit numbers; a null or empty text is only the end id; rows order by key, null first, then by text hash, repeated
 rows each count; an empty table gives no files and an empty index; other columns are ignored.
 """
 

@@ -136,6 +136,32 @@ def test_repair_query_against_brute_force(spark):
     assert got == {c: brute_repair(sorted(ts)) for c, ts in by.items()}
 
 
+def test_one_conversation_holds_most_turns(spark):
+    """Thousands of turns, many of them equal, beside short conversations: blocks, the stream and the hash hold for all."""
+    long = [(i, ["user", "assistant", "system"][i * i % 3], f"text {i % 1500}" + "." * (i % 5 > 0)) for i in range(6000)]
+    short = {c: [(0, "user", f"q{c}."), (1, "assistant", f"a{c}.")] for c in range(2, 40)}
+    rows = [(1, *t) for t in long] + [(c, *t) for c, ts in short.items() for t in ts]
+    got = {r["conv_id"]: r for r in repair.digests(spark.createDataFrame(rows, TURNS)).collect()}
+    assert all((got[c]["cost"], got[c]["audit"]) == (0, "KK") for c in short) and len(got) == 39
+    r, seen, kinds = got[1], set(), []
+    for _, role, text in long:
+        fault = 2 if (role, text) in seen else 0 if text.endswith(".") else 3
+        seen.add((role, text))
+        kinds.append({"system": 1, "user": 2, "assistant": 3}[role] + 4 * fault)
+    (cost, edits), = repair.edits_of([np.array(kinds, np.uint8)])
+    lines, at, state = [], 0, "a"
+    for e in edits.decode():
+        due = "assistant" if state == "u" else "user"
+        if e in "DKR":
+            _, role, text = long[at]
+            at += 1
+        if e != "D":
+            role, text = (due, "") if e == "I" else (due, text) if e == "R" else (role, text)
+            lines.append(f"{role}:{text}")
+            state = role[0]
+    assert (r["cost"], r["audit"], r["repaired_sha256"]) == (cost, edits.decode(), hashlib.sha256("\n".join(lines).encode()).hexdigest()) and at == 6000
+
+
 # ---- op12
 
 
@@ -171,6 +197,15 @@ def test_shards(spark):
     assert abs(moved - 4006 / 25) < 60
 
 
+def test_one_id_holds_most_rows(spark):
+    """A null id for many texts and one row many times over: their slots stay without gaps, and cells spread them."""
+    rows = [(None, f"text {i}") for i in range(3000)] + [(5, "same")] * 4000 + [(i, "x") for i in range(500)]
+    got = sharding.placed(spark.createDataFrame(rows, "doc_id long, text string"))
+    whole = got.groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("d"), F.max("slot").alias("m")).collect()
+    assert all(r["n"] == r["d"] == r["m"] + 1 for r in whole) and sum(r["n"] for r in whole) == len(rows)
+    assert got.filter("key IS NULL").select("shard").distinct().count() == 1 == got.filter("key = 5 AND size = 12").select("shard").distinct().count()
+
+
 def test_weights_move_only_their_subtree(spark):
     docs = spark.range(3000).selectExpr("id AS doc_id")
     tree = tuple(x._replace(weight=2.0 if x.shard < 8 else 1.0) for x in sharding.layout())

@@ -87,6 +87,18 @@ def test_chat(spark):
     assert chat.round_trip(df.limit(0)).count() == 0
 
 
+def test_long_turns_and_conversations(spark):
+    """A turn of a million characters, one without a blank, and a conversation of thousands of turns come back whole."""
+    turns = [(1, 0, "user", "word ### </turn> " * 60_000), (1, 1, "assistant", "x" * 300_000), (1, 2, "user", "\\" * 50_000)]
+    turns += [(2, i, "assistant" if i % 2 else "user", f"turn {i}") for i in range(4000)]
+    got = {r["conv_id"]: r for r in chat.round_trip(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()}
+    for c in (1, 2):
+        own = [t for t in turns if t[0] == c]
+        loss = "".join(x for _, _, r, x in own if r == "assistant")
+        sha = hashlib.sha256("".join(f"{r}\n{x}\n" for _, _, r, x in own).encode()).hexdigest()
+        assert (got[c]["n_turns"], got[c]["turns_sha256"], got[c]["loss_chars"], got[c]["loss_sha256"]) == (len(own), sha, len(loss), hashlib.sha256(loss.encode()).hexdigest())
+
+
 def _corpus():
     rng = random.Random(8)
     word = lambda: "".join(rng.choice(["th", "er", "on", "an", "re"]) for _ in range(rng.randint(1, 4)))
