@@ -149,5 +149,5 @@ def test_registration():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert names >= set(queries.QUERIES) | {"pipeline"} and {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert names >= set(queries.QUERIES) | {"pipeline"} and {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(entry.oracle_sql()) <= names
