@@ -236,4 +236,5 @@ def test_manifest_and_shell(spark, tmp_path, capsys):
     cli.main(["benchmark", inv, str(gold)], spark)
     assert json.loads(capsys.readouterr().out)["responsive_f1"] == 1.0
     cli.main(["diff", inv, inv], spark)
-    assert json.loads(capsys.readouterr().out)["moved"] == 0
+    shown = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
+    assert shown[0]["view"] == "rules_decided" and shown[0]["moved"] == 0 and {r["view"] for r in shown} == {"rules_decided", "verdicts"}  # nothing differs
