@@ -5,9 +5,10 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from typing import NamedTuple
+from urllib.parse import quote
 
 # Names under which Hadoop and Arrow know the same store.
-SCHEMES = {"s3a": "s3", "s3n": "s3", "gs": "gs", "abfss": "abfss", "dbfs": "file"}
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss"}
 
 
 class Entry(NamedTuple):
@@ -36,7 +37,7 @@ def opened(uri: str) -> tuple[object, str]:
     from pyarrow import fs
 
     scheme = head[:-3]
-    store, inner = fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{path}")
+    store, inner = fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{quote(path, safe='/@:')}")
     return store, inner
 
 
