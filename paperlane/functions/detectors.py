@@ -124,13 +124,16 @@ def _clean(array: Column) -> Column:
     return F.transform(array, lambda v: F.lower(F.trim(v)))
 
 
-# What a match of each name cue holds: as it stands, or in lower case together with one of the marks after a label.
-_NAME_HINTS = (("Mr", "Ms", "Mx", "Miss", "Dr", "Prof"), ("name", "patient", "employee", "insured", "member", "customer", "client", "data subject", "applicant", "signed"), ("Dear",))
+# What a match of each name cue holds: a title as it stands, or in lower case a label's word together with one of the marks after a label.
+_TITLES = ("Mr", "Ms", "Mx", "Miss", "Dr", "Prof")
+_NAME_LABELS = ("name", "patient", "employee", "insured", "member", "customer", "client", "data subject", "applicant", "signed")
+_NAME_OPENINGS = (*(t.lower() for t in _TITLES), *_NAME_LABELS, "dear")
 
 
-def count_names(text: Column, lower: Column) -> Column:
+def count_names(text: Column, opened: Column) -> Column:
     none = F.array().cast("array<string>")
-    tests = [_any(text.contains(h) for h in _NAME_HINTS[0]), text.rlike("[:-]") & _any(lower.contains(h) for h in _NAME_HINTS[1]), text.contains(_NAME_HINTS[2][0])]
+    titles = opens(opened, [t.lower() for t in _TITLES]) & _any(text.contains(t) for t in _TITLES)
+    tests = [titles, opens(opened, _NAME_LABELS) & text.rlike("[:-]"), opens(opened, ["dear"]) & text.contains("Dear")]
     return _distinct([F.when(t, _clean(_all(text, p, 1))).otherwise(none) for t, p in zip(tests, NAME_CUES)])
 
 
@@ -168,15 +171,47 @@ def has_digit(text: Column) -> Column:
     return text.rlike("[0-9]")
 
 
-def count_of(text: Column, lower: Column, rule: Rule, digit: Column | None = None) -> Column:
-    """Number of distinct findings of a rule in a text; ``lower`` is the text in lower case, for hints, ``digit`` whether it holds one."""
+def _tree(words: list[str]) -> str:
+    """A pattern of all words that branches by one character after another and takes the longest."""
+    heads: dict[str, list[str]] = {}
+    for w in filter(None, words):
+        heads.setdefault(w[0], []).append(w[1:])
+    parts = [re.escape(head) + _tree(rest) for head, rest in sorted(heads.items())]
+    if "" in words:
+        return f"(?:{'|'.join(parts)})?" if parts else ""
+    return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
+
+
+def openings_of(rule: Rule) -> tuple[str, ...]:
+    return _NAME_OPENINGS if rule.method == "name" else rule.openings
+
+
+def openings_found(lower: Column, rules: RuleList) -> Column:
+    """The distinct openings of all rules at which words of a text in lower case begin, the longest at each place, in one pass over it.
+
+    Only a look-ahead captures, so openings may overlap. What stands before a word is looked for instead of its boundary, which costs more.
+    """
+    wanted = sorted({o for r in rules.rules for o in openings_of(r) if o})
+    return F.array_distinct(_all(F.concat(F.lit(" "), lower), f"[^a-z0-9_](?=({_tree(wanted)}))", 1)) if wanted else F.array().cast("array<string>")
+
+
+def opens(opened: Column, openings: Iterable[str]) -> Column:
+    """Whether one of the openings is among those found: itself or at the beginning of a longer one."""
+    return F.exists(opened, lambda x: _any(x.startswith(o) for o in openings))
+
+
+def count_of(text: Column, lower: Column, opened: Column, rule: Rule, digit: Column | None = None) -> Column:
+    """Number of distinct findings of a rule in a text.
+
+    ``lower`` is the text in lower case, for hints, ``opened`` what openings_found says of it, ``digit`` whether the text holds one.
+    """
     match rule.method:
         case "regex":
             n = count_regex(text, rule)
         case "keyword":
             n = _any(text.rlike(f"(?i){p}") for p in rule.patterns).cast("int") if rule.patterns else F.lit(0)
         case "name":
-            n = count_names(text, lower)
+            n = count_names(text, opened)
         case "address":
             n = count_addresses(text)
         case "money":
@@ -189,6 +224,8 @@ def count_of(text: Column, lower: Column, rule: Rule, digit: Column | None = Non
             n = F.lit(0)
     if rule.hints:
         n = F.when(_any(lower.contains(h) for h in rule.hints), n).otherwise(0)
+    elif rule.openings:
+        n = F.when(opens(opened, rule.openings), n).otherwise(0)
     elif rule.method in ("ssn", "address", "money") or rule.luhn or rule.key == "PHONE":
         n = F.when(has_digit(text) if digit is None else digit, n).otherwise(0)  # all of these hold a digit
     return F.coalesce(n, F.lit(0)).cast("int")

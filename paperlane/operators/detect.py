@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.detectors import count_of, has_digit
+from ..functions.detectors import count_of, has_digit, openings_found
 from ..plans.rules import RuleList
 
 
@@ -21,8 +21,9 @@ def counted(df: DataFrame, rules: RuleList, text: str = "text") -> DataFrame:
     Filters on df's own columns are still pushed below.
     """
     df = df.withColumns({"__lower": F.lower(text), "__digit": has_digit(F.col(text))})
-    counts = F.struct(*(count_of(F.col(text), F.col("__lower"), r, F.col("__digit")).alias(count_column(r.key)) for r in rules.rules))
-    return df.select("*", F.inline(F.array(counts))).drop("__lower", "__digit")
+    df = df.withColumn("__opened", openings_found(F.col("__lower"), rules))
+    counts = F.struct(*(count_of(F.col(text), F.col("__lower"), F.col("__opened"), r, F.col("__digit")).alias(count_column(r.key)) for r in rules.rules))
+    return df.select("*", F.inline(F.array(counts))).drop("__lower", "__digit", "__opened")
 
 
 def labels_found(rules: RuleList) -> Column:

@@ -1,7 +1,9 @@
 """The rule list: what counts as a kind of personal information, as data.
 
 A rule's ``hints`` are lower-case strings of which any match must hold one; the compiler looks for them first,
-because a plain substring search costs far less than a case-blind regular expression. They never change a result.
+because a plain substring search costs far less than a case-blind regular expression. Its ``openings`` are lower-case
+strings of which one stands at the beginning of a word in any match; those of all rules are looked for in one pass. A
+rule has one or the other. They never change a result.
 """
 
 from __future__ import annotations
@@ -30,13 +32,14 @@ class Rule:
     casefold: bool = False
     weak: bool = False
     hints: tuple[str, ...] = ()
+    openings: tuple[str, ...] = ()
 
     @classmethod
     def of(cls, raw: dict) -> Rule:
         method = raw.get("method", "regex")
         known = {k: raw[k] for k in cls.__dataclass_fields__ if k in raw}
         known |= {"label": raw.get("label", raw["key"]), "method": method, "weak": raw.get("weak", method == "keyword")}
-        known |= {k: tuple(known.get(k) or ()) for k in ("patterns", "hints")}
+        known |= {k: tuple(known.get(k) or ()) for k in ("patterns", "hints", "openings")}
         return cls(**known)
 
 
@@ -61,8 +64,8 @@ class RuleList:
         return hashlib.sha256(json.dumps(asdict(self), sort_keys=True).encode()).hexdigest()
 
 
-def _k(key: str, label: str, category: str, hints: str, *patterns: str) -> Rule:
-    return Rule(key, label, category, "keyword", patterns, weak=True, hints=tuple(hints.split("|")))
+def _k(key: str, label: str, category: str, openings: str, *patterns: str) -> Rule:
+    return Rule(key, label, category, "keyword", patterns, weak=True, openings=tuple(openings.split("|")))
 
 
 def _v(key: str, label: str, category: str, window: int, least: int, hints: str, near: str, value: str) -> Rule:
@@ -98,7 +101,7 @@ DEFAULT_RULES: tuple[Rule, ...] = (
     _k("HEALTH", "Health", "Health-Related Information", "diagnos|medical history|mental or physical|treatment|prescription|patient|symptom|insurance policy|policy number|subscriber id|claim number|health insurance", r"\b(?:diagnos\w*|medical history|mental or physical|treatment|prescription|patient|symptom)\b", r"\b(?:insurance policy|policy number|subscriber id|claim number|health insurance)\b"),
     _k("BIOMETRIC", "Biometric", "Biometric Data", "fingerprint|voice|genetic print|retina|iris|dna profile", r"\b(?:fingerprint|voice ?print|genetic print|retina|iris (?:scan|image)|dna profile)\b"),
     _k("FAMILY", "Family", "Family Information", "maiden name|marriage certificate", r"\b(?:mother'?s maiden name|maiden name|marriage certificate)\b"),
-    _k("DEMOGRAPHIC", "Demographic", "Demographic Information", "ethnicity|sexual orientation|religio|criminal conviction|trade union", r"\b(?:race/?ethnicity|ethnicity|sexual orientation|religion|religious|criminal conviction|trade union)\b"),
+    _k("DEMOGRAPHIC", "Demographic", "Demographic Information", "raceethnicity|ethnicity|sexual orientation|religio|criminal conviction|trade union", r"\b(?:race/?ethnicity|ethnicity|sexual orientation|religion|religious|criminal conviction|trade union)\b"),
     _k("STUDENT_ID", "Student ID", "Student-Related Information", "student id", r"\bstudent id\b", r"\bstudent identification\b"),
     _k("WORK", "Work-Related", "Work-Related Information", "employee id|employee number|salary|compensation|disciplinary|performance evaluation|worker|employment application", r"\b(?:employee id|employee number|salary|compensation|disciplinary|performance evaluation|workers'? comp|employment application)\b"),
 )

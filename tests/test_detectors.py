@@ -81,8 +81,20 @@ def test_labeled_windows_overlap(spark):
 
 def test_hints_change_nothing(spark):
     texts = ["Passport no 123456 dob 1/1/2000 tin 123456789 DIAGNOSIS a-number pin code iris scan", "MOTHER'S MAIDEN NAME, workers comp, exp. date, mastercard, nino AB123456C", "DL # A123456"]
-    bare = R.RuleList(rules=tuple(R.Rule(**{**r.__dict__, "hints": ()}) for r in RULES.rules))
-    assert counts(spark, texts) == counts(spark, texts, bare)
+    bare = R.RuleList(rules=tuple(R.Rule(**{**r.__dict__, "hints": (), "openings": ()}) for r in RULES.rules))
+    texts += [o.join(around) for r in RULES.rules for o in d.openings_of(r) for around in (("", ""), ("x", "x"), ("\u00e9", " number"), ("_", "."), ("\n", "s"), ("(", ":"))]
+    texts += ["RACEETHNICITY", "race/ethnicity", "mx. Ann Lee", "MX. Ann Lee", "Mx Ann Lee", "dear Ann", "Dear Ann", "Name: Ann", "full name - Ann", "xname: Ann", "master card number ending"]
+    got = counts(spark, texts)
+    assert got == counts(spark, texts, bare)
+    # names have no hints to take away: they are held against the cues themselves
+    assert [c["NAME"] for c in got] == [len({v.strip().lower() for p in d.NAME_CUES for v in re.findall(p, t)}) for t in texts]
+
+
+def test_openings(spark):
+    """All openings at beginnings of words, overlapping ones and those within longer ones, too; rules as data may have their own."""
+    rules = R.from_dict({"entities": [{"key": k, "method": "keyword", "patterns": [rf"\b{o}"], "openings": [o]} for k, o in (("A", "card"), ("B", "card number"), ("C", "number"), ("D", "\u00e9tat"), ("E", "n"))]})
+    got = counts(spark, ["the card number", "discard numbers", "CARD", "card numb", "", None, "l'état, c'est", "xétat"], rules)
+    assert [[k for k, v in c.items() if v] for c in got] == [list("ABCE"), list("CE"), ["A"], ["A", "E"], [], [], ["D"], []]
 
 
 def test_value_signal(spark):
