@@ -139,13 +139,16 @@ def _person_tests(settings: Settings):
     def card(n: str) -> bool:
         return 13 <= len(n) <= 19 and luhn(n) and any(len(n) in lengths and low <= int(n[:k]) <= high for k, low, high, lengths in d.CARD_NETWORKS)
 
+    def compiled(p: str) -> re.Pattern:
+        return re.compile(p, 0 if d.names_letters(p) else re.ASCII)  # words as in the columns
+
     plain, cards = [], []
     for r in settings.rules.rules:
         if r.per_person and r.method == "ssn":
-            plain.append(re.compile(d.SSN_SEPARATED))
+            plain.append(compiled(d.SSN_SEPARATED))
         elif r.per_person and r.method == "regex":
             # the first match of a line needs no place where another ended
-            (cards if r.luhn else plain).extend(re.compile(d.ONCE[p][0].replace(r"|\G", "") if p in d.ONCE else p) for p in r.patterns)
+            (cards if r.luhn else plain).extend(compiled(d.ONCE[p][0].replace(r"|\G", "") if p in d.ONCE else p) for p in r.patterns)
     roster = re.compile(d.ROSTER_LINE)
 
     def is_person(line: str) -> bool:

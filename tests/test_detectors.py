@@ -97,6 +97,30 @@ def test_openings(spark):
     assert [[k for k, v in c.items() if v] for c in got] == [list("ABCE"), list("CE"), ["A"], ["A", "E"], [], [], ["D"], []]
 
 
+# Findings that begin or end beside an accented letter; words are ASCII, as in the SQL, on Java 17 and on later ones.
+BESIDE = [
+    ("ADDRESS", "+1 (467) 555-3280 zuch st\u00f6be", 1), ("ADDRESS", "214 geieein. St\u00e4\u00e4 zu", 1), ("ADDRESS", "\u00fc12 Oak Street", 1), ("ADDRESS", "12 Oak Streets", 0), ("ADDRESS", "\u00e9Springfield, IL 62704\u00e9", 1), ("ADDRESS", "Springfield, IL 62704x", 0),
+    ("EMAIL", "a@b.org\u00e4 a@b.orgx9", 1), ("EMAIL", "\u00fca@b.org a@b.org", 1), ("SSN", "\u00df123-45-6789\u00e9", 1), ("SSN", "ssn\u00e9 \u00e9123456789", 1), ("CARD", "\u00e94111111111111111\u00e9", 1), ("CARD", "x4111111111111111", 0),
+    ("MONEY", "\u00e91.50\u00e9 1.50", 1), ("MONEY", "\u00e9USD 7 and 9 euros\u00e9", 2), ("MONEY", "x1.50 1.50x", 0), ("NAME", "\u00e9Mr. Smith, \u00e9name: Anna", 2), ("CREDENTIALS", "\u00e9password\u00e9", 1), ("CREDENTIALS", "passwordx", 0), ("TIN", "\u00e9tin\u00e9 12-3456789", 1),
+]
+
+
+def test_words_are_ascii(spark):
+    import duckdb
+
+    from paperlane import catalogue_sql as S
+
+    got = counts(spark, [text for _, text, _ in BESIDE])
+    assert [(k, t, c[k]) for (k, t, _), c in zip(BESIDE, got)] == BESIDE
+    for r in RULES.rules:
+        rows = duckdb.sql(f"SELECT i, {S.count(r)} FROM (SELECT unnest($1) AS i, unnest($2) AS t) ORDER BY i", params=[list(range(len(BESIDE))), [t for _, t, _ in BESIDE]]).fetchall()
+        assert [n for _, n in rows] == [c[r.key] for c in got], r.key
+    person, _ = files._person_tests(Settings())
+    rows = [t for k, t, _ in BESIDE if k in ("EMAIL", "SSN", "CARD")]
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, t string").orderBy("i")
+    assert [person(t) for t in rows] == [r[0] for r in df.select(d.row_has_identifier(F.col("t"), RULES)).collect()]
+
+
 def test_value_signal(spark):
     texts = ["mail a@b.org", "SSN: 123-45-6789", "we accept credit cards", "Mr. Smith", "nothing", "Patient: Jane Doe -- diagnosis", "Mr. Smith paid $5.00", None]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
