@@ -174,3 +174,29 @@ def test_monitor_reads_the_tasks_once(spark, tmp_path):
     for r in fleet.trailing_throughput(kept, now).collect():
         assert all(got[r["job_id"]][c] == r[c] for c in r.asDict())
     assert sum(r["stuck"] for r in got.values()) == fleet.stuck(kept, now).count()
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def read_again(inv):
+    """inv behind a step that shows in each plan that would run it."""
+    return inv.mapInArrow(lambda batches: batches, inv.schema)
+
+
+def small_inventory(spark):
+    from paperlane.operators.pipeline import Services, inventory
+    from paperlane.sources.tables import meta
+
+    texts = ["Name: Ann Lee, SSN 123-45-6789", "mail a@b.org and c@d.org", "nothing", "12 Oak Street, $5.00", "mail a@b.org and c@d.org"]
+    rows = spark.createDataFrame([(f"d/{i}.txt", f"{i}.txt", ".txt", 9, t) for i, t in enumerate(texts)], "rel_path string, file_name string, ext string, size_bytes long, text string").withColumn("meta", meta())
+    return rows, inventory(rows, services=Services(stage2="offline")).withColumn("row", F.col("rel_path"))
+
+
+def test_a_summary_reads_the_inventory_once(spark):
+    _, inv = small_inventory(spark)
+    got = reports.summary(read_again(inv))
+    assert "MapInArrow" not in plan(got)
+    labels = {r["name"]: r["value"] for r in got.filter("section = 'label'").collect()}
+    assert labels == {r["label"]: r["files"] for r in reports.label_counts(inv).collect()} and labels["Email"] == 2
