@@ -200,3 +200,13 @@ def test_a_summary_reads_the_inventory_once(spark):
     assert "MapInArrow" not in plan(got)
     labels = {r["name"]: r["value"] for r in got.filter("section = 'label'").collect()}
     assert labels == {r["label"]: r["files"] for r in reports.label_counts(inv).collect()} and labels["Email"] == 2
+
+
+def test_a_benchmark_reads_the_inventory_once(spark):
+    _, inv = small_inventory(spark)
+    gold = spark.createDataFrame([("d/0.txt", "R", ""), ("2.TXT", "NR", ""), ("x/9.txt", "R", "")], "id string, responsive string, bde string")
+    for mode in ("unreviewed", "zero"):
+        got = score.benchmark(read_again(inv), gold, mode)
+        assert "MapInArrow" not in plan(got) and (got.first()["tp"], got.first()["tn"] > 0, got.first()["unmatched"]) == (1, True, 1)
+    lost = score.unmatched_gold(read_again(inv), gold)
+    assert "MapInArrow" not in plan(lost) and [r.id for r in lost.collect()] == ["x/9.txt"]
