@@ -210,3 +210,21 @@ def test_a_benchmark_reads_the_inventory_once(spark):
         assert "MapInArrow" not in plan(got) and (got.first()["tp"], got.first()["tn"] > 0, got.first()["unmatched"]) == (1, True, 1)
     lost = score.unmatched_gold(read_again(inv), gold)
     assert "MapInArrow" not in plan(lost) and [r.id for r in lost.collect()] == ["x/9.txt"]
+
+
+def test_runs_over_one_scan(spark):
+    """Inventories of several settings are those of each alone, from one scan."""
+    from dataclasses import replace
+
+    from paperlane.operators.pipeline import Services, inventories, inventory
+    from paperlane.plans.rules import RuleList
+    from paperlane.plans.settings import Settings
+
+    rows, _ = small_inventory(spark)
+    runs, offline = [Settings(), Settings(bde_threshold=1), Settings(bde_threshold=2, use_stage2=False)], Services(stage2="offline")
+    for services in (offline, Services(judge=lambda prompt: {"responsive": "Ann" in prompt, "tokens": len(prompt)})):
+        for got, s in zip(inventories(read_again(rows), runs, services), runs):
+            assert "MapInArrow" not in plan(got) or services is not offline
+            assert sorted(got.collect()) == sorted(inventory(rows, s, services).collect())
+    with pytest.raises(ValueError, match="same rules"):
+        inventories(rows, [Settings(), replace(Settings(), rules=RuleList(name="other"))])
