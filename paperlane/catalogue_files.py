@@ -88,8 +88,8 @@ def job_protocols(spark, d):
 @query(f"{T} SELECT DISTINCT job_id, file_name AS rel_path FROM tasks WHERE status = 'completed' AND row_key::BIGINT % 3 <> 0")
 def watched_results(spark, d):
     """Results of completed tasks, collected in two passes: at the first, a fifth of the files are half written."""
-    rows = tasks(spark, d).filter("CAST(row_key AS BIGINT) % 3 <> 0").select("job_id", (F.col("row_key").cast("long") / 50).cast("long").alias("part"), F.to_json(F.struct(F.col("file_name").alias("rel_path"), "job_id", F.lit("ok").alias("status"))).alias("line"))
-    rows = rows.groupBy("job_id", "part").agg(F.array_join(F.collect_list("line"), "\n").alias("text"))  # at most fifty
+    rows = tasks(spark, d).filter("CAST(row_key AS BIGINT) % 3 <> 0").select("job_id", (F.col("row_key").cast("long") / 500).cast("long").alias("part"), F.to_json(F.struct(F.col("file_name").alias("rel_path"), "job_id", F.lit("ok").alias("status"))).alias("line"))
+    rows = rows.groupBy("job_id", "part").agg(F.array_join(F.collect_list("line"), "\n").alias("text"))  # at most five hundred, about fifty
     name = F.concat("job_id", F.lit("/"), "part", F.lit(".json")).alias("rel_path")
     half = F.when(F.col("part") % 5 == 0, F.substring("text", F.lit(1), F.length("text") - 9)).otherwise(F.col("text"))
     root, out = _folder(spark, "results", rows.select(name, _bytes(half).alias("content"))), new_folder(spark, "watched")

@@ -39,56 +39,42 @@ def _with_content(listing: DataFrame, root: str, settings: Settings, readers: ex
     wanted = F.coalesce(F.col("ext").isin(*readers.opened()), F.lit(False)) & (F.col("size_bytes") <= settings.max_bytes) & F.col("problem").isNull()
     rows = listing.withColumn("wanted", wanted)
     schema = "path string, rel_path string, file_name string, ext string, size_bytes long, problem string, content binary"
-    limit = settings.max_bytes
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, _ = stores.opened(root)
-        for b in batches:
-            at, held, contents, problems = 0, 0, [], []
-
-            def part(end: int, b: pa.RecordBatch = b) -> pa.RecordBatch:
-                cut = b.slice(at, end - at)
-                columns = [cut.column(n) for n in ("path", "rel_path", "file_name", "ext", "size_bytes")]
-                return pa.record_batch([*columns, pa.array(problems, pa.string()), pa.array(contents, pa.binary())], names=["path", "rel_path", "file_name", "ext", "size_bytes", "problem", "content"])
-
-            for i, (place, problem, wanted) in enumerate(zip(b.column("place").to_pylist(), b.column("problem").to_pylist(), b.column("wanted").to_pylist())):
-                data = None
-                if wanted:
-                    try:
-                        data = stores.read(store, place, limit)
-                    except Exception as e:  # gone since it was listed, or not ours to read
-                        problem = type(e).__name__
-                contents.append(data)
-                problems.append(problem)
-                held += len(data or b"")
-                if held >= READ_BATCH:
-                    yield part(i + 1)
-                    at, held, contents, problems = i + 1, 0, [], []
-            if at < b.num_rows:
-                yield part(b.num_rows)
-
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lambda batches: _read(batches, root, settings.max_bytes, ("path", "rel_path", "file_name", "ext", "size_bytes")), schema)
+
+
+def _read(batches: Iterator[pa.RecordBatch], root: str, most: int, names: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    """The named columns of listed files with ``problem`` and ``content``, handed on whenever READ_BATCH bytes are held; files that are not ``wanted``, or have a problem, are not opened."""
+    store, _ = stores.opened(root)
+    for b in batches:
+        at, held, contents, problems = 0, 0, [], []
+
+        def part(end: int, b: pa.RecordBatch = b) -> pa.RecordBatch:
+            cut = b.slice(at, end - at)
+            return pa.record_batch([*(cut.column(n) for n in names), pa.array(problems, pa.string()), pa.array(contents, pa.binary())], names=[*names, "problem", "content"])
+
+        found = b.column("problem").to_pylist()
+        wanted = b.column("wanted").to_pylist() if "wanted" in b.schema.names else [x is None for x in found]
+        for i, (place, problem, wanted) in enumerate(zip(b.column("place").to_pylist(), found, wanted)):
+            data = None
+            if wanted:
+                try:
+                    data = stores.read(store, place, most)
+                except Exception as e:  # gone since it was listed, or not ours to read
+                    problem = type(e).__name__
+            contents.append(data)
+            problems.append(problem)
+            held += len(data or b"")
+            if held >= READ_BATCH:
+                yield part(i + 1)
+                at, held, contents, problems = i + 1, 0, [], []
+        if at < b.num_rows:
+            yield part(b.num_rows)
 
 
 def with_bytes(found: DataFrame, root: str, most: int) -> DataFrame:
     """A listing with the bytes of all its files up to ``most``: content, and a ``problem`` where they could not be read."""
-    schema = f"{listing.SCHEMA}, content binary"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, _ = stores.opened(root)
-        for b in batches:
-            for i in range(b.num_rows):
-                one = b.slice(i, 1)
-                data, problem = None, one.column("problem")[0].as_py()
-                if problem is None:
-                    try:
-                        data = stores.read(store, one.column("place")[0].as_py(), most)
-                    except Exception as e:
-                        problem = type(e).__name__
-                columns = [one.column(n) for n in ("path", "rel_path", "place", "size_bytes", "modified")]
-                yield pa.record_batch([*columns, pa.array([problem], pa.string()), pa.array([data], pa.binary())], names=["path", "rel_path", "place", "size_bytes", "modified", "problem", "content"])
-
-    return found.mapInArrow(run, schema)
+    names = ("path", "rel_path", "place", "size_bytes", "modified")
+    return found.mapInArrow(lambda batches: _read(batches, root, most, names), f"{listing.SCHEMA}, content binary")
 
 
 def scan(spark: SparkSession, root: str, settings: Settings = Settings(), readers: extract.Registry = extract.Registry()) -> DataFrame:

@@ -207,3 +207,20 @@ def test_jobs_have_their_own_protocol(spark, tmp_path):
     judge = lambda prompt: {"responsive": "only one" in prompt, "responsiveness": "clear_yes" if "not the last" in prompt else "", "tokens": len(prompt.split("\n"))}
     got = {r["rel_path"]: (r["llm_responsive"], r["is_bde"], r["s2_llm_responsiveness"]) for r in inventory(rows, Settings(protocol_text="general"), Services(judge=judge, stage2=judge)).collect()}
     assert got["one/files/a.txt"] == ("yes", True, "") and got["two/files/deep/b.txt"][:2] == ("no", False) and got["three/files/c.txt"][:2] == ("no", False)
+
+
+def test_bytes_are_handed_on_together(tmp_path, monkeypatch):
+    """Small files share a batch, up to READ_BATCH bytes; one that is gone is a row with a problem."""
+    import pyarrow as pa
+
+    from paperlane.sources import files
+
+    for i in range(5):
+        (tmp_path / f"{i}").write_bytes(b"x" * i)
+    rows = [{"rel_path": f"{i}", "place": str(tmp_path / f"{i}").encode(), "problem": "seen" if i == 2 else None} for i in range(6)]
+    batch = pa.RecordBatch.from_pylist(rows, schema=pa.schema([("rel_path", pa.string()), ("place", pa.binary()), ("problem", pa.string())]))
+    got = list(files._read(iter([batch]), str(tmp_path), 9, ("rel_path",)))
+    assert [b.num_rows for b in got] == [6]
+    assert [(r["content"], r["problem"]) for r in got[0].to_pylist()] == [(b"", None), (b"x", None), (None, "seen"), (b"xxx", None), (b"xxxx", None), (None, "FileNotFoundError")]
+    monkeypatch.setattr(files, "READ_BATCH", 3)
+    assert [b.num_rows for b in files._read(iter([batch]), str(tmp_path), 9, ("rel_path",))] == [4, 1, 1]
