@@ -147,3 +147,74 @@ def test_examples_are_few_before_they_are_sorted(spark):
     inv = spark.createDataFrame([(f"{i}", f"{i}.txt", i) for i in range(10)], "key string, rel_path string, row int")
     plan = diff.examples(inv, inv, ["rel_path"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and F is not None
+
+
+class _Kept:
+    """A state of one key in memory, with the number of its entries."""
+
+    def __init__(self):
+        self.rows, self.timers = {}, []
+
+    def getMapState(self, *_):
+        return self
+
+    def getValueState(self, *_):
+        return _Value()
+
+    def registerTimer(self, ms):
+        self.timers.append(ms)
+
+    def keys(self):
+        return iter(list(self.rows))
+
+    def getValue(self, k):
+        return self.rows[tuple(k)]
+
+    def updateValue(self, k, v):
+        self.rows[tuple(k)] = v
+
+    def removeKey(self, k):
+        del self.rows[tuple(k)]
+
+
+class _Value:
+    x = None
+
+    def exists(self):
+        return self.x is not None
+
+    def get(self):
+        return self.x
+
+    def update(self, x):
+        self.x = x
+
+
+class _Watermark(int):
+    def getCurrentWatermarkInMs(self):
+        return int(self)
+
+
+def test_the_breaker_keeps_pieces_of_days(tmp_path):
+    """Twenty thousand finishes of three days are six entries of the state, not one each; passed in two steps, the first within a day, they are judged as in one."""
+    import numpy as np
+    import pandas as pd
+
+    n, size = 20_000, 100
+    rows = pd.DataFrame({"completed_at": pd.to_datetime(np.arange(n) // 2 * 25_000_000, unit="us"), "row_key": [f"{i:05d}" for i in range(n)]})
+    rows["bad"] = [(i * i) % 13 == 0 for i in range(n)]
+    shuffled = rows.sample(frac=1, random_state=3)
+    kept = _Kept()
+    b = breaker.Breaker(size, 0.075)
+    b.init(kept)
+    for half in (shuffled[: n // 2], shuffled[n // 2 :]):
+        assert list(b.handleInputRows(("j",), iter([half[:3000], half[3000:]]), None)) == []
+    days = rows["completed_at"].dt.date.nunique()
+    assert days == 3 and len(kept.rows) == 6 and len(kept.timers) == 2
+    middle = int(rows["completed_at"].iloc[n // 2].timestamp() * 1000)
+    outs = [pd.concat(b.handleExpiredTimer(("j",), _Watermark(w), None)) for w in (middle, 10**13)]
+    assert list(b.handleExpiredTimer(("j",), _Watermark(10**13), None)) == [] and not kept.rows
+    failures = rows["bad"].rolling(size).sum().dropna()
+    tripped = rows["completed_at"][failures.index[failures / size > 0.075][0]]
+    assert [int(o["finished"].iloc[0]) for o in outs] == [n // 2, n] and outs[1]["worst_rate"].iloc[0] == failures.max() / size
+    assert outs[1]["tripped_at_us"].iloc[0] == int(tripped.timestamp() * 1_000_000)
