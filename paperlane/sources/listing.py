@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 import time
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,7 @@ SCHEMA = "path string, rel_path string, place binary, size_bytes long, modified
 NAME = "folder_listing"
 _ARROW = pa.schema([("path", pa.string()), ("rel_path", pa.string()), ("place", pa.binary()), ("size_bytes", pa.int64()), ("modified", pa.timestamp("us", "UTC")), ("problem", pa.string())])
 BATCH = 4096  # rows that are handed on at a time
+OPEN = 200  # folders that a walk keeps open; deeper ones are read to their end at once, because the system limits open ones
 
 
 class Prefix(InputPartition):
@@ -38,18 +40,19 @@ class Prefix(InputPartition):
 def prefixes(root: str, wanted: int) -> list[Prefix]:
     """Folders that together hold all files below root, ``wanted`` or more if there are so many within reach.
 
-    A level with more than ``wanted`` times 64 folders is not opened, so the driver's memory is bounded.
+    A level with more than ``wanted`` times 64 folders is not opened nor read to its end, so the driver's memory is bounded.
     """
     store, path = stores.opened(root)
     level, out = [path.encode("utf-8", "surrogateescape")], []
     while level and len(level) < wanted:
         below, shut = [], []
         for folder in level:
+            room = 64 * wanted - len(below)
             try:
-                inner = [_under(folder, e.name) for e in stores.entries(store, folder) if e.is_folder]
+                inner = list(islice((_under(folder, e.name) for e in stores.entries(store, folder) if e.is_folder), room + 1))
             except OSError:
                 inner = None  # its task will say why
-            if inner is None or len(below) + len(inner) > 64 * wanted:
+            if inner is None or len(inner) > room:
                 shut.append(folder)
                 continue
             out.append(Prefix(folder, False))
@@ -67,6 +70,11 @@ def _readable(name: bytes) -> str:
     return name.decode("utf-8", "backslashreplace")
 
 
+def _inside(store: object, folder: bytes, at_once: bool) -> Iterator[stores.Entry]:
+    found = stores.entries(store, folder)
+    yield from list(found) if at_once else found
+
+
 def listed(root: str, prefix: Prefix) -> Iterator[pa.RecordBatch]:
     """A row for each entry of a prefix that is no folder."""
     store, path = stores.opened(root)
@@ -80,22 +88,27 @@ def listed(root: str, prefix: Prefix) -> Iterator[pa.RecordBatch]:
     def batch() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
 
-    todo = [prefix.folder]
-    while todo:
-        folder = todo.pop()
+    # the folders that are open, each read as far as the walk has come; what is still to come is held by none of them
+    walk = [(prefix.folder, _inside(store, prefix.folder, False))]
+    while walk:
+        folder, inside = walk[-1]
         try:
-            for e in stores.entries(store, folder):
-                place = _under(folder, e.name)
-                if e.is_folder:
-                    if prefix.whole:
-                        todo.append(place)
-                    continue
-                rows.append(row(place, e.size, e.modified_us, e.problem))
-                if len(rows) >= BATCH:
-                    yield batch()
-                    rows.clear()
+            e = next(inside, None)
         except OSError as x:
             rows.append(row(folder, None, None, f"Folder{type(x).__name__}"))
+            e = None
+        if e is None:
+            walk.pop()
+            continue
+        place = _under(folder, e.name)
+        if e.is_folder:
+            if prefix.whole:
+                walk.append((place, _inside(store, place, len(walk) >= OPEN)))
+            continue
+        rows.append(row(place, e.size, e.modified_us, e.problem))
+        if len(rows) >= BATCH:
+            yield batch()
+            rows.clear()
     if rows:
         yield batch()
 

@@ -224,3 +224,34 @@ def test_bytes_are_handed_on_together(tmp_path, monkeypatch):
     assert [(r["content"], r["problem"]) for r in got[0].to_pylist()] == [(b"", None), (b"x", None), (None, "seen"), (b"xxx", None), (b"xxxx", None), (None, "FileNotFoundError")]
     monkeypatch.setattr(files, "READ_BATCH", 3)
     assert [b.num_rows for b in files._read(iter([batch]), str(tmp_path), 9, ("rel_path",))] == [4, 1, 1]
+
+
+def test_a_wide_folder_takes_no_more_memory(tmp_path):
+    """A walk holds the folders it is in, not the names of all that are to come; nor does the driver, where there are too many to open."""
+    import tracemalloc
+
+    def peak(n):
+        root = tmp_path / str(n)
+        for i in range(n):
+            (root / f"c{i}").mkdir(parents=True)
+        (root / "c7/a.txt").write_text("x")
+        tracemalloc.start()
+        rows = [r for b in listing.listed(str(root), listing.Prefix(str(root).encode(), True)) for r in b.column("rel_path").to_pylist()]
+        shut = [(p.folder, p.whole) for p in listing.prefixes(str(root), 2)]
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows == ["c7/a.txt"] and shut == [(str(root).encode(), True)]
+        return most
+
+    peak(200)  # what is loaded once
+    assert peak(8000) < peak(2000) + 150_000
+
+
+def test_a_deep_tree_keeps_few_folders_open(tmp_path, monkeypatch):
+    monkeypatch.setattr(listing, "OPEN", 3)
+    deep = tmp_path / "/".join("abcdefgh")
+    deep.mkdir(parents=True)
+    for folder in (deep, *list(deep.parents)[:8]):
+        (folder / "x.txt").write_text("x")
+    got = [r for b in listing.listed(str(tmp_path), listing.Prefix(str(tmp_path).encode(), True)) for r in b.column("rel_path").to_pylist()]
+    assert sorted(got) == sorted("/".join([*"abcdefgh"[:n], "x.txt"]) for n in range(9))
