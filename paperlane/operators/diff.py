@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,9 +16,10 @@ def keyed(inv: DataFrame, key: Column, last: bool = False) -> DataFrame:
     return _first(inv.withColumn("key", key), "key", F.desc("row") if last else F.col("row"))
 
 
-def paired(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Full outer join of two keyed inventories: key, a.*, b.* as structs, null where a side lacks the key."""
-    left, right = (x.select("key", F.struct(*[c for c in x.columns if c not in ("key", "row")]).alias(n)) for x, n in ((a, "a"), (b, "b")))
+def paired(a: DataFrame, b: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+    """Full outer join of two keyed inventories: key, a.*, b.* as structs of the columns asked for, null where a side lacks the key."""
+    of = lambda x: [c for c in x.columns if c not in ("key", "row")] if columns is None else list(columns)
+    left, right = (x.select("key", F.struct(*of(x)).alias(n)) for x, n in ((a, "a"), (b, "b")))
     return left.join(right, "key", "full_outer")
 
 
@@ -33,7 +36,7 @@ def verdict_changes(a: DataFrame, b: DataFrame) -> DataFrame:
 def column_changes(a: DataFrame, b: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """(column, before, after, files) for every value that differs between keys of both runs."""
     columns = columns or [c for c in INVENTORY if c not in ("rel_path", "elapsed_s")]
-    j = paired(a, b).filter("a IS NOT NULL AND b IS NOT NULL")
+    j = paired(a, b, columns).filter("a IS NOT NULL AND b IS NOT NULL")
     cells = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(f"a.{c}").cast("string").alias("before"), F.col(f"b.{c}").cast("string").alias("after")) for c in columns)))
     rows = j.select(cells.alias("x")).select("x.*").filter(~F.col("before").eqNullSafe(F.col("after")))
     return rows.groupBy("column", "before", "after").agg(F.count("*").alias("files"))
@@ -52,7 +55,7 @@ def top_transitions(a: DataFrame, b: DataFrame, columns: list[str] | None = None
 def examples(a: DataFrame, b: DataFrame, columns: list[str] | None = None, top: int = 5) -> DataFrame:
     """(column, key, before, after): the least keys with a changed value, a few for each column; kept map-side, never sorted whole."""
     columns = columns or [c for c in INVENTORY if c not in ("rel_path", "elapsed_s")]
-    j = paired(a, b).filter("a IS NOT NULL AND b IS NOT NULL")
+    j = paired(a, b, columns).filter("a IS NOT NULL AND b IS NOT NULL")
     cells = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col("key"), F.col(f"a.{c}").cast("string").alias("before"), F.col(f"b.{c}").cast("string").alias("after")) for c in columns)))
     rows = j.select(cells.alias("x")).select("x.*").filter(~F.col("before").eqNullSafe(F.col("after")))
     return rows.withColumn("n", F.row_number().over(Window.partitionBy("column").orderBy("key"))).filter(F.col("n") <= top).drop("n")
@@ -64,7 +67,7 @@ MODEL_COLUMNS = ("llm_consulted", "llm_responsive", "llm_tokens", "llm_tokens_to
 
 def rules_decided(a: DataFrame, b: DataFrame) -> DataFrame:
     """Of the keys in both runs that no model touched: how many, and how many changed lane. The second must be 0 for equal rules."""
-    j = paired(a, b)
+    j = paired(a, b, ("llm_consulted", "suggested_lane"))
     both = F.col("a").isNotNull() & F.col("b").isNotNull()
     no_model = both & ~F.col("a.llm_consulted") & ~F.col("b.llm_consulted")
     moved = no_model & ~F.col("a.suggested_lane").eqNullSafe(F.col("b.suggested_lane"))

@@ -1,6 +1,7 @@
 """Registered queries against their SQL, on tables made to tell them apart."""
 
 import pytest
+from pyspark.sql import functions as F
 
 TABLES = {
     "documents": ("doc_id long, text string", [(i, f"{3280 + i} zuch stöbe" + " und so fort" * i) for i in range(4)] + [(9, "1,200.50"), (10, None)]),
@@ -24,3 +25,14 @@ def test_accented_words_count_as_in_the_sql(spark, tmp_path, name):
     got = e.queries()[name](spark, str(tmp_path))
     wanted = db.sql(f"SELECT {', '.join(got.columns)} FROM ({e.oracle_sql()[name]})").fetchall()
     assert sorted(map(tuple, got.collect())) == sorted(wanted) and wanted
+
+
+def test_a_comparison_shuffles_only_what_it_compares(spark, tmp_path):
+    from paperlane.operators import diff
+
+    rows = [(k, k, lane, False, "many labels") for k, lane in (("a", "x"), ("b", "y"))]
+    runs = [diff.keyed(spark.createDataFrame(r, "rel_path string, row string, suggested_lane string, llm_consulted boolean, entities_found string"), F.col("rel_path")) for r in (rows, rows[:1])]
+    out = diff.rules_decided(*runs)
+    assert tuple(out.first()) == (1, 1, 0, 1, 0)
+    join = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "FullOuter" in join and "entities_found" not in join.split("LogicalRDD")[0]
