@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import round_even
 from ..shared import written
 
 TASK_SCHEMA = (
@@ -155,7 +156,7 @@ def _rates(first: Column, in_window: Column, remaining: Column, at: Column, wind
     ok = (span_us >= 10_000_000) & (in_window >= 1)
     rate = in_window / (span_us / 60_000_000.0)
     eta = F.when(ok & (remaining > 0), remaining / rate)
-    return [F.when(ok, F.bround(rate, 1)).alias("per_minute"), F.bround(eta * 0.7, 0).cast("long").alias("eta_low_min"), F.bround(eta * 1.4, 0).cast("long").alias("eta_high_min")]
+    return [F.when(ok, round_even(rate, 1)).alias("per_minute"), round_even(eta * 0.7, 0).cast("long").alias("eta_low_min"), round_even(eta * 1.4, 0).cast("long").alias("eta_high_min")]
 
 
 def trailing_throughput(tasks: DataFrame, now: Column, window_s: int = 300) -> DataFrame:
@@ -167,7 +168,7 @@ def trailing_throughput(tasks: DataFrame, now: Column, window_s: int = 300) -> D
 
 def checkpoint_rollup(tasks: DataFrame) -> DataFrame:
     rows = tasks.select(F.explode("checkpoints").alias("c")).select("c.*")
-    return rows.groupBy("label").agg(F.count("*").alias("n"), F.sum("duration_ms").alias("total_ms"), F.bround(F.avg("duration_ms"), 6).alias("avg_ms"), F.sum("tokens_in").alias("tokens_in"), F.sum("tokens_out").alias("tokens_out"))
+    return rows.groupBy("label").agg(F.count("*").alias("n"), F.sum("duration_ms").alias("total_ms"), round_even(F.avg("duration_ms"), 6).alias("avg_ms"), F.sum("tokens_in").alias("tokens_in"), F.sum("tokens_out").alias("tokens_out"))
 
 
 def checkpoint_offsets(tasks: DataFrame) -> DataFrame:
@@ -194,7 +195,7 @@ def duration_stats(tasks: DataFrame, *by: str) -> DataFrame:
         return F.min(F.when(upto > rank, d))
 
     median = (at(F.floor((n - 1) / 2)) + at(F.floor(n / 2))) / 2.0
-    return each.groupBy(*by).agg(F.sum("k").alias("n"), F.sum(d * F.col("k")).alias("total_ms"), F.bround(F.sum(d * F.col("k")) / F.sum("k"), 6).alias("avg_ms"), median.alias("median_ms"), at(F.least(F.floor(n * 0.95), n - 1)).alias("p95_ms"), F.min(d).alias("min_ms"), F.max(d).alias("max_ms"))
+    return each.groupBy(*by).agg(F.sum("k").alias("n"), F.sum(d * F.col("k")).alias("total_ms"), round_even(F.sum(d * F.col("k")) / F.sum("k"), 6).alias("avg_ms"), median.alias("median_ms"), at(F.least(F.floor(n * 0.95), n - 1)).alias("p95_ms"), F.min(d).alias("min_ms"), F.max(d).alias("max_ms"))
 
 
 def worker_hours(tasks: DataFrame, price_per_hour: float = 0.0) -> DataFrame:
@@ -202,14 +203,14 @@ def worker_hours(tasks: DataFrame, price_per_hour: float = 0.0) -> DataFrame:
     w = tasks.filter(F.col("completed_at").isNotNull()).groupBy("job_id", "worker_instance").agg((F.max(micros(F.col("completed_at"))) - F.min(micros(F.col("started_at")))).alias("us"), F.count("*").alias("n"))
     out = w.groupBy("job_id").agg(F.count("*").alias("workers"), F.sum("us").alias("worker_us"), F.sum("n").alias("tasks"))
     hours = F.col("worker_us") / 3_600_000_000.0
-    return out.withColumns({"worker_hours": F.bround(hours, 6), "cost": F.bround(hours * price_per_hour, 4)})
+    return out.withColumns({"worker_hours": round_even(hours, 6), "cost": round_even(hours * price_per_hour, 4)})
 
 
 def wall_throughput(tasks: DataFrame) -> DataFrame:
     """Completed tasks an hour over the span of completion."""
     t = micros(F.col("completed_at"))
     out = tasks.filter(F.col("status") == "completed").groupBy("job_id").agg(F.count("*").alias("n"), (F.max(t) - F.min(t)).alias("us"))
-    return out.withColumn("per_hour", F.bround(F.col("n") / F.nullif(F.col("us") / 3_600_000_000.0, F.lit(0.0)), 4))
+    return out.withColumn("per_hour", round_even(F.col("n") / F.nullif(F.col("us") / 3_600_000_000.0, F.lit(0.0)), 4))
 
 
 def timeline(tasks: DataFrame, minutes: int = 1) -> DataFrame:
@@ -279,7 +280,7 @@ def rolling_failure(tasks: DataFrame, size: int = 1000, limit: float = 0.05) ->
     earlier = rows.select("job_id", (F.col("n") + size).alias("n"), F.col("failures").alias("earlier"))
     rows = rows.join(earlier, ["job_id", "n"], "left")
     rate = F.when(F.col("n") >= size, (F.col("failures") - F.coalesce("earlier", F.lit(0))) / F.lit(size))
-    return rows.groupBy("job_id").agg(F.count("*").alias("finished"), F.bround(F.max(rate), 6).alias("worst_rate"), F.min(F.when(rate > limit, F.col("t"))).alias("tripped_at_us"))
+    return rows.groupBy("job_id").agg(F.count("*").alias("finished"), round_even(F.max(rate), 6).alias("worst_rate"), F.min(F.when(rate > limit, F.col("t"))).alias("tripped_at_us"))
 
 
 def stuck(tasks: DataFrame, now: Column, visibility_s: int = 300) -> DataFrame:
@@ -306,7 +307,7 @@ def linux_projection(tasks: DataFrame, workers: int) -> DataFrame:
     """Files an hour if every worker ran only tasks of converted or modern formats."""
     ext = F.lower(F.regexp_extract("file_name", r"(\.[^.]*)$", 1))
     rows = tasks.filter((F.col("status") == "completed") & ~ext.isin(*CONVERTED))
-    return rows.agg(F.count("*").alias("files"), F.bround(workers * 3600.0 / F.nullif(F.avg("duration_ms") / 1000.0, F.lit(0.0)), 4).alias("files_per_hour"))
+    return rows.agg(F.count("*").alias("files"), round_even(workers * 3600.0 / F.nullif(F.avg("duration_ms") / 1000.0, F.lit(0.0)), 4).alias("files_per_hour"))
 
 
 def queue_of(ext: Column, windows_queue: bool, legacy: tuple[str, ...] = tuple(CONVERTED)) -> Column:

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import TYPE_ORDER, base_name, ratio, type_of
+from ..functions.text import TYPE_ORDER, base_name, ratio, round_even, type_of
 from ..plans.schema import BDE_LANES, NR_LANE, RESPONSIVE_LANES
 from ..shared import written
 
@@ -105,7 +105,7 @@ def rates(m: DataFrame, digits: int = 6) -> DataFrame:
         "accuracy": (tp + tn, n), "precision": (tp, tp + fp), "recall": (tp, tp + fn), "f1": (2 * tp, 2 * tp + fp + fn), "specificity": (tn, tn + fp),
         "nr_error": (fn, fn + tn), "r_error": (fp, fp + tp), "over_call": (fp, n), "under_call": (fn, tp + fn), "flagged": (tp + fp, n),
     }
-    return m.withColumns({"n": n, **{k: F.bround(ratio(a, b), digits) for k, (a, b) in of.items()}})
+    return m.withColumns({"n": n, **{k: round_even(ratio(a, b), digits) for k, (a, b) in of.items()}})
 
 
 def _first(df: DataFrame, key: str, order: Column) -> DataFrame:
@@ -164,10 +164,10 @@ def benchmark(inv: DataFrame, gold: DataFrame, absent_means: str = "unreviewed",
 
     def prf(prefix: str, a: str, b: str, c: str) -> dict[str, Column]:
         tp, fp, fn = F.col(a), F.col(b), F.col(c)
-        return {f"{prefix}_precision": F.bround(ratio(tp, tp + fp), 4), f"{prefix}_recall": F.bround(ratio(tp, tp + fn), 4), f"{prefix}_f1": F.bround(ratio(2 * tp, 2 * tp + fp + fn), 4)}
+        return {f"{prefix}_precision": round_even(ratio(tp, tp + fp), 4), f"{prefix}_recall": round_even(ratio(tp, tp + fn), 4), f"{prefix}_f1": round_even(ratio(2 * tp, 2 * tp + fp + fn), 4)}
 
     out = out.withColumns(prf("responsive", "tp", "fp", "fn") | prf("nr", "tn", "fn", "fp"))
-    return out.withColumn("bde_accuracy", F.bround(F.col("bde_correct") / F.nullif(F.col("bde_total").cast("double"), F.lit(0.0)), 4)).drop("bde_correct")
+    return out.withColumn("bde_accuracy", round_even(F.col("bde_correct") / F.nullif(F.col("bde_total").cast("double"), F.lit(0.0)), 4)).drop("bde_correct")
 
 
 def unmatched_gold(inv: DataFrame, gold: DataFrame) -> DataFrame:
@@ -200,7 +200,7 @@ def count_accuracy(scored: DataFrame, threshold: int = 6) -> DataFrame:
     """How well true BDEs were counted. The median is the upper one, by rank."""
     t = threshold + 1
     rows = scored.filter(F.col("human") > threshold).select(F.col("estimated_entities").alias("raw"), effective_count().alias("eff"), F.abs(effective_count() - F.col("human")).alias("err"))
-    sums = rows.agg(F.count("*").alias("n_true_bde"), F.count_if(F.col("raw") >= t).alias("raw_ge"), F.count_if(F.col("eff") >= t).alias("eff_ge"), F.bround(F.avg("err"), 6).alias("mean_err"))
+    sums = rows.agg(F.count("*").alias("n_true_bde"), F.count_if(F.col("raw") >= t).alias("raw_ge"), F.count_if(F.col("eff") >= t).alias("eff_ge"), round_even(F.avg("err"), 6).alias("mean_err"))
     # rank over counts by error: a row for each distinct error, not for each file
     by = rows.groupBy("err").agg(F.count("*").alias("k"))
     run = by.withColumn("upto", F.sum("k").over(Window.orderBy("err"))).withColumn("all", F.sum("k").over(Window.partitionBy()))
@@ -272,7 +272,7 @@ def metrics_by_type(scored: DataFrame) -> DataFrame:
 def level_distribution(scored: DataFrame) -> DataFrame:
     """Stage-2 levels with the share of truly responsive files."""
     rows = scored.filter("s2_ran").withColumn("level", F.coalesce(F.nullif("s2_llm_responsiveness", F.lit("")), F.lit("(none)")))
-    return rows.groupBy("level").agg(F.count("*").alias("files"), F.count_if(F.col("human") > 0).alias("truly_responsive")).withColumn("truth_rate", F.bround(ratio(F.col("truly_responsive"), F.col("files")), 6))
+    return rows.groupBy("level").agg(F.count("*").alias("files"), F.count_if(F.col("human") > 0).alias("truly_responsive")).withColumn("truth_rate", round_even(ratio(F.col("truly_responsive"), F.col("files")), 6))
 
 
 def ocr_yield(scored: DataFrame, threshold: int = 6) -> DataFrame:
@@ -285,7 +285,7 @@ def two_pass_saving(inv: DataFrame) -> DataFrame:
     on = ~F.col("nr_stage1")
     pages = F.col("ocr_pages") + F.col("img_ocr_calls")
     out = inv.agg(F.count("*").alias("files"), F.count_if(on).alias("survivors"), F.coalesce(F.sum("di_calls"), F.lit(0)).alias("di_calls"), F.coalesce(F.sum(F.when(on, F.col("di_calls"))), F.lit(0)).alias("repeat_di_calls"), F.coalesce(F.sum(F.when(on, pages)), F.lit(0)).alias("repeat_pages"))
-    return out.withColumn("saved_pct", F.bround(100 * ratio(F.col("repeat_di_calls"), F.col("di_calls") + F.col("repeat_di_calls")), 2))
+    return out.withColumn("saved_pct", round_even(100 * ratio(F.col("repeat_di_calls"), F.col("di_calls") + F.col("repeat_di_calls")), 2))
 
 
 def misses(scored: DataFrame, top: int = 25) -> DataFrame:
@@ -296,7 +296,7 @@ def misses(scored: DataFrame, top: int = 25) -> DataFrame:
 def status_cross_check(scored: DataFrame, status: DataFrame) -> DataFrame:
     """How often reviewers' statuses (id, status) agree with the counts they exported (id = norm_id)."""
     j = status.withColumn("manual", manual_status(F.col("status"))).join(scored.select("id", (F.col("human") > 0).alias("truth")), "id")
-    return j.agg(F.count("*").alias("matched"), F.count("manual").alias("recognised"), F.bround(F.avg((F.col("manual") == F.col("truth")).cast("double")), 6).alias("agreement"))
+    return j.agg(F.count("*").alias("matched"), F.count("manual").alias("recognised"), round_even(F.avg((F.col("manual") == F.col("truth")).cast("double")), 6).alias("agreement"))
 
 
 def joined_truth(inv: DataFrame, export: DataFrame, absent_means: str = "unreviewed", inv_id: Column | None = None, export_id: Column | None = None) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.text import round_even
+
 
 def collect(results: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = ("job_id", "row_key"), available_now: bool = True) -> StreamingQuery:
     """Appends each result once to a Parquet table; forwarded stubs are seen but give no row."""
@@ -53,4 +55,4 @@ def poll_rate(snapshots: DataFrame) -> DataFrame:
 
     w = Window.partitionBy("job_id").orderBy("at")
     s = (F.unix_micros("at") - F.unix_micros(F.lag("at").over(w))) / 1_000_000.0
-    return snapshots.select("job_id", "at", F.bround((F.col("tokens") - F.lag("tokens").over(w)) / F.nullif(s, F.lit(0.0)), 4).alias("tokens_per_s"))
+    return snapshots.select("job_id", "at", round_even((F.col("tokens") - F.lag("tokens").over(w)) / F.nullif(s, F.lit(0.0)), 4).alias("tokens_per_s"))

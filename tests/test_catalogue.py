@@ -36,3 +36,21 @@ def test_a_comparison_shuffles_only_what_it_compares(spark, tmp_path):
     assert tuple(out.first()) == (1, 1, 0, 1, 0)
     join = out._jdf.queryExecution().optimizedPlan().toString()
     assert "FullOuter" in join and "entities_found" not in join.split("LogicalRDD")[0]
+
+
+@pytest.mark.parametrize("units", [1005, 1015, 1035, 66060])
+def test_money_is_rounded_as_in_the_sql(spark, tmp_path, units):
+    """Sums such as 1.015 lie a little off the half that they print as."""
+    import duckdb
+
+    import __spark_entry__ as e
+
+    db = duckdb.connect()
+    sizes = [899] * (units // 899) + [units % 899]
+    for t, (schema, _) in TABLES.items():
+        rows = [(i, "-" * n) for i, n in enumerate(sizes)] if t == "documents" else []
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{t}.parquet")
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    got = e.queries()["cost_summary"](spark, str(tmp_path))
+    wanted = db.sql(f"SELECT {', '.join(got.columns)} FROM ({e.oracle_sql()['cost_summary']})").fetchall()
+    assert list(map(tuple, got.collect())) == wanted and wanted[0][4] == units
