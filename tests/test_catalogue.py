@@ -55,6 +55,11 @@ def test_odd_rows_count_as_in_the_sql(spark, tmp_path, name):
     held_against_sql(spark, tmp_path, ODD, name)
 
 
+def test_customers_without_a_key_have_the_size_of_the_sql(spark, tmp_path):
+    rows = [(None, "x", 5, 1.0, "BUILDING"), (1, "y", 5, 1.0, None), (None, "z", 6, 1.0, "BUILDING")]
+    held_against_sql(spark, tmp_path, TABLES | {"customer": (TABLES["customer"][0], rows)}, "model_failures_noted")
+
+
 def test_a_comparison_shuffles_only_what_it_compares(spark, tmp_path):
     from paperlane.operators import diff
 
